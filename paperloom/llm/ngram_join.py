@@ -36,6 +36,7 @@ TREES = 24
 DEPTH = 8  # values of a tree's row
 RECALL = 0.9999  # the least chance that two texts at the threshold meet in a tree
 HOT = 4000  # texts under one prefix, or in one class, from which on they are dealt to several tasks in blocks
+BROADCAST_BYTES = 32 << 20  # of the candidate classes' members; a larger table is joined by a shuffle
 MARGIN = 0.2  # what a signature's estimate may fall short of the threshold: over five standard deviations
 SEED = 5
 
@@ -258,7 +259,9 @@ def verified(texts: DataFrame, labels: DataFrame, similarity: float, n: int) ->
     A row with dst null carries a count for src; one with dst is a verified edge.
     """
     sized = labels.join(labels.groupBy("class").agg(F.count(F.lit(1)).alias("n")), "class")
-    rows = sized.join(texts, "id").select("class", "id", "n", "copies", "text")
+    # Three numbers a row: where they are few they go to the texts, else the texts are dealt out by id.
+    few = labels.count() * 32 <= BROADCAST_BYTES
+    rows = texts.join(F.broadcast(sized) if few else sized, "id").select("class", "id", "n", "copies", "text")
     dealt = _blocks(rows, HOT // 8).repartition("class", "i", "j").sortWithinPartitions("class", "i", "j", "id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
