@@ -19,8 +19,15 @@ RATIO = 0.1  # of a host's pages: lines above it are boilerplate
 PAGES = 3  # a line on fewer pages is no boilerplate, however small the host
 
 
-def _key(line: Column) -> Column:
-    return F.unhex(F.md5(F.regexp_replace(line, r"^\s+|\s+$", "")))
+SPACE = " \t\n\x0b\f\r"  # trimmed from lines; a line of nothing else is blank
+
+
+def _trim(line: Column) -> Column:
+    return F.btrim(line, F.lit(SPACE))
+
+
+def _key(trimmed: Column) -> Column:
+    return F.unhex(F.md5(trimmed))
 
 
 def _lines(text: Column) -> Column:
@@ -30,7 +37,7 @@ def _lines(text: Column) -> Column:
 def boilerplate(docs: DataFrame, *, host_col: str = "source", text_col: str = "text", ratio: float = RATIO, pages: int = PAGES) -> DataFrame:
     """host, line (hash), n_pages, ratio of the lines to drop. A page's line counts once and is summed before the shuffle."""
     host = F.coalesce(F.concat(F.lit("="), F.col(host_col)), F.lit("null")).alias("host")
-    kept = F.filter(_lines(F.col(text_col)), lambda x: F.rlike(x, F.lit(r"\S")))
+    kept = F.filter(F.transform(_lines(F.col(text_col)), _trim), lambda x: x != "")
     seen = docs.select(host, F.explode(F.array_distinct(F.transform(kept, _key))).alias("line"))
     counted = seen.groupBy("host", "line").agg(F.count(F.lit(1)).alias("n_pages")).filter(F.col("n_pages") >= pages)
     totals = docs.select(host).groupBy("host").agg(F.count(F.lit(1)).alias("total"))
@@ -51,13 +58,15 @@ def strip_lines(
     sets = drop.groupBy("host").agg(F.collect_list("line").alias("__drop")).withColumnRenamed("host", "__host")
     host = F.coalesce(F.concat(F.lit("="), F.col(host_col)), F.lit("null"))
     rows = docs.withColumn("__host", host).join(sets, "__host", "left")
-    lines = _lines(F.col(text_col))
-    kept = F.filter(lines, lambda x: ~F.array_contains("__drop", _key(x)))
-    stays = F.exists(kept, lambda x: F.rlike(x, F.lit(r"\S")))
-    kept = F.when(F.col("__drop").isNull() | ~stays, lines).otherwise(kept)
-    rows = rows.withColumn("__kept", kept)
-    n_lines = F.coalesce(F.size(F.when(F.col(text_col).isNotNull(), lines)), F.lit(0)).cast("long")
-    n_kept = F.coalesce(F.size(F.when(F.col(text_col).isNotNull(), F.col("__kept"))), F.lit(0)).cast("long")
+    lines = F.col("__lines")
+    rows = rows.withColumn("__lines", _lines(F.col(text_col)))
+    # Hosts without boilerplate, most texts of a clean corpus, skip the hashing of their lines.
+    left = F.when(F.col("__drop").isNotNull(), F.filter(lines, lambda x: ~F.array_contains("__drop", _key(_trim(x)))))
+    rows = rows.withColumn("__left", left)
+    stays = F.exists("__left", lambda x: _trim(x) != "")
+    rows = rows.withColumn("__kept", F.when(stays, F.col("__left")).otherwise(lines))
+    known = F.col(text_col).isNotNull()
+    n_lines, n_kept = (F.when(known, F.size(c)).otherwise(0).cast("long") for c in ("__lines", "__kept"))
     out = [F.array_join("__kept", "\n").alias(c) if c == text_col else F.col(c) for c in docs.columns]
     extra = {"n_lines": n_lines, "n_dropped": n_lines - n_kept}
     return rows.select(*out, *[v.alias(k) for k, v in extra.items() if k not in docs.columns])
