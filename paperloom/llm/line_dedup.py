@@ -15,7 +15,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from paperloom.llm.common import stage_table
+
 RATIO = 0.1  # of a host's pages: lines above it are boilerplate
+BROADCAST_BYTES = 32 << 20  # of the lines to drop, 24 bytes each
 PAGES = 3  # a line on fewer pages is no boilerplate, however small the host
 
 
@@ -50,14 +53,16 @@ def strip_lines(
 ) -> DataFrame:
     """docs with the boilerplate lines out of their texts, and n_lines, n_dropped (long).
 
-    A host drops at most (lines of a page / ratio) lines, so its set is one array. The arrays of all hosts are
-    joined to the pages by host; Spark broadcasts them if its own size check allows that, and else splits the
-    hot host's pages.
+    A host drops at most (lines of a page / ratio) lines, so its set is one array. The arrays are written to the
+    shared folder and measured: up to BROADCAST_BYTES they go to the pages, which then are not shuffled; beyond
+    that both are dealt out by host, as plain exchanges of which Spark splits the hot host's.
     """
     drop = boilerplate(docs, host_col=host_col, text_col=text_col, ratio=ratio, pages=pages)
     sets = drop.groupBy("host").agg(F.collect_list("line").alias("__drop")).withColumnRenamed("host", "__host")
     host = F.coalesce(F.concat(F.lit("="), F.col(host_col)), F.lit("null"))
-    rows = docs.withColumn("__host", host).join(sets, "__host", "left")
+    sets = stage_table(sets, "boilerplate")
+    few = (sets.agg(F.sum(F.size("__drop"))).first()[0] or 0) * 24 <= BROADCAST_BYTES
+    rows = docs.withColumn("__host", host).join(F.broadcast(sets) if few else sets, "__host", "left")
     lines = F.col("__lines")
     rows = rows.withColumn("__lines", _lines(F.col(text_col)))
     # Hosts without boilerplate, most texts of a clean corpus, skip the hashing of their lines.
