@@ -8,6 +8,7 @@ import uuid
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: A-Z become a-z; every other byte under 0x80 that is no digit or letter ends a word. Bytes of
 #: UTF-8 sequences stay, so this is the class [^\x00-\x2F\x3A-\x60\x7B-\x7F] over code points.
@@ -49,3 +50,17 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+#: Of ids that leave a table: up to here they go to the rows, else the rows are dealt out by id.
+BROADCAST_BYTES = 32 << 20
+
+
+def without_ids(docs: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
+    """docs whose id is not in the one column of ids; a null id is no member.
+
+    The ids are written to the shared folder and measured before they are broadcast.
+    """
+    gone = stage_table(ids.toDF("__gone").dropna().distinct(), "gone")
+    few = gone.count() * 32 <= BROADCAST_BYTES
+    return docs.join(F.broadcast(gone) if few else gone, docs[id_col] == gone["__gone"], "left_anti")

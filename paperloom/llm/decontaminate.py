@@ -13,7 +13,6 @@ empty result.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 from functools import reduce
 
@@ -22,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paperloom.llm.common import ready, words
+from paperloom.llm.common import ready, without_ids, words
 
 MATCHES = (
     "{id} {kind}, n_words long, n_hit long, hits array<struct<start:int,end:int>>, item_ids array<string>, "
@@ -251,11 +250,6 @@ def verdicts(matches: DataFrame, doc_id: str = "doc_id", share: int = 20) -> Dat
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, *, window: int = 13, doc_id: str = "doc_id", doc_text: str = "text") -> DataFrame:
-    """docs without the contaminated ones. Only their ids are shuffled; a null id is kept if no null id is bad."""
+    """docs without the contaminated ones. Rows with a null id stay; rows that repeat an id go if one of them is bad."""
     judged = verdicts(find_matches(docs, items, window=window, doc_id=doc_id, doc_text=doc_text), doc_id)
-    bad = judged.filter("contaminated").select(F.col(doc_id).alias("__bad")).distinct()
-    return docs.join(bad, docs[doc_id].eqNullSafe(bad["__bad"]), "left_anti")
-
-
-def items_digest(ids: list[str]) -> str:
-    return hashlib.sha256(",".join(sorted(ids)).encode()).hexdigest()
+    return without_ids(docs, judged.filter("contaminated").select(doc_id), doc_id)

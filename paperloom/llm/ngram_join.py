@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paperloom.llm.common import ready, stage_table, words
+from paperloom.llm.common import ready, stage_table, without_ids, words
 
 N = 5
 SIMILARITY = 0.8
@@ -110,7 +110,8 @@ def signatures(texts: DataFrame, depth: int, n: int) -> DataFrame:
                     ids.append(i)
                     keys.append([xxhash.xxh3_64_intdigest(row.tobytes(), tree) - 2**63 for tree, row in enumerate(s.reshape(TREES, depth))])
                     sigs.append((s & np.uint32(255)).astype(np.uint8).tobytes())
-            yield pd.DataFrame({"id": ids, "keys": keys, "sig": sigs})
+            if ids:
+                yield pd.DataFrame({"id": ids, "keys": keys, "sig": sigs})
 
     return texts.mapInPandas(run, "id long, keys array<long>, sig binary")
 
@@ -336,8 +337,7 @@ def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     Rows that repeat an id are versions of one document and stay or go together.
     """
     kept = classes(docs, id_col=id_col, text_col=text_col, **options)
-    gone = kept.filter(F.col(id_col) != F.col("class_id")).select(F.col(id_col).alias("__gone")).distinct()
-    return docs.join(gone, docs[id_col] == gone["__gone"], "left_anti")
+    return without_ids(docs, kept.filter(F.col(id_col) != F.col("class_id")).select(id_col), id_col)
 
 
 def brute_force(rows: list[tuple[int, str | None]], n: int = N, similarity: float = SIMILARITY) -> dict[int, tuple[int, int]]:
