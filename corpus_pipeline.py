@@ -8,17 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paperloom.llm import decontaminate, line_dedup, ngram_join, pieces, toxicity
-from paperloom.llm.common import shared_dir, table
-
-COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+from paperloom.llm.common import shared_dir, table, without_ids
 
 
 def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without those that the classifier calls toxic; it learns from all of the sf_dir's labelled rows
     outside the held-out fold. Rows with a null id stay."""
     model = toxicity.fit(toxicity.sample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
-    bad = toxicity.score_texts(docs, model).filter("predicted = 1").select(F.col("doc_id").alias("bad")).distinct()
-    return docs.join(bad, docs["doc_id"] == bad["bad"], "left_anti")
+    return without_ids(docs, toxicity.score_texts(docs, model).filter("predicted = 1").select("doc_id"), "doc_id")
 
 
 def boilerplate_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
