@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import tempfile
 import uuid
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +33,14 @@ def ready(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join(filter(None, [root, env.get("PYTHONPATH", "")]))
 
 
+def release() -> None:
+    """Give back what a task has freed: Spark reuses a Python worker for the next stage's tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+        libc.malloc_trim(0)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder the cluster names in spark.checkpoint.dir; a temporary one only where that is unset."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")

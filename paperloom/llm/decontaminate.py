@@ -21,14 +21,14 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paperloom.llm.common import ready, without_ids, words
+from paperloom.llm.common import ready, release, without_ids, words
 
 MATCHES = (
     "{id} {kind}, n_words long, n_hit long, hits array<struct<start:int,end:int>>, item_ids array<string>, "
     "matches array<struct<item_id:string,doc_pos:int,item_pos:int,length:int>>"
 )
-#: Words of a shard, hence memory of a task: about 50 bytes each while the suffixes are sorted.
-SHARD_WORDS = 1_000_000
+#: Words of a shard, hence memory of a task: about 100 bytes each while the suffixes are sorted.
+SHARD_WORDS = 200_000
 #: Words of test items that one pass holds on each executor. Larger test sets go in several passes.
 BLOCK_WORDS = 2_000_000
 
@@ -213,6 +213,8 @@ def find_matches(
             index = TestIndex(shared.value, window)
             for pdf in batches:
                 yield _judge(pdf, doc_id, doc_text, index)
+            del index
+            release()
 
         return docs.mapInPandas(run, schema)
 

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paperloom.llm.common import ready, stage_table, without_ids, words
+from paperloom.llm.common import ready, release, stage_table, without_ids, words
 
 N = 5
 SIMILARITY = 0.8
@@ -52,7 +52,7 @@ class _Words(dict):
     """64-bit hashes of words, remembered up to a bound."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 500_000:
+        if len(self) >= 100_000:
             self.clear()
         h = self[word] = xxhash.xxh3_64_intdigest(word)
         return h
@@ -112,6 +112,8 @@ def signatures(texts: DataFrame, depth: int, n: int) -> DataFrame:
                     sigs.append((s & np.uint32(255)).astype(np.uint8).tobytes())
             if ids:
                 yield pd.DataFrame({"id": ids, "keys": keys, "sig": sigs})
+        _HASH.clear()
+        release()
 
     return texts.mapInPandas(run, "id long, keys array<long>, sig binary")
 
@@ -199,6 +201,7 @@ def candidate_edges(sigs: DataFrame, similarity: float) -> DataFrame:
                 if edges := spanning(t["id"].to_numpy(), sig, least):
                     src, dst = zip(*edges, strict=True)
                     yield pa.RecordBatch.from_arrays([pa.array(src, pa.int64()), pa.array(dst, pa.int64())], names=["src", "dst"])
+        release()
 
     return dealt.select("bucket", "i", "j", "id", "sig").mapInArrow(run, "src long, dst long").distinct()
 
@@ -299,6 +302,9 @@ def verified(texts: DataFrame, labels: DataFrame, similarity: float, n: int) ->
                 [pa.array(src, pa.int64()), pa.array(dst, pa.int64()), pa.array([*links[got].tolist(), *[0] * len(edges)], pa.int64()), pa.array([*map(int, other[got]), *[0] * len(edges)], pa.int64())],
                 names=["src", "dst", "links", "linked_docs"],
             )
+            del t, sets, pairs, root
+        _HASH.clear()
+        release()
 
     return dealt.select("class", "i", "j", "own", "id", "copies", "text").mapInArrow(run, "src long, dst long, links long, linked_docs long")
 

@@ -27,7 +27,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paperloom.llm.common import ready
+from paperloom.llm.common import ready, release
 
 #: The bounded sample of labelled rows that the model is fitted on: rows of each class, and characters of a row
 #: (longer rows give a seeded stretch to the fit; scoring reads all of every text).
@@ -228,5 +228,6 @@ def score_texts(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_c
         for pdf in batches:
             scores = [scorer.score(t if isinstance(t, str) else None) for t in pdf[text_col]]
             yield pd.DataFrame({id_col: pdf[id_col], "score": scores, "predicted": [int(s >= threshold) for s in scores]})
+        release()
 
     return docs.select(id_col, text_col).mapInPandas(run, f"`{id_col}` {kind}, score double, predicted int")
