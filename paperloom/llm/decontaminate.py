@@ -27,7 +27,7 @@ MATCHES = (
     "{id} {kind}, n_words long, n_hit long, hits array<struct<start:int,end:int>>, item_ids array<string>, "
     "matches array<struct<item_id:string,doc_pos:int,item_pos:int,length:int>>"
 )
-#: Words of a shard, hence memory of a task: about 100 bytes each while the suffixes are sorted.
+#: Words of a shard, hence memory of a task: by estimate 100 bytes each, the words included.
 SHARD_WORDS = 200_000
 #: Words of test items that one pass holds on each executor. Larger test sets go in several passes.
 BLOCK_WORDS = 2_000_000
