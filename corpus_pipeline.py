@@ -35,8 +35,8 @@ def benchmark_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, lang, source, n_chars and the ids of the text."""
-    return pieces.encode_texts(docs)
+    """doc_id, lang, source, n_chars, the ids of the text, and length, hash and round-trip flag of the ids decoded again."""
+    return pieces.round_trip(docs)
 
 
 STAGES = [

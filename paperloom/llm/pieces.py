@@ -21,13 +21,14 @@ import importlib.util
 import re
 from array import array
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import ahocorasick
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paperloom.llm.common import ready
@@ -113,11 +114,15 @@ class Pieces:
         self.whole = re.compile(f"[{known}]+").fullmatch
         self.size = [len(t) for t in self.text]
         self.pairs: dict[int, bool] = {}
-        self.finder = ahocorasick.Automaton(ahocorasick.STORE_ANY)
+
+    @cached_property
+    def finder(self) -> ahocorasick.Automaton:
+        found = ahocorasick.Automaton(ahocorasick.STORE_ANY)
         for piece, i in self.ids.items():
             if self.unigram or self.merge(piece) == [piece]:  # a piece that its own text is not encoded as never appears
-                self.finder.add_word(piece, i)
-        self.finder.make_automaton()
+                found.add_word(piece, i)
+        found.make_automaton()
+        return found
 
     def merge(self, text: str) -> list[str]:
         """Encoding of a short text by the merges themselves; the pair test rests on it."""
@@ -251,6 +256,30 @@ class Pieces:
             out.append(raw.decode("utf-8", "replace"))
         return "".join(out)
 
+    @cached_property
+    def table(self) -> tuple[pa.Array, np.ndarray]:
+        """The bytes of every id and, after them, those of every id that starts a text; and where the two differ."""
+        plain = [
+            bytes([int(t[3:5], 16)]) if k == 6 else b"" if k == 3 else " \u2047 ".encode() if k == 2 else t.replace(MARK, " ").encode()
+            for t, k in zip(self.text, self.kind, strict=True)
+        ]
+        lead = np.array([self.dummy and k != 6 and p[:1] == b" " for p, k in zip(plain, self.kind, strict=True)], bool)
+        return pa.array([*plain, *[p[1:] if cut else p for p, cut in zip(plain, lead, strict=True)]], pa.binary()), lead
+
+    def decode_array(self, ids: pa.ListArray) -> pa.Array:
+        """decode of many rows at once: the ids' bytes side by side, read as UTF-8."""
+        known, lead = self.table
+        flat = ids.flatten().to_numpy(zero_copy_only=False).copy()
+        ends = np.cumsum([0, *pc.fill_null(pc.list_value_length(ids), 0).to_pylist()], dtype=np.int32)
+        first = ends[:-1][np.diff(ends) > 0]
+        flat[first] += np.where(lead[flat[first]], len(lead), 0).astype(flat.dtype)
+        offsets = pa.array(ends, pa.int32(), mask=np.append(ids.is_null().to_numpy(zero_copy_only=False), False))
+        raw = pc.binary_join(pa.ListArray.from_arrays(offsets, known.take(pa.array(flat))), b"")
+        try:
+            return raw.cast(pa.string())
+        except pa.ArrowInvalid:  # byte pieces that are no UTF-8
+            return pa.array([None if r is None else r.decode("utf-8", "replace") for r in raw.to_pylist()], pa.string())
+
 
 class Memo(dict):
     """Ids of a segment as int32 bytes, searched when first asked for."""
@@ -312,18 +341,40 @@ def encode_texts(docs: DataFrame, *, model: str | None = None, text_col: str = "
     return cols.mapInArrow(run, schema)
 
 
-def decode_ids(coded: DataFrame, *, model: str | None = None, ids_col: str = "ids", text_col: str = "text") -> DataFrame:
-    """The other columns and the text that the ids stand for."""
+def decode_ids(coded: DataFrame, *, model: str | None = None, ids_col: str = "ids", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """The kept columns (all but the ids, if none are named) and the text that the ids stand for; nothing is shuffled."""
     ready(coded.sparkSession)
     with open(model or default_model(), "rb") as f:
         shared = coded.sparkSession.sparkContext.broadcast(f.read())
-    keep = [c for c in coded.columns if c not in (text_col, ids_col)]
-    schema = T.StructType([*[coded.schema[c] for c in keep], T.StructField(text_col, T.StringType())])
+    keep = [c for c in coded.columns if c not in (text_col, ids_col)] if keep is None else keep
+    names = [*dict.fromkeys([*keep, ids_col])]
+    cols = coded.select(*[f"`{c}`" for c in names])
+    schema = T.StructType([*[cols.schema[c] for c in keep], T.StructField(text_col, T.StringType())])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pieces = _loaded(shared.value).pieces
-        for pdf in batches:
-            texts = [None if ids is None else pieces.decode([int(i) for i in ids]) for ids in pdf[ids_col]]
-            yield pdf[keep].assign(**{text_col: texts})[[*keep, text_col]]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        decode = _loaded(shared.value).pieces.decode_array
+        for batch in batches:
+            for at in range(0, max(1, batch.num_rows), 512):
+                part = batch.slice(at, 512)
+                texts = decode(part.column(names.index(ids_col)))
+                yield pa.RecordBatch.from_arrays([*[part.column(names.index(c)) for c in keep], texts], names=[*keep, text_col])
 
-    return coded.select(*[f"`{c}`" for c in [*keep, ids_col]]).mapInPandas(run, schema)
+    return cols.mapInArrow(run, schema)
+
+
+def round_trip(docs: DataFrame, *, model: str | None = None, text_col: str = "text", ids_col: str = "ids", keep: list[str] | None = None) -> DataFrame:
+    """What encode_texts gives, and of every row's ids decoded again: decoded_chars, decoded_sha256, round_trip.
+
+    round_trip says whether the decoded text is the text itself, by both hashes (so that texts need not travel with
+    the ids); it can't be where the text holds the space mark, which decodes to a space. A null text is decoded as
+    null, and that is a round trip.
+    """
+    keep = [c for c in docs.columns if c not in (text_col, ids_col)] if keep is None else keep
+    hashed = docs.withColumn("__sha", F.sha2(text_col, 256))
+    coded = encode_texts(hashed, model=model, text_col=text_col, ids_col=ids_col, keep=[*keep, "__sha"])
+    back = decode_ids(coded, model=model, ids_col=ids_col, text_col="__decoded", keep=[*keep, "__sha", ids_col])
+    back = back.select(*keep, ids_col, "__sha", F.length("__decoded").alias("__n"), F.sha2("__decoded", 256).alias("decoded_sha256"))
+    return back.select(
+        *keep, ids_col, F.coalesce("__n", F.lit(0)).cast("long").alias("decoded_chars"), "decoded_sha256",
+        F.col("decoded_sha256").eqNullSafe(F.col("__sha")).alias("round_trip"),
+    )

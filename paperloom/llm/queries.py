@@ -25,8 +25,9 @@ def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    coded = pieces.encode_texts(table(spark, sf_dir, "documents"), keep=["doc_id"])
-    return coded.select("doc_id", "ids", F.when(F.col("ids").isNotNull(), F.size("ids")).otherwise(0).cast("long").alias("n_ids"))
+    coded = pieces.round_trip(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    n_ids = F.when(F.col("ids").isNotNull(), F.size("ids")).otherwise(0).cast("long").alias("n_ids")
+    return coded.select("doc_id", "ids", n_ids, "decoded_chars", "decoded_sha256", "round_trip")
 
 
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -163,6 +163,25 @@ def test_pieces_against_the_library_and_round_trip(spark):
     assert pieces.encode_texts(docs_of(spark, []).limit(0)).count() == 0
 
 
+def test_pieces_query_decodes_every_row(spark):
+    got = {r.doc_id: r for r in queries()["op4_sentencepiece"](spark, DATA).collect()}
+    docs = table(spark, DATA, "documents").collect()
+    assert len(got) == len(docs)
+    for r in docs:
+        back, row = r.text.replace("▁", " "), got[r.doc_id]
+        assert (row.decoded_chars, row.decoded_sha256, row.round_trip) == (len(back), hashlib.sha256(back.encode()).hexdigest(), back == r.text)
+    with open(pieces.default_model(), "rb") as f:
+        own = pieces.Pieces(f.read())
+    rng = random.Random(41)
+    ids = [None, [], *[[rng.choice([rng.randrange(len(own.text)), own.byte[rng.randrange(256)], own.byte[0xC3]]) for _ in range(20)] for _ in range(200)]]
+    back = pieces.decode_ids(spark.createDataFrame(list(enumerate(ids)), "doc_id long, ids array<int>")).collect()
+    assert {r.doc_id: r.text for r in back} == {k: None if x is None else own.decode(x) for k, x in enumerate(ids)}
+    odd = [None, "", " ", "a▁b", "é😀\n中  x"]
+    rows = {r.doc_id: r for r in pieces.round_trip(docs_of(spark, odd)).collect()}
+    assert [rows[i].round_trip for i in range(5)] == [True, True, True, False, True]
+    assert (rows[0].decoded_sha256, rows[0].decoded_chars, rows[3].decoded_chars, rows[4].lang) == (None, 0, 3, "en")
+
+
 # 5 -------------------------------------------------------------------------------------------------------------
 
 BASE = (
