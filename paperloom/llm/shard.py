@@ -15,9 +15,11 @@ from __future__ import annotations
 
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from paperloom.llm.common import ready
 
@@ -37,54 +39,68 @@ def text_size(text: Column) -> Column:
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 1
 
 
+def _keys(id_col: str, text_col: str) -> list[Column]:
+    crc = F.crc32(F.coalesce(F.col(text_col), F.lit("")))
+    return [F.col(id_col).alias("__id"), text_size(F.col(text_col)).alias("__size"), crc.alias("__crc")]
+
+
+def _scatter(rows: DataFrame, shards: int, seed: int, bucket_bytes: int) -> DataFrame:
+    """Pass one: rows (_keys and any others) with __shard, __grown and __bucket."""
+    total = rows.agg(F.sum("__size")).first()[0] or 0
+    buckets = max(1, -(-total // (bucket_bytes * shards)))
+    return rows.select(
+        "*", rendezvous(F.col("__id"), shards, seed).alias("__shard"), rendezvous(F.col("__id"), shards + 1, seed).alias("__grown"),
+        F.pmod(F.xxhash64("__id", "__crc", F.lit(seed + 1)), F.lit(buckets)).cast("long").alias("__bucket"),
+    )
+
+
+def _shuffle(scattered: DataFrame, seed: int) -> DataFrame:
+    """Pass two: __place, the row's place in its bucket after a Fisher-Yates shuffle. One bucket is held at a time."""
+
+    def fisher_yates(key: tuple, bucket: pa.Table) -> pa.Table:
+        first = [("__id", "ascending"), ("__crc", "ascending"), ("__size", "ascending")]
+        start = pc.sort_indices(bucket, sort_keys=[*first, *[(c, "ascending") for c in bucket.column_names if c == "__tie"]]).to_numpy()
+        n = len(start)
+        order = np.arange(n)
+        pick = np.random.default_rng([seed, *[k.as_py() for k in key]])
+        draws = pick.integers(0, np.arange(n, 0, -1)) if n else order
+        for i, d in enumerate(draws.tolist()):  # swap each place with one not yet dealt
+            j = i + d
+            order[i], order[j] = order[j], order[i]
+        place = np.empty(n, np.int64)
+        place[start[order]] = np.arange(n)
+        return bucket.append_column("__place", pa.array(place))
+
+    kinds = T.StructType([*scattered.schema, T.StructField("__place", T.LongType())])
+    return scattered.groupBy("__shard", "__bucket").applyInArrow(fisher_yates, kinds)
+
+
 def assign(
     docs: DataFrame, *, shards: int = SHARDS, seed: int = 17, id_col: str = "doc_id", text_col: str = "text", bucket_bytes: int = BUCKET_BYTES,
 ) -> DataFrame:
     """id, size, text_crc32, shard, slot, grown_shard (the shard, were there one more) of every row."""
     ready(docs.sparkSession)
-    rows = docs.select(
-        F.col(id_col), text_size(F.col(text_col)).alias("size"), F.crc32(F.coalesce(F.col(text_col), F.lit(""))).alias("text_crc32"),
-    )
-    total = rows.agg(F.sum("size")).first()[0] or 0
-    buckets = max(1, -(-total // (bucket_bytes * shards)))
-    scattered = rows.select(
-        "*", rendezvous(F.col(id_col), shards, seed).alias("shard"), rendezvous(F.col(id_col), shards + 1, seed).alias("grown_shard"),
-        F.pmod(F.xxhash64(id_col, "text_crc32", F.lit(seed + 1)), F.lit(buckets)).cast("long").alias("bucket"),
+    scattered = _scatter(docs.select(*_keys(id_col, text_col)), shards, seed, bucket_bytes)
+    counts = scattered.groupBy("__shard", "__bucket").agg(F.count(F.lit(1)).alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("__shard").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = counts.select("__shard", "__bucket", before.alias("before"))
+    return _shuffle(scattered, seed).join(offsets, ["__shard", "__bucket"]).select(
+        F.col("__id").alias(id_col), F.col("__size").alias("size"), F.col("__crc").alias("text_crc32"), F.col("__shard").alias("shard"),
+        (F.col("before") + F.col("__place")).alias("slot"), F.col("__grown").alias("grown_shard"),
     )
-    kind = scattered.schema[id_col].dataType.simpleString()
 
-    def fisher_yates(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values([id_col, "text_crc32", "size"], kind="stable", ignore_index=True)
-        order = np.arange(len(pdf))
-        pick = np.random.default_rng([seed, int(key[0]), int(key[1])])
-        draws = pick.integers(0, np.arange(len(pdf), 0, -1)) if len(pdf) else order
-        for i, d in enumerate(draws.tolist()):  # swap each place with one not yet dealt
-            j = i + d
-            order[i], order[j] = order[j], order[i]
-        place = np.empty(len(pdf), np.int64)
-        place[order] = np.arange(len(pdf))
-        return pdf.assign(place=place)
-
-    shuffled = scattered.groupBy("shard", "bucket").applyInPandas(
-        fisher_yates, f"`{id_col}` {kind}, size long, text_crc32 long, shard int, grown_shard int, bucket long, place long"
-    )
-    counts = scattered.groupBy("shard", "bucket").agg(F.count(F.lit(1)).alias("n"))
-    before = F.coalesce(F.sum("n").over(Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    offsets = counts.select("shard", "bucket", before.alias("before"))
-    return shuffled.join(offsets, ["shard", "bucket"]).select(
-        id_col, "size", "text_crc32", "shard", (F.col("before") + F.col("place")).alias("slot"), "grown_shard"
-    )
-
-
-def write_shards(docs: DataFrame, path: str, *, shards: int = SHARDS, seed: int = 17, id_col: str = "doc_id", text_col: str = "text") -> None:
-    """Write the rows themselves as Parquet under shard=N, each file in the order of a bucket's shuffle."""
-    size = docs.agg(F.sum(text_size(F.col(text_col)))).first()[0] or 0
-    buckets = max(1, -(-size // (BUCKET_BYTES * shards)))
-    names = {"shard": rendezvous(F.col(id_col), shards, seed)}
-    names["__bucket"] = F.pmod(F.xxhash64(id_col, text_col, F.lit(seed + 1)), F.lit(buckets))
-    names["__order"] = F.xxhash64(id_col, text_col, F.lit(seed + 2))
-    kept = docs.drop("shard").withColumns(names)
-    spread = kept.repartition(int(buckets * shards), "shard", "__bucket").sortWithinPartitions("shard", "__bucket", "__order")
-    spread.drop("__bucket", "__order").write.partitionBy("shard").mode("error").parquet(path)
 
+def write_shards(
+    docs: DataFrame, path: str, *, shards: int = SHARDS, seed: int = 17, id_col: str = "doc_id", text_col: str = "text", bucket_bytes: int = BUCKET_BYTES,
+) -> None:
+    """Write the rows themselves as Parquet under shard=N, each file in the order of assign's slots.
 
+    A bucket lies in one file, shuffled as in assign. Rows of one id and text take their slots by a hash of the other columns.
+    """
+    ready(docs.sparkSession)
+    carried = [c for c in docs.columns if c != "shard"]
+    tie = F.xxhash64(F.to_json(F.struct(*[f"`{c}`" for c in carried]))).alias("__tie")
+    rows = docs.select(*[f"`{c}`" for c in carried], *_keys(id_col, text_col), tie)
+    dealt = _shuffle(_scatter(rows, shards, seed, bucket_bytes), seed)
+    out = dealt.sortWithinPartitions("__shard", "__bucket", "__place").select(F.col("__shard").alias("shard"), *[f"`{c}`" for c in carried])
+    out.write.partitionBy("shard").mode("error").parquet(path)

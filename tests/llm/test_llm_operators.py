@@ -299,6 +299,30 @@ def test_sharding(spark, tmp_path):
     assert shard.assign(docs.limit(0)).count() == 0
 
 
+def test_written_shards_follow_the_slots(spark, tmp_path):
+    rows = [(i % 390 if i % 9 else None, f"text {i % 7}" * (i % 50), "en", f"s{i}", i) for i in range(400)] + [(7, "same", "en", f"s{i}", i) for i in range(60)]
+    docs = spark.createDataFrame(rows, DOCS)
+    slots = {}
+    for r in shard.assign(docs, bucket_bytes=512).collect():
+        slots.setdefault((r.doc_id, r.size, r.text_crc32), []).append((r.shard, r.slot))
+    shard.write_shards(docs, str(tmp_path / "out"), bucket_bytes=512)
+    place = F.struct("_metadata.file_path", "_metadata.row_index")
+    written = spark.read.parquet(str(tmp_path / "out")).select("*", place.alias("at")).orderBy("at").collect()
+    files = {}
+    for r in written:
+        files.setdefault((r["at"].file_path, r.shard), []).append(r)
+    found = Counter()
+    for (_, s), part in files.items():
+        last = -1
+        for r in part:
+            mine = [k for k in slots[r.doc_id, len(r.text) + 1, zlib.crc32(r.text.encode())] if k[0] == s and k[1] > last]
+            last = min(mine)[1]
+            found[s, last] += 1
+    assert found == Counter(k for ks in slots.values() for k in ks) and sorted(r.n_chars for r in written) == sorted(r[4] for r in rows)
+    same = [r.n_chars for r in written if r.text == "same"]
+    assert same != sorted(same)
+
+
 # 10 ------------------------------------------------------------------------------------------------------------
 
 
