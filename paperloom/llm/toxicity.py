@@ -130,10 +130,15 @@ def _dictionary(samples: list[bytes], size: int) -> bytes:
         return b"".join(samples)[-size:]
 
 
-def fit(rows: list[tuple[str, int]]) -> Model:
-    """rows: (text, label 0 or 1), a bounded sample."""
-    share = sum(y for _, y in rows) / len(rows) if rows else 0.0
-    rows = _different(rows)
+def fit(rows: list[tuple]) -> Model:
+    """rows: (text, label 0 or 1), a bounded sample; a third value says how many labels of its class a row stands for."""
+    stands = [[1.0], [1.0]]
+    for _, y, *n in rows:
+        stands[y].extend(n)
+    per_row = [max(n) for n in stands]
+    all_of = [per_row[k] * sum(r[1] == k for r in rows) for k in (0, 1)]
+    share = all_of[1] / sum(all_of) if rows else 0.0
+    rows = _different([r[:2] for r in rows])
     train = [(t, y) for k, (t, y) in enumerate(rows) if k % 3]
     held = [r for k, r in enumerate(rows) if k % 3 == 0]
     toxic, ordinary = [t for t, y in train if y], [t for t, y in train if not y]
@@ -163,8 +168,9 @@ def fit(rows: list[tuple[str, int]]) -> Model:
     model.threshold = max(range(1, 9), key=lambda th: (gain(th), -th))
     x = np.array([scorer.features(t) for t, _ in held])
     y = np.array([y for _, y in held], float)
-    # The curve is that of the sample, in which each class has up to SAMPLE_ROWS rows.
-    model.weights = tuple(_logistic(x, y))
+    # The sample's odds are not the labels' once a class is cut: its intercept is put right by the sampling rates.
+    intercept, *slopes = _logistic(x, y)
+    model.weights = (intercept + math.log(per_row[1] / per_row[0]), *slopes)
     return model
 
 
@@ -201,11 +207,14 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> np.ndarray:
     return w
 
 
-def sample(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", held_fold: int = 1) -> list[tuple[str, int]]:
-    """At most SAMPLE_ROWS labelled rows of each class outside the held-out fold, by a seeded hash of the id."""
+def sample(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", held_fold: int = 1) -> list[tuple[str, int, float]]:
+    """At most SAMPLE_ROWS labelled rows of each class outside the held-out fold, by a seeded hash of the id; and the
+    labels of its class that each stands for."""
     known = labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & (fold(F.col(id_col)) != held_fold))
     known = known.groupBy(id_col).agg(F.max(label_col).alias("__y"))
     order = F.xxhash64(F.col(id_col).cast("string"), F.lit(SEED))
+    n = {bool(r[0]): r[1] for r in known.groupBy(F.col("__y") > 0).count().collect()}
+    stands = [max(1.0, n.get(bool(y), 0) / SAMPLE_ROWS) for y in (0, 1)]
     picked = None
     for y in (0, 1):
         part = known.filter((F.col("__y") > 0) == bool(y)).orderBy(order, id_col).limit(SAMPLE_ROWS)
@@ -215,7 +224,7 @@ def sample(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_c
     rows = docs.filter(F.col(text_col).isNotNull()).select(F.col(id_col), text.alias("__t")).join(F.broadcast(picked), id_col)
     rows = rows.groupBy(id_col).agg(F.min("__t").alias("__t"), F.first("__y").alias("__y"))
     got = [(r[1], int(r[2] > 0), zlib.crc32(str(r[0]).encode())) for r in rows.collect()]
-    return [(t, y) for t, y, _ in sorted(got, key=lambda r: (r[2], r[0]))]
+    return [(t, y, stands[y]) for t, y, _ in sorted(got, key=lambda r: (r[2], r[0]))]
 
 
 def score_texts(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.7) -> DataFrame:

@@ -1,6 +1,7 @@
 """The training-data operators against brute force, round trips and held-out labels, and their defined cases."""
 
 import hashlib
+import math
 import os
 import random
 import re
@@ -240,6 +241,25 @@ def test_toxicity_defined_cases(spark):
     assert toxicity.fit([("x", 1)] * 3).share == 1.0
 
 
+def test_toxicity_odds_are_those_of_all_labels(spark, monkeypatch):
+    """Where labels don't show in the texts, scores are about the toxic share, whether classes are cut or not."""
+    rng = random.Random(6)
+    docs = docs_of(spark, [" ".join(f"w{rng.randrange(400)}" for _ in range(40)) for _ in range(2400)])
+    labels = spark.createDataFrame([(i, int(i % 10 == 0)) for i in range(2400)], "doc_id long, toxic int")
+    means = []
+    for most in (3000, 100):
+        monkeypatch.setattr(toxicity, "SAMPLE_ROWS", most)
+        rows = toxicity.sample(docs, labels)
+        model = toxicity.fit(rows)
+        plain = toxicity.fit([r[:2] for r in rows])
+        stands = [next(r[2] for r in rows if r[1] == y) for y in (0, 1)]
+        assert model.weights[1:] == plain.weights[1:]
+        assert abs(model.weights[0] - plain.weights[0] - math.log(stands[1] / stands[0])) < 1e-9
+        assert abs(model.share - 0.1) < 0.02
+        means.append(toxicity.score_texts(docs, model).agg(F.avg("score")).first()[0])
+    assert all(abs(m - 0.1) < 0.05 for m in means), means
+
+
 # 7 -------------------------------------------------------------------------------------------------------------
 
 
