@@ -15,13 +15,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paperloom.llm.common import ready, release, without_ids, words
+from paperloom.llm.common import ready, release, stage_table, without_ids, words
 
 MATCHES = (
     "{id} {kind}, n_words long, n_hit long, hits array<struct<start:int,end:int>>, item_ids array<string>, "
@@ -199,14 +200,15 @@ def find_matches(
     """One row for each document row: its words, those inside a window's occurrence, spans, items, longest matches.
 
     The documents are read once for each block of test items and never shuffled while one block holds the
-    test set; with more blocks the rows of a document are merged by id, so ids have to be unique then.
+    test set; with more blocks each row is first written to the shared folder with a key of its own, and what
+    the blocks found for a row is merged by that key, never by id.
     """
     ready(docs.sparkSession)
     docs = docs.select(doc_id, doc_text)
     kind = docs.schema[doc_id].dataType.simpleString()
     schema = MATCHES.format(id=f"`{doc_id}`", kind=kind)
 
-    def judged(block: list) -> DataFrame:
+    def judged(docs: DataFrame, schema: str, doc_id: str, block: list) -> DataFrame:
         shared = docs.sparkSession.sparkContext.broadcast(block)
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -218,10 +220,15 @@ def find_matches(
 
         return docs.mapInPandas(run, schema)
 
-    parts = [judged(b) for b in _blocks(items, item_id, item_text, block_words)] or [judged([])]
-    if len(parts) == 1:
-        return parts[0]
-    both = reduce(DataFrame.unionByName, parts).groupBy(doc_id).agg(
+    blocks = _blocks(items, item_id, item_text, block_words)
+    first = next(blocks, [])
+    second = next(blocks, None)
+    if second is None:
+        return judged(docs, schema, doc_id, first)
+    rows = stage_table(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
+    keyed = MATCHES.format(id="`__row`", kind="long")
+    parts = [judged(rows, keyed, "__row", b) for b in chain([first, second], blocks)]
+    both = reduce(DataFrame.unionByName, parts).groupBy("__row").agg(
         F.max("n_words").alias("n_words"), F.flatten(F.collect_list("hits")).alias("hits"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("item_ids")))).alias("item_ids"),
         F.flatten(F.collect_list("matches")).alias("matches"),
@@ -239,6 +246,7 @@ def find_matches(
     )
     both = both.withColumn("hits", merged)
     n_hit = F.aggregate("hits", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"])
+    both = both.join(rows.select("__row", doc_id), "__row")
     return both.select(doc_id, "n_words", n_hit.alias("n_hit"), "hits", "item_ids", "matches")
 
 

@@ -76,6 +76,20 @@ def test_decontamination_against_brute_force(spark):
             assert (got[i].n_words, got[i].n_hit, got[i].item_ids) == (n, h, found)
 
 
+def test_decontamination_judges_repeated_ids_row_by_row(spark):
+    rng = random.Random(11)
+    items = [(str(i), " ".join(f"v{rng.randrange(9)}" for _ in range(15))) for i in range(8)]
+    texts = [items[0][1], "clean words", f"x {items[1][1]} y {items[5][1]}", "v1 " * 40, None, items[7][1] + " z" * 900]
+    rows = [(i, t, "en", "s", k) for k, (i, t) in enumerate([(i, t) for i in (1, None) for t in texts] + [(2, texts[2]), (2, texts[2])])]
+    docs, bench = spark.createDataFrame(rows, DOCS), spark.createDataFrame(items, "item_id string, text string")
+    want = Counter((i, n, h, tuple(found)) for i, t, *_ in rows for n, h, found in [brute_hits(t, items)])
+    for block in (decontaminate.BLOCK_WORDS, 10):
+        found = decontaminate.find_matches(docs, bench, block_words=block)
+        assert Counter((r.doc_id, r.n_words, r.n_hit, tuple(r.item_ids)) for r in found.collect()) == want
+        bad = decontaminate.verdicts(found).filter("contaminated").count()
+        assert bad == sum(n * (h > 0 and 20 * h >= w) for (_, w, h, _), n in want.items())
+
+
 def test_longest_matches(spark):
     item = " ".join(f"w{i}" for i in range(20))
     text = "start " + " ".join(f"w{i}" for i in range(3, 19)) + " end"
