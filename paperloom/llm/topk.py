@@ -8,8 +8,9 @@ prefix of the bucket by length stays. What is left is verified by its inner prod
 each block meets each chunk once, and a final window keeps the k best of the chunks' bests.
 
 Defined cases: a vector that is null, or has a null or non-finite component, takes no part. Vectors meet only
-vectors of their own dimension. Of rows that repeat an id, the smallest vector stands. Ties go to the smaller
-id. With fewer than k candidates all are returned. Scores are exact 64-bit integers; a score beyond their range
+vectors of their own dimension. Rows that repeat an id are candidates each, and a query id that repeats takes
+the best pairs of all its rows; a row meets none of its own id. Ties go to the smaller id; rows of one id and score
+are alike. With fewer than k candidates all are returned. Scores are exact 64-bit integers; a score beyond their range
 is held at its end. Other columns are ignored.
 """
 
@@ -126,7 +127,6 @@ def top_k(
     ready(spark)
     v = quantize(F.col(vector_col), scale)
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), v.alias("v")).filter("id is not null and v is not null")
-    rows = rows.groupBy("id").agg(F.min("v").alias("v"))
     length = F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x)
     rows = stage_table(rows.select("id", "v", length.alias("len"), F.size("v").alias("dim")), "vectors")
     many = rows.count()
@@ -157,15 +157,14 @@ def top_k(
 
 def brute_force(pdf: pd.DataFrame, k: int = 20, every: int = 20, scale: int = 64) -> list[tuple[int, int, int, int]]:
     """The same by comparing every pair, for tests."""
-    rows: dict[int, list[int]] = {}
+    rows: list[tuple[int, list[int]]] = []
     for i, v in zip(pdf["vec_id"], pdf["embedding"], strict=True):
         if v is None or any(x is None or not np.isfinite(x) for x in v):
             continue
-        w = [int(np.floor(scale * float(x))) for x in v]
-        rows[int(i)] = min(rows.get(int(i), w), w)
+        rows.append((int(i), [int(np.floor(scale * float(x))) for x in v]))
     out = []
-    for i, q in rows.items():
-        if i % every == 0:
-            scored = sorted((-sum(a * b for a, b in zip(q, c, strict=True)), j) for j, c in rows.items() if j != i and len(c) == len(q))
-            out += [(i, r, j, -s) for r, (s, j) in enumerate(scored[:k], 1)]
+    for i in {i for i, _ in rows if i % every == 0}:
+        asked = [q for j, q in rows if j == i]
+        scored = sorted((-sum(a * b for a, b in zip(q, c, strict=True)), j) for q in asked for j, c in rows if j != i and len(c) == len(q))
+        out += [(i, r, j, -s) for r, (s, j) in enumerate(scored[:k], 1)]
     return out

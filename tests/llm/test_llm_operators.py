@@ -117,6 +117,18 @@ def test_top_k_against_brute_force(spark):
     assert topk.top_k(df.limit(0)).count() == 0
 
 
+def test_top_k_keeps_every_row_of_a_repeated_id(spark):
+    rng = random.Random(22)
+    rows = [(i % 90, [rng.gauss(0, 1) for _ in range(6)]) for i in range(240)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = sorted(map(tuple, topk.top_k(df, chunk_rows=50, query_rows=4).collect()))
+    assert got == sorted(topk.brute_force(df.toPandas()))
+    c = duckdb.connect()
+    c.register("embeddings", df.toArrow())
+    names = ["query_id", "rank", "vec_id", "score"]
+    assert got == sorted(c.execute(f"select {', '.join(names)} from ({oracle_sql()['op2_top_k']})").fetchall())
+
+
 # 3 -------------------------------------------------------------------------------------------------------------
 
 PAGE = """<!doctype html><html><head><title>T</title><script>var a="<p>no</p>";</script></head><body class="has-sidebar">
