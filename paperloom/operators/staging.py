@@ -9,16 +9,28 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; a temporary one only where that is unset."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
+    """A folder of this application below the one in spark.checkpoint.dir; it goes when the application ends.
+
+    Only a local session, whose executor is the driver, gets a temporary folder where that setting is missing.
+    """
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if not named:
+        if not context.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         named = f"file://{tempfile.mkdtemp(prefix='paperloom-')}"
-        spark.sparkContext.setCheckpointDir(named)
-    return named.rstrip("/")
+        context.setCheckpointDir(named)
+    folder = f"{named.rstrip('/')}/{context.applicationId}"
+    path = context._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(context._jsc.hadoopConfiguration())
+    if not files.exists(path):
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+    return folder
 
 
-def staged(df: DataFrame) -> DataFrame:
-    """df, written and read back."""
-    path = f"{shared_folder(df.sparkSession)}/staged-{uuid.uuid4().hex}"
+def staged(df: DataFrame, name: str = "staged") -> DataFrame:
+    """df, written and read back: lineage ends there, and lost executors lose nothing."""
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

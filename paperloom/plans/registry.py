@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
-from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from paperloom.session import workers
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -18,7 +18,7 @@ def query(sql: str | None = None):
 
     def add(f):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            importable(spark)
+            workers(spark)
             return f(spark, sf_dir)
 
         QUERIES[f.__name__] = run
@@ -29,14 +29,6 @@ def query(sql: str | None = None):
     return add
 
 
-def importable(spark: SparkSession) -> None:
-    """Let Python workers on this machine import the package from where the driver found it."""
-    root = str(Path(__file__).resolve().parents[2])
-    env = spark.sparkContext.environment
-    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
-        env["PYTHONPATH"] = os.pathsep.join(filter(None, [root, env.get("PYTHONPATH", "")]))
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -1,7 +1,10 @@
-"""Session helper with the settings that the operators assume."""
+"""Session helpers with the settings that the operators assume."""
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
 
@@ -12,3 +15,17 @@ def session(master: str | None = None, **settings: str) -> SparkSession:
     for key, value in settings.items():
         builder = builder.config(key.replace("__", "."), value)
     return (builder.master(master) if master else builder).getOrCreate()
+
+
+#: Of Python workers: Arrow and numpy take memory from one allocator, which can give it back.
+WORKERS = {"ARROW_DEFAULT_MEMORY_POOL": "system", "MALLOC_ARENA_MAX": "2", "MALLOC_TRIM_THRESHOLD_": "1048576", "MALLOC_MMAP_THRESHOLD_": "1048576"}
+
+
+def workers(spark: SparkSession) -> None:
+    """Let Python workers on this machine import the package from where the driver found it, and bound what they keep."""
+    root = str(Path(__file__).resolve().parents[1])
+    env = spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [root, env.get("PYTHONPATH", "")]))
+    for key, value in WORKERS.items():
+        env.setdefault(key, value)
