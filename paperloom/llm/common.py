@@ -4,15 +4,17 @@ from __future__ import annotations
 
 import ctypes
 import gc
-import os
-import tempfile
-import uuid
-from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from paperloom.operators.staging import shared_folder as shared_dir
+from paperloom.operators.staging import staged as stage_table
+from paperloom.session import workers as ready
+
+__all__ = ["ready", "release", "shared_dir", "stage_table", "table", "without_ids", "words"]
+
 #: A-Z become a-z; every other byte under 0x80 that is no digit or letter ends a word. Bytes of
 #: UTF-8 sequences stay, so this is the class [^\x00-\x2F\x3A-\x60\x7B-\x7F] over code points.
 _WORD_BYTES = bytes(
@@ -25,14 +27,6 @@ def words(text: str | None) -> list[bytes]:
     return [] if text is None else text.encode("utf-8", "surrogatepass").translate(_WORD_BYTES).split()
 
 
-def ready(spark: SparkSession) -> None:
-    """Let Python workers on this machine import the package from where the driver found it."""
-    root = str(Path(__file__).resolve().parents[2])
-    env = spark.sparkContext.environment
-    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
-        env["PYTHONPATH"] = os.pathsep.join(filter(None, [root, env.get("PYTHONPATH", "")]))
-
-
 def release() -> None:
     """Give back what a task has freed: Spark reuses a Python worker for the next stage's tasks."""
     gc.collect()
@@ -41,24 +35,6 @@ def release() -> None:
         libc.malloc_trim(0)
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder the cluster names in spark.checkpoint.dir; a temporary one only where that is unset."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not named:
-        named = spark.sparkContext.getCheckpointDir()
-    if not named:
-        named = f"file://{tempfile.mkdtemp(prefix='paperloom-')}"
-        spark.sparkContext.setCheckpointDir(named)
-    return named.rstrip("/")
-
-
-def stage_table(df: DataFrame, name: str) -> DataFrame:
-    """Write df to the shared folder and read it back: lineage ends there, and lost executors lose nothing."""
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
