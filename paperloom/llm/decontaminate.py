@@ -1,14 +1,17 @@
 """Benchmark decontamination with suffix arrays over shards of the training text.
 
 Every Arrow batch of documents is cut into shards of bounded size. A shard's words become one array of
-vocabulary ids, its suffixes are sorted by prefix doubling (only to the length of the longest test item,
-which no match can exceed), and each test suffix is binary-searched in it: the run of suffixes that share
-its window gives all places, and the words in common give the longest verbatim match there.
+numbers, its suffixes are sorted by prefix doubling (to the length of the longest test item, which no match can
+exceed), and every test suffix is binary-searched in it by its window: the run of suffixes that share the window
+gives all its places. Runs of different windows of one length don't overlap, so places are at most as many as
+words, however often a text repeats itself. From the places come the words hit, the items, and for each item the
+longest verbatim match and where it stands.
 
 Defined cases: a null or empty text has no words and no matches. A test row whose id or text is null, or
-that has no words, takes no part. Repeated document rows are judged row by row; repeated item ids count
-once. Columns of other names are ignored by find_matches and kept by decontaminate. An empty table gives an
-empty result.
+that has no words, takes no part. Repeated document rows, and rows whose id is null, are judged row by row in
+any number of blocks; test rows that repeat an id are one item. Texts of any length are read whole: one that is
+longer than a shard is a shard of its own. Columns of other names are ignored by find_matches, whose own columns
+stand for the result, and kept by decontaminate. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -31,41 +34,51 @@ MATCHES = (
 #: Words of a shard, hence memory of a task: by estimate 100 bytes each, the words included.
 SHARD_WORDS = 200_000
 #: Words of test items that one pass holds on each executor. Larger test sets go in several passes.
-BLOCK_WORDS = 2_000_000
+BLOCK_WORDS = 500_000
 
 
 class TestIndex:
-    """The suffixes of a block of test items."""
+    """The windows of a block of test items: each different one once, by length, and the items that it stands in."""
 
     def __init__(self, items: list[tuple[str, list[bytes]]], window: int):
         self.vocab: dict[bytes, int] = {}
         self.ids = [item for item, _ in items]
         arrays = [np.array([self.vocab.setdefault(w, len(self.vocab) + 1) for w in ws], np.int32) for _, ws in items]
-        lengths = np.array([len(a) for a in arrays])
-        self.longest = int(lengths.max(initial=1))
-        self.shortest = int(np.minimum(lengths, window).min(initial=1))
-        self.item = np.repeat(np.arange(len(arrays)), lengths)
-        self.pos = np.concatenate([np.arange(n) for n in lengths]) if len(arrays) else np.zeros(0, int)
-        self.need = np.minimum(lengths, window)[self.item]
-        self.left = lengths[self.item] - self.pos  # words from here to the item's end
-        self.flat = np.concatenate([*arrays, np.full(self.longest, -1, np.int32)])
-        self.at = np.flatnonzero(self.left >= self.need)  # where a window starts
-
-    def word(self, k: np.ndarray, h: int) -> np.ndarray:
-        """The h-th word of test suffixes k; -1 beyond the item's end."""
-        return np.where(h < self.left[k], self.flat[k + h], -1)
+        self.longest = max(map(len, arrays), default=1)
+        #: Of each item the numbers of its windows in order, and their length.
+        self.windows: list[np.ndarray] = [np.zeros(0, np.int32)] * len(items)
+        self.need = [min(len(a), window) for a in arrays]
+        #: By length: the first window's number, and the different windows as rows.
+        self.grids: list[tuple[int, np.ndarray]] = []
+        total = 0
+        for need in sorted(set(self.need)):
+            rows = [i for i, n in enumerate(self.need) if n == need]
+            grid = np.concatenate([np.lib.stride_tricks.sliding_window_view(arrays[i], need) for i in rows])
+            grid, number = np.unique(grid, axis=0, return_inverse=True)
+            number = number.reshape(-1).astype(np.int32) + total
+            ends = np.cumsum([len(arrays[i]) - need + 1 for i in rows])
+            for i, part in zip(rows, np.split(number, ends[:-1]), strict=True):
+                self.windows[i] = part
+            self.grids.append((total, grid))
+            total += len(grid)
+        self.shortest = min(self.need, default=1)
+        pairs = [np.unique(w) for w in self.windows]
+        number = np.concatenate(pairs) if pairs else np.zeros(0, np.int32)
+        item = np.repeat(np.arange(len(items), dtype=np.int32), [len(p) for p in pairs])
+        #: The items of window w: holders[first[w] : first[w + 1]].
+        self.holders = item[np.argsort(number, kind="stable")]
+        self.first = np.searchsorted(np.sort(number), np.arange(total + 1))
 
 
 def suffix_array(a: np.ndarray, starts: np.ndarray, depth: int) -> np.ndarray:
     """starts, sorted by the words that follow in a, to the given depth at least."""
-    rank, h = a.astype(np.int64), 1
-    n = len(a)
+    # Ranks have to be below the array's length for a pair of them to be one number of its own.
+    rank, h, n = np.unique(a, return_inverse=True)[1].reshape(-1).astype(np.int64), 1, len(a)
     while h < depth:
-        key = rank * (n + 2)
+        key = rank * (n + 1)
         key[:-h] += rank[h:] + 1
         order = np.argsort(key, kind="stable")
-        step = np.empty(n, np.int64)
-        step[0] = 0
+        step = np.zeros(n, np.int64)
         np.cumsum(key[order][1:] != key[order][:-1], out=step[1:])
         rank = np.empty(n, np.int64)
         rank[order] = step
@@ -75,97 +88,108 @@ def suffix_array(a: np.ndarray, starts: np.ndarray, depth: int) -> np.ndarray:
     return starts[np.argsort(rank[starts], kind="stable")]
 
 
-def _bound(a, sa, index, k, upper: bool) -> np.ndarray:
-    """For test windows k, the first suffix in sa that is not below (upper: that is above) the window."""
-    lo, hi = np.zeros(len(k), np.int64), np.full(len(k), len(sa), np.int64)
-    need = index.need[k]
-    while (open_ := lo < hi).any():
-        mid = (lo + hi) // 2
-        p = sa[np.minimum(mid, len(sa) - 1)]
-        order = np.zeros(len(k), np.int8)  # of the suffix against the window
-        for h in range(int(need.max())):
-            live = (order == 0) & (h < need)
-            if not live.any():
+def _bound(a: np.ndarray, sa: np.ndarray, grid: np.ndarray, upper: bool) -> np.ndarray:
+    """For each window, the first suffix in sa that is not below it (upper: that is above all that start with it)."""
+    lo, hi = np.zeros(len(grid), np.int64), np.full(len(grid), len(sa), np.int64)
+    while len(open_ := np.flatnonzero(lo < hi)):
+        mid = (lo[open_] + hi[open_]) // 2
+        at, order, live = sa[mid], np.zeros(len(open_), np.int8), np.arange(len(open_))
+        for h in range(grid.shape[1]):
+            sign = np.sign(a[np.minimum(at[live] + h, len(a) - 1)] - grid[open_[live], h])
+            order[live] = sign
+            live = live[sign == 0]
+            if not len(live):
                 break
-            x, y = a[np.minimum(p[live] + h, len(a) - 1)], index.word(k[live], h)
-            order[live] = np.sign(x.astype(np.int64) - y).astype(np.int8)
-        right = open_ & ((order <= 0) if upper else (order < 0))
-        lo = np.where(right, mid + 1, lo)
-        hi = np.where(open_ & ~right, mid, hi)
+        right = order <= 0 if upper else order < 0
+        lo[open_[right]] = mid[right] + 1
+        hi[open_[~right]] = mid[~right]
     return lo
 
 
-def search(docs: list[list[bytes]], index: TestIndex) -> dict[int, list[tuple[int, int, int, int]]]:
-    """Per document, (test suffix, place, words in common, words a window asks for) of each window's occurrence."""
-    get, pieces, base, at = index.vocab.get, [], [], 0
-    for ws in docs:
-        pieces.append(np.fromiter((get(w, 0) for w in ws), np.int32, len(ws)))
-        pieces.append(np.zeros(1, np.int32))  # no match runs over a document's end
-        base.append(at)
-        at += len(ws) + 1
-    a = np.concatenate(pieces) if pieces else np.zeros(1, np.int32)
+def search(docs: list[list[bytes]], index: TestIndex) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(document, place, window) of every occurrence of every window, by document and place."""
+    none = np.zeros(0, np.int64)
+    get, lengths = index.vocab.get, np.array([len(ws) + 1 for ws in docs], np.int64)
+    base = np.cumsum(lengths) - lengths
+    a = np.zeros(int(lengths.sum()), np.int32)  # 0: a word of no item, or the end of a document, which no match runs over
+    for at, ws in zip(base.tolist(), docs, strict=True):
+        a[at : at + len(ws)] = [get(w, 0) for w in ws]
     # A match of the shortest window needs so many known words in a row; other suffixes can't hold one.
     gaps = np.flatnonzero(a == 0)
-    run = gaps[np.searchsorted(gaps, np.arange(len(a)))] - np.arange(len(a))
+    run = gaps[np.searchsorted(gaps, np.arange(len(a)))] - np.arange(len(a)) if len(a) else none
     starts = np.flatnonzero(run >= index.shortest)
-    if not len(starts) or not len(index.at):
-        return {}
+    if not len(starts) or not index.grids:
+        return none, none, none
     # Runs too short for any window fall away; each kept run keeps the gap that ends it.
     near = np.zeros(len(a) + 1, np.int64)
-    lengths = run[starts]
     np.add.at(near, starts, 1)
-    np.add.at(near, starts + lengths + 1, -1)
-    keep = np.cumsum(near)[:-1] > 0
-    place = np.flatnonzero(keep)
+    np.add.at(near, starts + run[starts] + 1, -1)
+    place = np.flatnonzero(np.cumsum(near)[:-1] > 0)
     small = a[place]
     sa = suffix_array(small, np.flatnonzero(run[place] >= index.shortest), index.longest)
-    k = index.at
-    lo, hi = _bound(small, sa, index, k, False), _bound(small, sa, index, k, True)
-    found: dict[int, list[tuple[int, int, int, int]]] = {}
-    many = hi - lo
-    ks = np.repeat(k, many)
-    if not len(ks):
-        return found
-    ps = sa[np.repeat(lo, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)]
-    common = index.need[ks].copy()
-    for h in range(int(common.min()), index.longest):
-        same = (common == h) & (h < index.left[ks]) & (small[np.minimum(ps + h, len(small) - 1)] == index.word(ks, h))
-        common += same
-    where = place[ps]
-    doc = np.searchsorted(np.array(base), where, side="right") - 1
-    for d, j, p, n in zip(doc.tolist(), ks.tolist(), (where - np.array(base)[doc]).tolist(), common.tolist(), strict=True):
-        found.setdefault(d, []).append((j, p, n, int(index.need[j])))
-    return found
-
-
-def _judge(pdf: pd.DataFrame, id_col: str, text_col: str, index: TestIndex) -> pd.DataFrame:
-    out: list[tuple] = []
+    known = np.zeros(len(index.vocab) + 1, bool)
+    known[small] = True
+    found: list[tuple[np.ndarray, np.ndarray]] = []
+    for number, grid in index.grids:
+        there = np.flatnonzero(known[grid].all(axis=1))  # a window with a word that the shard lacks isn't in it
+        grid = grid[there]
+        lo, hi = _bound(small, sa, grid, False), _bound(small, sa, grid, True)
+        many = hi - lo
+        at = np.repeat(lo - np.cumsum(many) + many, many) + np.arange(many.sum())
+        found.append((place[sa[at]], np.repeat(there + number, many)))
+    where, window = (np.concatenate(x) for x in zip(*found, strict=True))
+    order = np.lexsort((window, where))
+    where, window = where[order], window[order]
+    doc = np.searchsorted(base, where, side="right") - 1
+    return doc, where - base[doc], window
+
+
+def longest(places: np.ndarray, found: np.ndarray, windows: np.ndarray) -> tuple[int, int, int]:
+    """(windows in a row, place in the text, place in the item) of the first longest match of an item's windows."""
+    mine = np.isin(found, windows)
+    run, last, best = np.zeros(len(windows) + 1, np.int64), -2, (0, 0, 0)
+    for p, w in zip(places[mine].tolist(), found[mine].tolist(), strict=True):
+        before = run[:-1] if p == last + 1 else 0
+        run[1:] = np.where(windows == w, before + 1, 0)
+        last, j = p, int(run.argmax())
+        if run[j] > best[0]:
+            best = (int(run[j]), p - int(run[j]) + 1, j - int(run[j]))
+    return best
+
+
+def _of_document(index: TestIndex, need: np.ndarray, n: int, places: np.ndarray, found: np.ndarray) -> tuple[int, list, list, list]:
+    """Words hit, spans, items and longest matches of one document of n words."""
+    hit = np.zeros(n + 1, np.int64)
+    np.add.at(hit, places, 1)
+    np.add.at(hit, places + need[found], -1)
+    covered = np.cumsum(hit)[:-1] > 0
+    edge = np.flatnonzero(np.diff(np.concatenate([[False], covered, [False]]).astype(np.int8)))
+    spans = [{"start": int(s), "end": int(e)} for s, e in zip(edge[::2], edge[1::2], strict=True)]
+    held = [index.holders[index.first[w] : index.first[w + 1]] for w in np.unique(found).tolist()]
+    items = np.unique(np.concatenate(held)).tolist() if held else []
+    matches = []
+    for i in items:
+        many, at, pos = longest(places, found, index.windows[i])
+        matches.append({"item_id": index.ids[i], "doc_pos": at, "item_pos": pos, "length": many - 1 + index.need[i]})
+    return int(covered.sum()), spans, sorted({index.ids[i] for i in items}), matches
+
+
+def _judge(pdf: pd.DataFrame, id_col: str, text_col: str, index: TestIndex) -> Iterator[pd.DataFrame]:
+    need = np.concatenate([np.full(len(g), g.shape[1]) for _, g in index.grids]) if index.grids else np.zeros(0, np.int64)
     shard: list[list[bytes]] = []
     ids: list = []
 
-    def flush() -> None:
-        found = search(shard, index)
+    def flush() -> pd.DataFrame:
+        doc, place, window = search(shard, index)
+        ends = np.searchsorted(doc, np.arange(len(shard) + 1))
+        out = []
         for d, (doc_id, ws) in enumerate(zip(ids, shard, strict=True)):
-            hit = np.zeros(len(ws) + 1, np.int64)
-            items, best = set(), {}
-            for j, p, n, need in found.get(d, ()):
-                hit[p] += 1
-                hit[p + need] -= 1
-                item, pos = int(index.item[j]), int(index.pos[j])
-                items.add(index.ids[item])
-                # One longest match for each alignment of item and document that touches.
-                key = (item, p - pos)
-                last = best.get(key, [])
-                if last and last[-1][1] + last[-1][3] >= p + n and last[-1][1] <= p:
-                    continue
-                best[key] = [*last, (index.ids[item], p, pos, n)]
-            covered = np.cumsum(hit)[:-1] > 0
-            edge = np.flatnonzero(np.diff(np.concatenate([[False], covered, [False]]).astype(np.int8)))
-            spans = [{"start": int(s), "end": int(e)} for s, e in zip(edge[::2], edge[1::2], strict=True)]
-            matches = [dict(zip(("item_id", "doc_pos", "item_pos", "length"), m, strict=True)) for ms in best.values() for m in ms]
-            out.append((doc_id, len(ws), int(covered.sum()), spans, sorted(items), matches))
+            s, e = int(ends[d]), int(ends[d + 1])
+            got = _of_document(index, need, len(ws), place[s:e], window[s:e]) if s < e else (0, [], [], [])
+            out.append((doc_id, len(ws), *got))
         shard.clear()
         ids.clear()
+        return pd.DataFrame(out, columns=[id_col, "n_words", "n_hit", "hits", "item_ids", "matches"])
 
     total = 0
     for doc_id, text in zip(pdf[id_col], pdf[text_col], strict=True):
@@ -173,10 +197,10 @@ def _judge(pdf: pd.DataFrame, id_col: str, text_col: str, index: TestIndex) -> p
         ids.append(doc_id)
         shard.append(ws)
         if (total := total + len(ws)) >= SHARD_WORDS:
-            flush()
+            yield flush()
             total = 0
-    flush()
-    return pd.DataFrame(out, columns=[id_col, "n_words", "n_hit", "hits", "item_ids", "matches"])
+    if ids:
+        yield flush()
 
 
 def _blocks(items: DataFrame, item_id: str, text: str, block_words: int) -> Iterator[list[tuple[str, list[bytes]]]]:
@@ -201,7 +225,8 @@ def find_matches(
 
     The documents are read once for each block of test items and never shuffled while one block holds the
     test set; with more blocks each row is first written to the shared folder with a key of its own, and what
-    the blocks found for a row is merged by that key, never by id.
+    the blocks found for a row is merged by that key, never by id. A block's index is made once, on the driver, and
+    broadcast: its size follows block_words, not the data.
     """
     ready(docs.sparkSession)
     docs = docs.select(doc_id, doc_text)
@@ -209,13 +234,11 @@ def find_matches(
     schema = MATCHES.format(id=f"`{doc_id}`", kind=kind)
 
     def judged(docs: DataFrame, schema: str, doc_id: str, block: list) -> DataFrame:
-        shared = docs.sparkSession.sparkContext.broadcast(block)
+        shared = docs.sparkSession.sparkContext.broadcast(TestIndex(block, window))
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            index = TestIndex(shared.value, window)
             for pdf in batches:
-                yield _judge(pdf, doc_id, doc_text, index)
-            del index
+                yield from _judge(pdf, doc_id, doc_text, shared.value)
             release()
 
         return docs.mapInPandas(run, schema)
