@@ -6,14 +6,19 @@ another seeded hash; buckets are as many as keep each within a memory size. Pass
 shuffles it by Fisher and Yates with a seed of its own; a record's slot is its place there after the rows of
 the shard's earlier buckets.
 
+Rows that are equal in all columns are counted before they are scattered, and each copy has a number that goes
+into its bucket's hash; rows that share id and text alone are told apart by a hash of all their columns. So no
+bucket grows with the copies of one row.
+
 Defined cases: a null text has size 1 and the checksum of no bytes, 0. Null ids hash as the empty string.
-Repeated rows get slots of their own; equal rows are alike, so either order of them is the same result. Other
-columns are carried by write_shards and ignored by assign. Empty tables give empty results.
+Repeated rows get slots of their own; equal rows are alike, so either order of them is the same result. Texts of
+any length stay whole; one that is longer than a bucket makes its bucket longer. Other columns are carried by
+write_shards, and only told apart by assign. An input column called shard keeps its name, and the folders are then
+called shard_ (with as many underscores as it takes). Empty tables give empty results.
 """
 
 from __future__ import annotations
 
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -21,11 +26,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paperloom.llm.common import ready
+from paperloom.llm.common import ready, stage_table
 
 SHARDS = 16
-#: Bytes of text in a bucket: what pass two holds in memory at once.
+#: Bytes of a bucket, what pass two holds in memory at once: those of the texts and ROW_BYTES for each row.
 BUCKET_BYTES = 16 << 20
+ROW_BYTES = 64
+COPIES = 50_000  # of one row, made by a task
 
 
 def rendezvous(key: Column, shards: int, seed: int) -> Column:
@@ -39,27 +46,44 @@ def text_size(text: Column) -> Column:
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 1
 
 
-def _keys(id_col: str, text_col: str) -> list[Column]:
+KEYS = ["__id", "__size", "__crc", "__row"]
+
+
+def _keys(docs: DataFrame, id_col: str, text_col: str) -> list[Column]:
+    """Id, size and checksum of the text, and a hash of all columns (maps, which have no order, as their JSON)."""
     crc = F.crc32(F.coalesce(F.col(text_col), F.lit("")))
-    return [F.col(id_col).alias("__id"), text_size(F.col(text_col)).alias("__size"), crc.alias("__crc")]
+    plain = [F.to_json(F.struct(f"`{f.name}`")) if "map<" in f.dataType.simpleString() else F.col(f"`{f.name}`") for f in docs.schema]
+    return [F.col(id_col).alias("__id"), text_size(F.col(text_col)).alias("__size"), crc.alias("__crc"), F.xxhash64(*plain).alias("__row")]
 
 
-def _scatter(rows: DataFrame, shards: int, seed: int, bucket_bytes: int) -> DataFrame:
-    """Pass one: rows (_keys and any others) with __shard, __grown and __bucket."""
-    total = rows.agg(F.sum("__size")).first()[0] or 0
+def _numbered(counted: DataFrame) -> DataFrame:
+    """Each row as often as its column n says, with its copy's number. Many copies are made by many tasks."""
+    block = F.lit(COPIES).cast("long")
+    parts = counted.withColumn("__from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, block)))
+    tasks = int(counted.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = parts.filter(F.col("n") <= block).unionByName(parts.filter(F.col("n") > block).repartition(tasks, "__row", "__from"))
+    last = F.least(F.col("__from") + block, F.col("n")) - 1
+    return parts.withColumn("__copy", F.explode(F.sequence("__from", last))).drop("n", "__from")
+
+
+def _scatter(rows: DataFrame, total: int, shards: int, seed: int, bucket_bytes: int) -> DataFrame:
+    """Pass one: rows (KEYS, __copy and any others) with __shard, __grown and __bucket. total: bytes of all rows."""
     buckets = max(1, -(-total // (bucket_bytes * shards)))
     return rows.select(
         "*", rendezvous(F.col("__id"), shards, seed).alias("__shard"), rendezvous(F.col("__id"), shards + 1, seed).alias("__grown"),
-        F.pmod(F.xxhash64("__id", "__crc", F.lit(seed + 1)), F.lit(buckets)).cast("long").alias("__bucket"),
+        F.pmod(F.xxhash64("__crc", "__row", "__copy", F.lit(seed + 1)), F.lit(buckets)).cast("long").alias("__bucket"),
     )
 
 
+def _total(counted: DataFrame) -> int:
+    return int(counted.agg(F.sum(F.col("n") * (F.col("__size") + ROW_BYTES))).first()[0] or 0)
+
+
 def _shuffle(scattered: DataFrame, seed: int) -> DataFrame:
     """Pass two: __place, the row's place in its bucket after a Fisher-Yates shuffle. One bucket is held at a time."""
 
     def fisher_yates(key: tuple, bucket: pa.Table) -> pa.Table:
-        first = [("__id", "ascending"), ("__crc", "ascending"), ("__size", "ascending")]
-        start = pc.sort_indices(bucket, sort_keys=[*first, *[(c, "ascending") for c in bucket.column_names if c == "__tie"]]).to_numpy()
+        start = pc.sort_indices(bucket, sort_keys=[(c, "ascending") for c in [*KEYS, "__copy"]]).to_numpy()
         n = len(start)
         order = np.arange(n)
         pick = np.random.default_rng([seed, *[k.as_py() for k in key]])
@@ -80,7 +104,8 @@ def assign(
 ) -> DataFrame:
     """id, size, text_crc32, shard, slot, grown_shard (the shard, were there one more) of every row."""
     ready(docs.sparkSession)
-    scattered = _scatter(docs.select(*_keys(id_col, text_col)), shards, seed, bucket_bytes)
+    counted = stage_table(docs.select(*_keys(docs, id_col, text_col)).groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n")), "sizes")
+    scattered = _scatter(_numbered(counted), _total(counted), shards, seed, bucket_bytes)
     counts = scattered.groupBy("__shard", "__bucket").agg(F.count(F.lit(1)).alias("n"))
     before = F.coalesce(F.sum("n").over(Window.partitionBy("__shard").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     offsets = counts.select("__shard", "__bucket", before.alias("before"))
@@ -95,12 +120,22 @@ def write_shards(
 ) -> None:
     """Write the rows themselves as Parquet under shard=N, each file in the order of assign's slots.
 
-    A bucket lies in one file, shuffled as in assign. Rows of one id and text take their slots by a hash of the other columns.
+    A bucket lies in one file, shuffled as in assign. Of rows that are equal in all columns one is shuffled and its
+    copies are made again.
     """
     ready(docs.sparkSession)
-    carried = [c for c in docs.columns if c != "shard"]
-    tie = F.xxhash64(F.to_json(F.struct(*[f"`{c}`" for c in carried]))).alias("__tie")
-    rows = docs.select(*[f"`{c}`" for c in carried], *_keys(id_col, text_col), tie)
-    dealt = _shuffle(_scatter(rows, shards, seed, bucket_bytes), seed)
-    out = dealt.sortWithinPartitions("__shard", "__bucket", "__place").select(F.col("__shard").alias("shard"), *[f"`{c}`" for c in carried])
-    out.write.partitionBy("shard").mode("error").parquet(path)
+    folder = "shard"
+    while folder in docs.columns:
+        folder += "_"
+    carried = [f"`{c}`" for c in docs.columns]
+    rows = docs.select(*carried, *_keys(docs, id_col, text_col))
+    counted = stage_table(docs.select(*_keys(docs, id_col, text_col)).groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n")), "sizes")
+    again = stage_table(counted.filter("n > 1"), "copies")
+    same = [rows[k].eqNullSafe(again[k]) for k in KEYS]
+    single = rows.join(again, same, "left_anti").withColumn("__copy", F.lit(0).cast("long"))
+    whole = rows.join(again, same, "left_semi").groupBy(*KEYS).agg(F.first(F.struct(*carried)).alias("__r"))
+    whole = whole.join(again.withColumnsRenamed({k: f"{k}_" for k in KEYS}), [whole[k].eqNullSafe(F.col(f"{k}_")) for k in KEYS])
+    copies = _numbered(whole.select("__r.*", *KEYS, "n"))
+    dealt = _shuffle(_scatter(single.unionByName(copies), _total(counted), shards, seed, bucket_bytes), seed)
+    out = dealt.sortWithinPartitions("__shard", "__bucket", "__place").select(F.col("__shard").alias(folder), *carried)
+    out.write.partitionBy(folder).mode("error").parquet(path)

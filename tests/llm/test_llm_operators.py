@@ -5,6 +5,7 @@ import math
 import os
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -90,6 +91,41 @@ def test_decontamination_judges_repeated_ids_row_by_row(spark):
         assert bad == sum(n * (h > 0 and 20 * h >= w) for (_, w, h, _), n in want.items())
 
 
+def test_decontamination_with_more_words_than_a_shard_holds(spark, monkeypatch):
+    """Against brute force with vocabularies far larger, and smaller, than the text; hits don't depend on the shards' size."""
+    import pandas as pd
+
+    for seed in range(60):
+        rng = random.Random(seed)
+        size = rng.choice([2, 5, 1500, 3000])
+        monkeypatch.setattr(decontaminate, "SHARD_WORDS", rng.choice([5, 50, 500, 200_000]))
+        items = [(str(i % 90), " ".join(f"w{rng.randrange(size)}" for _ in range(rng.choice([1, 5, 13, 14, 30, 60])))) for i in range(rng.choice([1, 20, 200]))]
+        texts = []
+        for _ in range(12):
+            own, passage = [f"w{rng.randrange(size)}" for _ in range(rng.randrange(40))], rng.choice(items)[1].split()
+            at = rng.randrange(len(passage))
+            texts.append(" ".join([*own, *passage[at : at + rng.randrange(5, 40)], "zz"]))
+        index = decontaminate.TestIndex([(i, words(t)) for i, t in items], 13)
+        found = pd.concat(decontaminate._judge(pd.DataFrame({"doc_id": range(12), "text": texts}), "doc_id", "text", index))
+        for row, text in zip(found.itertuples(), texts, strict=True):
+            assert (row.n_words, row.n_hit, row.item_ids) == brute_hits(text, items)
+            for m in row.matches:
+                ws = words(text)[m["doc_pos"] : m["doc_pos"] + m["length"]]
+                assert any(i == m["item_id"] and words(t)[m["item_pos"] : m["item_pos"] + m["length"]] == ws for i, t in items)
+
+
+def test_decontamination_defined_cases(spark):
+    """Empty tables, a text of one word repeated, and columns of the result's own names."""
+    bench = spark.createDataFrame([("a", "x " * 3000), ("b", "y")], "item_id string, text string")
+    docs = docs_of(spark, ["x " * 300_000, "y", "z"]).withColumns({"n_words": F.lit("own"), "hits": F.lit(1)})
+    got = {r.doc_id: (r.n_words, r.n_hit, r.item_ids) for r in decontaminate.find_matches(docs, bench).collect()}
+    assert got == {0: (300_000, 300_000, ["a"]), 1: (1, 1, ["b"]), 2: (1, 0, [])}
+    kept = decontaminate.decontaminate(docs, bench).collect()
+    assert [(r.doc_id, r.n_words, r.hits) for r in kept] == [(2, "own", 1)]
+    assert decontaminate.find_matches(docs.limit(0), bench).count() == 0
+    assert {r.n_hit for r in decontaminate.find_matches(docs, bench.limit(0)).collect()} == {0}
+
+
 def test_longest_matches(spark):
     item = " ".join(f"w{i}" for i in range(20))
     text = "start " + " ".join(f"w{i}" for i in range(3, 19)) + " end"
@@ -243,10 +279,32 @@ def test_ledger_scans_only_unseen_pairs(spark):
     assert secret_scan.scan_unseen(second, ledger, rules).count() == 1
     found, grown = secret_scan.scan(second, ledger, rules)
     assert {r.doc_id: len(r.found) for r in found.collect()} == {0: 0, 1: 1, 2: 1} and grown.count() == 3
-    newer = secret_scan.RuleSet(rules.rules, "3")
+    newer = secret_scan.RuleSet(rules.rules[:2])
+    assert newer.version != rules.version == secret_scan.RuleSet().version
     assert secret_scan.scan_unseen(second, grown, newer).count() == 3
 
 
+def test_ledger_in_a_folder_grows_by_unseen_blobs(spark, tmp_path):
+    folder = str(tmp_path / "ledger")
+    for texts, size in ((["token=abcdef", "plain"], 2), (["plain", "plain"], 2), (["token=abcdef", "new", None], 4)):
+        found, ledger = secret_scan.scan(docs_of(spark, texts), folder)
+        assert [len(r.found) for r in found.orderBy("doc_id").collect()] == [int(t == "token=abcdef") for t in texts]
+        assert ledger.count() == size == secret_scan.read_ledger(spark, folder).count()
+
+
+def test_secrets_in_hostile_texts(spark):
+    """A megabyte each of what sends a careless pattern into recursion or a quadratic search; clashing columns, no rows."""
+    hard = ["-----BEGIN " + "A " * 500_000, "eyJ" * 330_000, "eyJhbGciOi" * 100_000 + ".", "token= " * 150_000, "password" + " " * 900_000, "0123456789abcdef01234567 " * 40_000]
+    docs = docs_of(spark, [*hard, "-----BEGIN EC PRIVATE KEY-----"]).withColumns({"blob": F.lit("b"), "found": F.lit(1), "spans": F.lit("s")})
+    began = time.time()
+    got = {r.doc_id: r for r in secret_scan.digest(secret_scan.scan(docs)[0]).collect()}
+    assert time.time() - began < 90
+    assert [got[i].n_assign + got[i].n_hex for i in range(6)] == [0, 0, 0, 75_000, 0, 40_000] and got[6].spans == "pem:0:30"
+    for i, t in enumerate(hard):
+        assert got[i].base_sha256 == hashlib.sha256(brute_spans(t).encode()).hexdigest()
+    assert secret_scan.scan(docs.limit(0))[0].count() == 0
+
+
 # 6 -------------------------------------------------------------------------------------------------------------
 
 
@@ -369,6 +427,53 @@ def test_written_shards_follow_the_slots(spark, tmp_path):
     assert same != sorted(same)
 
 
+def test_sharding_against_brute_force(spark, monkeypatch):
+    """Shards, buckets and the Fisher-Yates draw by a plain loop, with equal rows, null ids and long texts."""
+    import numpy as np
+    import xxhash
+
+    monkeypatch.setattr(shard, "COPIES", 7)
+
+    def chain(*values):
+        h = 42
+        for v in values:
+            raw = None if v is None else v.encode() if isinstance(v, str) else v[0].to_bytes(4, "little", signed=True) if isinstance(v, tuple) else v.to_bytes(8, "little", signed=True)
+            h = h if raw is None else xxhash.xxh64_intdigest(raw, h)
+        return h - 2**64 if h >= 2**63 else h
+
+    rows = [(i % 60 if i % 7 else None, f"text {i % 9}" * (i % 40) or None, "en", "s", i % 3) for i in range(300)] + [(5, "again", "en", "s", 1)] * 40 + [(6, "long " * 50_000, "de", None, None)]
+    rank = lambda key, n: max(range(n), key=lambda j: (chain(key, (17,), (j,)), j))
+    seen, buckets, sizes = Counter(), {}, [len((r[1] or "").encode()) + 1 for r in rows]
+    many = max(1, -(-sum(s + shard.ROW_BYTES for s in sizes) // (2048 * 16)))
+    for r, size in zip(rows, sizes, strict=True):
+        key = "" if r[0] is None else str(r[0])
+        crc, whole = zlib.crc32((r[1] or "").encode()), chain(*r)
+        bucket = chain(crc, whole, seen[r], (18,)) % many
+        buckets.setdefault((rank(key, 16), bucket), []).append((r[0] is None, r[0] or 0, size, crc, whole, seen[r], rank(key, 17)))
+        seen[r] += 1
+    want, before = [], Counter()
+    for (s, b), part in sorted(buckets.items()):
+        part.sort()
+        draws = np.random.default_rng([17, s, b]).integers(0, np.arange(len(part), 0, -1)).tolist()
+        for i, d in enumerate(draws):
+            part[i], part[i + d] = part[i + d], part[i]
+            want.append((None if part[i][0] else part[i][1], part[i][2], part[i][3], s, before[s] + i, part[i][6]))
+        before[s] += len(part)
+    key = lambda r: tuple((x is None, x) for x in r)
+    got = sorted(map(tuple, shard.assign(spark.createDataFrame(rows, DOCS), bucket_bytes=2048).collect()), key=key)
+    assert got == sorted(want, key=key)
+
+
+def test_written_shards_keep_copies_and_clashing_columns(spark, tmp_path):
+    rows = [(1, "same", "en", "s", 3)] * 50 + [(i, None, "en", "s", i) for i in range(9)]
+    docs = spark.createDataFrame(rows, DOCS).withColumnRenamed("source", "shard")
+    shard.write_shards(docs, str(tmp_path / "out"), bucket_bytes=256)
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert back.columns == [*docs.columns, "shard_"]
+    assert Counter(map(tuple, back.drop("shard_").collect())) == Counter(rows)
+    shard.write_shards(docs.limit(0), str(tmp_path / "none"))
+
+
 # 10 ------------------------------------------------------------------------------------------------------------
 
 
