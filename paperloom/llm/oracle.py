@@ -73,28 +73,32 @@ def _op10() -> str:
         fits = f"(host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}')"
         name, verdict = f"CASE WHEN {fits} THEN '{r.name}' ELSE {name} END", f"CASE WHEN {fits} THEN '{r.verdict}' ELSE {verdict} END"
     kind = "CASE WHEN regexp_matches(s, '^[0-9]+$') THEN '{n}' WHEN regexp_matches(s, '^[0-9a-fA-F-]{8,}$') AND regexp_matches(s, '[0-9]') THEN '{id}' WHEN regexp_matches(s, '[0-9]') THEN regexp_replace(s, '[0-9]+', '{n}', 'g') ELSE s END"
-    levels, last = [], "l0"
-    for i in range(u.DEPTH + 1):
-        levels.append(f"""
-b{i} AS MATERIALIZED (SELECT host, prefix, shape[{i + 1}] AS segment, sum(good) AS g, sum(bad) AS b FROM {last} WHERE len(shape) > {i} GROUP BY ALL),
-a{i} AS (SELECT host, prefix, count(*) AS kids, sum(g) AS ga, sum(b) AS ba FROM b{i} GROUP BY ALL),
-z{i} AS (SELECT b{i}.host, b{i}.prefix, segment, kids, (g + b)::DOUBLE AS n1, (ga + ba - g - b)::DOUBLE AS n2, b::DOUBLE AS b, ba::DOUBLE AS ba, (ga + ba)::DOUBLE AS n FROM b{i} JOIN a{i} USING (host, prefix)),
-r{i} AS (SELECT host, prefix, segment, CASE WHEN coalesce(abs(b / nullif(n1, 0) - (ba - b) / nullif(n2, 0)) > {u.ALIKE} * sqrt((ba / nullif(n, 0)) * (1 - ba / nullif(n, 0)) * (1.0 / nullif(n1, 0) + 1.0 / nullif(n2, 0))), false) THEN segment
-  WHEN kids > {u.FANOUT} THEN '{{*}}' WHEN n1 > 0 THEN '{{=}}' ELSE segment END AS t FROM z{i}),
-l{i + 1} AS MATERIALIZED (SELECT l.host, l.shape, l.good, l.bad, CASE WHEN t IS NULL THEN l.prefix ELSE l.prefix || '/' || t END AS prefix FROM {last} l LEFT JOIN r{i} r ON l.host = r.host AND l.prefix = r.prefix AND l.shape[{i + 1}] = r.segment),""")
-        last = f"l{i + 1}"
+
+    def differ(b1: str, n1: str, b2: str, n2: str) -> str:
+        pool = f"(({b1} + {b2})::DOUBLE / nullif({n1} + {n2}, 0))"
+        error = f"sqrt({pool} * (1 - {pool}) * (1.0 / nullif({n1}, 0)::DOUBLE + 1.0 / nullif({n2}, 0)::DOUBLE))"
+        return f"coalesce(abs({b1}::DOUBLE / nullif({n1}, 0) - {b2}::DOUBLE / nullif({n2}, 0)) > {u.ALIKE} * {error}, false)"
+
     return f"""
 WITH p AS (SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), '{_UP}', '{_LOW}') AS host, regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM pages),
-q AS (SELECT page_id, host, path, {name} AS rule, {verdict} AS decided, [{kind} for s in string_split(path, '/') if s <> ''] AS parts FROM p),
-u AS (SELECT page_id, host, path, rule, decided, CASE WHEN len(parts) > {u.DEPTH} THEN list_append(parts[1:{u.DEPTH}], '{{**}}') ELSE parts END AS shape,
-      coalesce(decided, CASE WHEN regexp_matches(host, '(^|[.-])({"|".join(u.SEEDS)})($|[.-])') THEN 'block' END) AS label FROM q),
-l0 AS MATERIALIZED (SELECT host, shape, count(*) FILTER (label = 'allow') AS good, count(*) FILTER (label = 'block') AS bad, '' AS prefix FROM u WHERE host <> '' GROUP BY host, shape),
-{"".join(levels)}
-t AS (SELECT host, prefix, sum(good)::DOUBLE AS good, sum(bad)::DOUBLE AS bad FROM {last} GROUP BY ALL),
-base AS (SELECT coalesce(sum(bad) / nullif(sum(good) + sum(bad), 0), 0) AS base FROM t),
-h AS (SELECT host, (sum(bad) + {u.PRIOR} * any_value(base)) / (sum(good) + sum(bad) + {u.PRIOR}) AS share FROM t, base GROUP BY host),
-x AS (SELECT t.host, prefix, (bad + {u.PRIOR} * share) / (good + bad + {u.PRIOR}) >= {u.PURITY} AND good + bad >= {u.LEAST} AS rejected FROM t JOIN h USING (host)),
-y AS (SELECT {last}.host, shape, rejected FROM {last} JOIN x ON {last}.host = x.host AND {last}.prefix = x.prefix)
+u AS (SELECT page_id, host, path, {name} AS rule, {verdict} AS decided, [{kind} for s in string_split(path, '/') if s <> ''] AS shape FROM p),
+c AS (SELECT host, shape, count(*) AS n, count(*) FILTER (decided = 'allow') AS good, count(*) FILTER (decided = 'block') AS bad FROM u WHERE host <> '' GROUP BY host, shape),
+e AS (SELECT host, shape, i, array_to_string(shape[1:i - 1], '/') AS node, shape[i] AS segment, good, bad FROM (SELECT *, unnest(range(1, len(shape) + 1)) AS i FROM c)),
+b AS (SELECT host, node, segment, sum(bad) AS b, sum(good + bad) AS n FROM e GROUP BY ALL),
+w AS (SELECT host, node, count(*) AS kids, sum(n) AS na, sum(b) AS ba FROM b GROUP BY ALL),
+k AS (SELECT * FROM b JOIN w USING (host, node)),
+m AS (SELECT *, lag(b) OVER o AS pb, lag(n) OVER o AS pn FROM k WHERE kids <= {u.FANOUT} AND n > 0 WINDOW o AS (PARTITION BY host, node ORDER BY b::DOUBLE / n, segment)),
+g AS (SELECT host, node, segment, sum(CASE WHEN {differ('b', 'n', 'pb', 'pn')} THEN 1 ELSE 0 END) OVER (PARTITION BY host, node ORDER BY b::DOUBLE / n, segment) AS part FROM m),
+gn AS (SELECT host, node, part, CASE WHEN count(*) > 1 THEN '{{' || string_agg(segment, '|' ORDER BY segment) || '}}' ELSE any_value(segment) END AS t FROM g GROUP BY ALL),
+r AS (SELECT host, node, segment, t FROM g JOIN gn USING (host, node, part)
+      UNION ALL SELECT host, node, segment, CASE WHEN {differ('b', 'n', '(ba - b)', '(na - n)')} THEN segment ELSE '{{*}}' END FROM k WHERE kids > {u.FANOUT}),
+s AS (SELECT e.host, shape, string_agg(coalesce(t, e.segment), '/' ORDER BY i) AS template FROM e LEFT JOIN r ON e.host = r.host AND e.node = r.node AND e.segment = r.segment GROUP BY e.host, shape),
+l AS (SELECT c.*, coalesce(template, '') AS template FROM c LEFT JOIN s ON c.host = s.host AND c.shape = s.shape),
+base AS (SELECT coalesce(sum(bad)::DOUBLE / nullif(sum(good) + sum(bad), 0), 0) AS base FROM l),
+v AS (SELECT shape, count(*) AS hosts, sum(bad::DOUBLE / (good + bad)) AS votes FROM l WHERE good + bad > 0 GROUP BY shape),
+x AS (SELECT host, template, sum(good) AS good, sum(bad) AS bad, max(coalesce(hosts, 0)) AS hosts,
+             sum(n * ((coalesce(votes, 0.0) + {u.PRIOR} * base) / (coalesce(hosts, 0) + {u.PRIOR}))) / sum(n) AS prior FROM l CROSS JOIN base LEFT JOIN v ON l.shape = v.shape GROUP BY host, template),
+y AS (SELECT l.host, shape, (x.bad + {u.PRIOR} * prior) / (x.good + x.bad + {u.PRIOR}) >= {u.PURITY} AND (x.good + x.bad >= {u.LEAST} OR hosts >= {u.LEAST}) AS rejected FROM l JOIN x ON l.host = x.host AND l.template = x.template)
 SELECT page_id, u.host, path, rule, coalesce(decided, CASE WHEN rejected THEN 'block' ELSE 'allow' END) AS verdict FROM u LEFT JOIN y ON u.host = y.host AND u.shape = y.shape
 """
 

@@ -1,26 +1,30 @@
 """URL filters from path templates with labelled purity.
 
 Per host, paths form a tree of segments. Segments that vary are generalised to wildcards: first by shape
-(numbers, hexadecimal ids, file names with digits), then any level of a branch that has more different children
-than a real directory would. Sibling branches whose labelled shares do not differ statistically (a two-sided
-test of two proportions) are merged into one wildcard branch. Each template's purity is its share of labelled
-blocked urls, smoothed towards its host's and that towards the whole table's; templates above the limit are
-rejected. Explicit rules come before templates. All of it is DataFrame functions, on the tree's aggregated
-nodes rather than on urls.
+(numbers, hexadecimal ids, file names with digits), then where a branch has more different children than a real
+directory would: those whose labelled share does not differ from their siblings' become one wildcard. Children of
+smaller branches stand in order of their labelled shares, and neighbours that a two-sided test of two proportions
+can't tell apart are merged into one branch. All levels of all hosts are judged in one pass, so any depth will do.
 
-Labels: urls that a rule decides are labelled by it; urls of hosts named by a seed word are labelled blocked.
-A template with fewer than `least` labelled urls is not rejected.
+A path's template is its segments as renamed. Its purity is the blocked share of its labelled urls, smoothed towards
+that of the same paths on other hosts, where each labelled host has one vote, and that towards the whole table's;
+templates above the limit are rejected. Explicit rules come before templates. All of it is DataFrame functions, on
+the tree's summed nodes rather than on urls.
+
+Labels: urls that a rule decides are labelled by it; those of hosts named by a seed word, if any are given, are
+labelled blocked. A template needs `least` labelled urls, or labelled hosts for its paths, to be rejected.
 
 Defined cases: a null url, or one without ://, has an empty host and path, no rule, and is allowed. Repeated
-rows count as often as they stand. Paths deeper than `depth` segments share a template from there on. Columns
-of other names are ignored. Empty tables give empty results.
+rows count as often as they stand. Of rules that fit, the longest wins, of equally long ones the last by name. Paths
+of any length keep all their segments. Columns of other names, host and path included, are ignored. Empty tables
+give empty results.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paperloom.llm.common import stage_table
@@ -37,16 +41,14 @@ class UrlRule:
         return self.host + self.path
 
 
-#: Rules as (host, start of path, verdict), and words in host names that label a host's urls blocked.
+#: Rules as (host, start of path, verdict).
 RULES = (UrlRule("net", "/", "block"), UrlRule("example.net", "/en/", "allow"), UrlRule("example.com", "/de/", "block"), UrlRule("org", "/fr/", "allow"))
-SEEDS = ("ads", "bets", "casino", "cheap", "farm", "pills", "spam", "track")
 
-DEPTH = 8  # segments told apart
-FANOUT = 50  # children of a branch from which on they are one wildcard
+FANOUT = 50  # children of a branch beyond which they are one wildcard
 ALIKE = 1.96  # z below which two branches' labelled shares count as the same
-PRIOR = 2.0  # urls that the smoothing weighs
+PRIOR = 2.0  # urls, or hosts, that the smoothing weighs
 PURITY = 0.8
-LEAST = 5
+LEAST = 5  # labelled urls, or hosts
 
 
 def host_of(url: Column) -> Column:
@@ -68,70 +70,81 @@ def rule_of(host: Column, path: Column, rules: tuple[UrlRule, ...] = RULES) -> t
     return name, verdict
 
 
-def shapes(path: Column, depth: int = DEPTH) -> Column:
-    """Segments of a path with those that vary by shape as wildcards; the tail beyond `depth` is one."""
+def shapes(path: Column) -> Column:
+    """Segments of a path with those that vary by shape as wildcards."""
     parts = F.filter(F.split(path, "/"), lambda s: s != "")
-    kinds = F.transform(
+    return F.transform(
         parts,
         lambda s: F.when(s.rlike(r"^[0-9]+$"), "{n}").when(s.rlike(r"^[0-9a-fA-F-]{8,}$") & s.rlike("[0-9]"), "{id}").when(s.rlike(r"[0-9]"), F.regexp_replace(s, "[0-9]+", "{n}")).otherwise(s),
     )
-    return F.when(F.size(kinds) > depth, F.concat(F.slice(kinds, 1, depth), F.array(F.lit("{**}")))).otherwise(kinds)
-
-
-def templates(labelled: DataFrame, *, depth: int = DEPTH, fanout: int = FANOUT, alike: float = ALIKE) -> DataFrame:
-    """From host, shape (segments), n, good, bad: the template of each host and shape, with the template's counts.
-
-    Level by level, so that what one level merges is one branch to the next. Rows are distinct shapes, not urls.
-    """
-    levels = min(depth + 1, labelled.agg(F.max(F.size("shape"))).first()[0] or 0)
-    rows = labelled.withColumn("prefix", F.lit(""))
-    for level in range(levels):
-        # Each level reads the one before as a table, else its plan would hold that one's three times.
-        rows = stage_table(rows.withColumn("segment", F.get("shape", F.lit(level))), f"level{level}")
-        branch = rows.filter("segment is not null").groupBy("host", "prefix", "segment").agg(F.sum("good").alias("g"), F.sum("bad").alias("b"))
-        level_all = branch.groupBy("host", "prefix").agg(F.count(F.lit(1)).alias("kids"), F.sum("g").alias("ga"), F.sum("b").alias("ba"))
-        both = branch.join(level_all, ["host", "prefix"])
-        # Branch against its siblings: pooled test of two proportions; too few labels can't tell them apart.
-        n1, n2 = F.col("g") + F.col("b"), F.col("ga") + F.col("ba") - F.col("g") - F.col("b")
-        p1, p2 = F.try_divide("b", n1), F.try_divide(F.col("ba") - F.col("b"), n2)
-        pool = F.try_divide("ba", F.col("ga") + F.col("ba"))
-        error = F.sqrt(pool * (1 - pool) * (F.try_divide(F.lit(1.0), n1) + F.try_divide(F.lit(1.0), n2)))
-        differs = F.coalesce(F.abs(p1 - p2) > alike * error, F.lit(False))
-        to = F.when(differs, F.col("segment")).when(F.col("kids") > fanout, "{*}").when(n1 > 0, "{=}").otherwise(F.col("segment"))
-        renamed = both.select("host", "prefix", "segment", to.alias("to"))
-        rows = rows.join(renamed, ["host", "prefix", "segment"], "left")
-        rows = rows.withColumn("prefix", F.when(F.col("to").isNull(), F.col("prefix")).otherwise(F.concat("prefix", F.lit("/"), "to"))).drop("to", "segment")
-    return rows.withColumnRenamed("prefix", "template")
+
+
+def _differ(b1: Column, n1: Column, b2: Column, n2: Column, alike: float) -> Column:
+    """Whether two labelled shares differ: a pooled test of two proportions. Nothing differs from no labels."""
+    pool = F.try_divide(b1 + b2, n1 + n2)
+    error = F.sqrt(pool * (1 - pool) * (F.try_divide(F.lit(1.0), n1) + F.try_divide(F.lit(1.0), n2)))
+    return F.coalesce(F.abs(F.try_divide(b1, n1) - F.try_divide(b2, n2)) > alike * error, F.lit(False))
+
+
+def templates(labelled: DataFrame, *, fanout: int = FANOUT, alike: float = ALIKE) -> DataFrame:
+    """From host, shape (segments, each pair once), n, good, bad: the same with the template of each."""
+    node = ["host", "node"]
+    place = F.posexplode("shape").alias("i", "segment")
+    # A node is named by a digest of the segments that lead to it.
+    rows = labelled.select("host", "shape", "good", "bad", place)
+    rows = rows.withColumn("node", F.md5(F.array_join(F.slice("shape", 1, F.col("i")), "/")))
+    branch = rows.groupBy(*node, "segment").agg(F.sum("good").alias("g"), F.sum("bad").alias("b"))
+    branch = stage_table(branch.withColumn("n", F.col("g") + F.col("b")), "branches")
+    whole = branch.groupBy(*node).agg(F.count(F.lit(1)).alias("kids"), F.sum("n").alias("na"), F.sum("b").alias("ba"))
+    branch = branch.join(whole, node)
+    wide = branch.filter(F.col("kids") > fanout)
+    alone = _differ(F.col("b"), F.col("n"), F.col("ba") - F.col("b"), F.col("na") - F.col("n"), alike)
+    wide = wide.select(*node, "segment", F.when(alone, F.col("segment")).otherwise("{*}").alias("to"))
+    # At most `fanout` children of a node are ordered, whatever its urls are.
+    order = Window.partitionBy(*node).orderBy(F.col("b") / F.col("n"), "segment")
+    cut = _differ(F.col("b"), F.col("n"), F.lag("b").over(order), F.lag("n").over(order), alike)
+    small = branch.filter((F.col("kids") <= fanout) & (F.col("n") > 0)).withColumn("cut", cut.cast("int"))
+    small = small.withColumn("part", F.sum("cut").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    parts = Window.partitionBy(*node, "part")
+    members = F.array_sort(F.collect_list("segment").over(parts))
+    merged = F.when(F.size(members) > 1, F.concat(F.lit("{"), F.array_join(members, "|"), F.lit("}"))).otherwise(F.col("segment"))
+    renamed = wide.unionByName(small.select(*node, "segment", merged.alias("to")))
+    named = rows.join(renamed, [*node, "segment"], "left").select("host", "shape", F.struct("i", F.coalesce("to", "segment").alias("s")).alias("p"))
+    named = named.groupBy("host", "shape").agg(F.array_join(F.transform(F.array_sort(F.collect_list("p")), lambda p: p["s"]), "/").alias("template"))
+    return labelled.join(named, ["host", "shape"], "left").withColumn("template", F.coalesce("template", F.lit("")))
 
 
 def purity(tree: DataFrame, *, prior: float = PRIOR, limit: float = PURITY, least: int = LEAST) -> DataFrame:
-    """Each template's labelled share of blocked urls, smoothed through its host to the table, and if it is rejected."""
-    by_template = tree.groupBy("host", "template").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"))
-    by_host = by_template.groupBy("host").agg(F.sum("good").alias("hg"), F.sum("bad").alias("hb"))
+    """host, template, good, bad, purity, rejected: each template's share of blocked urls among the labelled, smoothed."""
+    labelled = F.col("good") + F.col("bad")
     good, bad = tree.agg(F.sum("good"), F.sum("bad")).first()
     base = (bad or 0) / ((good or 0) + (bad or 0) or 1)
-    host_share = (F.col("hb") + prior * base) / (F.col("hg") + F.col("hb") + prior)
-    by_host = by_host.select("host", host_share.alias("host_share"))
-    smoothed = (F.col("bad") + prior * F.col("host_share")) / (F.col("good") + F.col("bad") + prior)
-    return by_template.join(by_host, "host").select(
-        "host", "template", "good", "bad", smoothed.alias("purity"), ((smoothed >= limit) & (F.col("good") + F.col("bad") >= least)).alias("rejected")
+    votes = tree.filter(labelled > 0).groupBy("shape").agg(F.count(F.lit(1)).alias("hosts"), F.sum(F.col("bad") / labelled).alias("votes"))
+    hosts = F.coalesce("hosts", F.lit(0))
+    elsewhere = (F.coalesce("votes", F.lit(0.0)) + prior * base) / (hosts + prior)
+    rows = tree.join(votes, "shape", "left").select("host", "template", "n", "good", "bad", hosts.alias("hosts"), (F.col("n") * elsewhere).alias("w"))
+    by_template = rows.groupBy("host", "template").agg(
+        F.sum("good").alias("good"), F.sum("bad").alias("bad"), (F.sum("w") / F.sum("n")).alias("prior"), F.max("hosts").alias("hosts")
     )
+    smoothed = (F.col("bad") + prior * F.col("prior")) / (labelled + prior)
+    known = (labelled >= least) | (F.col("hosts") >= least)
+    return by_template.select("host", "template", "good", "bad", smoothed.alias("purity"), ((smoothed >= limit) & known).alias("rejected"))
 
 
 def judge(
-    urls: DataFrame, *, id_col: str = "page_id", url_col: str = "url", rules: tuple[UrlRule, ...] = RULES, seeds: tuple[str, ...] = SEEDS,
-    depth: int = DEPTH, fanout: int = FANOUT, alike: float = ALIKE, prior: float = PRIOR, limit: float = PURITY, least: int = LEAST,
+    urls: DataFrame, *, id_col: str = "page_id", url_col: str = "url", rules: tuple[UrlRule, ...] = RULES, seeds: tuple[str, ...] = (),
+    fanout: int = FANOUT, alike: float = ALIKE, prior: float = PRIOR, limit: float = PURITY, least: int = LEAST,
 ) -> DataFrame:
-    """id, host, path, rule, verdict, template, purity of every row."""
+    """id, host, path, rule, verdict, template, purity of every row. seeds: words in host names that label urls blocked."""
     name, decided = rule_of(F.col("host"), F.col("path"), rules)
     rows = urls.select(F.col(id_col), host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"))
-    rows = rows.withColumns({"rule": name, "decided": decided, "shape": shapes(F.col("path"), depth)})
+    rows = rows.withColumns({"rule": name, "decided": decided, "shape": shapes(F.col("path"))})
     named = F.rlike(F.col("host"), F.lit(rf"(^|[.-])({'|'.join(seeds)})($|[.-])")) if seeds else F.lit(False)
     label = F.coalesce("decided", F.when(named, F.lit("block")))
     counts = rows.filter("host <> ''").groupBy("host", "shape").agg(
-        F.count_if(label == "allow").alias("good"), F.count_if(label == "block").alias("bad")
+        F.count(F.lit(1)).alias("n"), F.count_if(label == "allow").alias("good"), F.count_if(label == "block").alias("bad")
     )
-    tree = stage_table(templates(counts, depth=depth, fanout=fanout, alike=alike), "templates")
+    tree = stage_table(templates(stage_table(counts, "shapes"), fanout=fanout, alike=alike), "templates")
     scores = purity(tree, prior=prior, limit=limit, least=least).select("host", "template", "purity", "rejected")
     judged = tree.join(scores, ["host", "template"]).select("host", "shape", "template", "purity", "rejected")
     verdict = F.coalesce("decided", F.when(F.col("rejected"), F.lit("block")).otherwise(F.lit("allow")))

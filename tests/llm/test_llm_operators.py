@@ -485,10 +485,34 @@ def test_url_filter(spark):
     assert got[2] == ("a.example.net", "/en/1", "example.net/en/", "allow")
     assert got[3] == ("example.net", "", None, "allow")
     assert got[4][2:] == ("example.com/de/", "block") and got[5][2:] == ("org/fr/", "allow") and got[6][2:] == (None, "allow")
-    assert got[9][2:] == (None, "block")
+    assert got[9][2:] == (None, "allow")
+    named = {r.page_id: r.verdict for r in url_filter.judge(rows, seeds=("pills",)).collect()}
+    assert named[9] == "block" and {k: v for k, v in named.items() if not 7 <= k <= 15} == {k: v[3] for k, v in got.items() if not 7 <= k <= 15}
     assert url_filter.judge(rows.limit(0)).count() == 0
 
 
+def test_url_templates_of_one_host_differ_by_labels_alone(spark):
+    """No rule decides a.org's urls under en, de or es; what rules say of the same paths elsewhere does."""
+    urls = [f"http://h{k}.example.net/{lang}/{i}" for k in range(8) for lang in ("en", "de", "es") for i in range(3)]
+    asked = [f"http://a.org/{lang}/{i}" for lang in ("en", "de", "es") for i in range(4)]
+    deep = ["http://b.org/" + "x/" * 300 + "1", "http://b.org/" + "x/" * 300 + "y/2", "http://b.org/" + "x/" * 300 + "y/3"]
+    rows = spark.createDataFrame(list(enumerate([*asked, *deep, *deep, *urls])), "page_id long, url string")
+    got = {r.page_id: r for r in url_filter.judge(rows).collect()}
+    assert len(got) == len(urls) + 18
+    assert [(got[i].rule, got[i].verdict) for i in range(12)] == [(None, "allow")] * 4 + [(None, "block")] * 8
+    assert got[0].template == "en/{n}" and got[18].template == "en/{n}" and got[21].template == "{de|es}/{n}"
+    assert {got[i].verdict for i in range(12, 18)} == {"allow"} and got[13].template.count("x") == 300
+    tied = (url_filter.UrlRule("org", "/a", "block"), url_filter.UrlRule("a.org", "/", "allow"), url_filter.UrlRule("a.org", "/d", "block"))
+    assert [r.rule for r in url_filter.judge(rows.filter("page_id in (0, 4)"), rules=tied).orderBy("page_id").collect()] == ["a.org/", "a.org/d"]
+
+
+def test_wide_branches_become_wildcards_but_for_what_differs(spark):
+    urls = [f"http://w.org/{chr(97 + i % 26)}{chr(97 + i // 26)}/x" for i in range(120)] + [f"http://w.org/fr/{i}" for i in range(30)]
+    rules = (url_filter.UrlRule("w.org", "/fr/", "block"), *[url_filter.UrlRule("w.org", f"/{chr(97 + i)}", "allow") for i in range(4)])
+    got = {r.path: r for r in url_filter.judge(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), rules=rules).collect()}
+    assert got["/fr/1"].template == "fr/{n}" and got["/aa/x"].template == got["/za/x"].template == "{*}/x" and got["/za/x"].verdict == "allow"
+
+
 # the pipeline --------------------------------------------------------------------------------------------------
 
 
