@@ -1,11 +1,13 @@
 """Exact top-k inner products by norm-bucketed retrieval.
 
 Candidates are range-partitioned by length, so a chunk holds vectors of like length, and a chunk is cut into
-buckets of falling length. For each query and bucket the local cosine threshold, that is the query's k-th best
-score so far over the product of the lengths, picks how the bucket is pruned: over 1, the bucket is skipped;
-high, the coordinates with the largest query entries must lie in the interval which that cosine allows; low, a
-prefix of the bucket by length stays. What is left is verified by its inner product. Queries come in blocks,
-each block meets each chunk once, and a final window keeps the k best of the chunks' bests.
+buckets of falling length. Every query first meets the longest chunk, which gives it a threshold: its k-th best
+score so far. It then goes only to chunks whose longest vector could reach that threshold, and a chunk only to
+blocks of queries that it can matter to. For each query and bucket the local cosine threshold, that is the score
+threshold over the product of the lengths, picks how the bucket is pruned: over 1, the bucket is skipped; high, the
+coordinates with the largest query entries must lie in the interval which that cosine allows; low, a prefix of the
+bucket by length stays. What is left is verified by its inner product, and a final window keeps the k best of the
+chunks' bests.
 
 Defined cases: a vector that is null, or has a null or non-finite component, takes no part. Vectors meet only
 vectors of their own dimension. Rows that repeat an id are candidates each, and a query id that repeats takes
@@ -25,7 +27,8 @@ from pyspark.sql import functions as F
 from paperloom.llm.common import ready, stage_table
 
 BUCKET = 1024  # vectors of a bucket: its matrix stays in a core's cache
-CHUNK_ROWS = 8192  # candidates of a task
+CHUNK_ROWS = 8192  # candidates of a task, at least
+CHUNKS = 50_000  # at most, so that what is known of each chunk stays small; larger tables have larger chunks
 QUERY_ROWS = 4096  # queries of a task
 COSINE = 0.6  # from this local threshold on, coordinates prune better than length
 FOCUS = 5  # coordinates that are tested
@@ -52,13 +55,14 @@ def _products(q: np.ndarray, c: np.ndarray) -> np.ndarray:
     return np.clip(exact, -(2**63), 2**63 - 1).astype(np.int64)
 
 
-def best_of(qid: np.ndarray, q: np.ndarray, cid: np.ndarray, c: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
-    """(query row, candidate id, score) of the k best candidates of each query; candidates with its own id don't count."""
+def best_of(qid: np.ndarray, q: np.ndarray, cid: np.ndarray, c: np.ndarray, k: int, least: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+    """(query row, candidate id, score) of the k best candidates of each query; candidates with its own id don't count,
+    nor do scores below a query's `least`."""
     norm = lambda x: np.sqrt((x.astype(np.float64) ** 2).sum(axis=1))
     qn, cn = norm(q), norm(c)
     order = np.argsort(-cn, kind="stable")
     cid, c, cn = cid[order], c[order], cn[order]
-    theta = np.full(len(q), -np.inf)  # the k-th best so far
+    theta = np.full(len(q), -np.inf) if least is None else least.astype(np.float64)  # the k-th best so far
     top = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64))
     focus = np.argsort(-np.abs(q), axis=1, kind="stable")[:, :FOCUS]
     for b in range(0, len(c), BUCKET):
@@ -109,7 +113,7 @@ def best_of(qid: np.ndarray, q: np.ndarray, cid: np.ndarray, c: np.ndarray, k: i
         r = merged[0][o]
         rank = np.arange(len(r)) - np.searchsorted(r, r, side="left")
         last = o[rank == k - 1]
-        theta[merged[0][last]] = merged[2][last]
+        theta[merged[0][last]] = np.maximum(theta[merged[0][last]], merged[2][last])
         top = tuple(x[o[rank < k]] for x in merged)
     return top
 
@@ -120,39 +124,58 @@ def top_k(
 ) -> DataFrame:
     """The k best candidates of each row whose id is divisible by `every`: query_id, rank, vec_id, score.
 
-    Rows of a task: one chunk of candidates and one block of queries. A chunk goes to as many tasks as there are
-    query blocks, a query to as many as there are chunks; no row meets a task that another block makes.
+    Rows of a task: one chunk of candidates and one block of queries. Blocks are made of queries with like needs, so
+    that a chunk which a query can't use seldom travels to it. No row meets a task that another pair of chunk and block
+    makes.
     """
     spark = vectors.sparkSession
     ready(spark)
     v = quantize(F.col(vector_col), scale)
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), v.alias("v")).filter("id is not null and v is not null")
-    length = F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x)
-    rows = stage_table(rows.select("id", "v", length.alias("len"), F.size("v").alias("dim")), "vectors")
+    length = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x))
+    rows = stage_table(rows.select("id", "v", length.alias("len"), F.size("v").alias("dim"), F.monotonically_increasing_id().alias("row")), "vectors")
     many = rows.count()
-    chunks, blocks = max(1, -(-many // chunk_rows)), max(1, -(-(many // every + 1) // query_rows))
+    chunks, blocks = max(1, -(-many // max(chunk_rows, many // CHUNKS))), max(1, -(-(many // every + 1) // query_rows))
     # The id breaks ties, so that vectors of one length still spread over chunks.
-    ranged = rows.repartitionByRange(chunks, F.desc("len"), "id").withColumn("chunk", F.spark_partition_id())
+    ranged = rows.repartitionByRange(chunks, "dim", F.desc("len"), "id").select("id", "v", "dim", "len", F.spark_partition_id().alias("chunk"))
     ranged = stage_table(ranged, "chunks")
-    block = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
-    asked = rows.filter(F.pmod("id", F.lit(every)) == 0).select("id", "v", "dim", block.alias("block"))
-    every_chunk, every_block = F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    left = asked.withColumn("chunk", every_chunk).groupBy("dim", "chunk", "block")
-    right = ranged.select("id", "v", "dim", "chunk").withColumn("block", every_block).groupBy("dim", "chunk", "block")
+    reach = ranged.groupBy("dim", "chunk").agg(F.max("len").alias("top"))
+    # One array a dimension: the chunks by number, which is by falling length.
+    known = stage_table(reach.groupBy("dim").agg(F.array_sort(F.collect_list(F.struct("chunk", "top"))).alias("chunks")), "reach")
+    first = F.get("chunks", F.lit(0))["chunk"]
+    asked = rows.filter(F.pmod("id", F.lit(every)) == 0)
 
     def meet(q: pa.Table, c: pa.Table) -> pa.Table:
-        if not len(q) or not len(c):
-            r, ids, s = (np.zeros(0, np.int64),) * 3
-            qid = r
-        else:
+        r, ids, s = (np.zeros(0, np.int64),) * 3
+        if len(q) and len(c):
             dim = q["dim"][0].as_py()
-            qid = q["id"].to_numpy()
-            r, ids, s = best_of(qid, _matrix(q["v"], dim), c["id"].to_numpy(), _matrix(c["v"], dim), k)
-        return pa.table({"query_id": pa.array(qid[r], pa.int64()), "vec_id": pa.array(ids, pa.int64()), "score": pa.array(s, pa.int64())})
-
-    found = left.cogroup(right).applyInArrow(meet, "query_id long, vec_id long, score long")
+            qid, least = q["id"].to_numpy(), q["least"].to_numpy()
+            r, ids, s = best_of(qid, _matrix(q["v"], dim), c["id"].to_numpy(), _matrix(c["v"], dim), k, least)
+        got = (q["id"].to_numpy()[r], q["row"].to_numpy()[r], ids, s) if len(r) else (r, r, ids, s)
+        return pa.table({n: pa.array(x, pa.int64()) for n, x in zip(("query_id", "row", "vec_id", "score"), got, strict=True)})
+
+    def found(queries: DataFrame) -> DataFrame:
+        """Bests of queries (id, row, v, dim, least, chunk, block), by chunk."""
+        pairs = queries.groupBy("dim", "chunk").agg(F.collect_set("block").alias("blocks"))
+        right = ranged.select("id", "v", "dim", "chunk").join(pairs, ["dim", "chunk"]).withColumn("block", F.explode("blocks")).drop("blocks")
+        left = queries.groupBy("dim", "chunk", "block")
+        return left.cogroup(right.groupBy("dim", "chunk", "block")).applyInArrow(meet, "query_id long, row long, vec_id long, score long")
+
+    any_block = F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int")
+    start = asked.join(known, "dim").select("id", "row", "v", "dim", F.lit(float("-inf")).alias("least"), first.alias("chunk"), any_block.alias("block"))
+    begun = stage_table(found(start), "begun")
+    least = begun.groupBy("row").agg(F.min("score").cast("double").alias("least"), F.count(F.lit(1)).alias("n")).filter(F.col("n") >= k).drop("n")
+    need = F.coalesce("least", F.lit(float("-inf")))
+    # |q| * |c| has to reach the threshold; a vector of length 0 reaches 0 with any.
+    able = lambda c: F.col("len") * c["top"] * (1 + SLACK) + SLACK >= need
+    on = F.transform(F.filter("chunks", lambda c: (c["chunk"] > first) & able(c)), lambda c: c["chunk"])
+    rest = asked.join(known, "dim").join(least, "row", "left").select("id", "row", "v", "dim", need.alias("least"), on.alias("on"))
+    rest = rest.filter(F.size("on") > 0).repartitionByRange(blocks, F.size("on"), "row").withColumn("block", F.spark_partition_id())
+    rest = stage_table(rest, "asked")
+    more = found(rest.withColumn("chunk", F.explode("on")).drop("on"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    both = begun.unionByName(more).select("query_id", "vec_id", "score")
+    return both.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def brute_force(pdf: pd.DataFrame, k: int = 20, every: int = 20, scale: int = 64) -> list[tuple[int, int, int, int]]:

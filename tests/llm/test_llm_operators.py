@@ -165,6 +165,26 @@ def test_top_k_keeps_every_row_of_a_repeated_id(spark):
     assert got == sorted(c.execute(f"select {', '.join(names)} from ({oracle_sql()['op2_top_k']})").fetchall())
 
 
+def test_top_k_ties_null_ids_and_clashing_columns(spark):
+    rows = [(i if i % 11 else None, [float(x) for x in (i % 3, 1, 0)], i) for i in range(150)] + [(0, [0.0, 0.0, 0.0], 1), (20, [-9.0, 1.0, 2.0], 2)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, len int").withColumns({"row": F.lit(1), "chunk": F.lit(2)})
+    want = topk.brute_force(df.filter("vec_id is not null").toPandas(), k=9)
+    assert sorted(map(tuple, topk.top_k(df, k=9, chunk_rows=20, query_rows=2).collect())) == sorted(want)
+
+
+def test_top_k_sends_queries_only_where_they_can_gain(spark, monkeypatch):
+    """Lengths fall by half every 50 vectors: once the longest are seen, hardly any other chunk is asked."""
+    rng = random.Random(23)
+    rows = [(i, [rng.gauss(0, 1) * 100 / 2 ** (i // 50) for _ in range(6)]) for i in range(400)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    tables, stage = {}, topk.stage_table
+    monkeypatch.setattr(topk, "stage_table", lambda t, name: tables.setdefault(name, stage(t, name)))
+    got = topk.top_k(df, k=5, chunk_rows=50, query_rows=4)
+    assert sorted(map(tuple, got.collect())) == sorted(topk.brute_force(df.toPandas(), k=5))
+    sent = tables["asked"].agg(F.sum(F.size("on"))).first()[0] or 0
+    assert sent < 0.5 * 20 * 7
+
+
 # 3 -------------------------------------------------------------------------------------------------------------
 
 PAGE = """<!doctype html><html><head><title>T</title><script>var a="<p>no</p>";</script></head><body class="has-sidebar">
