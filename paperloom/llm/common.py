@@ -13,7 +13,7 @@ from paperloom.operators.staging import shared_folder as shared_dir
 from paperloom.operators.staging import staged as stage_table
 from paperloom.session import workers as ready
 
-__all__ = ["ready", "release", "shared_dir", "stage_table", "table", "without_ids", "words"]
+__all__ = ["free_name", "ready", "release", "shared_dir", "stage_table", "table", "without_ids", "words"]
 
 #: A-Z become a-z; every other byte under 0x80 that is no digit or letter ends a word. Bytes of
 #: UTF-8 sequences stay, so this is the class [^\x00-\x2F\x3A-\x60\x7B-\x7F] over code points.
@@ -35,6 +35,13 @@ def release() -> None:
         libc.malloc_trim(0)
 
 
+def free_name(name: str, taken: list[str]) -> str:
+    """name, with underscores after it while a column of that name is there (in any case, as Spark compares them)."""
+    while name.lower() in {c.lower() for c in taken}:
+        name += "_"
+    return name
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -9,16 +9,19 @@ outside the vocabulary become byte pieces and are boundaries themselves. A unigr
 position, the path of the largest score instead; the window and the commits are the same.
 
 Where no piece has the space mark after another character, a run of marks starts a new word, words are
-independent, and each different word is searched once per worker (the memory for that is bounded).
+independent, and each different word is searched once while it stays in a worker's memory, which is bounded in bytes.
 
 Defined cases: a null text has null ids; an empty text no ids. Byte pieces that don't form UTF-8 decode to
-U+FFFD. Repeated rows are encoded alike; other columns are kept. Texts of any length are searched in a window.
+U+FFFD; without byte pieces, characters outside the vocabulary in a row are one unknown id. Repeated rows are encoded
+alike; other columns are kept, and a result whose name an input column has gets underscores after it. Texts of any
+length are searched in a window. Empty tables give empty results. A model with a character map is refused.
 """
 
 from __future__ import annotations
 
-import importlib.util
+import hashlib
 import re
+import sys
 from array import array
 from collections.abc import Iterator
 from functools import cached_property, lru_cache
@@ -31,17 +34,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paperloom.llm.common import ready
+from paperloom.llm.common import free_name, ready, release
 
 MARK = "▁"
-MEMORY = 1_000_000  # words remembered per worker
+MEMORY = 24 << 20  # bytes of words that a worker remembers, and as many of pairs
+SLICE = 1 << 20  # bytes of text that are held as Python strings at once, but for a longer text
+UNKNOWN = 10.0  # fixed value: what an unknown character costs more than the rarest piece
 
 
-def default_model() -> str:
-    """The public 32k model of this machine; a parameter everywhere."""
-    spec = importlib.util.find_spec("public_tokenizers")
-    folder = spec.submodule_search_locations[0] if spec else "/opt/tokenizers"
-    return f"{folder}/piece_bpe_32k.model"
+class Recent(dict):
+    """A memory in two halves: when the young one is full it becomes the old one, whose entries come back when asked for."""
+
+    def __init__(self, limit: int):
+        super().__init__()
+        self.limit, self.held, self.old = limit // 2, 0, {}
+
+    def keep(self, key, value, size: int):
+        if self.held + size > self.limit:
+            self.old, self.held = dict(self), 0
+            self.clear()
+        self.held += size
+        self[key] = value
+        return value
 
 
 def _wire(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -79,7 +93,7 @@ class Pieces:
         self.text: list[str] = []
         self.kind: list[int] = []
         self.byte: dict[int, int] = {}
-        self.unknown, self.unigram, self.dummy, self.trim, self.identity = 0, True, True, True, True
+        self.unknown, self.unigram, self.dummy, self.trim, identity = 0, True, True, True, True
         for number, value in _wire(model):
             if number == 1:
                 f = dict(_wire(value))
@@ -98,10 +112,11 @@ class Pieces:
                 self.unigram = dict(_wire(value)).get(3, 1) == 1
             elif number == 3:
                 f = dict(_wire(value))
-                self.identity = not f.get(2, b"") and f.get(1, b"identity") in (b"", b"identity")
+                identity = not f.get(2, b"") and f.get(1, b"identity") in (b"", b"identity")
                 self.dummy, self.trim = bool(f.get(3, 1)), bool(f.get(4, 1))
-        if not self.identity or self.trim:
-            raise ValueError("only models without a character map and without white-space removal are supported")
+        if not identity:
+            raise ValueError("only models without a character map are supported")
+        self.fallback = len(self.byte) == 256
         self.longest = max(map(len, self.ids), default=1)
         self.chars = {c for p in self.ids for c in p}
         if not self.unigram and not self.chars <= self.ids.keys():
@@ -113,7 +128,13 @@ class Pieces:
         self.runs = re.compile(f"[{known}]+|[^{known}]", re.S)
         self.whole = re.compile(f"[{known}]+").fullmatch
         self.size = [len(t) for t in self.text]
-        self.pairs: dict[int, bool] = {}
+        self.pairs = Recent(MEMORY)
+        if self.unigram:
+            normal = [x for x, k in zip(self.score, self.kind, strict=True) if k == 1]
+            self.rare = min(normal, default=0.0) - UNKNOWN
+            top = max(normal, default=0.0)
+            # A user's own piece is worth as much as the best piece for each of its bytes.
+            self.score = [len(t.encode()) * top - 0.1 if k == 4 else x for t, x, k in zip(self.text, self.score, self.kind, strict=True)]
 
     @cached_property
     def finder(self) -> ahocorasick.Automaton:
@@ -140,19 +161,69 @@ class Pieces:
 
     def fits(self, key: int) -> bool:
         """Whether two pieces side by side (left * 2^32 + right) are the encoding of their text."""
-        a, b = self.text[key >> 32], self.text[key & 0xFFFFFFFF]
-        known = self.pairs[key] = self.merge(a + b) == [a, b]
-        if len(self.pairs) > 4 * MEMORY:
-            self.pairs.clear()
-        return known
+        known = self.pairs.old.get(key)
+        if known is None:
+            a, b = self.text[key >> 32], self.text[key & 0xFFFFFFFF]
+            known = self.merge(a + b) == [a, b]
+        return self.pairs.keep(key, known, 110)
 
     def stream(self, text: str) -> Iterator[int]:
         """Ids of a normalised text, committed as soon as they are certain."""
-        for run in self.runs.findall(text):
+        if self.unigram:
+            yield from self._unigram(text)
+            return
+        for m in self.runs.finditer(text):
+            run = m.group()
             if run[0] in self.chars:
-                yield from self._run(run) if self.unigram or len(run) > 4 * self.longest else self._window(run)
+                yield from self._run(run) if len(run) > 4 * self.longest else self._window(run)
             else:
-                yield from (self.byte[b] for b in run.encode("utf-8", "surrogatepass")) if len(self.byte) == 256 else (self.unknown,)
+                yield from self._unknown(run)
+
+    def _unknown(self, char: str) -> list[int]:
+        return [self.byte[b] for b in char.encode("utf-8", "surrogatepass")] if self.fallback else [self.unknown]
+
+    def _unigram(self, text: str) -> Iterator[int]:
+        """Ids on the path of the largest score; a character that is no piece can stand alone as unknown."""
+        best, step, ids, base, full = [0.0], [0], [-1], 0, 4 * self.longest
+
+        def path(at: int) -> Iterator[int]:
+            out = []
+            while at > 0:
+                out.append((ids[at], base + at - 1))
+                at -= step[at]
+            for i, place in reversed(out):
+                yield from self._unknown(text[place]) if i < 0 else (i,)
+
+        found = iter(self.finder.iter(text))
+        end, i = next(found, (-1, -1))
+        for place, char in enumerate(text):
+            at = place + 1 - base
+            if at > full and (cut := self._shared(step)):
+                yield from path(cut)
+                best, step, ids, base, at = best[cut:], step[cut:], ids[cut:], base + cut, at - cut
+                step[0] = 0
+            best.append(-np.inf)
+            step.append(0)
+            ids.append(-1)
+            while end == place:  # the longest piece comes first, and a tie stays with it
+                n = self.size[i]
+                if n <= at and best[at - n] + self.score[i] > best[at]:
+                    best[at], step[at], ids[at] = best[at - n] + self.score[i], n, i
+                end, i = next(found, (-1, -1))
+            if char not in self.ids and best[at - 1] + self.rare > best[at]:
+                best[at], step[at], ids[at] = best[at - 1] + self.rare, 1, -1
+        yield from path(len(step) - 1)
+
+    def _shared(self, step: list[int]) -> int:
+        """The last boundary that the paths from all positions where a later piece can start have in common."""
+        common, n = None, len(step) - 1
+        for at in range(max(1, n - self.longest + 1), n + 1):
+            marks = set()
+            while at > 0:
+                marks.add(at)
+                at -= step[at]
+            common = marks if common is None else common & marks
+        return max((x for x in common or () if x <= n - self.longest), default=0)
 
     def _window(self, text: str) -> list[int]:
         """Ids of a run that one window holds, so that nothing is committed before its end."""
@@ -172,9 +243,8 @@ class Pieces:
 
     def _run(self, text: str) -> Iterator[int]:
         """Ids of characters that are all in the vocabulary."""
-        size, pairs, unigram, longest = self.size, self.pairs, self.unigram, self.longest
+        size, pairs, longest = self.size, self.pairs, self.longest
         last = [-1]  # per position of the window, the piece that ends there on its best path; -2: none does
-        best = [0.0]
         base = 0  # the window's start, a boundary before which all is committed
         full = 4 * longest
 
@@ -195,23 +265,18 @@ class Pieces:
                         done = path(cut)
                         yield from done
                         # Of what is committed, only the last piece bears on later ones.
-                        last, best, base, at = [-1 if unigram else done[-1], *last[cut + 1 :]], best[cut:], base + cut, at - cut
+                        last, base, at = [done[-1], *last[cut + 1 :]], base + cut, at - cut
                 last.append(-2)
-                best.append(-np.inf)
             start = at - size[i]
-            if start < 0 or (before := last[start]) == -2:
+            if start < 0 or (before := last[start]) == -2 or last[at] != -2:
                 continue
-            if unigram:
-                if best[start] + self.score[i] > best[at]:
-                    last[at], best[at] = i, best[start] + self.score[i]
-            elif last[at] == -2:
-                if before == -1:
+            if before == -1:
+                last[at] = i
+            else:
+                key = before << 32 | i
+                known = pairs.get(key)
+                if self.fits(key) if known is None else known:
                     last[at] = i
-                else:
-                    key = before << 32 | i
-                    known = pairs.get(key)
-                    if self.fits(key) if known is None else known:
-                        last[at] = i
         yield from path(len(last) - 1)
 
     def _settled(self, last: list[int]) -> int:
@@ -228,17 +293,24 @@ class Pieces:
         return max((x for x in common or () if x <= n - self.longest), default=0)
 
     def normal(self, text: str) -> str:
+        text = re.sub(" +", " ", text.strip(" ")) if self.trim else text
         return ((MARK if self.dummy and text else "") + text).replace(" ", MARK)
 
+    def settle(self, ids: np.ndarray) -> np.ndarray:
+        """Unknown characters in a row are one id, unless they are written as bytes."""
+        if self.fallback or len(ids) < 2:
+            return ids
+        return ids[np.concatenate([[True], (ids[1:] != self.unknown) | (ids[:-1] != self.unknown)])]
+
     def search(self, text: str) -> list[int]:
         """Ids of a whole text by the streaming search alone."""
-        return list(self.stream(self.normal(text)))
+        return self.settle(np.fromiter(self.stream(self.normal(text)), np.int32)).tolist()
 
-    def segments(self, normal: str) -> list[str]:
+    def segments(self, normal: str) -> Iterator[str]:
         """Stretches of a normalised text that no piece spans, as the vocabulary shows."""
         if not self.splits:
-            return [normal]
-        return self.cutter.findall(normal)
+            return iter([normal] if normal else [])
+        return iter(self.cutter.findall(normal)) if len(normal) < SLICE else (m.group() for m in self.cutter.finditer(normal))
 
     def decode(self, ids: list[int]) -> str:
         out: list[str] = []
@@ -251,7 +323,7 @@ class Pieces:
                 out.append(raw.decode("utf-8", "replace"))
                 raw.clear()
             piece = "" if self.kind[i] == 3 else " \u2047 " if self.kind[i] == 2 else self.text[i].replace(MARK, " ")
-            out.append(piece[1:] if k == 0 and self.dummy and piece.startswith(" ") else piece)
+            out.append(piece[1:] if k == 0 and (self.dummy or self.trim) and piece.startswith(" ") else piece)
         if raw:
             out.append(raw.decode("utf-8", "replace"))
         return "".join(out)
@@ -263,7 +335,7 @@ class Pieces:
             bytes([int(t[3:5], 16)]) if k == 6 else b"" if k == 3 else " \u2047 ".encode() if k == 2 else t.replace(MARK, " ").encode()
             for t, k in zip(self.text, self.kind, strict=True)
         ]
-        lead = np.array([self.dummy and k != 6 and p[:1] == b" " for p, k in zip(plain, self.kind, strict=True)], bool)
+        lead = np.array([(self.dummy or self.trim) and k != 6 and p[:1] == b" " for p, k in zip(plain, self.kind, strict=True)], bool)
         return pa.array([*plain, *[p[1:] if cut else p for p, cut in zip(plain, lead, strict=True)]], pa.binary()), lead
 
     def decode_array(self, ids: pa.ListArray) -> pa.Array:
@@ -281,22 +353,34 @@ class Pieces:
             return pa.array([None if r is None else r.decode("utf-8", "replace") for r in raw.to_pylist()], pa.string())
 
 
-class Memo(dict):
+class Memo(Recent):
     """Ids of a segment as int32 bytes, searched when first asked for."""
 
     def __init__(self, pieces: Pieces):
-        super().__init__()
+        super().__init__(MEMORY)
         self.pieces = pieces
 
     def __missing__(self, segment: str) -> bytes:
         p = self.pieces
-        short = len(segment) <= 4 * p.longest and p.whole(segment) and not p.unigram
-        found = array("i", p._window(segment) if short else p.stream(segment)).tobytes()
-        if len(segment) <= 64:
-            if len(self) >= MEMORY:
-                self.clear()
-            self[segment] = found
-        return found
+        if (found := self.old.get(segment)) is None:
+            short = len(segment) <= 4 * p.longest and p.whole(segment) and not p.unigram
+            found = array("i", p._window(segment) if short else p.stream(segment)).tobytes()
+        if len(segment) > 64:
+            return found
+        return self.keep(segment, found, sys.getsizeof(segment) + sys.getsizeof(found) + 110)
+
+    def encode(self, text: str | None) -> np.ndarray | None:
+        if text is None:
+            return None
+        raw = b"".join(map(self.__getitem__, self.pieces.segments(self.pieces.normal(text))))
+        return self.pieces.settle(np.frombuffer(raw, np.int32))
+
+    def encode_array(self, texts: list[str | None]) -> pa.ListArray:
+        coded = [self.encode(t) for t in texts]
+        known = [c for c in coded if c is not None]
+        ends = np.cumsum([0, *[0 if c is None else len(c) for c in coded]], dtype=np.int32)
+        offsets = pa.array(ends, pa.int32(), mask=np.array([*[c is None for c in coded], False]))
+        return pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(known) if known else np.zeros(0, np.int32)))
 
 
 @lru_cache(maxsize=2)
@@ -305,49 +389,51 @@ def _loaded(model: bytes) -> Memo:
 
 
 def encode(text: str | None, model: bytes) -> np.ndarray | None:
-    if text is None:
-        return None
-    memo = _loaded(model)
-    return np.frombuffer(b"".join([memo[w] for w in memo.pieces.segments(memo.pieces.normal(text))]), np.int32)
+    return _loaded(model).encode(text)
 
 
-def encode_texts(docs: DataFrame, *, model: str | None = None, text_col: str = "text", ids_col: str = "ids", keep: list[str] | None = None) -> DataFrame:
-    """The kept columns (all but the text, if none are named) and the text's ids; nothing is shuffled.
+def _sliced(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """A batch in slices of bounded bytes of one column, rows of more bytes alone."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False) + 16
+    ends = np.cumsum(sizes)
+    at = 0
+    while at < len(sizes):
+        end = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + SLICE, side="right")))
+        yield batch.slice(at, end - at)
+        at = end
 
-    The model file (its size is that of a vocabulary, not of the data) is read on the driver and broadcast.
-    """
+
+def _shared(docs: DataFrame, model: str):
+    """The model file (its size is that of a vocabulary, not of the data), read on the driver and broadcast."""
     ready(docs.sparkSession)
-    with open(model or default_model(), "rb") as f:
-        shared = docs.sparkSession.sparkContext.broadcast(f.read())
-    keep = [c for c in docs.columns if c not in (text_col, ids_col)] if keep is None else keep
-    names = [*dict.fromkeys([*keep, text_col])]
+    with open(model, "rb") as f:
+        return docs.sparkSession.sparkContext.broadcast(f.read())
+
+
+def encode_texts(docs: DataFrame, model: str, *, text_col: str = "text", ids_col: str = "ids", keep: list[str] | None = None) -> DataFrame:
+    """The kept columns (all but the text, if none are named) and the text's ids; nothing is shuffled."""
+    shared = _shared(docs, model)
+    keep = [c for c in docs.columns if c != text_col] if keep is None else keep
+    ids_col, names = free_name(ids_col, keep), [*dict.fromkeys([*keep, text_col])]
     cols = docs.select(*[f"`{c}`" for c in names])
     schema = T.StructType([*[cols.schema[c] for c in keep], T.StructField(ids_col, T.ArrayType(T.IntegerType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = _loaded(shared.value)
-        normal, segments = memo.pieces.normal, memo.pieces.segments
+        memo, text = _loaded(shared.value), names.index(text_col)
         for batch in batches:
-            texts = batch.column(names.index(text_col))
-            for at in range(0, max(1, len(texts)), 512):  # some hundred texts at a time bound what is held twice
-                part = [t.as_py() for t in texts[at : at + 512]]
-                coded = [b"" if t is None else b"".join([memo[w] for w in segments(normal(t))]) for t in part]
-                ends = np.cumsum([0, *[len(c) // 4 for c in coded]], dtype=np.int32)
-                offsets = pa.array(ends, pa.int32(), mask=np.array([*[t is None for t in part], False]))
-                ids = pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(coded), np.int32)))
-                kept = [batch.column(names.index(c)).slice(at, len(part)) for c in keep]
-                yield pa.RecordBatch.from_arrays([*kept, ids], names=[*keep, ids_col])
+            for part in _sliced(batch, text):
+                ids = memo.encode_array(part.column(text).to_pylist())
+                yield pa.RecordBatch.from_arrays([*[part.column(names.index(c)) for c in keep], ids], names=[*keep, ids_col])
+        release()
 
     return cols.mapInArrow(run, schema)
 
 
-def decode_ids(coded: DataFrame, *, model: str | None = None, ids_col: str = "ids", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+def decode_ids(coded: DataFrame, model: str, *, ids_col: str = "ids", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """The kept columns (all but the ids, if none are named) and the text that the ids stand for; nothing is shuffled."""
-    ready(coded.sparkSession)
-    with open(model or default_model(), "rb") as f:
-        shared = coded.sparkSession.sparkContext.broadcast(f.read())
-    keep = [c for c in coded.columns if c not in (text_col, ids_col)] if keep is None else keep
-    names = [*dict.fromkeys([*keep, ids_col])]
+    shared = _shared(coded, model)
+    keep = [c for c in coded.columns if c != ids_col] if keep is None else keep
+    text_col, names = free_name(text_col, keep), [*dict.fromkeys([*keep, ids_col])]
     cols = coded.select(*[f"`{c}`" for c in names])
     schema = T.StructType([*[cols.schema[c] for c in keep], T.StructField(text_col, T.StringType())])
 
@@ -358,23 +444,37 @@ def decode_ids(coded: DataFrame, *, model: str | None = None, ids_col: str = "id
                 part = batch.slice(at, 512)
                 texts = decode(part.column(names.index(ids_col)))
                 yield pa.RecordBatch.from_arrays([*[part.column(names.index(c)) for c in keep], texts], names=[*keep, text_col])
+        release()
 
     return cols.mapInArrow(run, schema)
 
 
-def round_trip(docs: DataFrame, *, model: str | None = None, text_col: str = "text", ids_col: str = "ids", keep: list[str] | None = None) -> DataFrame:
+def round_trip(docs: DataFrame, model: str, *, text_col: str = "text", ids_col: str = "ids", keep: list[str] | None = None) -> DataFrame:
     """What encode_texts gives, and of every row's ids decoded again: decoded_chars, decoded_sha256, round_trip.
 
-    round_trip says whether the decoded text is the text itself, by both hashes (so that texts need not travel with
-    the ids); it can't be where the text holds the space mark, which decodes to a space. A null text is decoded as
-    null, and that is a round trip.
+    round_trip says whether the decoded text is the text itself; it can't be where the text holds the space mark, which
+    decodes to a space. A null text is decoded as null, and that is a round trip. A slice of rows is encoded and, from
+    its ids, decoded in one pass, so that a task has one Python worker and no text travels with the ids.
     """
-    keep = [c for c in docs.columns if c not in (text_col, ids_col)] if keep is None else keep
-    hashed = docs.withColumn("__sha", F.sha2(text_col, 256))
-    coded = encode_texts(hashed, model=model, text_col=text_col, ids_col=ids_col, keep=[*keep, "__sha"])
-    back = decode_ids(coded, model=model, ids_col=ids_col, text_col="__decoded", keep=[*keep, "__sha", ids_col])
-    back = back.select(*keep, ids_col, "__sha", F.length("__decoded").alias("__n"), F.sha2("__decoded", 256).alias("decoded_sha256"))
-    return back.select(
-        *keep, ids_col, F.coalesce("__n", F.lit(0)).cast("long").alias("decoded_chars"), "decoded_sha256",
-        F.col("decoded_sha256").eqNullSafe(F.col("__sha")).alias("round_trip"),
-    )
+    shared = _shared(docs, model)
+    keep = [c for c in docs.columns if c != text_col] if keep is None else keep
+    names = [*dict.fromkeys([*keep, text_col])]
+    cols = docs.select(*[f"`{c}`" for c in names])
+    kinds = [(ids_col, T.ArrayType(T.IntegerType())), ("decoded_chars", T.LongType()), ("decoded_sha256", T.StringType()), ("round_trip", T.BooleanType())]
+    out = [free_name(c, keep) for c, _ in kinds]
+    schema = T.StructType([*[cols.schema[c] for c in keep], *[T.StructField(c, k) for c, (_, k) in zip(out, kinds, strict=True)]])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memo, text = _loaded(shared.value), names.index(text_col)
+        for batch in batches:
+            for part in _sliced(batch, text):
+                texts = part.column(text)
+                ids = memo.encode_array(texts.to_pylist())
+                back = memo.pieces.decode_array(ids)
+                chars = pc.fill_null(pc.utf8_length(back), 0).cast(pa.int64())
+                sha = pa.array([None if t is None else hashlib.sha256(t).hexdigest() for t in back.cast(pa.binary()).to_pylist()], pa.string())
+                same = pc.fill_null(pc.equal(back, texts.cast(pa.string())), True)
+                yield pa.RecordBatch.from_arrays([*[part.column(names.index(c)) for c in keep], ids, chars, sha, same], names=[*keep, *out])
+        release()
+
+    return cols.mapInArrow(run, schema)

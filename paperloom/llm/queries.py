@@ -11,6 +11,10 @@ from paperloom.llm import decontaminate, html_text, line_dedup, ngram_join, piec
 from paperloom.llm.common import table
 
 
+#: The public vocabulary that the queries and the pipeline encode with.
+MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+
+
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return decontaminate.verdicts(found)
@@ -25,7 +29,7 @@ def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    coded = pieces.round_trip(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    coded = pieces.round_trip(table(spark, sf_dir, "documents"), MODEL, keep=["doc_id"])
     n_ids = F.when(F.col("ids").isNotNull(), F.size("ids")).otherwise(0).cast("long").alias("n_ids")
     return coded.select("doc_id", "ids", n_ids, "decoded_chars", "decoded_sha256", "round_trip")
 

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paperloom.llm.common import ready, stage_table
+from paperloom.llm.common import free_name, ready, stage_table
 
 SHARDS = 16
 #: Bytes of a bucket, what pass two holds in memory at once: those of the texts and ROW_BYTES for each row.
@@ -124,9 +124,7 @@ def write_shards(
     copies are made again.
     """
     ready(docs.sparkSession)
-    folder = "shard"
-    while folder in docs.columns:
-        folder += "_"
+    folder = free_name("shard", docs.columns)
     carried = [f"`{c}`" for c in docs.columns]
     rows = docs.select(*carried, *_keys(docs, id_col, text_col))
     counted = stage_table(docs.select(*_keys(docs, id_col, text_col)).groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n")), "sizes")

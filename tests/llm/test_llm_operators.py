@@ -17,7 +17,7 @@ import corpus_pipeline
 from paperloom.llm import decontaminate, html_text, line_dedup, ngram_join, pieces, secret_scan, shard, topk, toxicity, url_filter
 from paperloom.llm.common import table, words
 from paperloom.llm.oracle import oracle_sql
-from paperloom.llm.queries import queries
+from paperloom.llm.queries import MODEL, queries
 
 DATA = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -229,10 +229,9 @@ def test_html_pages_hold_their_articles(spark):
 def test_pieces_against_the_library_and_round_trip(spark):
     import sentencepiece
 
-    model = pieces.default_model()
-    with open(model, "rb") as f:
+    with open(MODEL, "rb") as f:
         raw = f.read()
-    own, sp = pieces.Pieces(raw), sentencepiece.SentencePieceProcessor(model_file=model)
+    own, sp = pieces.Pieces(raw), sentencepiece.SentencePieceProcessor(model_file=MODEL)
     rng = random.Random(4)
     parts = [" ", "  ", "a", "th", "ing", "é", "ß", "\n", "\t", "中", "😀", "▁", "The", "!!", "....", "½", "<s>", "<0x0A>", "aaaa"]
     texts = ["".join(rng.choices(parts, k=rng.randint(0, 60))) for _ in range(300)]
@@ -240,10 +239,10 @@ def test_pieces_against_the_library_and_round_trip(spark):
     for t in texts:
         assert own.search(t) == sp.encode(t) == pieces.encode(t, raw).tolist()
         assert own.decode(sp.encode(t)) == sp.decode(sp.encode(t))
-    coded = pieces.encode_texts(docs_of(spark, [None, "", *texts]))
-    back = {r.doc_id: r.text for r in pieces.decode_ids(coded).collect()}
+    coded = pieces.encode_texts(docs_of(spark, [None, "", *texts]), MODEL)
+    back = {r.doc_id: r.text for r in pieces.decode_ids(coded, MODEL).collect()}
     assert [back[i] for i in range(len(texts) + 2)] == [None, "", *[t.replace("▁", " ") for t in texts]]
-    assert pieces.encode_texts(docs_of(spark, []).limit(0)).count() == 0
+    assert pieces.encode_texts(docs_of(spark, []).limit(0), MODEL).count() == 0
 
 
 def test_pieces_query_decodes_every_row(spark):
@@ -253,18 +252,70 @@ def test_pieces_query_decodes_every_row(spark):
     for r in docs:
         back, row = r.text.replace("▁", " "), got[r.doc_id]
         assert (row.decoded_chars, row.decoded_sha256, row.round_trip) == (len(back), hashlib.sha256(back.encode()).hexdigest(), back == r.text)
-    with open(pieces.default_model(), "rb") as f:
+    with open(MODEL, "rb") as f:
         own = pieces.Pieces(f.read())
     rng = random.Random(41)
     ids = [None, [], *[[rng.choice([rng.randrange(len(own.text)), own.byte[rng.randrange(256)], own.byte[0xC3]]) for _ in range(20)] for _ in range(200)]]
-    back = pieces.decode_ids(spark.createDataFrame(list(enumerate(ids)), "doc_id long, ids array<int>")).collect()
+    back = pieces.decode_ids(spark.createDataFrame(list(enumerate(ids)), "doc_id long, ids array<int>"), MODEL).collect()
     assert {r.doc_id: r.text for r in back} == {k: None if x is None else own.decode(x) for k, x in enumerate(ids)}
     odd = [None, "", " ", "a▁b", "é😀\n中  x"]
-    rows = {r.doc_id: r for r in pieces.round_trip(docs_of(spark, odd)).collect()}
+    rows = {r.doc_id: r for r in pieces.round_trip(docs_of(spark, odd), MODEL).collect()}
     assert [rows[i].round_trip for i in range(5)] == [True, True, True, False, True]
     assert (rows[0].decoded_sha256, rows[0].decoded_chars, rows[3].decoded_chars, rows[4].lang) == (None, 0, 3, "en")
 
 
+def unigram_model(entries, trim, fallback):
+    """A vocabulary written by hand as a model file: (piece, score, kind) of each id."""
+    import struct
+
+    def field(n, kind, value):
+        if kind == 2:
+            return bytes([n << 3 | 2]) + varint(len(value)) + value
+        return bytes([n << 3 | kind]) + (varint(value) if kind == 0 else struct.pack("<f", value))
+
+    def varint(n):
+        return bytes([n & 127 | 128]) + varint(n >> 7) if n > 127 else bytes([n])
+
+    entries = [("<unk>", 0.0, 2), ("<s>", 0.0, 3), ("</s>", 0.0, 3), *[(f"<0x{b:02X}>", 0.0, 6) for b in range(256 * fallback)], *entries]
+    out = b"".join(field(1, 2, field(1, 2, p.encode()) + field(2, 5, x) + field(3, 0, k)) for p, x, k in entries)
+    trainer = field(3, 0, 1) + (bytes([35 << 3 & 127 | 128, 35 >> 4]) + varint(1) if fallback else b"")
+    return out + field(2, 2, trainer) + field(3, 2, field(1, 2, b"identity") + field(3, 0, 1) + field(4, 0, int(trim)))
+
+
+@pytest.mark.parametrize(("trim", "fallback"), [(False, False), (True, False), (False, True)])
+def test_unigram_viterbi_against_the_library(trim, fallback):
+    import sentencepiece
+
+    rng = random.Random(44)
+    words_ = ["▁", "a", "b", "c", "ab", "ba", "abc", "▁a", "▁ab", "cc", "ccc", "abab", "▁the", "th", "e", "é", "aé", "xy"]
+    raw = unigram_model([(w, -rng.randrange(8, 80) / 8, 1) for w in words_], trim, fallback)
+    own, sp = pieces.Pieces(raw), sentencepiece.SentencePieceProcessor(model_proto=raw)
+    parts = ["a", "b", "c", "ab", " ", "  ", "the", "é", "x", "xy", "中", "中中", "\n", "cccc"]
+    for n in [*range(60)] * 4 + [3000, 20000]:
+        text = "".join(rng.choices(parts, k=n))
+        assert own.search(text) == sp.encode(text) == pieces.encode(text, raw).tolist()
+        assert own.decode(own.search(text)) == sp.decode(sp.encode(text))
+
+
+def test_pieces_defined_cases_and_bounded_memory(spark, monkeypatch):
+    """Repeated rows, clashing names, a long text, and the same ids however little a worker remembers."""
+    texts = ["same", "same", None, "", "long words " * 60_000 + "z" * 30_000]
+    docs = docs_of(spark, texts).withColumns({"ids": F.lit("own"), "round_trip": F.lit(7)})
+    got = {r.doc_id: r for r in pieces.round_trip(docs, MODEL).collect()}
+    assert all(got[i].ids == "own" and got[i].round_trip == 7 and got[i].round_trip_ for i in range(5))
+    assert got[0].ids_ == got[1].ids_ and got[2].ids_ is None and got[3].ids_ == [] and got[4].decoded_chars == len(texts[4])
+    assert pieces.encode_texts(docs, MODEL).columns == ["doc_id", "lang", "source", "n_chars", "ids", "round_trip", "ids_"]
+    assert pieces.round_trip(docs.limit(0), MODEL).count() == 0
+    with open(MODEL, "rb") as f:
+        raw = f.read()
+    monkeypatch.setattr(pieces, "MEMORY", 4000)
+    memo, rng = pieces.Memo(pieces.Pieces(raw)), random.Random(45)
+    for _ in range(200):
+        text = " ".join(rng.choice(["the", "a", "ing", "éa", "other", "thing"]) + str(rng.randrange(300)) for _ in range(20))
+        assert memo.encode(text).tolist() == pieces.encode(text, raw).tolist()
+        assert memo.held <= 2000 and sum(map(len, memo)) < 2000 and len(memo.pieces.pairs) <= 2000 // 110
+
+
 # 5 -------------------------------------------------------------------------------------------------------------
 
 BASE = (
@@ -554,7 +605,7 @@ def test_pipeline_against_plain_stages(spark):
     items = [(str(r.item_id), r.text) for r in table(spark, DATA, "benchmark").collect()]
     hits = {i: brute_hits(t, items) for i, t in texts.items()}
     texts = {i: t for i, t in texts.items() if not (hits[i][1] > 0 and 20 * hits[i][1] >= hits[i][0])}
-    with open(pieces.default_model(), "rb") as f:
+    with open(MODEL, "rb") as f:
         own = pieces.Pieces(f.read())
     got = {r.doc_id: (list(r.ids), r.n_chars) for r in corpus_pipeline.run(spark, DATA).collect()}
     assert got == {i: (own.search(t), len(t)) for i, t in texts.items()}
