@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from paperloom.llm import decontaminate, line_dedup, ngram_join, pieces, toxicity
 from paperloom.llm.common import shared_dir, table, without_ids
+from paperloom.llm.queries import MODEL
 
 
 def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,7 +37,7 @@ def benchmark_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, n_chars, the ids of the text, and length, hash and round-trip flag of the ids decoded again."""
-    return pieces.round_trip(docs)
+    return pieces.round_trip(docs, MODEL)
 
 
 STAGES = [
