@@ -5,8 +5,9 @@ ratio, on enough pages, are dropped from all pages of that host. Lines are compa
 around them, by a 128-bit hash.
 
 Defined cases: a null text stays null; a null host is a host of its own. Blank lines are never counted or
-dropped. A page on which every line would go is a copy rather than a frame around a text, and is left as it is
-for the near-duplicate operators. Repeated rows are pages each. All other columns are kept. Empty tables give
+dropped. A page on which every line goes becomes empty, unless whole copies are to be spared for a near-duplicate
+operator that follows (spare_copies). Repeated rows are pages each. Lines are read whole, however long and many. All
+other columns are kept, and a count whose name an input column has gets underscores after it. Empty tables give
 empty results.
 """
 
@@ -15,10 +16,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paperloom.llm.common import stage_table
+from paperloom.llm.common import free_name, stage_table
 
-RATIO = 0.1  # of a host's pages: lines above it are boilerplate
-BROADCAST_BYTES = 32 << 20  # of the lines to drop, 24 bytes each
+RATIO = 0.07  # of a host's pages: lines above it are boilerplate
+BROADCAST_BYTES = 32 << 20  # of the lines to drop, 56 bytes each
 PAGES = 3  # a line on fewer pages is no boilerplate, however small the host
 
 
@@ -30,7 +31,7 @@ def _trim(line: Column) -> Column:
 
 
 def _key(trimmed: Column) -> Column:
-    return F.unhex(F.md5(trimmed))
+    return F.md5(trimmed)
 
 
 def _lines(text: Column) -> Column:
@@ -49,7 +50,7 @@ def boilerplate(docs: DataFrame, *, host_col: str = "source", text_col: str = "t
 
 
 def strip_lines(
-    docs: DataFrame, *, host_col: str = "source", text_col: str = "text", ratio: float = RATIO, pages: int = PAGES,
+    docs: DataFrame, *, host_col: str = "source", text_col: str = "text", ratio: float = RATIO, pages: int = PAGES, spare_copies: bool = False,
 ) -> DataFrame:
     """docs with the boilerplate lines out of their texts, and n_lines, n_dropped (long).
 
@@ -61,17 +62,19 @@ def strip_lines(
     sets = drop.groupBy("host").agg(F.collect_list("line").alias("__drop")).withColumnRenamed("host", "__host")
     host = F.coalesce(F.concat(F.lit("="), F.col(host_col)), F.lit("null"))
     sets = stage_table(sets, "boilerplate")
-    few = (sets.agg(F.sum(F.size("__drop"))).first()[0] or 0) * 24 <= BROADCAST_BYTES
+    few = (sets.agg(F.sum(F.size("__drop"))).first()[0] or 0) * 56 <= BROADCAST_BYTES
     rows = docs.withColumn("__host", host).join(F.broadcast(sets) if few else sets, "__host", "left")
     lines = F.col("__lines")
     rows = rows.withColumn("__lines", _lines(F.col(text_col)))
-    # Hosts without boilerplate, most texts of a clean corpus, skip the hashing of their lines.
-    left = F.when(F.col("__drop").isNotNull(), F.filter(lines, lambda x: ~F.array_contains("__drop", _key(_trim(x)))))
-    rows = rows.withColumn("__left", left)
-    stays = F.exists("__left", lambda x: _trim(x) != "")
-    rows = rows.withColumn("__kept", F.when(stays, F.col("__left")).otherwise(lines))
+    # Hosts without boilerplate, most texts of a clean corpus, skip the hashing of their lines. The page's own lines
+    # that go are found by one hashed intersection; each line is then held against those alone.
+    rows = rows.withColumn("__keys", F.when(F.col("__drop").isNotNull(), F.transform(lines, lambda x: _key(_trim(x)))))
+    rows = rows.withColumn("__gone", F.array_intersect("__keys", "__drop"))
+    kept = F.when(F.size("__gone") > 0, F.filter(lines, lambda x, i: ~F.array_contains("__gone", F.get("__keys", i)))).otherwise(lines)
+    rows = rows.withColumn("__kept", kept)
+    if spare_copies:
+        rows = rows.withColumn("__kept", F.when(F.exists("__kept", lambda x: _trim(x) != ""), F.col("__kept")).otherwise(lines))
     known = F.col(text_col).isNotNull()
     n_lines, n_kept = (F.when(known, F.size(c)).otherwise(0).cast("long") for c in ("__lines", "__kept"))
-    out = [F.array_join("__kept", "\n").alias(c) if c == text_col else F.col(c) for c in docs.columns]
-    extra = {"n_lines": n_lines, "n_dropped": n_lines - n_kept}
-    return rows.select(*out, *[v.alias(k) for k, v in extra.items() if k not in docs.columns])
+    out = [F.array_join("__kept", "\n").alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns]
+    return rows.select(*out, n_lines.alias(free_name("n_lines", docs.columns)), (n_lines - n_kept).alias(free_name("n_dropped", docs.columns)))

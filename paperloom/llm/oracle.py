@@ -59,10 +59,9 @@ l AS (SELECT host, unnest(list_distinct([regexp_replace(x, '^\s+|\s+$', '', 'g')
 c AS (SELECT host, line, count(*) AS n FROM l GROUP BY host, line HAVING count(*) >= {line_dedup.PAGES}),
 t AS (SELECT host, count(*) AS total FROM d GROUP BY host),
 b AS (SELECT c.host, list(line) AS gone FROM c JOIN t ON c.host = t.host WHERE n / total > {line_dedup.RATIO} GROUP BY c.host),
-k AS (SELECT doc_id, source, text, lines, [x for x in lines if NOT list_contains(coalesce(gone, []::VARCHAR[]), regexp_replace(x, '^\s+|\s+$', '', 'g'))] AS kept FROM d LEFT JOIN b ON d.host = b.host),
-e AS (SELECT *, CASE WHEN len([x for x in kept if regexp_matches(x, '\S')]) = 0 THEN lines ELSE kept END AS final FROM k)
-SELECT doc_id, source, CASE WHEN text IS NULL THEN NULL ELSE array_to_string(final, chr(10)) END AS text,
-       coalesce(len(lines), 0)::BIGINT AS n_lines, (coalesce(len(lines), 0) - coalesce(len(final), 0))::BIGINT AS n_dropped FROM e
+k AS (SELECT doc_id, source, text, lines, [x for x in lines if NOT list_contains(coalesce(gone, []::VARCHAR[]), regexp_replace(x, '^\s+|\s+$', '', 'g'))] AS kept FROM d LEFT JOIN b ON d.host = b.host)
+SELECT doc_id, source, CASE WHEN text IS NULL THEN NULL ELSE array_to_string(kept, chr(10)) END AS text,
+       coalesce(len(lines), 0)::BIGINT AS n_lines, (coalesce(len(lines), 0) - coalesce(len(kept), 0))::BIGINT AS n_dropped FROM k
 """
 
 

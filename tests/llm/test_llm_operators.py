@@ -423,7 +423,25 @@ def test_line_dedup(spark):
     out = line_dedup.strip_lines(spark.createDataFrame(rows, DOCS).withColumn("line", F.lit("kept")))
     got = {r.doc_id: r for r in out.collect()}
     assert got[3].text == "own line 3" and got[3].n_dropped == 2 and got[3].line == "kept"
-    assert (got[10].text, got[11].text, got[12].text, got[13].text) == ("Top", None, "Top\nx", "\n\n")
+    assert (got[10].text, got[11].text, got[12].text, got[13].text) == ("", None, "Top\nx", "\n\n")
+    spared = line_dedup.strip_lines(spark.createDataFrame(rows, DOCS), spare_copies=True).collect()
+    assert {r.doc_id: r.text for r in spared} == {i: r.text for i, r in got.items()} | {10: "Top"}
+
+
+def test_line_dedup_defined_cases(spark):
+    """Repeated rows are pages each; long texts, clashing counts and the paths beyond the broadcast."""
+    long = "\n".join(f"line {i}" for i in range(200_000))
+    rows = [(1, "a\nfoot", "en", "h", 1)] * 4 + [(2, f"{long}\nfoot", "en", "h", 1), (3, None, None, None, None)]
+    docs = spark.createDataFrame(rows, DOCS).withColumns({"n_lines": F.lit("own"), "n_dropped": F.lit(5)})
+    with_limit = line_dedup.BROADCAST_BYTES
+    for limit in (with_limit, -1):
+        line_dedup.BROADCAST_BYTES = limit
+        got = line_dedup.strip_lines(docs)
+        rows = sorted(got.collect(), key=lambda r: r.doc_id)
+        assert [r.text for r in rows] == [""] * 4 + [long, None]
+        assert {(r.n_lines, r.n_dropped) for r in rows} == {("own", 5)} and [r.n_dropped_ for r in rows] == [2, 2, 2, 2, 1, 0]
+    line_dedup.BROADCAST_BYTES = with_limit
+    assert line_dedup.strip_lines(docs.limit(0)).count() == 0
 
 
 # 8 -------------------------------------------------------------------------------------------------------------
