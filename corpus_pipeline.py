@@ -20,8 +20,11 @@ def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def boilerplate_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with the boilerplate lines of their source out of the text, and n_chars of what is left."""
-    out = line_dedup.strip_lines(docs).drop("n_lines", "n_dropped")
+    """Documents with the boilerplate lines of their source out of the text, and n_chars of what is left.
+
+    A text that is boilerplate as a whole is a copy, which the next stage judges, so it stays as it is.
+    """
+    out = line_dedup.strip_lines(docs, spare_copies=True)
     return out.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
