@@ -454,22 +454,55 @@ def near(rng, text, k):
     return " ".join(ws)
 
 
-@pytest.mark.parametrize("hot", [ngram_join.HOT, 16])
-def test_ngram_join_against_brute_force(spark, monkeypatch, hot):
-    monkeypatch.setattr(ngram_join, "HOT", hot)
+@pytest.mark.parametrize("small", [False, True])
+def test_ngram_join_against_brute_force(spark, monkeypatch, small):
+    """With repeated rows, null ids and texts without words; small: hot nodes, cores and blocks from a few texts on."""
+    for name, value in dict(HOT=6, CORE=8, BLOCK_TEXTS=5, BROADCAST_BYTES=0).items() if small else ():
+        monkeypatch.setattr(ngram_join, name, value)
     rng = random.Random(8)
-    base = [" ".join(f"w{rng.randrange(900)}" for _ in range(rng.choice([4, 30, 120]))) for _ in range(25)]
-    texts = [None, "", "!?", *base, *base[:5], *[near(rng, base[k % 6], rng.randrange(1, 4)) for k in range(50)]]
+    base = [" ".join(f"w{rng.randrange(900)}" for _ in range(rng.choice([4, 8, 30, 120]))) for _ in range(25)]
+    wide = " ".join(f"w{rng.randrange(900)}" for _ in range(150))
+    texts = [None, None, "", "!?", "---", *base, *base[:5], *[near(rng, base[k % 6], rng.randrange(1, 4)) for k in range(50)], *[near(rng, wide, rng.randrange(5)) for _ in range(40)]]
     rng.shuffle(texts)
-    got = {r.doc_id: (r.class_id, r.n_links) for r in ngram_join.classes(docs_of(spark, texts)).collect()}
-    assert got == ngram_join.brute_force(list(enumerate(texts)))
-    kept = {r.doc_id for r in ngram_join.one_of_each(docs_of(spark, texts)).select("doc_id").collect()}
-    assert kept == {c for c, _ in got.values()}
+    rows = [(None if i % 13 == 5 else i, t, "en", f"s{i}", i) for i, t in enumerate(texts)]
+    rows += rows[:9] + [(None, "alone and with null ids only", "en", "s", 1)] * 2
+    docs = spark.createDataFrame(rows, DOCS).withColumns({"class_id": F.lit("own"), "n_links": F.lit(1)})
+    got = Counter((r.doc_id, r.class_id, r.n_links) for r in ngram_join.classes(docs).collect())
+    want = ngram_join.brute_force([r[:2] for r in rows])
+    assert got == Counter(want)
+    kept = ngram_join.one_of_each(docs).collect()
+    # One row of each class; which ids have a class is told by the brute force, classes of null ids alone are two here.
+    named = {c for _, c, _ in want if c is not None}
+    assert sorted(r.doc_id for r in kept if r.doc_id is not None) == sorted(named)
+    assert len([r for r in kept if r.doc_id is None]) == len({t for (i, t, *_), (_, c, _) in zip(rows, want, strict=True) if c is None})
+    assert all(r.class_id == "own" for r in kept)
+    assert ngram_join.classes(docs.limit(0)).count() == ngram_join.one_of_each(docs.limit(0)).count() == 0
+
+
+def test_ngram_join_of_string_ids_and_long_texts(spark):
+    long = " ".join(f"w{i}" for i in range(100_000))
+    rows = [("b", long), ("a", long + " x"), ("c", "w1 w2 w3"), (None, None)]
+    got = {r.key: (r.class_id, r.n_links) for r in ngram_join.classes(spark.createDataFrame(rows, "key string, body string"), id_col="key", text_col="body").collect()}
+    assert got == {"a": ("a", 1), "b": ("a", 1), "c": ("c", 0), None: (None, 0)}
 
 
 def test_depth_reaches_the_recall():
     d = ngram_join.depth_for()
     assert 1 - (1 - 0.8**d) ** ngram_join.TREES >= 0.9999 > 1 - (1 - 0.8 ** (d + 1)) ** ngram_join.TREES
+    assert ngram_join.least_similarity(3, 0.8) == 1.0 and abs(ngram_join.least_similarity(6, 0.8) - 5 / 6) < 1e-9
+    assert ngram_join.depth_for(1.0) == ngram_join.DEPTH
+
+
+def test_overlaps_by_matrices_and_lists_agree(monkeypatch):
+    import numpy as np
+
+    rng = np.random.default_rng(9)
+    sets = [np.unique(np.concatenate([rng.integers(0, 60, 30), rng.integers(100, 5000, 10)])) for _ in range(70)]
+    left, right = np.arange(40), np.arange(20, 70)
+    want = [[len(np.intersect1d(sets[i], sets[j])) for j in right] for i in left]
+    for dense in (0, 2, 150, 10**9):
+        monkeypatch.setattr(ngram_join, "DENSE", dense)
+        assert ngram_join._overlaps(sets, left, right).tolist() == want
 
 
 # 9 -------------------------------------------------------------------------------------------------------------
@@ -618,8 +651,8 @@ def test_pipeline_against_plain_stages(spark):
     for r in rows:
         kept = [x for x in r.text.split("\n") if (r.source, x.strip(" \t\n\x0b\f\r")) not in drop]
         texts[r.doc_id] = "\n".join(kept) if any(x.strip() for x in kept) else r.text
-    classes = ngram_join.brute_force(list(texts.items()))
-    texts = {i: t for i, t in texts.items() if classes[i][0] == i}
+    first = {i: c for i, c, _ in ngram_join.brute_force(list(texts.items()))}
+    texts = {i: t for i, t in texts.items() if first[i] == i}
     items = [(str(r.item_id), r.text) for r in table(spark, DATA, "benchmark").collect()]
     hits = {i: brute_hits(t, items) for i, t in texts.items()}
     texts = {i: t for i, t in texts.items() if not (hits[i][1] > 0 and 20 * hits[i][1] >= hits[i][0])}
