@@ -22,6 +22,7 @@ from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -248,10 +249,10 @@ def find_matches(
     second = next(blocks, None)
     if second is None:
         return judged(docs, schema, doc_id, first)
-    rows = stage_table(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
-    keyed = MATCHES.format(id="`__row`", kind="long")
-    parts = [judged(rows, keyed, "__row", b) for b in chain([first, second], blocks)]
-    both = reduce(DataFrame.unionByName, parts).groupBy("__row").agg(
+    rows = stage_table(docs.withColumn("__key", F.monotonically_increasing_id()), "rows")
+    keyed = MATCHES.format(id="`__key`", kind="long")
+    parts = [judged(rows, keyed, "__key", b) for b in chain([first, second], blocks)]
+    both = reduce(DataFrame.unionByName, parts).groupBy("__key").agg(
         F.max("n_words").alias("n_words"), F.flatten(F.collect_list("hits")).alias("hits"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("item_ids")))).alias("item_ids"),
         F.flatten(F.collect_list("matches")).alias("matches"),
@@ -269,7 +270,7 @@ def find_matches(
     )
     both = both.withColumn("hits", merged)
     n_hit = F.aggregate("hits", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"])
-    both = both.join(rows.select("__row", doc_id), "__row")
+    both = both.join(rows.select("__key", doc_id), "__key")
     return both.select(doc_id, "n_words", n_hit.alias("n_hit"), "hits", "item_ids", "matches")
 
 
@@ -282,7 +283,29 @@ def verdicts(matches: DataFrame, doc_id: str = "doc_id", share: int = 20) -> Dat
     )
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, *, window: int = 13, doc_id: str = "doc_id", doc_text: str = "text") -> DataFrame:
-    """docs without the contaminated ones. Rows with a null id stay; rows that repeat an id go if one of them is bad."""
-    judged = verdicts(find_matches(docs, items, window=window, doc_id=doc_id, doc_text=doc_text), doc_id)
-    return without_ids(docs, judged.filter("contaminated").select(doc_id), doc_id)
+def decontaminate(
+    docs: DataFrame, items: DataFrame, *, window: int = 13, doc_text: str = "text", item_id: str = "item_id", item_text: str = "text",
+    share: int = 20, block_words: int = BLOCK_WORDS,
+) -> DataFrame:
+    """docs without the contaminated rows; each is judged by its own text, whatever its id.
+
+    While one block holds the test set, rows are dropped as they are read. With more blocks they are first written to
+    the shared folder with a key of their own, and leave by that key.
+    """
+    ready(docs.sparkSession)
+    blocks = _blocks(items, item_id, item_text, block_words)
+    first, second = next(blocks, []), next(blocks, None)
+    if second is not None:
+        rows = stage_table(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
+        found = find_matches(rows, items, window=window, doc_id="__row", doc_text=doc_text, item_id=item_id, item_text=item_text, block_words=block_words)
+        return without_ids(rows, verdicts(found, "__row", share).filter("contaminated").select("__row"), "__row").drop("__row")
+    shared, at = docs.sparkSession.sparkContext.broadcast(TestIndex(first, window)), docs.columns.index(doc_text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pdf = pd.DataFrame({"row": np.arange(batch.num_rows), "text": pd.Series(batch.column(at).to_pylist(), dtype=object)})
+            clean = [(part["n_hit"] == 0) | (share * part["n_hit"] < part["n_words"]) for part in _judge(pdf, "row", "text", shared.value)]
+            yield batch.filter(pa.array(np.concatenate(clean) if clean else [], pa.bool_()))
+        release()
+
+    return docs.mapInArrow(run, docs.schema)

@@ -1,16 +1,21 @@
 """Toxicity by compression distance with zstandard dictionaries.
 
-One dictionary is trained on ordinary text, one on toxic text. A toxic text is ordinary text with something in
-it, so the toxic dictionary is the ordinary one's content after what training finds in the passages that
-set toxic texts apart: both then compress an ordinary window alike, and the difference of a window's compressed
-lengths is what the toxic part saves. A window is a run of words. Windows whose difference reaches a threshold
-count as toxic; threshold and the logistic curve over a text's counts are calibrated on labelled texts that the
-dictionaries were not trained on.
+One dictionary is made of ordinary text, one of toxic text. A toxic text is ordinary text with something in it, so a
+dictionary of whole toxic rows would mostly be one of ordinary text again. So both are made by contrast: stretches of
+a few characters that stand much more often in toxic rows than in ordinary ones are marked; the toxic dictionary is
+made of the passages and words of toxic rows that hold them, and the ordinary one is trained on ordinary rows without
+such words. The toxic dictionary is then put before the ordinary one's content: both compress an ordinary window
+alike, and the difference of a window's compressed lengths is what the toxic part saves. A window is a run of words.
+
+The thresholds on the differences, and the logistic curve over a text's counts of windows beyond each threshold, are
+calibrated on labelled rows that the dictionaries were not made of.
 
 Defined cases: a null text is scored like an empty one, by the curve at no windows. Every window of a text is
-compared, however long it is; letters are lower-cased first. Rows that repeat get equal scores. A label that is
-null, or whose row has no text, teaches nothing; of several labels of an id the largest counts. With no toxic
-or no ordinary label the score is the toxic share of the labels (0 without labels). Other columns are ignored.
+compared, however long it is; letters are lower-cased first. Rows that repeat get equal scores, and rows with a null
+id are scored like others. A label that is null, or whose row has no text, teaches nothing; of several labels of an id
+the largest counts, of several texts the smallest. With no toxic or no ordinary label the score is the toxic share of
+the labels (0 without labels). Other columns are ignored by score_texts and kept by without_toxic. Empty tables give
+empty results.
 """
 
 from __future__ import annotations
@@ -22,21 +27,25 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paperloom.llm.common import ready, release
 
-#: The bounded sample of labelled rows that the model is fitted on: rows of each class, and characters of a row
-#: (longer rows give a seeded stretch to the fit; scoring reads all of every text).
+#: The bounded sample of labelled rows that the model is fitted on: whole rows of each class.
 SAMPLE_ROWS = 3000
-SAMPLE_CHARS = 20_000
-WINDOW = 16  # words; chosen on labelled rows outside the held-out fold
-GRAM = 5  # characters by which training passages are told apart
+WINDOW = 16  # words; chosen on labelled rows outside the held-out fold, as are the next five
+GRAM = 5  # characters of a stretch
+ODDS = 4.0  # how many times as often a marked stretch stands in toxic rows
+SURE = 8.0  # standard deviations by which it has to be more often
+ROWS = 0.02  # share of the toxic rows, and three at least, that hold it
+RIDGE = 1.0  # of the curve's weights
+THRESHOLDS = (1, 2, 3, 4, 6)  # bytes saved; the curve weighs them
+PER_ROW = 3  # of a stretch, counted in one row
 DICT_BYTES = 48 << 10  # of the ordinary dictionary
-TOXIC_BYTES = 8 << 10  # of what the toxic one adds
+TOXIC_BYTES = 16 << 10  # of what the toxic one adds
 LEAD = 48  # bytes before each window
 SEED = 11
 
@@ -53,11 +62,10 @@ def windows(text: str, size: int = WINDOW) -> list[bytes]:
 
 @dataclass
 class Model:
-    """Dictionaries' contents, the window threshold, the curve's weights and the share of toxic labels."""
+    """Dictionaries' contents, the curve's weights and the share of toxic labels."""
 
     ordinary: bytes
     toxic: bytes
-    threshold: int
     weights: tuple[float, ...]
     share: float
 
@@ -88,10 +96,12 @@ class Scorer:
         return [len(a(lead + w)) - len(b(lead + w)) for w in windows(text or "")]
 
     def features(self, text: str | None) -> np.ndarray:
-        d = self.differences(text)
-        n, th = len(d), self.model.threshold
-        hits = [sum(x >= t for x in d) for t in (th, th + 1, th + 2)]
-        return np.array([1.0, *map(math.log1p, hits), hits[0] / max(1, n), hits[1] / max(1, n), min(max(d, default=0), 12) / 8, math.log1p(max(n, 4)) / 4])
+        d = np.array(self.differences(text), float)
+        n, saved = len(d), np.maximum(d, 0)
+        reach = [int((d >= t).sum()) for t in THRESHOLDS]
+        shares = [k / max(1, n) for k in (reach[0], reach[1], reach[3])]
+        most, mean = min(float(d.max(initial=0)), 12.0) / 8, float(saved.sum()) / max(1, n)
+        return np.array([1.0, *map(math.log1p, reach), *shares, most, mean, math.log1p(saved.sum()), math.log(max(n, 4)) / 4])
 
     def score(self, text: str | None) -> float:
         if not self.model.weights:
@@ -100,23 +110,49 @@ class Scorer:
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
 
-def _grams(text: str) -> set[str]:
-    t = " " + " ".join(text.lower().split()) + " "
-    return {t[i : i + GRAM] for i in range(len(t) - GRAM + 1)}
+def _spaced(text: str) -> str:
+    return " " + " ".join(text.lower().split()) + " "
+
+
+def _stretches(t: str) -> Iterator[str]:
+    return (t[i : i + GRAM] for i in range(len(t) - GRAM + 1))
+
+
+def marked_stretches(rows: list[tuple[str, int]]) -> set[str]:
+    """The stretches that stand ODDS times as often in toxic rows as in ordinary ones, and surely so."""
+    count, holders, total, toxic = [Counter(), Counter()], Counter(), [0, 0], 0
+    for text, y in rows:
+        found = Counter(_stretches(_spaced(text)))
+        for g, n in found.items():
+            count[y][g] += min(n, PER_ROW)
+        total[y] += sum(min(n, PER_ROW) for n in found.values())
+        if y:
+            toxic += 1
+            holders.update(found.keys())
+    out = set()
+    for g, n in count[1].items():
+        expected = (count[0][g] + 0.5) * total[1] / max(1, total[0])
+        if holders[g] >= max(3, ROWS * toxic) and n > ODDS * expected and n - expected > SURE * math.sqrt(expected + 0.5):
+            out.add(g)
+    return out
 
 
 def _passages(text: str, marked: set[str]) -> list[str]:
-    """The stretches of a toxic text that marked grams cover."""
-    t = " " + " ".join(text.lower().split()) + " "
+    """The stretches of a toxic text that marked ones cover, and the words that hold one."""
+    t = _spaced(text)
     out, start, end = [], 0, 0
-    for i in range(len(t) - GRAM + 1):
-        if t[i : i + GRAM] in marked:
+    for i, g in enumerate(_stretches(t)):
+        if g in marked:
             if i > end:
                 out.append(t[start:end])
                 start = i
             end = i + GRAM
     out.append(t[start:end])
-    return [x for x in out if x]
+    return [*[x for x in out if x], *[f" {w} " for w in t.split() if _holds(w, marked)]]
+
+
+def _holds(word: str, marked: set[str]) -> bool:
+    return any(g in marked for g in _stretches(f" {word} "))
 
 
 def _dictionary(samples: list[bytes], size: int) -> bytes:
@@ -141,42 +177,23 @@ def fit(rows: list[tuple]) -> Model:
     rows = _different([r[:2] for r in rows])
     train = [(t, y) for k, (t, y) in enumerate(rows) if k % 3]
     held = [r for k, r in enumerate(rows) if k % 3 == 0]
-    toxic, ordinary = [t for t, y in train if y], [t for t, y in train if not y]
-    if min(len(toxic), len(ordinary), sum(y for _, y in held), sum(1 - y for _, y in held)) < 3:
-        return Model(b"", b"", 0, (), share)
-    # Grams that many toxic texts have and hardly an ordinary one, each text counting once.
-    seen = [Counter(), Counter()]
-    for t, y in train:
-        seen[y].update(_grams(t))
-    marked = {
-        g for g, n in seen[1].items()
-        if n >= max(3, 0.01 * len(toxic)) and n / len(toxic) > 20 * (seen[0][g] + 0.2) / len(ordinary)
-    }
-    found = Counter(w for t in toxic for w in _passages(t, marked))
-    samples = [w.encode() for w, n in found.most_common() for _ in range(min(n, 50))]
-    common = [w for t in ordinary for w in windows(t)]
-    model = Model(_dictionary(common, DICT_BYTES), _toxic(samples, found), 1, (0.0,), share)
+    if min(sum(r[1] == y for r in part) for part in (train, held) for y in (0, 1)) < 3:
+        return Model(b"", b"", (), share)
+    marked = marked_stretches(train)
+    # What stands twice or more; the commonest last, nearest to the window.
+    found = Counter(w for t, y in train if y for w in _passages(t, marked))
+    toxic = b"".join(w.encode("utf-8", "surrogatepass") for w, n in reversed(found.most_common()) if n > 1)[-TOXIC_BYTES:]
+    plain = (" ".join(w for w in t.lower().split() if not _holds(w, marked)) for t, y in train if not y)
+    model = Model(_dictionary([w for t in plain for w in windows(t)], DICT_BYTES), toxic, (0.0,), share)
     scorer = Scorer(model)
-    diffs = [(scorer.differences(t), y) for t, y in held]
-    # The threshold that best parts held-out texts by whether any window reaches it.
-    def gain(th: int) -> float:
-        hit = [(any(x >= th for x in d), y) for d, y in diffs]
-        tp, fp = sum(h and y for h, y in hit), sum(h and not y for h, y in hit)
-        pos = sum(y for _, y in hit)
-        return tp / max(1, pos) - 2 * fp / max(1, len(hit) - pos)
-
-    model.threshold = max(range(1, 9), key=lambda th: (gain(th), -th))
-    x = np.array([scorer.features(t) for t, _ in held])
-    y = np.array([y for _, y in held], float)
     # The sample's odds are not the labels' once a class is cut: its intercept is put right by the sampling rates.
-    intercept, *slopes = _logistic(x, y)
-    model.weights = (intercept + math.log(per_row[1] / per_row[0]), *slopes)
+    intercept, *slopes = _logistic(np.array([scorer.features(t) for t, _ in held]), np.array([y for _, y in held], float))
+    model.weights = (float(intercept) + math.log(per_row[1] / per_row[0]), *map(float, slopes))
     return model
 
 
-def _toxic(samples: list[bytes], found: Counter) -> bytes:
-    """What training keeps, then each frequent stretch once."""
-    return _dictionary(samples, TOXIC_BYTES // 2) + b"".join(w.encode() for w, _ in reversed(found.most_common(500)))[-TOXIC_BYTES // 2 :]
+def _sigmoid(z: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
 def _different(rows: list[tuple[str, int]]) -> list[tuple[str, int]]:
@@ -194,12 +211,12 @@ def _different(rows: list[tuple[str, int]]) -> list[tuple[str, int]]:
     return out
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> np.ndarray:
+def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = RIDGE) -> np.ndarray:
     w = np.zeros(x.shape[1])
     keep = ridge * np.eye(x.shape[1])
     keep[0, 0] = 1e-6
     for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        p = _sigmoid(x @ w)
         step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + keep, x.T @ (y - p) - keep @ w)
         w += step
         if np.abs(step).max() < 1e-8:
@@ -219,9 +236,7 @@ def sample(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_c
     for y in (0, 1):
         part = known.filter((F.col("__y") > 0) == bool(y)).orderBy(order, id_col).limit(SAMPLE_ROWS)
         picked = part if picked is None else picked.unionByName(part)
-    start = F.pmod(order, F.greatest(F.lit(1), F.length(text_col) - SAMPLE_CHARS + 1)).cast("int") + 1
-    text = F.when(F.length(text_col) > SAMPLE_CHARS, F.substring(F.col(text_col), start, F.lit(SAMPLE_CHARS))).otherwise(F.col(text_col))
-    rows = docs.filter(F.col(text_col).isNotNull()).select(F.col(id_col), text.alias("__t")).join(F.broadcast(picked), id_col)
+    rows = docs.filter(F.col(text_col).isNotNull()).select(F.col(id_col), F.col(text_col).alias("__t")).join(F.broadcast(picked), id_col)
     rows = rows.groupBy(id_col).agg(F.min("__t").alias("__t"), F.first("__y").alias("__y"))
     got = [(r[1], int(r[2] > 0), zlib.crc32(str(r[0]).encode())) for r in rows.collect()]
     return [(t, y, stands[y]) for t, y, _ in sorted(got, key=lambda r: (r[2], r[0]))]
@@ -232,11 +247,26 @@ def score_texts(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_c
     ready(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(model)
+        for batch in batches:
+            scores = [scorer.score(t.as_py()) for t in batch.column(1)]
+            columns = [batch.column(0), pa.array(scores, pa.float64()), pa.array([int(s >= threshold) for s in scores], pa.int32())]
+            yield pa.RecordBatch.from_arrays(columns, names=[id_col, "score", "predicted"])
+        release()
+
+    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, score double, predicted int")
+
+
+def without_toxic(docs: DataFrame, model: Model, *, text_col: str = "text", threshold: float = 0.7) -> DataFrame:
+    """docs without the rows whose text scores the threshold or more. Rows are judged one by one, and not shuffled."""
+    ready(docs.sparkSession)
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model)
-        for pdf in batches:
-            scores = [scorer.score(t if isinstance(t, str) else None) for t in pdf[text_col]]
-            yield pd.DataFrame({id_col: pdf[id_col], "score": scores, "predicted": [int(s >= threshold) for s in scores]})
+        for batch in batches:
+            yield batch.filter(pa.array([scorer.score(t.as_py()) < threshold for t in batch.column(at)], pa.bool_()))
         release()
 
-    return docs.select(id_col, text_col).mapInPandas(run, f"`{id_col}` {kind}, score double, predicted int")
+    return docs.mapInArrow(run, docs.schema)

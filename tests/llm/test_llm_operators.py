@@ -120,8 +120,13 @@ def test_decontamination_defined_cases(spark):
     docs = docs_of(spark, ["x " * 300_000, "y", "z"]).withColumns({"n_words": F.lit("own"), "hits": F.lit(1)})
     got = {r.doc_id: (r.n_words, r.n_hit, r.item_ids) for r in decontaminate.find_matches(docs, bench).collect()}
     assert got == {0: (300_000, 300_000, ["a"]), 1: (1, 1, ["b"]), 2: (1, 0, [])}
-    kept = decontaminate.decontaminate(docs, bench).collect()
-    assert [(r.doc_id, r.n_words, r.hits) for r in kept] == [(2, "own", 1)]
+    for block in (decontaminate.BLOCK_WORDS, 1):
+        kept = decontaminate.decontaminate(docs, bench, block_words=block).collect()
+        assert [(r.doc_id, r.n_words, r.hits) for r in kept] == [(2, "own", 1)]
+    same = spark.createDataFrame([(i, t, "en", "s", k) for k, (i, t) in enumerate([(None, "y"), (None, "z"), (1, "z"), (1, "x " * 20)])], DOCS)
+    for block in (decontaminate.BLOCK_WORDS, 1):
+        assert sorted(r.n_chars for r in decontaminate.decontaminate(same, bench, block_words=block).collect()) == [1, 2]
+    assert decontaminate.decontaminate(docs.limit(0), bench).count() == 0 and decontaminate.decontaminate(docs, bench.limit(0)).count() == 3
     assert decontaminate.find_matches(docs.limit(0), bench).count() == 0
     assert {r.n_hit for r in decontaminate.find_matches(docs, bench.limit(0)).collect()} == {0}
 
@@ -385,7 +390,7 @@ def test_toxicity_on_held_out_labels(spark):
     rows = scored.join(table(spark, sf, "labels"), "doc_id").filter("held_out").collect()
     hit, wrong, missed = (sum(r.predicted == p and r.toxic == y for r in rows) for p, y in ((1, 1), (1, 0), (0, 1)))
     # Recall here is that of a fit on some 180 positive rows; the README has that of a full fit.
-    assert hit / (hit + wrong) > 0.8 and hit / (hit + missed) > 0.35
+    assert hit / (hit + wrong) > 0.85 and hit / (hit + missed) > 0.55
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) and 0 <= r.score <= 1 for r in rows)
 
 
@@ -396,6 +401,50 @@ def test_toxicity_defined_cases(spark):
     assert toxicity.fit([("x", 1)] * 3).share == 1.0
 
 
+def test_toxicity_scores_against_plain_compression(spark):
+    """A fitted model's scores by new compressors for every window and plain sums, with null, empty, long and repeated
+    texts, null ids and clashing columns; what is dropped is what is predicted."""
+    import zstandard
+
+    docs, labels = table(spark, "/root/testdata/sf0.01", "documents"), table(spark, "/root/testdata/sf0.01", "labels")
+    model = toxicity.fit(toxicity.sample(docs, labels))
+    assert model.weights and model.toxic
+    texts = [None, "", "  ", *[r.text for r in docs.limit(40).collect()], "trash idiot " * 20_000, "same text", "same text"]
+    rows = spark.createDataFrame([(i if i % 5 else None, t, "en", "s", i) for i, t in enumerate(texts)], DOCS).withColumns({"score": F.lit("own"), "predicted": F.lit(9)})
+    how = zstandard.ZstdCompressionParameters(
+        window_log=17, hash_log=15, chain_log=16, search_log=5, min_match=4, target_length=64,
+        strategy=zstandard.STRATEGY_LAZY2, write_content_size=False, write_checksum=False, write_dict_id=False,
+    )
+
+    def size(content, data):
+        known = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        known.precompute_compress(compression_params=how)
+        return len(zstandard.ZstdCompressor(dict_data=known, compression_params=how).compress(data))
+
+    def plain(text):
+        ws, d = (text or "").lower().split(), []
+        for i in range(0, len(ws), 16):
+            data = model.ordinary[-48:] + (" " + " ".join(ws[i : i + 16]) + " ").encode()
+            d.append(size(model.ordinary, data) - size(model.toxic + model.ordinary, data))
+        n, pos = max(1, len(d)), [max(0, x) for x in d]
+        hits = [sum(x >= t for x in d) for t in (1, 2, 3, 4, 6)]
+        x = [1, *[math.log(1 + h) for h in hits], hits[0] / n, hits[1] / n, hits[3] / n, min(max(pos, default=0), 12) / 8, sum(pos) / n, math.log(1 + sum(pos)), math.log(max(len(d), 4)) / 4]
+        return 1 / (1 + math.exp(-max(-30, min(30, sum(a * b for a, b in zip(x, model.weights, strict=True))))))
+
+    scorer = toxicity.Scorer(model)
+    for t in texts[:25] + texts[-2:]:
+        assert abs(scorer.score(t) - plain(t)) < 1e-9
+    got = toxicity.score_texts(rows, model).collect()
+    want = Counter((i if i % 5 else None, round(scorer.score(t), 12)) for i, t in enumerate(texts))
+    assert Counter((r.doc_id, round(r.score, 12)) for r in got) == want and all(r.predicted == (r.score >= 0.7) for r in got)
+    kept = toxicity.without_toxic(rows, model)
+    assert kept.columns == rows.columns
+    assert {r.n_chars for r in kept.collect()} == {i for i, t in enumerate(texts) if scorer.score(t) < 0.7}
+    for op in (toxicity.score_texts, toxicity.without_toxic):
+        assert op(rows.limit(0), model).count() == 0
+    assert toxicity.sample(docs.limit(0), labels) == toxicity.sample(docs, labels.limit(0)) == []
+
+
 def test_toxicity_odds_are_those_of_all_labels(spark, monkeypatch):
     """Where labels don't show in the texts, scores are about the toxic share, whether classes are cut or not."""
     rng = random.Random(6)
@@ -667,6 +716,21 @@ def test_pipeline_takes_odd_rows(spark):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         rows = stage(spark, rows, DATA)
         assert rows.columns == [c.split()[0] for c in DOCS.split(", ")]
-    assert {r.doc_id for r in corpus_pipeline.STAGES[-1][1](spark, rows, DATA).collect()} == {None, 1}
+    # Null and empty texts are one class each; rows alike in id and text are one document; a null id is no reason to go.
+    assert Counter(r.doc_id for r in corpus_pipeline.STAGES[-1][1](spark, rows, DATA).collect()) == Counter([None, 1, 2])
+
+
+def test_pipeline_stages_take_empty_tables_long_texts_and_more_columns(spark):
+    extra = {"class_id": F.lit(1), "n_words": F.lit("w"), "hash": F.lit("h"), "score": F.lit(0.5), "n_dropped": F.lit(2), "doc": F.lit(3)}
+    long = " ".join(f"w{i % 977}" for i in range(120_000))
+    docs = spark.createDataFrame([(1, long, "en", "s", 1), (2, "short text", "en", "s", 2)], DOCS).withColumns(extra)
+    none = docs.limit(0)
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        out = stage(spark, docs, DATA)
+        assert stage(spark, none, DATA).count() == 0 and out.count() == 2
+        if k < 4:
+            assert out.columns == docs.columns
+            docs = out
+    assert {r.doc_id: (len(r.ids) > 100_000, r.round_trip, r.score, r.doc) for r in out.collect()} == {1: (True, True, 0.5, 3), 2: (False, True, 0.5, 3)}
 
 
