@@ -8,15 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paperloom.llm import decontaminate, line_dedup, ngram_join, pieces, toxicity
-from paperloom.llm.common import shared_dir, table, without_ids
+from paperloom.llm.common import shared_dir, table
 from paperloom.llm.queries import MODEL
 
 
 def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without those that the classifier calls toxic; it learns from all of the sf_dir's labelled rows
-    outside the held-out fold. Rows with a null id stay."""
-    model = toxicity.fit(toxicity.sample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
-    return without_ids(docs, toxicity.score_texts(docs, model).filter("predicted = 1").select("doc_id"), "doc_id")
+    outside the held-out fold. Each row is judged by its own text."""
+    return toxicity.without_toxic(docs, toxicity.fit(toxicity.sample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))))
 
 
 def boilerplate_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
