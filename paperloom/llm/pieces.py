@@ -21,7 +21,6 @@ from __future__ import annotations
 
 import hashlib
 import re
-import sys
 from array import array
 from collections.abc import Iterator
 from functools import cached_property, lru_cache
@@ -37,7 +36,8 @@ from pyspark.sql import types as T
 from paperloom.llm.common import free_name, ready, release
 
 MARK = "▁"
-MEMORY = 24 << 20  # bytes of words that a worker remembers, and as many of pairs
+MEMORY = 64 << 20  # bytes of words that a worker remembers
+PAIRS = 48 << 20  # bytes of pairs that it remembers
 SLICE = 1 << 20  # bytes of text that are held as Python strings at once, but for a longer text
 UNKNOWN = 10.0  # fixed value: what an unknown character costs more than the rarest piece
 
@@ -128,7 +128,7 @@ class Pieces:
         self.runs = re.compile(f"[{known}]+|[^{known}]", re.S)
         self.whole = re.compile(f"[{known}]+").fullmatch
         self.size = [len(t) for t in self.text]
-        self.pairs = Recent(MEMORY)
+        self.pairs = Recent(PAIRS)
         if self.unigram:
             normal = [x for x, k in zip(self.score, self.kind, strict=True) if k == 1]
             self.rare = min(normal, default=0.0) - UNKNOWN
@@ -367,7 +367,7 @@ class Memo(Recent):
             found = array("i", p._window(segment) if short else p.stream(segment)).tobytes()
         if len(segment) > 64:
             return found
-        return self.keep(segment, found, sys.getsizeof(segment) + sys.getsizeof(found) + 110)
+        return self.keep(segment, found, 250 + len(found))  # both objects and their place, by estimate for words of 64 characters
 
     def encode(self, text: str | None) -> np.ndarray | None:
         if text is None:

@@ -314,6 +314,7 @@ def test_pieces_defined_cases_and_bounded_memory(spark, monkeypatch):
     with open(MODEL, "rb") as f:
         raw = f.read()
     monkeypatch.setattr(pieces, "MEMORY", 4000)
+    monkeypatch.setattr(pieces, "PAIRS", 4000)
     memo, rng = pieces.Memo(pieces.Pieces(raw)), random.Random(45)
     for _ in range(200):
         text = " ".join(rng.choice(["the", "a", "ing", "éa", "other", "thing"]) + str(rng.randrange(300)) for _ in range(20))
