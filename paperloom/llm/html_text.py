@@ -1,13 +1,19 @@
 """Main text of web pages by scoring the element tree.
 
-A page is parsed leniently into a tree. Menus, notices, adverts, forms, comments and the like go by element,
-role and name. Every paragraph passes points for its length and its commas to its ancestors, the nearest most,
-discounted by its link density; the best container is kept with those siblings that score or read like it, and
-its text is cut into blocks.
-
-Defined cases: null or empty html gives an empty text. Broken markup closes where the next block starts. White
-space of any kind inside a block, line breaks included, becomes one space. Nothing is cut from what is kept,
-however long. Repeated rows are treated row by row; other columns stay outside the result.
+A page is parsed leniently into a tree. Every paragraph passes points for its length and its commas to its ancestors,
+the parent all of them and each further one half as many, discounted by its link density. What roles, element names
+and class names say (menus, notices, adverts, reader comments and the like) lowers the scores of an element and of
+all in it. The best container is kept; where its siblings hold much text too, their parent is the container instead,
+else those siblings are kept that score or read like it. Of what is kept, an element that its name accuses goes unless it holds
+most of the container's points, or is a title or a sentence; then the text is cut into blocks.
+
+Every step is a walk over the tokens or the tree with a bounded number of looks at each, so the time is in proportion
+to the page, however deep, broken or hostile its markup is.
+
+Defined cases: null or empty html gives an empty text. Broken markup closes where the next block starts; a tag that
+never ends is text. White space of any kind inside a block, line breaks included, becomes one space. Nothing is cut
+from what is kept, however long. Repeated rows are treated row by row, null ids kept; other columns stay outside the
+result, those called text or n_chars included. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -19,7 +25,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from paperloom.llm.common import ready
+from paperloom.llm.common import ready, release
 
 #: Element names of the HTML standard by their role here.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -28,185 +34,239 @@ BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
-DROP = frozenset(
-    "aside audio button canvas datalist dialog embed fieldset footer form head iframe input math menu nav noembed noframes noscript "
-    "object option output progress script select style svg template textarea title video".split()
+DROP = frozenset("audio button canvas datalist embed head input map menu meter nav object option progress select svg video".split()) | RAW
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
+ACCUSED = {"aside": 2, "dialog": 2, "fieldset": 1, "footer": 1, "form": 1, "header": 1}
+ROLES = {
+    "navigation": 2, "complementary": 2, "search": 2, "dialog": 2, "alertdialog": 2, "alert": 2, "menu": 2, "menubar": 2,
+    "toolbar": 2, "status": 2, "banner": 1, "contentinfo": 1, "form": 1,
+}
+#: Parts of class and id names: what always marks what is not the article, what mostly does, what speaks for a part
+#: of the article beside the latter, and what denies either.
+STRONG = frozenset(
+    "ad ads advert advertisement adverts advertising adsense sponsor sponsored promo promotion promoted comment comments disqus "
+    "respond replies reply discussion cookie cookies consent gdpr popup modal overlay newsletter subscribe subscription signup login".split()
 )
-CLOSES_P = BLOCK - {"html", "body"}
-PARAGRAPH = frozenset("p pre blockquote td li dd".split())
-ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar toolbar form status".split())
-#: Parts of class and id names that mark what is not the article.
-NAMES = frozenset(
-    "ad ads advert advertisement adverts advertising adsense banner sponsor sponsored promo promotion promoted nav navbar navigation menu "
-    "breadcrumb breadcrumbs sidebar aside footer header masthead topbar toolbar comment comments disqus respond replies reply discussion "
-    "cookie cookies consent gdpr notice alert popup modal overlay newsletter subscribe subscription signup login share sharing social "
-    "related recommended recommendations widget widgets pagination pager skip tags tagcloud".split()
+WEAK = frozenset(
+    "aside alert banner breadcrumb breadcrumbs footer header masthead menu nav navbar navigation notice pager pagination recommended "
+    "recommendations related share sharing sidebar skip social tagcloud tags toolbar topbar widget widgets".split()
 )
-
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*>?"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*?)(?P<self>/?)>",
-    re.S,
-)
-_ATTR = re.compile(r"([a-zA-Z][\w:-]*)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?", re.S)
+SPEAKS = frozenset("article body column container content entry layout main page post story text wrap wrapper".split())
+DENIES = frozenset("has no not with without".split())
+FACTOR = (1.0, 0.3, 0.1)  # of the score, by how much is held against an element
+STAYS = (0.0, 0.5, 0.9)  # share of the container's points beyond which an accused element stays
+
+_NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+_STOP = re.compile(r"[>\"']")
+_ATTR = re.compile(r"([a-zA-Z][\w:-]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
-_PARTS = re.compile(r"[a-z]+|[A-Z][a-z]*")
+_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _COMMA = re.compile("[,،、，;；]")
+_ENDS = re.compile(r"[.!?…。！？][\"'”’»)\]]*$")
+SHORT = 25  # characters below which a paragraph's points fall with its length
 
 
 class Node:
-    __slots__ = ("attrs", "kids", "length", "links", "parent", "score", "tag")
+    __slots__ = ("attrs", "block", "commas", "factor", "guilt", "kids", "length", "links", "open", "own", "parent", "points", "score", "tag", "titled", "total")
 
     def __init__(self, tag: str, parent: Node | None, attrs: str = ""):
         self.tag, self.parent, self.attrs = tag, parent, attrs
         self.kids: list[Node | str] = []
-        self.score, self.length, self.links = 0.0, 0, 0
+        #: The nearest block, itself included, and of a block which inline elements are open in it.
+        self.block = self if tag in BLOCK or parent is None else parent.block
+        self.open: dict[str, int] = {} if self.block is self else self.block.open
+
+
+def _tag_end(page: str, at: int, gone: set[str]) -> int:
+    """Where the tag that is open at a place ends (at its >), or -1. Only a quote after = holds a >."""
+    while True:
+        m = _STOP.search(page, at) if ">" not in gone else None
+        if m is None:
+            gone.add(">")
+            return -1
+        i, c = m.start(), m.group()
+        if c == ">":
+            return i
+        at = i + 1
+        if c not in gone and page[max(0, i - 8) : i].rstrip().endswith("="):
+            close = page.find(c, at)
+            if close < 0:
+                gone.add(c)  # no such quote from here to the end
+            else:
+                at = close + 1
 
 
 def parse(page: str) -> Node:
     """The tree of a page. An end tag that closes nothing open is passed over."""
     root = here = Node("#root", None)
-    at, n, scan = 0, len(page), _TOKEN.search
+    blocks: dict[str, int] = {}  # open block elements by name
+    gone: set[str] = set()  # marks that don't come any more
+    at, n = 0, len(page)
+
+    def beyond(mark: str, start: int) -> int:
+        i = -1 if mark in gone else page.find(mark, start)
+        if i < 0:
+            gone.add(mark)
+            return n
+        return i + len(mark)
+
+    def leave(node: Node) -> None:
+        """Close an element and all that is open in it."""
+        nonlocal here
+        while True:
+            x = here
+            counts = blocks if x.block is x else x.open
+            counts[x.tag] -= 1
+            here = x.parent
+            if x is node:
+                return
+
     while at < n:
-        m = scan(page, at)
-        if not m:
+        i = page.find("<", at)
+        if i < 0:
             here.kids.append(page[at:])
             break
-        if m.start() > at:
-            here.kids.append(page[at : m.start()])
-        at = m.end()
-        if m["cdata"] is not None:
-            here.kids.append(m["cdata"])
-        if not m["tag"]:
+        if i > at:
+            here.kids.append(page[at:i])
+        if page.startswith("<!--", i):
+            at = beyond("-->", i + 4)
+            continue
+        if page.startswith("<![CDATA[", i):
+            at = beyond("]]>", i + 9)
+            here.kids.append(page[i + 9 : at - 3 if page.endswith("]]>", i + 9, at) else at])
+            continue
+        if page[i + 1 : i + 2] in ("!", "?"):
+            at = beyond(">", i)
             continue
-        tag = m["tag"].lower()
-        if m["end"]:
-            node = here
-            while node is not root and node.tag != tag and not (tag not in BLOCK and node.tag in BLOCK):
-                node = node.parent
-            if node is not root and node.tag == tag:
-                here = node.parent
+        ends = page.startswith("</", i)
+        name = _NAME.match(page, i + 1 + ends)
+        if not name:
+            here.kids.append("<")
+            at = i + 1
             continue
-        if tag in CLOSES_P:
-            # Inline elements that a block interrupts end with it, as does an open paragraph.
-            node = here
-            while node is not root and node.tag not in BLOCK:
-                node = node.parent
+        tag = name.group().lower()
+        stop = page.find(">", name.end()) if ends and ">" not in gone else _tag_end(page, name.end(), gone) if not ends else -1
+        if stop < 0:
+            gone.add(">")
+            here.kids.append(page[i:])
+            break
+        at = stop + 1
+        if ends:
+            counts = blocks if tag in BLOCK else here.open
+            if counts.get(tag, 0) > 0:
+                node = here
+                while node.tag != tag:
+                    node = node.parent
+                leave(node)
+            continue
+        attrs = page[name.end() : stop]
+        if tag in BLOCK:
+            # Inline elements that a block interrupts end with it, as does an open paragraph or item of its kind.
+            node = here.block
             if node.tag == "p" or tag in ("li", "dt", "dd", "tr", "td", "th", "option") and node.tag == tag:
-                here = node.parent
-            elif tag == "p" and node is not here:
-                here = node
-        node = Node(tag, here, m["attrs"])
+                leave(node)
+            elif tag == "p":
+                while here is not node:
+                    leave(here)
+        node = Node(tag, here, attrs)
         here.kids.append(node)
-        if tag in VOID or m["self"]:
+        if tag in VOID or attrs.endswith(" /") or attrs == "/":
             continue
         if tag in RAW:
-            end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
+            mark = f"</{tag}"
+            end = None if mark in gone else re.compile(rf"{mark}\b[^>]*>", re.I).search(page, at)
+            if end is None:
+                gone.add(mark)
             at = end.end() if end else n  # raw text of any kind is never kept
             continue
         here = node
+        counts = blocks if node.block is node else node.open
+        counts[tag] = counts.get(tag, 0) + 1
     return root
 
 
-def _boilerplate(node: Node) -> bool:
-    if node.tag in DROP:
-        return True
+def _guilt(node: Node) -> int:
+    """What speaks against an element: 0 nothing, 1 its kind or a name that mostly does, 2 one that always does."""
+    worst = ACCUSED.get(node.tag, 0)
     if not node.attrs or node.tag in ("html", "body", "article", "main"):
-        return False
+        return worst
     for name, a, b, c in _ATTR.findall(node.attrs):
         name, value = name.lower(), a or b or c
         if name == "hidden" or name == "style" and _HIDDEN.search(value) or name == "aria-hidden" and value.lower() == "true":
-            return True
-        if name == "role" and value.lower() in ROLES:
-            return True
+            return 2
+        if name == "role":
+            worst = max(worst, ROLES.get(value.lower(), 0))
         if name in ("class", "id"):
             for word in entities.unescape(value).split():
-                if any(p.lower() in NAMES for p in _PARTS.findall(word)):
-                    return True
-    return False
+                parts = {p.lower() for p in _PARTS.findall(word)}
+                if not parts & DENIES:
+                    worst = max(worst, 2 if parts & STRONG else 1 if parts & WEAK and not parts & SPEAKS else 0)
+    return worst
 
 
-def _holds_article(node: Node) -> bool:
-    stack = [node]
+def _walk(root: Node) -> list[Node]:
+    """All elements, parents before children, in page order."""
+    out, stack = [], [root]
     while stack:
         x = stack.pop()
-        if x.tag in ("article", "main"):
-            return True
-        stack += [k for k in x.kids if isinstance(k, Node)]
-    return False
+        out.append(x)
+        stack += [k for k in reversed(x.kids) if isinstance(k, Node)]
+    return out
 
 
-def _prune(root: Node) -> None:
+def _measure(root: Node) -> list[Node]:
+    """Drop what is no text, decode the rest, and give every element its lengths, points, score and factor."""
     stack = [root]
     while stack:
-        node = stack.pop()
-        kept: list[Node | str] = []
-        for k in node.kids:
-            if isinstance(k, Node):
-                if k.tag == "header":
-                    if not _titled(k) or _boilerplate(k) or not _inside(k, ("article", "main")):
-                        if not _holds_article(k):
-                            continue
-                elif _boilerplate(k) and not (k.tag in ("div", "section", "form") and _holds_article(k)):
-                    kept.append(" ") if k.tag not in BLOCK else None
-                    continue
-                stack.append(k)
-            kept.append(k)
-        node.kids = kept
-
-
-def _titled(node: Node) -> bool:
-    return any(isinstance(k, Node) and (k.tag in ("h1", "h2", "hgroup") or _titled(k)) for k in node.kids if not isinstance(k, str))
-
-
-def _inside(node: Node, tags: tuple[str, ...]) -> bool:
-    while node := node.parent:
-        if node.tag in tags:
-            return True
-    return False
-
-
-def _measure(root: Node) -> None:
-    """Lengths of text and of link text of every element, children before parents."""
-    order, stack = [], [root]
-    while stack:
-        node = stack.pop()
-        order.append(node)
-        stack += [k for k in node.kids if isinstance(k, Node)]
-    for node in reversed(order):
-        for k in node.kids:
+        x = stack.pop()
+        x.kids = [entities.unescape(k) if isinstance(k, str) and "&" in k else k for k in x.kids if isinstance(k, str) or k.tag not in DROP]
+        stack += [k for k in x.kids if isinstance(k, Node)]
+    nodes = _walk(root)
+    for x in nodes:
+        x.guilt = _guilt(x) if x.parent else 0
+        x.factor = (x.parent.factor if x.parent else 1.0) * FACTOR[x.guilt] * (1.5 if x.tag == "article" else 1.25 if x.tag == "main" else 1.0)
+        x.length = x.links = x.own = x.commas = 0
+        x.points = x.score = x.total = 0.0
+        x.titled = x.tag in ("h1", "h2", "hgroup")
+    linked: dict[int, int] = {}  # of a block's own text
+    for x in reversed(nodes):
+        own = 0
+        for k in x.kids:
             if isinstance(k, str):
-                node.length += len(" ".join(k.split()))
-            else:
-                node.length += k.length
-                node.links += k.links
-        if node.tag == "a":
-            node.links = node.length
+                own += len(" ".join(k.split())) + (k[-1:].isspace() and bool(k.strip()))
+                x.commas += len(_COMMA.findall(k))
+        x.own += own
+        x.length += own
+        if x.tag == "a":
+            x.links = x.length
+            linked[id(x)] = x.own
+        up = x.parent
+        if x.block is x:
+            if x.own and x.tag not in HEADINGS:
+                x.points = (1 + x.commas + x.own / 100) * min(1.0, x.own / SHORT) * (1 - min(1.0, linked.get(id(x), 0) / x.own))
+            x.total += x.points
+            if any(isinstance(k, Node) and k.block is k for k in x.kids):
+                x.score += x.points  # loose text beside blocks is the element's own
+                x.points = 0.0
+        elif up is not None:
+            up.own += x.own
+            up.commas += x.commas
+            linked[id(up)] = linked.get(id(up), 0) + linked.get(id(x), 0)
+        if up is not None:
+            up.length += x.length
+            up.links += x.links
+            up.total += x.total
+            up.score += (x.points + x.score / 2 if x.block is x else x.score) * FACTOR[x.guilt]
+            up.titled = up.titled or x.titled
+    return nodes
 
 
 def _density(node: Node) -> float:
-    return node.links / node.length if node.length else 0.0
+    return min(1.0, node.links / node.length) if node.length else 0.0
 
 
-
-def _score(root: Node) -> list[Node]:
-    """Pass the points of paragraphs up; the elements that got any."""
-    scored: dict[int, Node] = {}
-    stack: list[Node] = [root]
-    while stack:
-        node = stack.pop()
-        kids = [k for k in node.kids if isinstance(k, Node)]
-        leaf = node.tag in PARAGRAPH or node.tag == "div" and not any(k.tag in BLOCK for k in kids)
-        if leaf and node.length:
-            text = " ".join(_flat(node).split())
-            points = (1 + len(_COMMA.findall(text)) + len(text) / 100) * (1 - _density(node))
-            up, share = node.parent, 1.0
-            while up is not None and up.tag != "#root":
-                up.score += points * share
-                scored[id(up)] = up
-                up, share = up.parent, share / 2
-        stack += kids
-    return list(scored.values())
+def _value(node: Node) -> float:
+    return node.score * (1 - _density(node)) * node.factor
 
 
 def _flat(node: Node) -> str:
@@ -220,19 +280,37 @@ def _flat(node: Node) -> str:
     return "".join(out)
 
 
-def _menu(node: Node) -> bool:
-    """A list or box that is all links."""
-    if node.tag not in ("ul", "ol", "dl", "div", "table", "section") or _density(node) < 0.8:
+def _reads(node: Node) -> bool:
+    """A paragraph that is a sentence."""
+    return node.tag in ("p", "blockquote", "pre") and _density(node) < 0.25 and (node.length > 80 or bool(_ENDS.search(_flat(node).rstrip())))
+
+
+def _menus(nodes: list[Node]) -> set[int]:
+    """Lists and boxes of short links."""
+    many: dict[int, int] = {}
+    for x in reversed(nodes):
+        count = many.get(id(x), 0) + (x.tag == "a")
+        if x.parent is not None:
+            many[id(x.parent)] = many.get(id(x.parent), 0) + count
+        many[id(x)] = count
+    kinds = ("ul", "dl", "div", "table", "section")
+    return {id(x) for x in nodes if x.tag in kinds and many[id(x)] >= 2 and _density(x) >= 0.8 and x.length < 25 * many[id(x)]}
+
+
+def _goes(node: Node, whole: Node) -> bool:
+    """Whether an accused element leaves a container. Footers and asides stay only where there is nothing else."""
+    if not node.guilt:
         return False
-    many, stack = 0, [node]
-    while stack:
-        x = stack.pop()
-        many += x.tag == "a"
-        stack += [k for k in x.kids if isinstance(k, Node)]
-    return many >= 2
+    if node.tag in ("footer", "aside"):
+        return node.length < whole.length
+    if node.total > STAYS[node.guilt] * whole.total:
+        return False
+    if node.guilt == 1 and node.tag != "form":
+        return not (node.titled and _density(node) < 0.5 and node.length < 1000 or node.tag != "header" and _reads(node))
+    return True
 
 
-def _blocks(nodes: list[Node | str]) -> list[str]:
+def _blocks(nodes: list[Node | str | None], whole: Node, menus: set[int]) -> list[str]:
     """Texts of blocks in page order, white space made one space, empty ones left out."""
     out: list[str] = []
     buffer: list[str] = []
@@ -251,9 +329,9 @@ def _blocks(nodes: list[Node | str]) -> list[str]:
             buffer.append(x)
         elif x.tag == "br":
             buffer.append(" ")
-        elif _menu(x):
-            cut()
-        elif x.tag in BLOCK:
+        elif id(x) in menus or _goes(x, whole):
+            cut() if x.block is x else buffer.append(" ")
+        elif x.block is x:
             cut()
             stack.append(None)
             stack += reversed(x.kids)
@@ -263,52 +341,51 @@ def _blocks(nodes: list[Node | str]) -> list[str]:
     return out
 
 
+def _container(nodes: list[Node]) -> Node:
+    """The element with the best score, or the parent of several that hold text."""
+    best = max((n for n in nodes if n.block is n), key=_value, default=nodes[0])
+    if _value(best) <= 0:
+        whole = [n for n in nodes if n.tag in ("article", "main")] or [n for n in nodes if n.tag == "body"]
+        return whole[0] if len(whole) == 1 else nodes[0]
+    while (up := best.parent) is not None and up.tag not in ("html", "#root"):
+        # An article is a whole: only other articles beside it speak for what holds them.
+        beside = [k for k in up.kids if isinstance(k, Node) and k is not best and (best.tag != "article" or k.tag == "article")]
+        if sum(k.total * FACTOR[k.guilt] * (1 - _density(k)) for k in beside) < 0.25 * best.total:
+            whole = up
+            while whole is not None and whole.tag not in ("article", "main"):
+                whole = whole.parent
+            # Within an article the rest of it is no other text, unless the article is accused as a whole.
+            if best.tag in ("article", "main") or whole is None or whole.total > 1.5 * best.total:
+                return best
+        best = up
+    return best
+
+
 def extract(page: str | None) -> str:
     """The main text of one page, blocks joined by line feeds."""
     if not page:
         return ""
     root = parse(page)
-    _prune(root)
-    _decode(root)
-    _measure(root)
-    scored = [n for n in _score(root) if n.tag not in ("html", "p")]
-    if not scored:
-        best = next((n for n in _walk(root) if n.tag in ("article", "main")), None) or next((n for n in _walk(root) if n.tag == "body"), root)
-        return "\n".join(_blocks([best]))
-    best = max(scored, key=lambda n: n.score * (1 - _density(n)))
-    up = best
-    while up is not None:  # an article is one, however its sections score
-        if up.tag in ("article", "main"):
-            best = up
-        if up.tag == "article":
-            break
-        up = up.parent
+    nodes = _measure(root)
+    best, menus = _container(nodes), _menus(nodes)
+    menus.discard(id(best))
     if best.tag in ("article", "main", "body") or best.parent is None:
-        return "\n".join(_blocks([best]))
-    kept: list[Node | str] = []
+        return "\n".join(_blocks(best.kids, best, menus))
+    kept: list[Node | str | None] = []
     for k in best.parent.kids:
         if k is best:
+            kept += [None, *k.kids, None]
+        elif isinstance(k, str):
             kept.append(k)
-        elif isinstance(k, Node) and k.length:
-            like = k.score * (1 - _density(k)) >= 0.2 * best.score
-            reads = k.tag in ("p", "blockquote", "pre") and _density(k) < 0.25 and (k.length > 80 or bool(re.search(r"[.!?]\s*$", _flat(k))))
-            titles = k.tag in ("h1", "h2", "h3", "h4") and _density(k) < 0.5
-            if like or reads or titles:
+        elif k.length and not k.guilt:
+            like = _value(k) >= 0.2 * _value(best)
+            titles = (k.tag in HEADINGS or k.titled) and k.length < 300 and _density(k) < 0.5
+            inline = k.block is not k and _density(k) < 0.5
+            if like or titles or inline or _reads(k):
                 kept.append(k)
-    return "\n".join(_blocks(kept))
-
-
-def _walk(root: Node) -> Iterator[Node]:
-    stack = [root]
-    while stack:
-        x = stack.pop()
-        yield x
-        stack += [k for k in reversed(x.kids) if isinstance(k, Node)]
-
-
-def _decode(root: Node) -> None:
-    for node in _walk(root):
-        node.kids = [entities.unescape(k) if isinstance(k, str) and "&" in k else k for k in node.kids]
+        elif k.guilt and k.titled and k.length < 300 and _density(k) < 0.3 and k.tag == "header":
+            kept.append(k)
+    return "\n".join(_blocks(kept, best, menus))
 
 
 def extract_pages(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -321,5 +398,6 @@ def extract_pages(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "
         for pdf in batches:
             texts = [extract(h if isinstance(h, str) else None) for h in pdf[html_col]]
             yield pd.DataFrame({id_col: pdf[id_col], url_col: pdf[url_col], "text": texts, "n_chars": [len(t) for t in texts]})
+        release()
 
     return cols.mapInPandas(run, ", ".join([*kinds, "text string", "n_chars long"]))

@@ -209,11 +209,71 @@ def test_html_container_without_article():
     assert html_text.extract(page).split("\n") == ["Title", *[f"Paragraph {i}, with words, and more words." for i in range(5)]]
 
 
+def body(*parts):
+    return "<html><body>" + "".join(parts) + "</body></html>"
+
+
+PARAS = [f"Paragraph number {i}, with words, and more words." for i in range(5)]
+P = "".join(f"<p>{x}</p>" for x in PARAS)
+NOISE = "<nav><a href=/a>one</a> <a href=/b>two</a></nav>", "<footer>&copy; site, with rights, and more rights.</footer>"
+
+
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        (body(NOISE[0], f"<div class='content has-sidebar'>{P}</div>", NOISE[1]), PARAS),
+        (body(f"<div id='header-wrap-content'>{P}</div>", NOISE[1]), PARAS),
+        (body(f"<form>{NOISE[0]}<div>{P}</div></form>", NOISE[1]), PARAS),
+        (body(f"<article><div class='entry-header'><h1>Title</h1></div>{P}</article>", NOISE[1]), ["Title", *PARAS]),
+        (body(f"<article>{P}<p class='related-work'>This is a sentence of the article too.</p></article>"), [*PARAS, "This is a sentence of the article too."]),
+        (body(f"<article>{P}</article><article>{P}</article>", NOISE[1]), [*PARAS, *PARAS]),
+        # Sections without an article: a short one counts as well, and loose text beside them.
+        (body(NOISE[0], f"<div><section><h2>A</h2>{P}{P}</section><section><h2>B</h2>{P}{P}</section>Loose words stay.<section><h2>C</h2><p>Short one.</p></section></div>", NOISE[1]), ["A", *PARAS, *PARAS, "B", *PARAS, *PARAS, "Loose words stay.", "C", "Short one."]),
+        (body(f"<div class=post>{P}</div><div class='post-comments'>{P}{P}{P}</div>"), PARAS),
+        (body(f"<div>{P}<div class=ad>Buy, buy, buy, and buy again!</div><aside>More, and more, of other things.</aside></div>"), PARAS),
+        (body(f"<article>{P}<math>x = 1</math> <output>2</output><ol><li><a href=1>A reference with a long title, one</a></li><li><a href=2>Another reference with a long title, two</a></li></ol></article>"), [*PARAS, "x = 1 2", "A reference with a long title, one", "Another reference with a long title, two"]),
+        (body(f"<main><a href=foo/>link text</a> and {P}</main>"), ["link text and", *PARAS]),
+    ],
+)
+def test_html_names_lower_scores_and_scores_decide(page, want):
+    assert html_text.extract(page).split("\n") == want
+
+
+HOSTILE = {
+    "tags that never end": "<a " * 333_000, "ends of nothing": "<b>" * 150_000 + "</i>" * 150_000, "ends below a block": "<i><div>" + "<b>" * 150_000 + "</i>" * 150_000,
+    "depth": "<div>" * 100_000 + "x", "headers": "<header>" * 100_000 + "<h1>t</h1>", "blocks in inline": "<b>" * 80_000 + "<div></div>" * 80_000,
+    "quotes": '<a ="' * 200_000 + ">", "quotations": "<blockquote>text, more text and words enough to pass" * 20_000, "comments": "<!--" * 250_000,
+    "scripts": "<script></style>" * 60_000, "references": "&" * 1_000_000, "brackets": "<" * 1_000_000, "attributes": "<div " + "class='a b' " * 80_000 + ">x</div>",
+    "lists": "<ul><li>" * 60_000 + "<a>x</a>" * 60_000, "forms": "<form>" * 50_000 + "<p>A sentence, long enough to count as some text.</p>" * 1000,
+}
+
+
+@pytest.mark.parametrize("name", HOSTILE)
+def test_html_hostile_pages_take_linear_time(name):
+    page = HOSTILE[name]
+    began = time.process_time()
+    html_text.extract(page[: len(page) // 2])
+    half = time.process_time()
+    html_text.extract(page)
+    assert time.process_time() - half < max(1.0, 4 * (half - began)) and half - began < 6
+
+
+def test_html_articles_in_plain_boxes():
+    """The given pages without their article element give the same texts."""
+    import duckdb as d
+
+    for (page,) in d.sql(f"select html from read_parquet('{DATA}/pages.parquet')").fetchall():
+        assert html_text.extract(page.replace("<article>", "<div>").replace("</article>", "</div>")) == html_text.extract(page)
+
+
 def test_html_defined_cases(spark):
     rows = [(1, "u", None, "x"), (2, None, "", "x"), (3, "u", "<p>" + "very long, " * 20000 + "</p>", "x"), (4, "u", "<<<>&&& <p", None)]
     got = {r.page_id: r for r in html_text.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string, text string")).collect()}
     assert (got[1].text, got[2].text, got[3].n_chars) == ("", "", 20000 * 11 - 1)
     assert len(got) == 4
+    again = spark.createDataFrame([(5, "u", PAGE, "x"), (5, "u", PAGE, "x"), (None, None, PAGE, "x")], "page_id long, url string, html string, n_chars string")
+    assert len({r.text for r in html_text.extract_pages(again).collect()}) == 1 and html_text.extract_pages(again).count() == 3
+    assert html_text.extract_pages(again.limit(0)).count() == 0
 
 
 def test_html_pages_hold_their_articles(spark):
