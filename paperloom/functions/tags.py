@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from paperloom.functions.identifiers import bare_id, strip
+from paperloom.functions.identifiers import bare_id, blank_to_null, strip
 from paperloom.functions.text import pub_type_slug, slugify
 
 #: Statuses; renamed type tags; namespaces that a new derivation replaces always, and only if it
@@ -71,8 +71,15 @@ class Topics:
         return self.fields, self.types, self.mesh, self.keywords, self.major, self.qualifiers
 
 
-def derive_tags(existing: Column, s2_id: Column, pmid: Column, year: Column, topics: Topics) -> Column:
-    """Tags of a node after a record was merged into it: what stays, then identity and topics of the record."""
+def derive_tags(
+    existing: Column, s2_id: Column, pmid: Column, year: Column, topics: Topics, *, own_s2_id: Column | None = None, own_pmid: Column | None = None,
+) -> Column:
+    """Tags of a node after a record was merged into it: what stays, then identity and topics of the record.
+
+    Where the record has no identifier, the node's own one keeps its tag.
+    """
+    s2_id = s2_id if own_s2_id is None else F.coalesce(F.nullif(s2_id, F.lit("")), blank_to_null(own_s2_id))
+    pmid = pmid if own_pmid is None else F.coalesce(F.nullif(pmid, F.lit("")), blank_to_null(own_pmid))
     none = F.array().cast("array<string>")
     topical = F.lit(False)
     for c in topics.all():
@@ -114,6 +121,13 @@ def tag_list(joined: Column) -> Column:
     return F.filter(F.transform(F.split(F.coalesce(joined, F.lit("")), ","), strip), lambda x: x != "")
 
 
+def tag_changes(before: Column, after: Column) -> tuple[Column, Column]:
+    """(removed, added), each tag once."""
+    none = F.array().cast("array<string>")
+    old, new = F.coalesce(before, none), F.coalesce(after, none)
+    return F.array_except(old, new), F.array_except(new, old)
+
+
 def is_topical(tags: Column) -> Column:
     return F.exists(tags, lambda t: starts_with_any(t, TOPICAL_SKIP))
 
@@ -137,7 +151,7 @@ def failure_note(day: Column, errors: Column) -> Column:
 
 
 def is_missing(c: Column, *, array: bool = False) -> Column:
-    return (c.isNull() | (F.size(c) == 0)) if array else (c.isNull() | (c == ""))
+    return c.isNull() | (F.size(c) == 0 if array else c.cast("string") == "")
 
 
 def merge_missing(existing: Column, incoming: Column, *, array: bool = False) -> Column:

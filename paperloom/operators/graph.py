@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from paperloom.functions.identifiers import bare_id
+from paperloom.operators.identity import node_keys, priority_match
 from paperloom.operators.staging import staged
 
 KEYS = ["source_id", "target_id", "relationship"]
@@ -33,6 +35,55 @@ def link_reverse(pending: DataFrame, created: DataFrame) -> DataFrame:
     return hits.select("source_id", "target_id").distinct().groupBy("target_id").agg(F.count(F.lit(1)).alias("n_sources"))
 
 
+def forward_links(items: DataFrame, index: DataFrame, existing: DataFrame, *, relationship: str = "references") -> tuple[DataFrame, DataFrame]:
+    """(edges that are new; source_id, linked, skipped) of cited items against a key index.
+
+    items: source_id, pos and the columns s2_id, doi, pmid, title of one cited work each; index: kind, prio, key, node_id
+    of identity.key_index. The key asked first wins. An item without a match, or that is the source itself, is skipped;
+    one whose edge is there already counts as linked.
+    """
+    rows = items.withColumn("__item", F.struct("source_id", "pos"))
+    matched = rows.select("__item").distinct().join(priority_match(rows, index, "__item", node_keys()), "__item", "left")
+    matched = matched.select("__item.source_id", F.col("match_id").cast("string").alias("target_id"))
+    ok = F.col("target_id").isNotNull() & (F.col("target_id") != F.col("source_id").cast("string"))
+    counts = matched.groupBy("source_id").agg(F.count_if(ok).alias("linked"), F.count_if(~ok).alias("skipped"))
+    made = matched.filter(ok).select("source_id", "target_id", F.lit(relationship).alias("relationship"))
+    return new_edges(made, existing), counts
+
+
+def reverse_links(pending: DataFrame, created: DataFrame, existing: DataFrame, *, relationship: str = "references") -> tuple[DataFrame, DataFrame]:
+    """(edges that are new; target_id, created) from those that cite an identifier to the new node that has it.
+
+    pending: source_id, doi; created: node_id, doi. Only identifiers match; a node that waits for itself is left out, and
+    a pair that waits twice, or is linked already, counts as often as it waits.
+    """
+    key = lambda df: df.withColumn("key", bare_id(F.col("doi"))).filter("key is not null")
+    hits = key(pending).select("source_id", "key").join(key(created).select(F.col("node_id").alias("target_id"), "key"), "key").filter("source_id <> target_id")
+    counts = hits.groupBy("target_id").agg(F.count(F.lit(1)).alias("created"))
+    return new_edges(hits.select("source_id", "target_id", F.lit(relationship).alias("relationship")), existing), counts
+
+
+def first_edges(edges: DataFrame, order: str) -> DataFrame:
+    """One edge for each key (source, target, relationship): the first in an order, by partial aggregates."""
+    rest = [c for c in edges.columns if c not in KEYS]
+    return edges.groupBy(*KEYS).agg(F.min_by(F.struct(*rest), order).alias("__r")).select(*KEYS, "__r.*")
+
+
+def edge_counts(edges: DataFrame, id_col: str) -> DataFrame:
+    """n_ids, n_keys: different edge ids, and different edges."""
+    ids = edges.select(id_col).distinct().agg(F.count(F.lit(1)).alias("n_ids"))
+    return ids.join(edges.select(*KEYS).distinct().agg(F.count(F.lit(1)).alias("n_keys")), F.lit(True))
+
+
+def phantom_counts(phantoms: DataFrame) -> DataFrame:
+    """target_id, n of phantom edges, the most first."""
+    return phantoms.groupBy("target_id").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "target_id")
+
+
+def by_key(edges: DataFrame) -> DataFrame:
+    return edges.orderBy(*KEYS)
+
+
 def incident(edges: DataFrame) -> DataFrame:
     """node, source_id, target_id: every edge at its source and at its target, an edge to itself once."""
     out = edges.select(F.col("source_id").alias("node"), "source_id", "target_id")
@@ -59,32 +110,49 @@ def phantom_edges(claimed: DataFrame, genuine: list[DataFrame]) -> DataFrame:
     return claimed.select("source_id", "target_id").distinct().join(known.select("source_id", "target_id"), ["source_id", "target_id"], "left_anti")
 
 
-def k_hop(edges: DataFrame, seed: str, depth: int, direction: str = "both") -> DataFrame:
-    """node, hop of what is within `depth` steps of the seed. Each hop is a join with the frontier and an anti-join
-    with what was visited, written to the shared folder, so the plan doesn't grow with the depth."""
+def _steps(edges: DataFrame, direction: str, relationship: str | None) -> DataFrame:
+    """a, b of every step, each once, written so that hops read it as it is."""
+    if relationship is not None:
+        edges = edges.filter(F.col("relationship") == relationship)
     out = edges.select(F.col("source_id").alias("a"), F.col("target_id").alias("b"))
     back = edges.select(F.col("target_id").alias("a"), F.col("source_id").alias("b"))
-    steps = {"out": out, "in": back, "both": out.unionByName(back)}[direction]
+    return staged({"out": out, "in": back, "both": out.unionByName(back)}[direction].distinct(), "steps")
+
+
+#: Fixed value: the relationship that holds nodes in their parents.
+PARENT = "parent"
+
+
+def k_hop(edges: DataFrame, seed: str, depth: int, direction: str = "both", *, mode: str = "edges", relationship: str | None = None) -> DataFrame:
+    """node, hop of what is within `depth` steps of the seed.
+
+    In mode "hierarchy" only parent edges are walked ("out" to parents, "in" to children). Each hop is a join with the
+    frontier and an anti-join with what was visited, written to the shared folder, so the plan doesn't grow with the
+    depth; an empty frontier ends the walk.
+    """
+    if mode not in ("edges", "hierarchy"):
+        raise ValueError(f"unknown mode: {mode}")
+    steps = _steps(edges, direction, PARENT if mode == "hierarchy" else relationship)
     seen = frontier = edges.sparkSession.createDataFrame([(seed, 0)], "node string, hop int")
     for hop in range(1, depth + 1):
         reached = frontier.join(steps, F.col("node") == F.col("a")).select(F.col("b").alias("node")).distinct()
         frontier = staged(reached.join(seen.select("node"), "node", "left_anti").withColumn("hop", F.lit(hop)))
+        if frontier.isEmpty():
+            break
         seen = seen.unionByName(frontier)
     return seen
 
 
-def shortest_path(edges: DataFrame, start: str, goal: str, depth: int) -> DataFrame:
-    """One row (start, goal, hops, path) of the shortest path in either direction, or none within `depth`.
+def shortest_path(edges: DataFrame, start: str, goal: str, depth: int, *, direction: str = "both", relationship: str | None = None) -> DataFrame:
+    """One row (start, goal, hops, path) of the shortest path, or none within `depth`.
 
     Each reached node keeps its smallest predecessor, so the path is the same in every run.
     """
-    out = edges.select(F.col("source_id").alias("a"), F.col("target_id").alias("b"))
-    steps = out.unionByName(edges.select(F.col("target_id").alias("a"), F.col("source_id").alias("b")))
-    spark = edges.sparkSession
-    seen = frontier = spark.createDataFrame([(start, [start])], "node string, path array<string>")
+    steps = _steps(edges, direction, relationship)
+    seen = frontier = edges.sparkSession.createDataFrame([(start, [start])], "node string, path array<string>")
     for hop in range(depth + 1):
         hit = seen.filter(F.col("node") == goal)
-        if hit.limit(1).count() or hop == depth:
+        if not hit.isEmpty() or hop == depth or frontier.isEmpty():
             return hit.select(F.lit(start).alias("start"), F.lit(goal).alias("goal"), (F.size("path") - 1).cast("long").alias("hops"), "path")
         moved = frontier.join(steps, F.col("node") == F.col("a")).groupBy("b").agg(F.min("path").alias("path"))
         moved = moved.select(F.col("b").alias("node"), F.concat("path", F.array("b")).alias("path"))

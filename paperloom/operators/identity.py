@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paperloom.functions.identifiers import bare_id
 from paperloom.functions.text import norm_title
 from paperloom.operators.staging import staged
+from paperloom.session import workers
 
 #: Kinds of keys in the order they are asked, and the least length of a title that counts.
 KINDS = ("s2_id", "doi", "pmid", "title")
@@ -45,17 +49,36 @@ def node_keys() -> list[tuple[str, Column]]:
     ]
 
 
+#: Waiting records, with their keys, that one task may settle by itself.
+LAST = 200_000
+
+
+def _fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Records (id, keys, creators) in the order of id, settled one after the other."""
+    holders: dict[str, int] = {}
+    for pdf in batches:
+        kinds = []
+        for i, keys, before in zip(pdf["id"], pdf["keys"], pdf["creator"], strict=True):
+            merged = before is not None and before == before and before < i or any(k in holders for k in keys)
+            if not merged:
+                holders.update(dict.fromkeys(keys, i))
+            kinds.append("merged" if merged else "creator")
+        yield pd.DataFrame({"id": pdf["id"], "kind": kinds})
+
+
 def in_order(rows: DataFrame, id_col: str, keys: list[tuple[str, Column]]) -> DataFrame:
     """id, rep_id, created: records taken in order of id; one that meets an earlier creator's key is merged into it.
 
-    Creators register their keys, merged records don't, so this is no connected component. A round's
-    state is written to the shared folder.
+    Creators register their keys, merged records don't, so this is no connected component. Rounds settle all records
+    that no unsettled one can change, and write their state to the shared folder; a chain of records settles a link a
+    round, so as soon as the waiting ones fit into one task, by count, that task settles them in order.
     """
+    workers(rows.sparkSession)
     keyed = staged(exploded(rows, id_col, keys).select("id", "prio", F.concat_ws("\u0001", "kind", "key").alias("key")).distinct())
     state = staged(rows.select(F.col(id_col).alias("id")).distinct().withColumn("kind", F.lit("waiting")))
     while True:
         # A record is merged once any earlier creator holds one of its keys, and a creator once no earlier record that
-        # could still become one does. Merged records hold nobody up, so rounds are few.
+        # could still become one does. Merged records hold nobody up.
         marked = keyed.join(state, "id")
         first = lambda kind: F.min(F.when(F.col("kind") == kind, F.col("id")))
         heads = marked.groupBy("key").agg(first("creator").alias("creator"), first("waiting").alias("head"))
@@ -63,7 +86,15 @@ def in_order(rows: DataFrame, id_col: str, keys: list[tuple[str, Column]]) -> Da
         after = state.join(seen, "id", "left")
         kind = F.when(F.col("kind") != "waiting", F.col("kind")).when(F.col("creator") < F.col("id"), "merged").when(F.coalesce("head", "id") >= F.col("id"), "creator")
         state = staged(after.select("id", F.coalesce(kind, F.lit("waiting")).alias("kind")))
-        if not state.filter("kind = 'waiting'").limit(1).count():
+        left = keyed.join(state.filter("kind = 'waiting'").select("id"), "id")
+        many = left.count()
+        if not many:
+            break
+        if many <= LAST:
+            holders = keyed.join(state.filter("kind = 'creator'").select("id"), "id").groupBy("key").agg(F.min("id").alias("creator"))
+            waiting = left.join(holders, "key", "left").groupBy("id").agg(F.collect_list("key").alias("keys"), F.min("creator").alias("creator"))
+            settled = waiting.coalesce(1).sortWithinPartitions("id").mapInPandas(_fold, f"id {waiting.schema['id'].dataType.simpleString()}, kind string")
+            state = staged(state.filter("kind <> 'waiting'").unionByName(settled))
             break
     creators = keyed.join(state.filter("kind = 'creator'").select("id"), "id").groupBy("key").agg(F.min("id").alias("creator"))
     hits = keyed.join(state.filter("kind = 'merged'").select("id"), "id").join(creators, "key").filter("creator < id")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from paperloom.functions.identifiers import uuid_hex
+
 #: Rows of a log page by default and at most.
 PAGE, LONGEST_PAGE = 50, 1000
 
@@ -16,7 +18,7 @@ def alive(status: Column) -> Column:
 def status_counts(nodes: DataFrame, tags: str = "tags") -> DataFrame:
     """status, n of alive nodes by pipeline status, the most frequent first."""
     tag = nodes.select(F.explode(tags).alias("tag")).filter(F.col("tag").startswith("pipeline:"))
-    return tag.groupBy(F.substring("tag", 10, 1000).alias("status")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "status")
+    return tag.groupBy(F.expr("substring(tag, 10)").alias("status")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "status")
 
 
 def log_filter(log: DataFrame, *, since: str | None = None, now: Column | None = None, **equal: str | int | None) -> DataFrame:
@@ -39,6 +41,53 @@ def page(log: DataFrame, limit: int = PAGE) -> DataFrame:
     return log.orderBy(F.desc("ts"), F.desc("event_id")).limit(min(limit, LONGEST_PAGE))
 
 
+def find_nodes(nodes: DataFrame, *, text: str | None = None, tag: str | None = None, columns: list[str] | None = None, limit: int | None = None) -> DataFrame:
+    """Nodes whose columns (title and abstract, if none are named) hold a text in any case, and that carry a tag."""
+    if text:
+        hit = F.lit(False)
+        for c in columns or ["title", "abstract"]:
+            hit = hit | F.coalesce(F.contains(F.lower(c), F.lit(text.lower())), F.lit(False))
+        nodes = nodes.filter(hit)
+    if tag:
+        nodes = nodes.filter(F.array_contains("tags", tag))
+    return nodes if limit is None else nodes.limit(limit)
+
+
+def grep(rows: DataFrame, needle: str) -> DataFrame:
+    """Rows that hold a text in any of their columns, nested ones included."""
+    return rows.filter(F.contains(F.to_json(F.struct("*")), F.lit(needle)))
+
+
+def get_node(nodes: DataFrame, name: str) -> DataFrame:
+    """The node of a slug, or of a uuid with or without dashes."""
+    by_uuid = uuid_hex(F.col("uuid")) == name.replace("-", "").lower()
+    return nodes.filter((F.col("slug") == name) | by_uuid)
+
+
+def by_title(nodes: DataFrame) -> DataFrame:
+    return nodes.orderBy("title", "id")
+
+
+def scalar_counts(nodes: DataFrame, edges: DataFrame, log: DataFrame) -> DataFrame:
+    """alive, deleted, edges, refs, mutations: one row, of one pass over each table."""
+    kept = alive(F.col("status"))
+    n = nodes.agg(F.count_if(kept).alias("alive"), F.count_if(~kept).alias("deleted"))
+    e = edges.agg(F.count(F.lit(1)).alias("edges"), F.count_if(F.col("relationship") == "references").alias("refs"))
+    return n.join(e, F.lit(True)).join(log.agg(F.count(F.lit(1)).alias("mutations")), F.lit(True))
+
+
+def recent(log: DataFrame, spans: dict[str, int], now: Column | None = None) -> DataFrame:
+    """One row: for each name, the mutations of its last seconds before now, or before the log's last moment."""
+    clock = log.agg((F.max("ts") if now is None else F.max(now)).alias("__t"))
+    ago = lambda s: F.count_if(F.col("ts") > F.col("__t") - F.make_dt_interval(secs=F.lit(s)))
+    return log.select("ts").join(F.broadcast(clock), F.lit(True)).agg(*[ago(s).alias(name) for name, s in spans.items()])
+
+
+def last_mutation(log: DataFrame) -> DataFrame:
+    """The latest row; of several, the one with the largest id."""
+    return log.agg(F.max_by(F.struct("*"), F.struct("ts", "event_id")).alias("b")).select("b.*")
+
+
 def lenient_json(text: Column) -> Column:
     """The JSON's canonical text where it parses, else the text as it is."""
     return F.coalesce(F.to_json(F.try_parse_json(text)), text)

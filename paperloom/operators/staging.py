@@ -34,3 +34,19 @@ def staged(df: DataFrame, name: str = "staged") -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def numbered(df: DataFrame, *order: str) -> DataFrame:
+    """df with idx, the row's place from 0 in the order of columns; rows are dealt out by ranges, never to one task."""
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    # The low bits of these ids count the rows of a partition, the high ones are its number.
+    rows = staged(ranged.withColumn("__n", F.monotonically_increasing_id()), "numbered")
+    part, place = F.shiftright("__n", 33), F.col("__n").bitwiseAND(F.lit((1 << 33) - 1))
+    counts = rows.groupBy(part.alias("__p")).agg(F.count(F.lit(1)).alias("n"))
+    # One row for each partition of the rows above.
+    before = F.coalesce(F.sum("n").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = counts.select("__p", before.alias("__before"))
+    return rows.join(F.broadcast(offsets), part == F.col("__p")).withColumn("idx", F.col("__before") + place).drop("__n", "__p", "__before")

@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from paperloom.functions.identifiers import first_nonblank as first_of
+from paperloom.operators import catalog as K
 from paperloom.operators import graph as E
 from paperloom.operators import identity as D
 from paperloom.operators import monitor as M
@@ -28,7 +29,7 @@ def _ris_rows(spark, d):
         F.lit("/01\nDO  - doi:10.1/C"), F.col("conv_id").cast("string"), F.lit(".\nER  - "),
     )
     t = table(spark, d, "conversations").select(F.concat_ws("-", "conv_id", "turn").alias("k"), text.alias("text"))
-    return ris.records(ris.tagged(t, "k"), ["k", "rec"])
+    return ris.records(ris.record_texts(t, "k"), ["k", "rec"])
 
 
 @query(f"SELECT conv_id || '-' || turn AS k, {_ONE_LINE} AS title, '10.1/c' || conv_id AS doi, (2000 + turn)::VARCHAR AS year, role AS authors FROM conversations WHERE {_ONE_LINE} <> ''")
@@ -73,10 +74,9 @@ def export_slim(spark, d):
 @query("SELECT event_id, event_type AS name FROM events WHERE event_id % 4 > 1")
 def malformed_filter(spark, d):
     n = F.col("event_id") % 4
-    raw = F.when(n == 0, "[1]").when(n == 1, '{"authors":"x"').otherwise(F.concat(F.lit('{"authors":[{"name":"'), F.col("event_type"), F.lit('"}]}')))
-    parsed = F.from_json(raw, "authors array<struct<name:string>>", {"mode": "PERMISSIVE"})
-    rows = table(spark, d, "events").select("event_id", parsed.alias("p")).filter(F.col("p.authors").isNotNull())
-    return rows.select("event_id", F.get("p.authors", F.lit(0))["name"].alias("name"))
+    raw = F.when(n == 0, "[1]").when(n == 1, '{"authors":"x"}').otherwise(F.concat(F.lit('{"authors":[{"name":"'), F.col("event_type"), F.lit('"}]}')))
+    rows = table(spark, d, "events").select("event_id", raw.alias("raw")).filter(~K.malformed(F.col("raw")))
+    return rows.select("event_id", F.get(K.entry_record(F.col("raw"))["authors"], F.lit(0)).alias("name"))
 
 
 @query("""WITH t AS (SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, year(l_shipdate) AS y FROM lineitem), i AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber % 3 <> 1 THEN '10.1/p' || l_partkey END AS doi, CASE WHEN l_linenumber % 2 = 0 THEN 't' || l_suppkey END AS title, CASE WHEN l_linenumber % 3 = 0 THEN NULL ELSE y END AS year FROM t)
@@ -102,23 +102,24 @@ def chunking(spark, d):
 @query("SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'first' WHEN doc_id % 3 = 0 THEN 'second' WHEN doc_id % 5 = 0 THEN 'third' ELSE 'abstract' END AS origin FROM documents")
 def fallback_chain(spark, d):
     i = F.col("doc_id")
-    return table(spark, d, "documents").select("doc_id", F.coalesce(F.when(i % 2 == 0, "first"), F.when(i % 3 == 0, "second"), F.when(i % 5 == 0, "third"), F.lit("abstract")).alias("origin"))
+    sources = [("first", F.when(i % 2 == 0, F.col("lang"))), ("second", F.when(i % 3 == 0, F.col("source"))), ("third", F.when(i % 5 == 0, F.col("lang")))]
+    return table(spark, d, "documents").select("doc_id", K.fallback(sources, "abstract").alias("origin"))
 
 
 @query("SELECT doc_id FROM documents WHERE contains(text, 'the') AND contains(lower(source), 'src1')")
 def find_text(spark, d):
-    return table(spark, d, "documents").filter(F.contains("text", F.lit("the")) & F.contains(F.lower("source"), F.lit("src1"))).select("doc_id")
+    return M.find_nodes(table(spark, d, "documents").filter(F.contains("text", F.lit("the"))), text="SRC1", columns=["source"]).select("doc_id")
 
 
 @query("SELECT p_partkey FROM part WHERE lower(p_brand) = 'brand#11'")
 def find_tag(spark, d):
-    tags = F.array(F.concat(F.lit("kw:"), F.lower("p_brand")))
-    return table(spark, d, "part").filter(F.array_contains(tags, "kw:brand#11")).select("p_partkey")
+    tagged = table(spark, d, "part").withColumn("tags", F.array(F.concat(F.lit("kw:"), F.lower("p_brand"))))
+    return M.find_nodes(tagged, tag="kw:brand#11").select("p_partkey")
 
 
 @query("SELECT p_partkey FROM part WHERE contains(p_name, 'red') OR contains(p_brand, 'red') OR contains(p_type, 'red')")
 def grep_all_fields(spark, d):
-    return table(spark, d, "part").filter(F.contains(F.to_json(F.struct("p_name", "p_brand", "p_type")), F.lit("red"))).select("p_partkey")
+    return M.grep(table(spark, d, "part").select("p_partkey", "p_name", "p_brand", "p_type"), "red").select("p_partkey")
 
 
 @query(rf"""WITH t AS (SELECT doc_id, regexp_replace({TITLE}, '^\s+|\s+$', '', 'g') AS t FROM documents) SELECT doc_id, length(t) >= 10 OR doc_id % 4 = 0 AS valid FROM t""")
@@ -138,8 +139,8 @@ def enrich_bulk_lookup(spark, d):
 def cached_lookup(spark, d):
     """Each distinct key is resolved once, then joined back."""
     c = table(spark, d, "customer").select("c_custkey", F.col("c_nationkey").alias("k"))
-    known = c.select("k").distinct().join(table(spark, d, "nation"), F.col("k") == F.col("n_nationkey")).select("k", "n_name")
-    return c.join(known, "k").select("c_custkey", "n_name")
+    known = table(spark, d, "nation").select(F.col("n_nationkey").alias("k"), "n_name")
+    return K.resolve_once(c, "k", known).select("c_custkey", "n_name")
 
 
 @query("""WITH m AS (SELECT source, CASE WHEN avg(quality) >= 0.5 THEN 1 ELSE 0 END AS major FROM documents d JOIN labels l ON d.doc_id = l.doc_id GROUP BY source)
@@ -192,12 +193,6 @@ def dedup_priority_match(spark, d):
     return D.priority_match(docs.filter("doc_id % 2 = 1"), index, "doc_id", _doc_keys())
 
 
-@query()
-def intra_batch_dedup(spark, d):
-    """Two keys, so a fold in order; tests hold it against a plain loop."""
-    return D.in_order(table(spark, d, "documents"), "doc_id", [_doc_keys()[0], _doc_keys()[2]])
-
-
 @query("SELECT doc_id, min(doc_id) OVER (PARTITION BY text) AS rep_id, doc_id = min(doc_id) OVER (PARTITION BY text) AS created FROM documents")
 def intra_batch_dedup_single(spark, d):
     return D.in_order(table(spark, d, "documents"), "doc_id", [_doc_keys()[0]])
@@ -206,9 +201,8 @@ def intra_batch_dedup_single(spark, d):
 @query("SELECT o_orderkey, min(CASE WHEN o_orderstatus = 'P' THEN 0 ELSE 1 END)::INTEGER AS place FROM orders WHERE o_orderstatus IN ('P', 'F') OR o_orderpriority = '1-URGENT' GROUP BY o_orderkey")
 def backfill_candidates(spark, d):
     o = table(spark, d, "orders")
-    parts = [o.filter(c).select("o_orderkey", F.lit(p).alias("place")) for p, c in enumerate(("o_orderstatus = 'P'", "o_orderstatus = 'F'", "o_orderpriority = '1-URGENT'"))]
-    first = parts[0].unionByName(parts[1]).unionByName(parts[2]).groupBy("o_orderkey").agg(F.min("place").alias("place"))
-    return first.select("o_orderkey", F.least("place", F.lit(1)).alias("place"))
+    scans = [o.filter(c).select("o_orderkey", F.lit(None).cast("string").alias("uuid")) for c in ("o_orderstatus = 'P'", "o_orderstatus = 'F'", "o_orderpriority = '1-URGENT'")]
+    return R.candidates(scans, ["o_orderkey", "uuid"]).select("o_orderkey", F.least("place", F.lit(1)).alias("place"))
 
 
 def _edges(spark, d):
@@ -254,16 +248,14 @@ def degree_counts(spark, d):
 
 @query("SELECT count(*)::BIGINT AS n_ids, count(DISTINCT l_orderkey || '-' || l_partkey)::BIGINT AS n_keys FROM lineitem")
 def edge_counts(spark, d):
-    e = table(spark, d, "lineitem")
-    keys = e.select("l_orderkey", "l_partkey").distinct().agg(F.count(F.lit(1)).alias("n_keys"))
-    return e.agg(F.count(F.lit(1)).alias("n_ids")).join(keys, F.lit(True))
+    return E.edge_counts(_edges(spark, d).withColumn("id", F.monotonically_increasing_id()), "id")
 
 
 @query("WITH b AS (SELECT p_partkey FROM part WHERE p_size % 2 = 0) SELECT l_orderkey, count(DISTINCT l_partkey)::BIGINT AS n FROM lineitem WHERE l_partkey IN (SELECT p_partkey FROM b) AND l_partkey <> l_orderkey GROUP BY l_orderkey")
 def cross_citations(spark, d):
-    batch = table(spark, d, "part").filter("p_size % 2 = 0").select(F.col("p_partkey").alias("l_partkey"))
-    hits = table(spark, d, "lineitem").select("l_orderkey", "l_partkey").filter("l_partkey <> l_orderkey").distinct().join(batch, "l_partkey", "left_semi")
-    return hits.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"))
+    batch = table(spark, d, "part").filter("p_size % 2 = 0").select(F.col("p_partkey").alias("doi"))
+    items = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("source_id"), F.col("l_orderkey").alias("own"), F.col("l_partkey").alias("doi"))
+    return R.cross_citations(items, batch).withColumnRenamed("source_id", "l_orderkey")
 
 
 @query("""WITH e AS (SELECT DISTINCT 'o:' || l_orderkey AS s, 'p:' || l_partkey AS t FROM lineitem), h1 AS (SELECT DISTINCT s AS n FROM e WHERE t = 'p:1'), h2 AS (SELECT DISTINCT t AS n FROM e WHERE s IN (SELECT n FROM h1) AND t <> 'p:1'),
@@ -333,24 +325,19 @@ def stats_pipeline(spark, d):
 
 @query("SELECT (SELECT count(*) FROM orders WHERE o_orderpriority <> '5-LOW')::BIGINT AS alive, (SELECT count(*) FROM orders WHERE o_orderpriority = '5-LOW')::BIGINT AS deleted, (SELECT count(*) FROM lineitem)::BIGINT AS edges, (SELECT count(*) FROM lineitem WHERE l_returnflag = 'R')::BIGINT AS refs, (SELECT count(*) FROM events)::BIGINT AS mutations")
 def stats_scalars(spark, d):
-    low = F.col("o_orderpriority") == "5-LOW"
-    o = table(spark, d, "orders").agg(F.count_if(~low).alias("alive"), F.count_if(low).alias("deleted"))
-    e = table(spark, d, "lineitem").agg(F.count(F.lit(1)).alias("edges"), F.count_if(F.col("l_returnflag") == "R").alias("refs"))
-    return o.join(e, F.lit(True)).join(table(spark, d, "events").agg(F.count(F.lit(1)).alias("mutations")), F.lit(True))
+    nodes = table(spark, d, "orders").select(F.when(F.col("o_orderpriority") == "5-LOW", "deleted").alias("status"))
+    edges = table(spark, d, "lineitem").select(F.when(F.col("l_returnflag") == "R", "references").otherwise("parent").alias("relationship"))
+    return M.scalar_counts(nodes, edges, table(spark, d, "events"))
 
 
 @query("WITH m AS (SELECT max(ts) AS t FROM events) SELECT count(*) FILTER (ts > t - INTERVAL 1 DAY)::BIGINT AS last_day, count(*) FILTER (ts > t - INTERVAL 7 DAY)::BIGINT AS last_week FROM events, m")
 def recent_activity(spark, d):
-    e = table(spark, d, "events")
-    clock = e.agg(F.max("ts").alias("t"))
-    ago = lambda days: F.col("ts") > F.col("t") - F.make_dt_interval(days=F.lit(days))
-    return e.select("ts").join(F.broadcast(clock), F.lit(True)).agg(F.count_if(ago(1)).alias("last_day"), F.count_if(ago(7)).alias("last_week"))
+    return M.recent(table(spark, d, "events"), {"last_day": 86_400, "last_week": 604_800})
 
 
 @query("SELECT event_id, event_type FROM events ORDER BY ts DESC, event_id DESC LIMIT 1")
 def last_mutation(spark, d):
-    best = table(spark, d, "events").agg(F.max_by(F.struct("event_id", "event_type"), F.struct("ts", "event_id")).alias("b"))
-    return best.select("b.event_id", "b.event_type")
+    return M.last_mutation(table(spark, d, "events")).select("event_id", "event_type")
 
 
 @query("WITH m AS (SELECT max(ts) AS t, min(user_id) AS u, min(event_type) AS e FROM events) SELECT event_id FROM events, m WHERE event_type = e AND ts > t - INTERVAL 604800 SECOND")
@@ -389,14 +376,12 @@ def import_summary(spark, d):
 
 @query("SELECT event_type, round(sum(value), 4) AS wall, count(*)::BIGINT AS items, round(coalesce(sum(value) / nullif(count(*), 0), 0), 4) AS per_item FROM events GROUP BY event_type")
 def phase_metrics(spark, d):
-    wall, items = F.sum("value"), F.count(F.lit(1))
-    return table(spark, d, "events").groupBy("event_type").agg(F.round(wall, 4).alias("wall"), items.alias("items"), F.round(F.coalesce(F.try_divide(wall, items), F.lit(0.0)), 4).alias("per_item"))
+    return R.phase_metrics(table(spark, d, "events"), "event_type", "value")
 
 
 @query("SELECT o_orderstatus, sum(o_orderkey % 3)::BIGINT AS stored, sum(o_orderkey % 5)::BIGINT AS linked, round(sum(o_orderkey % 5) / count(*), 2) AS per_paper FROM orders GROUP BY o_orderstatus")
 def bench_rollup(spark, d):
-    g = _outcomes(spark, d).groupBy("o_orderstatus")
-    return g.agg(F.sum("stored").cast("long").alias("stored"), F.sum("linked").cast("long").alias("linked"), F.round(F.sum("linked") / F.count(F.lit(1)), 2).alias("per_paper"))
+    return R.bench_rollup(_outcomes(spark, d), "o_orderstatus")
 
 
 @query("""WITH w AS (SELECT event_type, unnest([0, 1, 2, 3, 4]) AS k, epoch_us(ts) AS t FROM events) SELECT (t // 60000000 - k)::BIGINT * 60000000 AS start_us, event_type, count(*)::BIGINT AS n FROM w GROUP BY 1, 2""")

@@ -178,7 +178,7 @@ def repair_decisions(spark, d):
 
 @query()
 def title_fuzzy_guard(spark, d):
-    """Titles of next documents whose sorted-token similarity is 85 or more; the UDF sees pairs that share a first token."""
+    """Titles of next documents, and whether their sorted-token similarity is 85 or more."""
     t = table(spark, d, "documents").select("doc_id", F.lower(title()).alias("t"))
     pairs = t.join(t.select((F.col("doc_id") - 1).alias("doc_id"), F.col("t").alias("u")), "doc_id")
     ratio = X.token_sort_ratio("t", "u")
@@ -226,7 +226,7 @@ def array_ordered_union(spark, d):
 @query("SELECT p_partkey, 'type:journalarticle' AS removed, '' AS added FROM part")
 def tag_diff(spark, d):
     new = G.canonicalize(part_tags())
-    removed, added = F.array_except(part_tags(), new), F.array_except(new, part_tags())
+    removed, added = G.tag_changes(part_tags(), new)
     return table(spark, d, "part").select("p_partkey", F.array_join(removed, ",").alias("removed"), F.array_join(added, ",").alias("added"))
 
 

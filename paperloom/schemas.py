@@ -31,3 +31,13 @@ RIS_RECORD = (
     "idx long, title string, abstract string, doi string, year string, venue string, url string, "
     "authors array<string>, keywords array<string>"
 )
+CATALOG_REFERENCE = "struct<paperId:string,title:string,year:string,externalIds:struct<DOI:string,PubMed:string>>"
+CATALOG_ENTRY = (
+    "paperId string, title string, abstract string, year string, venue string, externalIds struct<DOI:string,PubMed:string>, "
+    "authors array<struct<name:string>>, fieldsOfStudy array<string>, s2FieldsOfStudy array<struct<category:string>>, "
+    f"publicationTypes array<string>, references array<{CATALOG_REFERENCE}>"
+)
+ARTICLE = (
+    "title string, abstract string, authors array<string>, year string, venue string, doi_raw string, pmid string, mesh array<string>, "
+    "keywords array<string>, mesh_major array<string>, mesh_qualifiers array<string>, types array<string>"
+)

@@ -50,3 +50,43 @@ def chunked(idx: Column, size: int) -> Column:
     if size <= 0:
         raise ValueError("chunk size must be positive")
     return F.floor(idx / size)
+
+
+#: Fixed value: how the file begins that stands for a large one which was not fetched.
+POINTER = "version https://git-lfs"
+
+
+def read_graph(spark: SparkSession, path: str) -> dict[str, DataFrame]:
+    """Nodes, edges and annotations of a graph export (JSON lines), by kind; a file that only points to one is refused."""
+    lines = spark.read.text(path)
+    held = F.when(F.col("value").startswith(POINTER), F.raise_error(F.lit("the export was not fetched, only its pointer"))).otherwise(F.col("value"))
+    kept = slim(lines.select(held.alias("value")))
+    kind = F.get_json_object("value", "$.kind")
+    return {k: kept.filter(kind == k).select(F.try_parse_json("value").alias("v"), "value") for k in KINDS}
+
+
+def graph_edges(lines: DataFrame) -> DataFrame:
+    """id, source_id, target_id, relationship of edge lines."""
+    return lines.select(*[F.try_variant_get("v", f"$.{c}", "string").alias(c) for c in ("id", "source_id", "target_id", "relationship")])
+
+
+def append_rows(df: DataFrame, path: str) -> None:
+    """Rows that are only ever added: annotations, log lines."""
+    df.write.mode("append").json(path)
+
+
+def workspace(spark: SparkSession, default: str) -> str:
+    """The store's folder: the session's setting, else the default."""
+    return spark.conf.get("spark.paperloom.workspace", None) or default
+
+
+def publish(df: DataFrame, root: str) -> str:
+    """Write a snapshot, then mark it whole; latest() gives the last one marked, so a writer that died is not read."""
+    path = write_snapshot(df, root)
+    df.sparkSession.createDataFrame([(path,)], "path string").withColumn("at", F.current_timestamp()).coalesce(1).write.mode("append").json(f"{root}/_whole")
+    return path
+
+
+def latest(spark: SparkSession, root: str) -> DataFrame:
+    marks = spark.read.schema("path string, at timestamp").json(f"{root}/_whole")
+    return spark.read.parquet(marks.agg(F.max_by("path", "at")).first()[0])

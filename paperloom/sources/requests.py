@@ -1,0 +1,62 @@
+"""What a live catalog connector needs around its requests: gaps between them, and when to ask again."""
+
+from __future__ import annotations
+
+import threading
+import time
+from collections.abc import Callable
+from typing import Any
+
+#: Seconds between requests to each catalog, attempts, answers that are asked for again, longest wait.
+GAPS = {"semantic-scholar": 1.05, "ncbi": 0.34, "ncbi-with-key": 0.11, "crossref": 0.20}
+ATTEMPTS = 4
+AGAIN = frozenset({429, *range(500, 600)})
+LONGEST = 8.0
+
+
+class Limiter:
+    """At least `gap` seconds between two requests of this process, whichever thread makes them."""
+
+    def __init__(self, gap: float, clock: Callable[[], float] = time.monotonic, sleep: Callable[[float], None] = time.sleep):
+        self.gap, self.clock, self.sleep = gap, clock, sleep
+        self.lock, self.next = threading.Lock(), float("-inf")
+
+    def wait(self) -> None:
+        with self.lock:
+            late = self.next - self.clock()
+            if late > 0:
+                self.sleep(late)
+            self.next = self.clock() + self.gap
+
+
+def retry_after(value: str | None) -> float | None:
+    """Seconds that an answer asks to wait; a date, or anything that is no whole number, says nothing."""
+    return float(value) if value and value.strip().isdigit() else None
+
+
+def backoff(attempt: int) -> float:
+    """Seconds before the attempt after this one, counted from 0."""
+    return min(0.5 * 2**attempt, LONGEST)
+
+
+def ask(send: Callable[[], Any], limiter: Limiter, sleep: Callable[[float], None] = time.sleep) -> Any:
+    """The answer of send (with status and headers), asked for again after errors and refusals; the last error stands.
+
+    Any error of the request is tried again, an answer that is an error of its own (404) too.
+    """
+    error: Exception | None = None
+    for attempt in range(ATTEMPTS):
+        limiter.wait()
+        pause = backoff(attempt)
+        try:
+            answer = send()
+            if answer.status < 400:
+                return answer
+            error = OSError(f"HTTP {answer.status}")
+            if answer.status in AGAIN:
+                pause = retry_after(answer.headers.get("Retry-After")) or pause
+        except OSError as e:
+            error = e
+        if attempt + 1 < ATTEMPTS:
+            sleep(pause)
+    raise error

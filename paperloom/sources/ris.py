@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
@@ -36,22 +36,24 @@ def parse_lines(lines: Iterator[str]) -> Iterator[list[tuple[str, str]]]:
         yield record
 
 
-def tagged(texts: DataFrame, key: str, text: str = "text") -> DataFrame:
-    """key, rec, pos, tag, value of every field in whole texts, by DataFrame functions."""
-    body = F.concat(F.lit("\n"), F.regexp_replace(text, "\r\n?", "\n"))
-    records = texts.select(key, F.posexplode(F.split(body, rf"\n{END}[^\n]*")).alias("rec", "body"))
+def fields(body: Column) -> Column:
+    """(tag, value) of the fields in one record's text, in order; lines that are no fields are passed over."""
+    body = F.regexp_replace(body, "\r\n?", "\n")
     # A line that starts with white space continues the one above; then each line is a field or nothing.
-    joined = F.regexp_replace("body", r"\n\s+(?=\S)(?![A-Z0-9]{2}  - )", " ")
-    joined = F.when(F.col("body").rlike(r"\n[ \t]"), joined).otherwise(F.col("body"))
-    lines = records.select(key, "rec", F.posexplode(F.split(joined, "\n")).alias("pos", "line"))
-    value = strip(F.regexp_extract("line", FIELD, 2))
-    return lines.filter(F.col("line").rlike(FIELD)).select(key, "rec", "pos", F.regexp_extract("line", FIELD, 1).alias("tag"), value.alias("value"))
+    joined = F.when(body.rlike(r"\n[ \t]"), F.regexp_replace(body, r"\n\s+(?=\S)(?![A-Z0-9]{2}  - )", " ")).otherwise(body)
+    lines = F.filter(F.split(joined, "\n"), lambda x: x.rlike(FIELD))
+    return F.transform(lines, lambda x: F.struct(F.regexp_extract(x, FIELD, 1).alias("tag"), strip(F.regexp_extract(x, FIELD, 2)).alias("value")))
+
+
+def record_texts(texts: DataFrame, key: str, text: str = "text") -> DataFrame:
+    """key, rec, body of every record in whole texts."""
+    body = F.concat(F.lit("\n"), F.regexp_replace(text, "\r\n?", "\n"))
+    return texts.select(key, F.posexplode(F.split(body, rf"\n{END}[^\n]*")).alias("rec", "body"))
 
 
-def records(fields: DataFrame, keys: list[str]) -> DataFrame:
-    """One row per record that has a title; repeated tags keep their order."""
-    values = F.array_sort(F.collect_list(F.struct("pos", "tag", "value"))).alias("f")
-    rows = fields.groupBy(*keys).agg(values)
+def records(rows: DataFrame, keys: list[str], body: str = "body") -> DataFrame:
+    """One row per record that has a title, from its text; repeated tags keep their order. Nothing is shuffled."""
+    rows = rows.select(*keys, fields(F.col(body)).alias("f"))
 
     def under(name: str) -> Column:
         return F.filter("f", lambda x: (x["tag"] == name) & (x["value"] != ""))
@@ -77,9 +79,9 @@ def project(rows: DataFrame) -> DataFrame:
 
 
 def keep_first(rows: DataFrame, order: str, doi: str = "doi", title: str = "title") -> DataFrame:
-    """The first record of each identifier, or of each lower-cased title where there is none."""
+    """The first record of each identifier, or of each lower-cased title where there is none; by partial aggregates."""
     key = F.coalesce(F.nullif(F.col(doi), F.lit("")), F.lower(strip(F.col(title))))
-    return rows.withColumn("__n", F.row_number().over(Window.partitionBy(key).orderBy(order))).filter("__n = 1").drop("__n")
+    return rows.groupBy(key.alias("__key")).agg(F.min_by(F.struct("*"), order).alias("__r")).select("__r.*")
 
 
 def export(title: Column, authors: Column, year: Column, doi: Column) -> Column:
@@ -121,6 +123,11 @@ class _Reader(DataSourceReader):
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
-    """Records of a file, or of all *.ris files below a folder."""
-    texts = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.[rR][iI][sS]").text(path, wholetext=True)
-    return records(tagged(texts.select(F.input_file_name().alias("file"), F.col("value").alias("text")), "file"), ["file", "rec"])
+    """Records of a file, or of all *.ris files below a folder, with their file and a number that rises within it.
+
+    A record's end separates rows, so large files are split between tasks and no file is held as a whole. Bytes that
+    are no UTF-8 become U+FFFD.
+    """
+    found = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.[rR][iI][sS]").option("lineSep", f"\n{END}")
+    text = F.concat(F.lit("\n"), F.regexp_replace(F.make_valid_utf8("value"), rf"^{END}", ""))
+    return records(found.text(path).select(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("rec"), text.alias("body")), ["file", "rec"])

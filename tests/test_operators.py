@@ -9,9 +9,9 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from paperloom.operators import graph, identity, monitor, records, repair
+from paperloom.operators import catalog, graph, identity, monitor, records, repair, staging
 from paperloom.plans.registry import ORACLES, QUERIES
-from paperloom.sources import files
+from paperloom.sources import files, requests
 
 DATA = "/root/testdata/sf0.001"
 
@@ -36,6 +36,15 @@ def test_in_order_against_a_loop(spark):
     assert got == want
 
 
+def test_in_order_settles_long_chains_in_few_rounds(spark, monkeypatch):
+    data = [(i, f"k{i}", f"k{i + 1}") for i in range(120)]
+    rows = spark.createDataFrame(data, "id long, a string, b string")
+    rounds, write = [], identity.staged
+    monkeypatch.setattr(identity, "staged", lambda df: (rounds.append(1), write(df))[1])
+    got = {r.id: r.created for r in identity.in_order(rows, "id", [("k", F.col("a")), ("k", F.col("b"))]).collect()}
+    assert got == {i: i % 2 == 0 for i in range(120)} and len(rounds) < 6
+
+
 def test_priority(spark):
     keys = identity.node_keys()
     nodes = spark.createDataFrame([(1, "s1", "10.1/a", None, "x"), (2, None, "10.1/b", "7", "A title that is long.")], "id long, s2_id string, doi string, pmid string, title string")
@@ -55,6 +64,10 @@ def test_paths(spark):
     e = spark.createDataFrame([("a", "b"), ("b", "c"), ("a", "x"), ("x", "c"), ("c", "d")], "source_id string, target_id string")
     assert graph.shortest_path(e, "a", "d", 5).first().path == ["a", "b", "c", "d"]
     assert graph.shortest_path(e, "a", "d", 2).count() == 0
+    assert graph.shortest_path(e, "a", "zz", 9).count() == 0 and graph.shortest_path(e, "d", "a", 9, direction="out").count() == 0
+    assert graph.k_hop(e, "nowhere", 99).count() == 1
+    with pytest.raises(ValueError, match="mode"):
+        graph.k_hop(e, "a", 1, mode="other")
     assert {r.node: r.hop for r in graph.k_hop(e, "c", 1, "in").collect()} == {"c": 0, "b": 1, "x": 1}
 
 
@@ -64,6 +77,146 @@ def test_bulk_lookup_keeps_the_last(spark):
     assert got == {"a": "y", "b": None}
 
 
+def test_waterfall_fills_blanks_and_empty_lists(spark):
+    kind = "k string, v string, l array<string>"
+    base = spark.createDataFrame([("a", "", []), ("b", None, None), ("c", "own", ["x"]), ("d", "", [])], kind)
+    one = spark.createDataFrame([("a", "1", []), ("b", "", ["1"]), ("c", "1", ["1"])], kind)
+    two = spark.createDataFrame([("a", "2", ["2"]), ("b", "2", ["2"]), ("d", "", [])], kind)
+    got = {r.k: (r.v, r.l, r.origin) for r in records.waterfall(base, [("one", one), ("two", two)], "k", ["v", "l"]).collect()}
+    assert got == {"a": ("1", ["2"], "one"), "b": ("2", ["1"], "one"), "c": ("own", ["x"], "input-only"), "d": ("", [], "input-only")}
+
+
+def test_upsert_merges_rows_of_a_key_and_keeps_own_identity(spark):
+    old = spark.createDataFrame([("a", "", [], "s9", ["kw:old", "s2id:wrong", "note:x"]), ("b", "kept", ["k"], None, ["kw:b"])], "k string, t string, l array<string>, s2_id string, tags array<string>")
+    new = spark.createDataFrame([("a", 2, "late", ["y"], None, ["Topic Two"]), ("a", 1, "", ["x"], None, []), ("c", 3, "new", [], "s3", None)], "k string, at int, t string, l array<string>, s2_id string, keywords array<string>")
+    got = {r.k: r for r in records.upsert(old, new, "k", ["t", "l", "s2_id"], [], order="at", tags="tags").collect()}
+    assert len(got) == 3 and (got["a"].t, got["a"].l, got["a"].created) == ("late", ["x"], False)
+    assert got["a"].tags == ["note:x", "pipeline:scaffolded", "s2id:s9", "kw:topic-two"]
+    assert got["b"].tags == ["kw:b"] and (got["c"].created, got["c"].tags) == (True, ["pipeline:scaffolded", "s2id:s3"])
+
+
+def test_candidates_are_taken_in_order(spark):
+    kind = "id string, uuid string, slug string"
+    first = spark.createDataFrame([("1", "u1", None), ("2", None, "s2"), (None, None, None)], kind)
+    second = spark.createDataFrame([("9", "u1", "s9"), ("8", None, "s9"), ("s2", None, None)], kind)
+    got = records.candidates([first, second], ["id", "uuid", "slug"]).collect()
+    # The row of u1 is left out, and so doesn't keep out the one that shares its slug alone.
+    assert sorted((r.id or "", r.place) for r in got) == [("", 0), ("1", 0), ("2", 0), ("8", 1)]
+
+
+def test_numbered_rows(spark):
+    rows = spark.range(0, 1000, 1, 7).select((F.col("id") * 37 % 1000).alias("v"))
+    assert all(r.v == r.idx for r in staging.numbered(rows, "v").collect())
+
+
+def test_backfill_runs_what_can_be_found(spark):
+    node = "id string, uuid string, slug string, title string, uri string, tags array<string>, metadata struct<reference:struct<doi:string,pmid:string>>"
+    rows = [("1", None, None, "t", "https://doi.org/10.1/a", ["pipeline:queued"], (("", None),)), ("2", None, None, "t", None, ["pipeline:queued"], ((None, None),)), ("3", None, None, "A title long enough", None, ["pipeline:failed"], ((None, None),)), ("4", None, None, "t", None, ["kw:x"], (("10.1/z", None),))]
+    nodes, seen = spark.createDataFrame(rows, node), []
+
+    def ingest(items):
+        seen.extend((r.id, r.chunk) for r in items.collect())
+        return items.select(F.array().cast("array<string>").alias("errors"), F.lit(1).alias("linked"), F.lit(2).alias("stored"))
+
+    summary = records.backfill(nodes, ["queued", "failed"], 1, ingest)[0].first()
+    assert (summary.processed, summary.edges_linked, summary.skipped) == (2, 2, 1) and sorted(seen) == [("1", 0), ("3", 1)]
+    with pytest.raises(ValueError, match="positive"):
+        records.backfill(nodes, ["queued"], 0, ingest)
+    assert records.backfill(nodes, ["digested"], 0, ingest)[0].first().processed == 0
+
+
+def test_items(spark):
+    rows = spark.createDataFrame([(1, '"10.1/a"'), (2, '{"title":"T","authors":["x"]}'), (3, "[1]"), (4, "nope"), (5, None)], "n int, item string")
+    got = {r.n: r for r in records.normalized_items(rows).collect()}
+    assert (got[1].doi, got[2].title, got[2].authors) == ("10.1/a", "T", ["x"]) and [got[n].item_error is None for n in range(1, 6)] == [True, True, False, False, False]
+    assert records.parse(records.single_item(spark, pmid=" 7 ")).first().errors == []
+
+
+def test_links_by_any_key(spark):
+    works = spark.createDataFrame([("a", "s1", None, None, "x"), ("b", None, "10.1/b", "7", "A title that is long.")], "id string, s2_id string, doi string, pmid string, title string")
+    cited = spark.createDataFrame([("a", 0, None, "10.1/B", None, None), ("a", 1, None, None, None, "a title that is LONG"), ("b", 0, None, None, "7", None), ("b", 1, "s1", None, None, None), ("c", 0, None, None, None, "short")], "source_id string, pos int, s2_id string, doi string, pmid string, title string")
+    there = spark.createDataFrame([("b", "a", "references")], "source_id string, target_id string, relationship string")
+    edges, counts = graph.forward_links(cited, identity.key_index(works, "id", identity.node_keys()), there)
+    assert [tuple(r) for r in edges.collect()] == [("a", "b", "references")]
+    assert {r.source_id: (r.linked, r.skipped) for r in counts.collect()} == {"a": (2, 0), "b": (1, 1), "c": (0, 1)}
+    pending = spark.createDataFrame([("p", "doi:10.1/N"), ("p", "10.1/n"), ("n", "10.1/n")], "source_id string, doi string")
+    edges, counts = graph.reverse_links(pending, spark.createDataFrame([("n", "10.1/N")], "node_id string, doi string"), there)
+    assert [tuple(r) for r in edges.collect()] == [("p", "n", "references")] and [tuple(r) for r in counts.collect()] == [("n", 2)]
+
+
+def test_article_of_broken_markup_and_chunks(spark):
+    assert catalog.article("<a>") is None and catalog.article(None) is None and catalog.article("<a/>")["title"] is None
+    rows = spark.createDataFrame([("<x><ArticleTitle>T</ArticleTitle></x>", "5"), ("broken", "6"), (None, None)], "xml string, asked string")
+    assert sorted((r.title or "", r.pmid or "") for r in catalog.article_records(rows, pmid="asked").collect()) == [("", ""), ("", "6"), ("T", "5")]
+    assert [catalog.chunk_size(n) for n in (None, 0, -3, 7, 9999)] == [500, 500, 1, 7, 500]
+
+
+def test_files_and_marks(spark, tmp_path):
+    (tmp_path / "seeds.txt").write_text("# head\n\n doi:10.1/A \n10.1/b\n")
+    assert [r.doi for r in files.read_ids(spark, str(tmp_path / "seeds.txt")).collect()] == ["10.1/a", "10.1/b"]
+    (tmp_path / "batch.json").write_text('["10.1/A",\n "10.1/b"]')
+    assert [r.doi for r in files.read_id_batch(spark, str(tmp_path / "batch.json")).collect()] == ["10.1/a", "10.1/b"]
+    (tmp_path / "bad.json").write_text('{"a": 1}')
+    with pytest.raises(Exception, match="JSON list"):
+        files.read_id_batch(spark, str(tmp_path / "bad.json")).collect()
+    (tmp_path / "graph.jsonl").write_text('{"kind":"node","id":"1"}\n{"kind":"edge","id":"e","source_id":"1","target_id":"2","relationship":"references"}\n{"operation":"x"}\n')
+    graph_ = files.read_graph(spark, str(tmp_path / "graph.jsonl"))
+    assert {k: v.count() for k, v in graph_.items()} == {"node": 1, "edge": 1, "annotation": 0}
+    assert tuple(files.graph_edges(graph_["edge"]).first()) == ("e", "1", "2", "references")
+    (tmp_path / "pointer.jsonl").write_text("version https://git-lfs.github.com/spec/v1\noid x\n")
+    with pytest.raises(Exception, match="pointer"):
+        files.read_graph(spark, str(tmp_path / "pointer.jsonl"))["node"].collect()
+    root = str(tmp_path / "store")
+    files.publish(spark.range(3), root)
+    files.write_snapshot(spark.range(99), root)  # a writer that died before its mark
+    assert files.latest(spark, root).count() == 3
+    files.append_rows(spark.range(2), f"{root}/notes")
+    files.append_rows(spark.range(2), f"{root}/notes")
+    assert spark.read.json(f"{root}/notes").count() == 4
+    outcomes = spark.createDataFrame([([], True), (["x"], False)], "errors array<string>, created boolean")
+    records.write_outcomes(outcomes, f"{root}/run")
+    assert spark.read.json(f"{root}/run/summary").first().failed == 1
+
+
+def test_requests_wait_and_ask_again():
+    now, slept = [0.0], []
+
+    def sleep(s):
+        slept.append(round(s, 3))
+        now[0] += s
+
+    limiter = requests.Limiter(1.05, clock=lambda: now[0], sleep=sleep)
+
+    class Answer:
+        def __init__(self, status, after=None):
+            self.status, self.headers = status, {"Retry-After": after} if after else {}
+
+    answers = [Answer(429, "3"), Answer(503, "soon"), Answer(404), Answer(200)]
+    assert requests.ask(lambda: answers.pop(0), limiter, sleep).status == 200 and not answers
+    assert [s for s in slept if s in (3.0, 1.0, 2.0)] == [3.0, 1.0, 2.0]
+    answers = [Answer(404)] * 5
+    with pytest.raises(OSError, match="404"):
+        requests.ask(lambda: answers.pop(0), limiter, sleep)
+    assert len(answers) == 1 and [requests.backoff(n) for n in (0, 1, 9)] == [0.5, 1.0, 8.0] and requests.retry_after("Mon") is None
+
+
+def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "spark://host:7077"
+        getConf = staticmethod(Conf)
+        getCheckpointDir = staticmethod(lambda: None)
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(ValueError, match="shared|share"):
+        staging.shared_folder(Session())
+
+
 def test_repair_plan(spark):
     e = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "d")], "source_id string, target_id string")
     n = spark.createDataFrame([("a", None), ("b", "open")], "id string, status string")
