@@ -108,17 +108,19 @@ def ngrams(text: str | None, n: int = N) -> np.ndarray:
 
 def _multipliers(rows: int) -> tuple[np.ndarray, np.ndarray]:
     rng = np.random.default_rng(SEED)
-    a = rng.integers(1, 2**63, rows, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    return a[:, None], rng.integers(0, 2**63, rows, dtype=np.uint64)[:, None]
+    a = rng.integers(0, 2**31, rows, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+    return a[:, None], rng.integers(0, 2**32, rows, dtype=np.uint32)[:, None]
 
 
 def signature(grams: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """MinHash values (32 bits) under each multiply-shift function."""
-    least = np.full(len(a), 2**32 - 1, np.uint64)
+    """MinHash values (32 bits) under permutations a * x + b of the n-grams' upper halves, which are hashes themselves."""
+    least, half = np.full(len(a), 2**32 - 1, np.uint32), (grams >> np.uint64(32)).astype(np.uint32)
     with np.errstate(over="ignore"):
-        for at in range(0, len(grams), 4096):
-            np.minimum(least, ((a * grams[None, at : at + 4096] + b) >> np.uint64(32)).min(axis=1), out=least)
-    return least.astype(np.uint32)
+        for at in range(0, len(half), 4096):
+            h = a * half[None, at : at + 4096]
+            h += b
+            np.minimum(least, h.min(axis=1), out=least)
+    return least
 
 
 def signatures(texts: DataFrame, similarity: float, recall: float, n: int) -> DataFrame:
