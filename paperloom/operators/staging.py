@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -36,11 +37,8 @@ def staged(df: DataFrame, name: str = "staged") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def numbered(df: DataFrame, *order: str) -> DataFrame:
+def numbered(df: DataFrame, *order: str | Column) -> DataFrame:
     """df with idx, the row's place from 0 in the order of columns; rows are dealt out by ranges, never to one task."""
-    from pyspark.sql import Window
-    from pyspark.sql import functions as F
-
     ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
     # The low bits of these ids count the rows of a partition, the high ones are its number.
     rows = staged(ranged.withColumn("__n", F.monotonically_increasing_id()), "numbered")
