@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paperloom.llm.common import ready, stage_table
+from paperloom.operators.staging import numbered
 
 BUCKET = 1024  # vectors of a bucket: its matrix stays in a core's cache
 CHUNK_ROWS = 8192  # candidates of a task, at least
@@ -135,10 +136,10 @@ def top_k(
     length = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x))
     rows = stage_table(rows.select("id", "v", length.alias("len"), F.size("v").alias("dim"), F.monotonically_increasing_id().alias("row")), "vectors")
     many = rows.count()
-    chunks, blocks = max(1, -(-many // max(chunk_rows, many // CHUNKS))), max(1, -(-(many // every + 1) // query_rows))
+    size, blocks = max(chunk_rows, many // CHUNKS), max(1, -(-(many // every + 1) // query_rows))
     # The id breaks ties, so that vectors of one length still spread over chunks.
-    ranged = rows.repartitionByRange(chunks, "dim", F.desc("len"), "id").select("id", "v", "dim", "len", F.spark_partition_id().alias("chunk"))
-    ranged = stage_table(ranged, "chunks")
+    ranged = numbered(rows.select("id", "v", "dim", "len"), "dim", F.desc("len"), "id")
+    ranged = stage_table(ranged.withColumn("chunk", F.floor(F.col("idx") / size).cast("int")).drop("idx"), "chunks")
     reach = ranged.groupBy("dim", "chunk").agg(F.max("len").alias("top"))
     # One array a dimension: the chunks by number, which is by falling length.
     known = stage_table(reach.groupBy("dim").agg(F.array_sort(F.collect_list(F.struct("chunk", "top"))).alias("chunks")), "reach")
@@ -170,8 +171,8 @@ def top_k(
     able = lambda c: F.col("len") * c["top"] * (1 + SLACK) + SLACK >= need
     on = F.transform(F.filter("chunks", lambda c: (c["chunk"] > first) & able(c)), lambda c: c["chunk"])
     rest = asked.join(known, "dim").join(least, "row", "left").select("id", "row", "v", "dim", need.alias("least"), on.alias("on"))
-    rest = rest.filter(F.size("on") > 0).repartitionByRange(blocks, F.size("on"), "row").withColumn("block", F.spark_partition_id())
-    rest = stage_table(rest, "asked")
+    rest = numbered(rest.filter(F.size("on") > 0), F.size("on"), "row")
+    rest = stage_table(rest.withColumn("block", F.floor(F.col("idx") / query_rows).cast("int")).drop("idx"), "asked")
     more = found(rest.withColumn("chunk", F.explode("on")).drop("on"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     both = begun.unionByName(more).select("query_id", "vec_id", "score")
