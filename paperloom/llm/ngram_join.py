@@ -44,7 +44,7 @@ TREES = 24
 DEPTH = 8  # values of a tree's row
 RECALL = 0.9999  # the least chance that two texts at the threshold meet in a tree
 HOT = 4000  # texts under one prefix from which on its branches are joined by themselves
-BLOCK_TEXTS, BLOCK_GRAMS = 2000, 1_000_000  # of a class: what one side of a verifying task holds
+BLOCK_TEXTS, BLOCK_GRAMS = 1000, 1_000_000  # of a class: what one side of a verifying task holds
 CORE = 200  # texts of a class from which on links near its first text are counted, not compared
 DENSE = 150  # an n-gram is dense if it is in more than one in so many pairs of texts
 BROADCAST_BYTES = 32 << 20  # of the candidate classes' members; a larger table is joined by a shuffle
@@ -374,9 +374,12 @@ def _near_first(members: DataFrame, similarity: float) -> DataFrame:
     """members (class, id, n, copies, grams) with core: whether the text of a large class is as near to its first text as
     any two such texts are similar, which the triangle inequality gives at half the distance."""
     first = members.filter((F.col("n") >= CORE) & (F.col("id") == F.col("class"))).select("class", F.col("grams").alias("first"))
+    # Where the first texts are few, by bytes, they go to the members, which then don't gather by class.
+    first = stage_table(first, "firsts")
+    few = (first.agg(F.sum(F.size("first"))).first()[0] or 0) * 8 <= BROADCAST_BYTES
     both = F.size(F.array_intersect("grams", "first"))
     near = both >= (1 + similarity) / 2 * (F.size("grams") + F.size("first") - both) + 1e-9
-    return members.join(first, "class", "left").withColumn("core", F.coalesce(near, F.lit(False))).drop("first")
+    return members.join(F.broadcast(first) if few else first, "class", "left").withColumn("core", F.coalesce(near, F.lit(False))).drop("first")
 
 
 def verified(texts: DataFrame, labels: DataFrame, similarity: float, n: int) -> DataFrame:
@@ -408,6 +411,7 @@ def verified(texts: DataFrame, labels: DataFrame, similarity: float, n: int) ->
     )
     parts = lambda count, weight: F.ceil(F.greatest(F.col(count) / BLOCK_TEXTS, F.col(weight) / BLOCK_GRAMS)).cast("int")
     per_class = stage_table(per_class.select("class", "nc", "cc", parts("nr", "gr").alias("a"), parts("nc", "gc").alias("b")), "classes")
+    per_class = F.broadcast(per_class) if per_class.count() * 64 <= BROADCAST_BYTES else per_class
     # Within the core all are linked, through the first text.
     core = members.filter("core").select("class", "id", "copies").join(per_class, "class")
     certain = core.select(F.col("id").alias("src"), F.lit(None).cast("long").alias("dst"), (F.col("nc") - 1).alias("links"), (F.col("cc") - F.col("copies")).alias("linked_docs"))
