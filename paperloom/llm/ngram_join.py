@@ -375,7 +375,6 @@ def _near_first(members: DataFrame, similarity: float) -> DataFrame:
     any two such texts are similar, which the triangle inequality gives at half the distance."""
     first = members.filter((F.col("n") >= CORE) & (F.col("id") == F.col("class"))).select("class", F.col("grams").alias("first"))
     # Where the first texts are few, by bytes, they go to the members, which then don't gather by class.
-    first = stage_table(first, "firsts")
     few = (first.agg(F.sum(F.size("first"))).first()[0] or 0) * 8 <= BROADCAST_BYTES
     both = F.size(F.array_intersect("grams", "first"))
     near = both >= (1 + similarity) / 2 * (F.size("grams") + F.size("first") - both) + 1e-9
