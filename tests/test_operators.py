@@ -5,11 +5,13 @@ import os
 import random
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from paperloom.operators import catalog, graph, identity, monitor, records, repair, staging
+from paperloom.plans import scalar
 from paperloom.plans.registry import ORACLES, QUERIES
 from paperloom.sources import files, requests
 
@@ -53,6 +55,23 @@ def test_priority(spark):
     assert got == {11: (1, "s2_id"), 12: (2, "doi"), 13: (2, "title")}
 
 
+def test_title_guard_against_a_table_of_subsequences(spark):
+    """The query's ratios against 200 * common subsequence / lengths, a row of the plain table at a time."""
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", F.lower(scalar.title()).alias("t")).collect()
+    titles = {r.doc_id: " ".join(sorted((r.t or "").split())) for r in docs if r.t is not None}
+    want = {}
+    for i, x in titles.items():
+        if (y := titles.get(i + 1)) is None:
+            continue
+        row, other = np.zeros(len(y) + 1, int), np.array([ord(c) for c in y], int)
+        for c in x:
+            row[1:] = np.maximum.accumulate(np.maximum(row[1:], row[:-1] + (other == ord(c))))
+        want[i] = 200 * row[-1] / (len(x) + len(y)) if x or y else 100
+    got = {r.doc_id: r for r in QUERIES["title_fuzzy_guard"](spark, DATA).collect() if r.ratio is not None}
+    assert got.keys() == want.keys() and len(want) > 100
+    assert all(abs(r.ratio - want[i]) < 1e-3 and r.accepted == (round(want[i], 4) >= 85) for i, r in got.items())
+
+
 def test_edges_are_idempotent(spark):
     e = spark.createDataFrame([("a", "b", "r"), ("a", "b", "r"), ("a", "a", "r"), ("b", "c", "r")], "source_id string, target_id string, relationship string")
     fresh = graph.new_edges(e, e.filter("source_id = 'b'"))
