@@ -19,13 +19,20 @@ def session(master: str | None = None, **settings: str) -> SparkSession:
 
 #: Of Python workers: Arrow and numpy take memory from one allocator, which can give it back.
 WORKERS = {"ARROW_DEFAULT_MEMORY_POOL": "system", "MALLOC_ARENA_MAX": "2", "MALLOC_TRIM_THRESHOLD_": "1048576", "MALLOC_MMAP_THRESHOLD_": "1048576"}
+#: Of an Arrow batch, which may exceed it by one row: the JVM and the worker hold several for each task.
+BATCH, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
 
 
 def workers(spark: SparkSession) -> None:
-    """Let Python workers on this machine import the package from where the driver found it, and bound what they keep."""
+    """Let Python workers on this machine import the package from where the driver found it, and bound what they keep.
+
+    The session's Arrow batches are cut at BATCH_BYTES, unless they are already cut at less.
+    """
     root = str(Path(__file__).resolve().parents[1])
     env = spark.sparkContext.environment
     if root not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(filter(None, [root, env.get("PYTHONPATH", "")]))
     for key, value in WORKERS.items():
         env.setdefault(key, value)
+    if not 0 < spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(BATCH)) <= BATCH_BYTES:
+        spark.conf.set(BATCH, f"{BATCH_BYTES}b")
