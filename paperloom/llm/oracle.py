@@ -102,5 +102,52 @@ SELECT page_id, u.host, path, rule, coalesce(decided, CASE WHEN rejected THEN 'b
 """
 
 
+_FIELD = "coalesce(octet_length(encode({0}::VARCHAR)) || ':' || {0}::VARCHAR, '-')"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+def _crc32(value: str) -> str:
+    """Unsigned crc32 of a short ASCII text, a bit at a time."""
+    bit = "CASE WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END"
+    byte = f"list_reduce(range(8), lambda a, z: {bit}, xor(s, y))"
+    return f"xor(list_reduce([ascii(x)::BIGINT for x in string_split({value}, '')], lambda s, y: {byte}, 4294967295::BIGINT), 4294967295)"
+
+
+OP11 = f"""
+WITH RECURSIVE d AS (SELECT doc_id, source, lang, n_chars, text, {_leaf('text')} AS leaf, CASE WHEN {_crc32('doc_id::VARCHAR')} % 2 = 0 THEN {_leaf("replace(text, chr(10), '')")} END AS bad FROM documents),
+g AS (SELECT source, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS tree FROM (SELECT DISTINCT source FROM documents)),
+l AS (SELECT row_number() OVER () AS r, doc_id, leaf, coalesce(bad, leaf) AS bad, tree, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY tree) AS n
+      FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source),
+t(lvl, tree, pos, n, h) AS (SELECT 0, tree, pos, n, leaf FROM l UNION ALL SELECT lvl + 1, tree, pos // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY pos)) FROM t WHERE n > 1 GROUP BY ALL),
+u(lvl, pos, n, h) AS (SELECT 0, tree, count(*) OVER (), h FROM t WHERE n = 1 UNION ALL SELECT lvl + 1, pos // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY pos)) FROM u WHERE n > 1 GROUP BY ALL),
+b AS (SELECT lvl, tree, pos, coalesce(string_agg(h, '') OVER (PARTITION BY lvl, tree, pos // 3 ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS a,
+             coalesce(string_agg(h, '') OVER (PARTITION BY lvl, tree, pos // 3 ORDER BY pos ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS z FROM t WHERE n > 1),
+c AS (SELECT lvl, pos, coalesce(string_agg(h, '') OVER (PARTITION BY lvl, pos // 3 ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS a,
+             coalesce(string_agg(h, '') OVER (PARTITION BY lvl, pos // 3 ORDER BY pos ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS z FROM u WHERE n > 1),
+f(r, lvl, tree, pos, n, p, h) AS (SELECT r, 0, tree, pos, n, '', bad FROM l UNION ALL SELECT r, f.lvl + 1, f.tree, f.pos // 3, (n + 2) // 3, p || a || z, sha256(a || h || z) FROM f JOIN b ON f.lvl = b.lvl AND f.tree = b.tree AND f.pos = b.pos WHERE n > 1),
+e(r, lvl, pos, n, p, h) AS (SELECT r, 0, tree, (SELECT count(*) FROM g), p, h FROM f WHERE n = 1 UNION ALL SELECT r, e.lvl + 1, e.pos // 3, (n + 2) // 3, p || a || z, sha256(a || h || z) FROM e JOIN c ON e.lvl = c.lvl AND e.pos = c.pos WHERE n > 1)
+SELECT doc_id, leaf, s.h AS subroot, o.h AS root, sha256(e.p) AS proof_sha256, e.h AS folded_root, e.h = o.h AS verified
+FROM l JOIN t s ON s.tree = l.tree AND s.n = 1 JOIN e ON e.r = l.r AND e.n = 1, (SELECT h FROM u WHERE n = 1) o
+"""
+
+_TOKEN = r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+"
+_H = "('0x' || substr(h, {}, 8))::UBIGINT"
+
+OP13 = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+w AS (SELECT doc_id, t, regexp_extract_all(t, '{_TOKEN}') AS w, {_H.format(1)} AS h1, {_H.format(9)} AS h2, {_H.format(17)} AS h3, {_H.format(25)} AS h4 FROM d),
+c AS (SELECT *, len(w) AS n, least(h1 % (len(w) + 1), h2 % (len(w) + 1))::BIGINT AS a, greatest(h1 % (len(w) + 1), h2 % (len(w) + 1))::BIGINT AS b,
+             CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 50 THEN 'plain' WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM w),
+p AS (SELECT doc_id, t, n, form, array_to_string(w[1:a], '') AS x, array_to_string(w[a + 1:b], '') AS y, array_to_string(w[b + 1:n], '') AS z FROM c)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(x) END::BIGINT AS prefix_chars, CASE WHEN form <> 'plain' THEN length(y) END::BIGINT AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || x || '<S>' || z || '<M>' || y ELSE '<S>' || z || '<P>' || x || '<M>' || y END) AS output_sha256, sha256(t) AS restored_sha256
+FROM p
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_decontamination": OP1, "op2_top_k": OP2, "op5_secrets": _op5(), "op7_line_dedup": OP7, "op10_url_filter": _op10()}
+    return {"op1_decontamination": OP1, "op2_top_k": OP2, "op5_secrets": _op5(), "op7_line_dedup": OP7, "op10_url_filter": _op10(),
+            "op11_merkle_manifest": OP11, "op13_fill_in_middle": OP13}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperloom.llm import decontaminate, html_text, line_dedup, ngram_join, pieces, secret_scan, shard, topk, toxicity, url_filter
+from paperloom.llm import decontaminate, html_text, infill, line_dedup, manifest, ngram_join, pieces, secret_scan, shard, topk, toxicity, url_filter
 from paperloom.llm.common import table
 
 
@@ -63,9 +63,29 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    tampered = [F.replace("text", F.lit("\n"), F.lit("")) if c == "text" else F.col(c) for c in manifest.FIELDS]
+    even = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    found = manifest.manifest(docs, keep={"tampered": F.when(even, manifest.leaf(tampered))})
+    back = manifest.folded(F.coalesce("tampered", "leaf"), F.col("proof"))
+    out = found.select("doc_id", "leaf", "subroot", "root", F.sha2(manifest.siblings(F.col("proof")), 256).alias("proof_sha256"), back.alias("folded_root"))
+    return out.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = infill.transform(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+    back = infill.restored(F.col("output"), F.col("form"))
+    return made.select(
+        "doc_id", F.col("n_tokens").alias("n"), "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"), F.sha2(back, 256).alias("restored_sha256"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     ops = (
         op1_decontamination, op2_top_k, op3_html_text, op4_sentencepiece, op5_secrets,
         op6_toxicity, op7_line_dedup, op8_ngram_join, op9_sharding, op10_url_filter,
+        op11_merkle_manifest, op13_fill_in_middle,
     )
     return {f.__name__: f for f in ops}
