@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperloom.llm import decontaminate, html_text, infill, line_dedup, manifest, ngram_join, pieces, secret_scan, shard, topk, toxicity, url_filter
+from paperloom.llm import decontaminate, html_text, infill, line_dedup, manifest, ngram_join, pieces, quality, secret_scan, shard, topk, toxicity, url_filter
 from paperloom.llm.common import table
 
 
@@ -73,6 +73,13 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(*quality.sample(docs, table(spark, sf_dir, "labels")))
+    held_out = F.coalesce(quality.fold(F.col("doc_id")) == 0, F.lit(False))
+    return quality.score_texts(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = infill.transform(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
     back = infill.restored(F.col("output"), F.col("form"))
@@ -86,6 +93,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     ops = (
         op1_decontamination, op2_top_k, op3_html_text, op4_sentencepiece, op5_secrets,
         op6_toxicity, op7_line_dedup, op8_ngram_join, op9_sharding, op10_url_filter,
-        op11_merkle_manifest, op13_fill_in_middle,
+        op11_merkle_manifest, op12_quality, op13_fill_in_middle,
     )
     return {f.__name__: f for f in ops}
