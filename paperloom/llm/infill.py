@@ -133,8 +133,10 @@ def transform(
 
 
 def restored(output: Column, form: Column) -> Column:
-    """The text that an output was made of."""
-    parts = F.split(output, "|".join(s.decode() for s in (PREFIX, SUFFIX, MIDDLE)), -1)
-    order = {PSM: (1, 3, 2), SPM: (2, 3, 1)}
-    of = lambda k: F.concat(*[F.get(parts, F.lit(i)) for i in order[k]])
-    return F.when(form == PSM, of(PSM)).when(form == SPM, of(SPM)).otherwise(output)
+    """The text that an output was made of, byte by byte."""
+    p, s, m = (x.decode() for x in (PREFIX, SUFFIX, MIDDLE))
+    # Sentinels stand once each: no text that is cut holds one, and none can arise where parts meet.
+    between = lambda a, b: F.substring_index(F.substring_index(output, b, 1), a, -1)
+    middle = F.substring_index(output, m, -1)
+    psm, spm = F.concat(between(p, s), middle, between(s, m)), F.concat(between(p, m), middle, between(s, p))
+    return F.when(form == PSM, psm).when(form == SPM, spm).otherwise(output)
