@@ -10,10 +10,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paperloom.functions.identifiers import bare_id, blank_to_null
+from paperloom.functions.identifiers import bare_id, blank_to_null, year_waterfall
 from paperloom.functions.tags import ordered_union
 from paperloom.operators.staging import numbered
-from paperloom.schemas import ARTICLE, CATALOG_ENTRY, CATALOG_REFERENCE
+from paperloom.schemas import ARTICLE, CATALOG_ENTRY, CATALOG_REFERENCE, CATALOG_WORK
 
 #: The most identifiers of one request, and what a failed answer is called.
 CHUNK = 500
@@ -60,6 +60,22 @@ def entry_record(raw: Column) -> Column:
     )
 
 
+def work_record(raw: Column) -> Column:
+    """A publisher's answer about a work (JSON, in `message` or by itself) as a record: the first title and venue, names
+    given and family, the first date with a year of four digits, subjects as keywords."""
+    v = F.try_parse_json(raw)
+    m = F.from_json(F.to_json(F.coalesce(F.try_variant_get(v, "$.message", "variant"), v)), CATALOG_WORK)
+    name = lambda a: F.concat_ws(" ", blank_to_null(a["given"]), blank_to_null(a["family"]))
+    authors = F.transform(F.filter(m["author"], lambda a: blank_to_null(a["family"]).isNotNull()), name)
+    first = lambda c: F.nullif(F.get(c, F.lit(0)), F.lit(""))
+    none = F.array().cast("array<string>")
+    dates = [F.get(F.get(m[d]["date-parts"], F.lit(0)), F.lit(0)) for d in ("published", "published-print", "published-online")]
+    return F.struct(
+        first(m["title"]).alias("title"), bare_id(m["DOI"]).alias("doi"), F.nullif(m["abstract"], F.lit("")).alias("abstract"), year_waterfall(dates).alias("year"),
+        first(m["container-title"]).alias("venue"), F.coalesce(authors, none).alias("authors"), ordered_union(none, F.coalesce(m["subject"], none)).alias("keywords"),
+    )
+
+
 def outbound(raw: Column, doi: Column) -> Column:
     """The references that a catalog's answer (JSON) lists for a paper: source and items, all of them.
 
