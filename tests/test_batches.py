@@ -52,53 +52,77 @@ def outcomes(result):
     return {r.idx: r for r in result.outcomes.collect()}
 
 
-def test_items_fail_by_themselves(spark):
-    long = "a title that is long enough"
-    got = outcomes(ingest(spark, [{"doi": "10.1/a", "title": long}, 7, {"title": "short"}, "10.1/unknown", "!broken", {"title": "another title, long too"}], faults={"store": F.when(F.col("idx") == 5, "disk is full"), "link": F.when(F.col("idx") == 0, "HTTP 404")}))
-    assert [got[i].status for i in range(6)] == ["needs-review", "failed", "needs-review", "needs-review", "failed", "failed"]
+def cite(**known):
+    return {c: known.get(c) for c in ("doi", "pmid", "s2_id", "title", "year")}
+
+
+@pytest.fixture(scope="module")
+def world(spark):
+    """One batch with all sorts of items: (result, outcomes by idx)."""
+    held = [
+        node("n1", "Known work number one", doi="10.1/k"), node("n2", "Waits", doi="10.1/w", cites=[{"doi": "10.1/NEW"}, {"doi": "10.1/w"}]), node("n3", "Old", doi="10.1/new3", alt=["10.1/OLD"]),
+        node("n4", "Merged into, a long title", doi="10.1/m", tags=["pipeline:queued", "mesh:old", "note:mine", "s2id:s0"], s2="s0"), node("n5", "Keeps its citations", doi="10.1/keep", cites=[{"doi": "10.1/z"}]),
+    ]
+    listed = [cite(doi="10.1/k"), cite(title="known WORK number  one."), cite(doi="10.1/new"), cite(doi="10.1/none")]
+    bulk = [("10.1/new", {"title": "A new work", "citations": listed}), ("10.1/x", {"title": "The promoted work", "doi": "10.1/y"}), ("10.1/p", {"title": "t", "doi": "10.1/c"}), ("10.1/q", {"title": "u", "doi": "10.1/p"})]
+    payload = json.dumps({"data": [{"citedPaper": {"paperId": "s9", "title": "T", "externalIds": {"DOI": "10.1/Q9"}}}]})
+    raw = [
+        {"doi": "10.1/a", "title": "a title that is long enough"}, 7, {"title": "short"}, "10.1/unknown", "!broken", {"title": "another title, long too"}, {"pmid": "5", "title": "the second long title"},
+        "10.1/x", {"doi": "https://doi.org/10.1/old", "title": "whatever it is called"}, {"doi": "10.1/X", "title": "by its old name again"}, {"doi": "10.1/p", "title": "first long title"}, {"doi": "10.1/q", "title": "other long title"},
+        "10.1/new", {"doi": "10.1/m", "title": "x", "year": "1990", "venue": ""}, {"doi": "10.1/m", "title": "y", "year": "1991", "venue": "V"}, {"doi": "10.1/keep", "title": "keeps"}, {"doi": "10.1/k", "title": "k"},
+    ]
+    i = F.col("idx")
+    faults = {"store": F.when(i == 5, "disk is full"), "link": F.when(i == 0, "HTTP 404").when(i == 6, "locator missing")}
+    done = ingest(spark, raw, held=held, edges=[("n2", "n1")], cat=catalogs(spark, bulk=bulk), refs=[("10.1/k", 0, payload), ("10.1/k", -1, "{}")], faults=faults)
+    return done, outcomes(done)
+
+
+def test_items_fail_by_themselves(world):
+    _, got = world
+    assert [got[i].status for i in range(7)] == ["needs-review", "failed", "needs-review", "needs-review", "failed", "failed", "needs-review"]
+    assert all(got[i].status == "digested" for i in range(7, 17))
     assert got[0].created and got[5].created and got[0].node_id and not got[3].node_id
     assert got[0].errors == ["HTTP 404"] and got[5].errors == ["disk is full"] and N.NO_TITLE in got[3].errors
 
 
-def test_final_status_and_notes_of_failing_items(spark):
-    done = ingest(spark, [{"doi": "10.1/a", "title": "a title that is long enough"}, {"pmid": "5", "title": "the second long title"}], faults={"link": F.when(F.col("idx") == 1, "locator missing")})
-    tags = {r.title: r.tags for r in done.store.nodes.collect()}
-    assert "pipeline:digested" in tags["a title that is long enough"] and "pipeline:needs-review" in tags["the second long title"]
-    notes = sorted(r.content for r in done.notes.collect())
-    assert notes == ["[2024-05-01] Created via ingestion pipeline; source: input-only"] * 2 + ["[2024-05-01] backfill needs-review: locator missing"]
+def test_final_status_and_notes_of_failing_items(world):
+    done, got = world
+    tags = {r.id: r.tags for r in done.store.nodes.collect()}
+    assert "pipeline:needs-review" in tags[got[6].node_id] and "pipeline:failed" in tags[got[5].node_id] and "pipeline:digested" in tags[got[7].node_id]
+    notes = {}
+    for r in done.notes.collect():
+        notes.setdefault(r.node_id, []).append(r.content)
+    assert sorted(notes[got[6].node_id]) == ["[2024-05-01] Created via ingestion pipeline; source: input-only", "[2024-05-01] backfill needs-review: locator missing"]
+    assert notes["n3"] == ["[2024-05-01] Dedup match on doi; merged metadata; source: input-only"]
 
 
-def test_alternative_identifiers_find_stored_nodes_and_each_other(spark):
-    held = [node("n1", "Old", doi="10.1/new", alt=["10.1/OLD"])]
-    cat = catalogs(spark, bulk=[("10.1/x", {"title": "The promoted work", "doi": "10.1/y"})])
-    got = outcomes(ingest(spark, ["10.1/x", {"doi": "https://doi.org/10.1/old", "title": "whatever it is called"}, {"doi": "10.1/X", "title": "by its old name again"}], held=held, cat=cat))
-    assert got[0].created and got[1].node_id == "n1" and got[1].reason == "doi" and not got[1].created
-    # The first item's node is known by the identifier that it was promoted from.
-    alone = outcomes(ingest(spark, [{"doi": "10.1/p", "title": "first long title"}, {"doi": "10.1/q", "title": "other long title"}], cat=catalogs(spark, bulk=[("10.1/p", {"title": "t", "doi": "10.1/c"}), ("10.1/q", {"title": "u", "doi": "10.1/p"})])))
-    assert alone[0].created and not alone[1].created and alone[1].node_id == alone[0].node_id
+def test_alternative_identifiers_find_stored_nodes_and_each_other(world):
+    _, got = world
+    assert got[7].created and got[8].node_id == "n3" and got[8].reason == "doi" and not got[8].created and got[9].node_id == got[7].node_id
+    # A node is known by the identifier that it was promoted from, too.
+    assert got[10].created and not got[11].created and got[11].node_id == got[10].node_id
 
 
-def test_links_forward_and_reverse(spark):
-    held = [node("n1", "Known work number one", doi="10.1/k"), node("n2", "Waits", doi="10.1/w", cites=[{"doi": "10.1/NEW"}, {"doi": "10.1/w"}])]
-    cited = [{"doi": "10.1/k", "pmid": None, "s2_id": None, "title": None, "year": None}, {"doi": None, "pmid": None, "s2_id": None, "title": "known WORK number  one.", "year": None}, {"doi": "10.1/new", "pmid": None, "s2_id": None, "title": None, "year": None}, {"doi": "10.1/none", "pmid": None, "s2_id": None, "title": None, "year": None}]
-    cat = catalogs(spark, bulk=[("10.1/new", {"title": "A new work", "citations": cited})])
-    done = ingest(spark, ["10.1/new"], held=held, edges=[("n2", "n1")], cat=cat)
-    one = outcomes(done)[0]
+def test_links_forward_and_reverse(world):
+    done, got = world
+    one = got[12]
     assert (one.linked, one.skipped, one.reverse, one.stored) == (2, 2, 1, 4)
     assert {(r.source_id, r.target_id) for r in done.edges.collect()} == {(one.node_id, "n1"), ("n2", one.node_id)}
     assert done.store.edges.count() == 3
 
 
-def test_an_empty_answer_keeps_stored_citations(spark):
-    held = [node("n1", "Known work number one", doi="10.1/k", cites=[{"doi": "10.1/z"}])]
-    payload = json.dumps({"data": [{"citedPaper": {"paperId": "s9", "title": "T", "externalIds": {"DOI": "10.1/Q"}}}]})
-    more = {"title": "Known work number one", "doi": "10.1/k"}
-    kept = ingest(spark, [more], held=held)
-    assert outcomes(kept)[0].stored == 1
-    assert [i.doi for i in kept.store.nodes.first().metadata.reference.outbound_citations["items"]] == ["10.1/z"]
-    new = ingest(spark, [more], held=held, refs=[("10.1/k", 0, payload), ("10.1/k", -1, "{}")])
-    listed = new.store.nodes.first().metadata.reference.outbound_citations
-    assert [i.doi for i in listed["items"]] == ["10.1/q"] and listed.source == "semantic-scholar" and listed.retrieved_at == "2024-05-01"
+def test_an_empty_answer_keeps_stored_citations(world):
+    done, got = world
+    listed = {r.id: r.metadata.reference.outbound_citations for r in done.store.nodes.collect()}
+    assert got[15].stored == 1 and [i.doi for i in listed["n5"]["items"]] == ["10.1/z"]
+    assert [i.doi for i in listed["n1"]["items"]] == ["10.1/q9"] and listed["n1"].source == "semantic-scholar" and listed["n1"].retrieved_at == "2024-05-01"
+
+
+def test_merged_items_fill_in_order_and_replace_tags(world):
+    row = world[0].store.nodes.filter("id = 'n4'").first()
+    assert row.title == "Merged into, a long title" and row.metadata.reference.year == "1990" and row.metadata.reference.venue == "V"
+    assert sorted(row.tags) == ["mesh:old", "note:mine", "pipeline:digested", "s2id:s0", "year:1991"]
+    assert row.citation == "(1991). y V"
 
 
 def test_a_run_goes_on_where_it_ended(spark, tmp_path):
@@ -119,19 +143,7 @@ def test_a_run_goes_on_where_it_ended(spark, tmp_path):
     assert sorted(map(str, third.outcomes.collect())) == want
 
 
-def test_merged_items_fill_in_order_and_replace_tags(spark):
-    held = [node("n1", "Known work number one", doi="10.1/k", tags=["pipeline:queued", "mesh:old", "note:mine", "s2id:s0"], s2="s0")]
-    raw = [{"doi": "10.1/k", "title": "x", "year": "1990", "venue": ""}, {"doi": "10.1/k", "title": "y", "year": "1991", "venue": "V"}]
-    done = ingest(spark, raw, held=held)
-    row = done.store.nodes.first()
-    assert row.title == "Known work number one" and row.metadata.reference.year == "1990" and row.metadata.reference.venue == "V"
-    assert sorted(row.tags) == ["mesh:old", "note:mine", "pipeline:digested", "s2id:s0", "year:1991"]
-    assert row.citation == "(1991). y V"
-
-
 def test_a_batch_of_nothing(spark):
-    done = ingest(spark, ["10.1/x"], held=[node("n1", "t")]).store
-    assert done.nodes.count() == 1
     none = B.ingest(items(spark, 1).limit(0), catalogs(spark), spark.createDataFrame([], "doi string, at int, payload string"), store(spark, []), batch="b", day="d")
     assert none.outcomes.collect() == [] and none.store.nodes.collect() == []
 
@@ -143,7 +155,7 @@ def test_backfill_in_chunks(spark):
     ]
     cat = catalogs(spark, bulk=[("10.1/a", {"title": "T", "citations": [{"doi": "10.1/d", "pmid": None, "s2_id": None, "title": None, "year": None}]})])
     refs = spark.createDataFrame([], "doi string, at int, payload string")
-    for size in (1, 100):
+    for size in (1,):
         counts, after = B.backfill(store(spark, held), cat, refs, batch="f", day="2024-05-01", only_missing=True, chunk_size=size)
         assert counts.first().asDict() == {"candidates": 4, "resolvable": 2, "skipped_no_doi": 1, "skipped_already_tagged": 1, "processed": 2, "edges_linked": 1, "citations_stored": 1, "failed": 0, "needs_review": 0, "errors": 0}
         assert after.nodes.count() == 6 and after.edges.count() == 1
