@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, DataType, MapType, StructType, VariantType
 
 from paperloom.functions.identifiers import uuid_hex
 
@@ -53,9 +56,42 @@ def find_nodes(nodes: DataFrame, *, text: str | None = None, tag: str | None = N
     return nodes if limit is None else nodes.limit(limit)
 
 
-def grep(rows: DataFrame, needle: str) -> DataFrame:
-    """Rows that hold a text in any of their columns, nested ones included."""
-    return rows.filter(F.contains(F.to_json(F.struct("*")), F.lit(needle)))
+def _holds(c: Column, kind: DataType, test: Callable[[Column], Column]) -> Column:
+    """Whether a test finds something in a value or in any value inside it; names of fields and keys are no values."""
+    if isinstance(kind, StructType):
+        hit = F.lit(False)
+        for f in kind:
+            hit = hit | _holds(c.getField(f.name), f.dataType, test)
+        return hit
+    if isinstance(kind, MapType):
+        return _holds(F.map_values(c), ArrayType(kind.valueType), test)
+    if isinstance(kind, ArrayType):
+        return F.coalesce(F.exists(c, lambda x: _holds(x, kind.elementType, test)), F.lit(False))
+    if isinstance(kind, VariantType):
+        # Scalars as JSON writes them, one after the other, without the names before them.
+        inside = F.regexp_extract_all(F.to_json(c), F.lit(r'("(?:[^"\\]|\\.)*+"(?!\s*:)|[-+.0-9a-zA-Z]++)'), 1)
+        text = F.transform(inside, lambda x: F.when(x.startswith('"'), F.from_json(F.concat(F.lit('{"x":'), x, F.lit("}")), "x string")["x"]).otherwise(x))
+        return F.coalesce(F.exists(text, lambda x: F.coalesce(test(x), F.lit(False))), F.lit(False))
+    if isinstance(kind, BinaryType):
+        return F.lit(False)
+    return F.coalesce(test(c.cast("string")), F.lit(False))
+
+
+def grep(rows: DataFrame, needle: str, *, regex: bool = False, ignore_case: bool = False) -> DataFrame:
+    """Rows with a value, at any depth of any column, that holds a text or matches a regular expression.
+
+    Values are searched as they are, not as JSON writes them: quotes and line feeds are found, names are not.
+    """
+    if regex:
+        test = lambda c: c.rlike(f"(?i){needle}" if ignore_case else needle)
+    elif ignore_case:
+        test = lambda c: F.contains(F.lower(c), F.lit(needle.lower()))
+    else:
+        test = lambda c: F.contains(c, F.lit(needle))
+    hit = F.lit(False)
+    for f in rows.schema:
+        hit = hit | _holds(F.col(f"`{f.name}`"), f.dataType, test)
+    return rows.filter(hit)
 
 
 def get_node(nodes: DataFrame, name: str) -> DataFrame:

@@ -41,15 +41,18 @@ def bulk_lookup(items: DataFrame, catalog: DataFrame, key: str) -> DataFrame:
     return items.join(last, key, "left")
 
 
-def waterfall(base: DataFrame, sources: list[tuple[str, DataFrame]], key: str, columns: list[str]) -> DataFrame:
+def waterfall(base: DataFrame, sources: list[tuple[str, DataFrame]], key: str, columns: list[str], *, order: str | None = None) -> DataFrame:
     """base with columns filled from each source in turn where still missing, and the origin of the first that helped.
 
-    Missing is null, the empty string or the empty list; what a source lacks fills nothing.
+    Missing is null, the empty string or the empty list; what a source lacks fills nothing. Of several rows of a source for
+    a key the one with the largest `order` stands, or the largest by its columns; none multiplies rows of base.
     """
     lists = {c: is_array(base, c) for c in columns}
     out = base.withColumn("origin", F.lit("input-only"))
     for name, source in sources:
-        out = out.join(source.select(key, *[F.col(c).alias(f"__{c}") for c in columns]), key, "left")
+        values = F.struct(*columns)
+        one = source.groupBy(key).agg((F.max_by(values, order) if order else F.max(values)).alias("__v"))
+        out = out.join(one.select(key, *[F.col(f"__v.{c}").alias(f"__{c}") for c in columns]), key, "left")
         helped = F.lit(False)
         for c in columns:
             helped = helped | (T.is_missing(F.col(c), array=lists[c]) & ~T.is_missing(F.col(f"__{c}"), array=lists[c]))
@@ -84,7 +87,8 @@ def citation_items(raw: Column) -> Column:
 
 def kept_citations(stored: Column, incoming: Column) -> tuple[Column, Column]:
     """(items, side): an empty list never replaces one with items; otherwise incoming replaces stored."""
-    holds = (F.size(F.coalesce(incoming, F.array().cast("array<string>"))) == 0) & (F.size(stored) > 0)
+    none = lambda c: c.isNull() | (F.size(c) == 0)
+    holds = none(incoming) & ~none(stored)
     return F.when(holds, stored).otherwise(incoming), F.when(holds, "stored").otherwise("incoming")
 
 
@@ -229,9 +233,10 @@ def phase_metrics(phases: DataFrame, phase: str, seconds: str) -> DataFrame:
 
 
 def bench_rollup(outcomes: DataFrame, by: str) -> DataFrame:
-    """Sums of what was stored and linked, and links per paper to two places."""
+    """Sums of what was stored, linked and skipped, and links per paper to two places."""
     n = F.count(F.lit(1))
-    return outcomes.groupBy(by).agg(F.sum("stored").cast("long").alias("stored"), F.sum("linked").cast("long").alias("linked"), F.round(F.sum("linked") / n, 2).alias("per_paper"))
+    sums = [F.sum(c).cast("long").alias(c) for c in ("stored", "linked", "skipped")]
+    return outcomes.groupBy(by).agg(*sums, F.round(F.sum("linked") / n, 2).alias("per_paper"))
 
 
 def write_outcomes(outcomes: DataFrame, path: str) -> None:

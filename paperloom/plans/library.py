@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from paperloom.operators import evidence as V
 from paperloom.operators import identity as D
+from paperloom.operators import monitor as M
 from paperloom.plans.registry import query, table
 from paperloom.schemas import EDGE, NODE
 
@@ -112,3 +113,18 @@ def decontaminated(spark, d):
     again = V.plan(mended, kept).counts().select(F.col("contaminated").alias("contaminated_after"), F.col("phantom").alias("phantom_after"))
     n = kept.agg(F.count(F.lit(1)).alias("edges")).join(made.contaminated.agg(F.count(F.lit(1)).alias("mended")), F.lit(True))
     return n.join(again, F.lit(True))
+
+
+@query("""WITH t AS (SELECT l_orderkey AS o, l_partkey AS p, l_returnflag AS f, l_linestatus AS s FROM lineitem), i AS (SELECT o, CASE f WHEN 'R' THEN 's' || p WHEN 'A' THEN CASE s WHEN 'O' THEN 'https://doi.org/10.1/p' || p END END AS v FROM t)
+    SELECT DISTINCT 'o' || o AS id FROM i WHERE regexp_matches(v, '(?i)(^S|/P)[0-9]*7$')""")
+def grep_nested(spark, d):
+    """A regular expression over all values of stored nodes, those of nested lists too; no name of a field counts."""
+    nodes = citing(spark, d)
+    return M.grep(nodes, "(^S|/P)[0-9]*7$", regex=True, ignore_case=True).select("id")
+
+
+@query("""SELECT conv_id, turn FROM conversations WHERE contains(text, chr(10)) OR contains(role, chr(10))""")
+def grep_line_feeds(spark, d):
+    """A line feed is found in values, and is none of what JSON would write for it."""
+    rows = table(spark, d, "conversations").select("conv_id", "turn", F.struct(F.array(F.struct("role", "text"))).alias("nested"))
+    return M.grep(rows, "\n").select("conv_id", "turn")

@@ -167,7 +167,9 @@ def needs_enrichment(spark, d):
 
 @query("SELECT user_id, arg_max(event_type, event_id) AS event_type FROM events GROUP BY user_id")
 def last_wins_map(spark, d):
-    return table(spark, d, "events").groupBy("user_id").agg(F.max_by("event_type", "event_id").alias("event_type"))
+    e = table(spark, d, "events")
+    catalog = e.select("user_id", F.col("event_id").alias("idx"), F.struct("event_type").alias("entry"))
+    return R.bulk_lookup(e.select("user_id").distinct(), catalog, "user_id").select("user_id", "entry.event_type")
 
 
 def _doc_keys():
@@ -355,7 +357,7 @@ def mutations_topk(spark, d):
 def _outcomes(spark, d):
     k, none = F.col("o_orderkey"), F.array().cast("array<string>")
     errors = F.when(k % 7 == 0, F.array(F.lit("HTTP 404"))).when(k % 7 == 1, F.array(F.lit("busy"), F.lit("locked"))).otherwise(none)
-    return table(spark, d, "orders").select("o_orderkey", "o_orderstatus", errors.alias("errors"), (k % 2 == 0).alias("created"), (k % 5).cast("int").alias("linked"), (k % 3).cast("int").alias("stored"))
+    return table(spark, d, "orders").select("o_orderkey", "o_orderstatus", errors.alias("errors"), (k % 2 == 0).alias("created"), (k % 5).cast("int").alias("linked"), (k % 3).cast("int").alias("stored"), (F.col("o_custkey") % 4).cast("int").alias("skipped"))
 
 
 @query("""SELECT count(*)::BIGINT AS processed, sum(CASE WHEN o_orderkey % 7 > 1 THEN o_orderkey % 5 ELSE 0 END)::BIGINT AS edges_linked, sum(CASE WHEN o_orderkey % 7 > 1 THEN o_orderkey % 3 ELSE 0 END)::BIGINT AS citations_stored,
@@ -379,7 +381,7 @@ def phase_metrics(spark, d):
     return R.phase_metrics(table(spark, d, "events"), "event_type", "value")
 
 
-@query("SELECT o_orderstatus, sum(o_orderkey % 3)::BIGINT AS stored, sum(o_orderkey % 5)::BIGINT AS linked, round(sum(o_orderkey % 5) / count(*), 2) AS per_paper FROM orders GROUP BY o_orderstatus")
+@query("SELECT o_orderstatus, sum(o_orderkey % 3)::BIGINT AS stored, sum(o_orderkey % 5)::BIGINT AS linked, sum(o_custkey % 4)::BIGINT AS skipped, round(sum(o_orderkey % 5) / count(*), 2) AS per_paper FROM orders GROUP BY o_orderstatus")
 def bench_rollup(spark, d):
     return R.bench_rollup(_outcomes(spark, d), "o_orderstatus")
 

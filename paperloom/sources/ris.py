@@ -1,48 +1,36 @@
-"""Bibliography files (RIS): a line reader as a Python data source, projection, deduplication and export."""
+"""Bibliography files (RIS): records of texts and files, projection, deduplication and export."""
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from paperloom.functions.identifiers import extract_id, extract_year, first_nonblank, strip
 
 #: The format's line shapes and its tags by field.
 FIELD, END = r"^([A-Z0-9]{2})  - (.*)$", "ER  -"
+TRIMMED = r"^[A-Z0-9]{2}  -( |$)"
 TITLE, ABSTRACT, VENUE, AUTHORS, KEYWORDS = ("TI", "T1"), ("AB", "N2"), ("JO", "JF", "T2", "JA"), ("AU", "A1"), ("KW",)
 IDS, YEARS = ("DO", "M3", "UR", "N1"), ("PY", "Y1", "DA")
 
 
-def parse_lines(lines: Iterator[str]) -> Iterator[list[tuple[str, str]]]:
-    """Records as (tag, value) lists. Continuation lines join the value above; the end of the file ends a record."""
-    record: list[tuple[str, str]] = []
-    for line in lines:
-        line = line.rstrip("\r\n")
-        if not line.strip():
-            continue
-        if line.startswith(END):
-            if record:
-                yield record
-            record = []
-        elif m := re.match(FIELD, line):
-            record.append((m[1], m[2].strip()))
-        elif line[:1].isspace() and record:
-            record[-1] = (record[-1][0], f"{record[-1][1]} {line.strip()}".strip())
-    if record:
-        yield record
+#: White space at the ends of lines and values.
+SPACE = " \t\x0b\f\r"
 
 
 def fields(body: Column) -> Column:
-    """(tag, value) of the fields in one record's text, in order; lines that are no fields are passed over."""
-    body = F.regexp_replace(body, "\r\n?", "\n")
-    # A line that starts with white space continues the one above; then each line is a field or nothing.
-    joined = F.when(body.rlike(r"\n[ \t]"), F.regexp_replace(body, r"\n\s+(?=\S)(?![A-Z0-9]{2}  - )", " ")).otherwise(body)
-    lines = F.filter(F.split(joined, "\n"), lambda x: x.rlike(FIELD))
-    return F.transform(lines, lambda x: F.struct(F.regexp_extract(x, FIELD, 1).alias("tag"), strip(F.regexp_extract(x, FIELD, 2)).alias("value")))
+    """(tag, value) of the fields in one record's text, in order.
+
+    Blank lines, and lines that are neither a field nor begin with white space, are passed over. What begins with white
+    space goes on with the field above, whatever lines were passed over between; before the first field it is lost.
+    """
+    trim = lambda x: F.btrim(x, F.lit(SPACE))
+    lines = F.filter(F.split(F.regexp_replace(body, "\r\n?", "\n"), "\n"), lambda x: trim(x) != "")
+    used = F.filter(lines, lambda x: x.rlike(FIELD) | x.rlike(r"^\s"))
+    # A field begins a line of its own, all else is joined to it.
+    parts = F.transform(used, lambda x: F.when(x.rlike(FIELD), F.concat(F.lit("\n"), F.rtrim(x, F.lit(SPACE)))).otherwise(F.concat(F.lit(" "), trim(x))))
+    whole = F.filter(F.split(F.array_join(parts, ""), "\n"), lambda x: x.rlike(TRIMMED))
+    return F.transform(whole, lambda x: F.struct(F.substring(x, 1, 2).alias("tag"), trim(F.substring(x, 6, 1 << 30)).alias("value")))
 
 
 def record_texts(texts: DataFrame, key: str, text: str = "text") -> DataFrame:
@@ -91,37 +79,6 @@ def export(title: Column, authors: Column, year: Column, doi: Column) -> Column:
     return F.concat_ws("\n", F.lit("TY  - JOUR"), line("TI", title), F.nullif(names, F.lit("")), line("PY", year), line("DO", doi), F.lit("ER  - "))
 
 
-class RisSource(DataSource):
-    """spark.read.format("ris").load(folder): a row per record, with its fields as an array of (tag, value).
-
-    Each path in the comma-joined option `files` is one partition. Files that only Spark's readers can open go
-    through read() instead.
-    """
-
-    @classmethod
-    def name(cls) -> str:
-        return "ris"
-
-    def schema(self) -> str:
-        return "file string, rec int, fields array<struct<tag:string,value:string>>"
-
-    def reader(self, schema) -> DataSourceReader:  # noqa: ARG002
-        return _Reader(self.options)
-
-
-class _Reader(DataSourceReader):
-    def __init__(self, options):
-        self.files = [f for f in (options.get("files") or options.get("path") or "").split(",") if f]
-
-    def partitions(self) -> list[InputPartition]:
-        return [InputPartition(f) for f in self.files]
-
-    def read(self, partition: InputPartition) -> Iterator[tuple]:
-        with open(partition.value, encoding="utf-8", errors="replace") as f:
-            for n, record in enumerate(parse_lines(f)):
-                yield partition.value, n, record
-
-
 def read(spark: SparkSession, path: str) -> DataFrame:
     """Records of a file, or of all *.ris files below a folder, with their file and a number that rises within it.
 

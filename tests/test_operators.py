@@ -13,7 +13,7 @@ import __spark_entry__ as entry
 from paperloom.operators import catalog, graph, identity, monitor, records, repair, staging
 from paperloom.plans import scalar
 from paperloom.plans.registry import ORACLES, QUERIES
-from paperloom.sources import files, requests
+from paperloom.sources import files
 
 DATA = "/root/testdata/sf0.001"
 
@@ -197,28 +197,6 @@ def test_files_and_marks(spark, tmp_path):
     assert spark.read.json(f"{root}/run/summary").first().failed == 1
 
 
-def test_requests_wait_and_ask_again():
-    now, slept = [0.0], []
-
-    def sleep(s):
-        slept.append(round(s, 3))
-        now[0] += s
-
-    limiter = requests.Limiter(1.05, clock=lambda: now[0], sleep=sleep)
-
-    class Answer:
-        def __init__(self, status, after=None):
-            self.status, self.headers = status, {"Retry-After": after} if after else {}
-
-    answers = [Answer(429, "3"), Answer(503, "soon"), Answer(404), Answer(200)]
-    assert requests.ask(lambda: answers.pop(0), limiter, sleep).status == 200 and not answers
-    assert [s for s in slept if s in (3.0, 1.0, 2.0)] == [3.0, 1.0, 2.0]
-    answers = [Answer(404)] * 5
-    with pytest.raises(OSError, match="404"):
-        requests.ask(lambda: answers.pop(0), limiter, sleep)
-    assert len(answers) == 1 and [requests.backoff(n) for n in (0, 1, 9)] == [0.5, 1.0, 8.0] and requests.retry_after("Mon") is None
-
-
 def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
     class Conf:
         def get(self, key, default=None):
@@ -287,3 +265,28 @@ def test_query_against_sql(spark, duck, name):
     got = sorted(([_plain(r[c]) for c in order] for r in df.collect()), key=key)
     want = sorted(([_plain(r[names.index(c)]) for c in order] for r in cur.fetchall()), key=key)
     assert got == want
+
+
+def test_grep_finds_values_and_no_names(spark):
+    rows = spark.createDataFrame(
+        [(1, "say \"x\"", {"k": ["line one\nline two"]}, [("deep", 5)]), (2, "p_name is a name", {"p_name": [None]}, []), (3, None, None, None)], "id int, p_name string, m map<string,array<string>>, a array<struct<p_name:string,n:int>>"
+    ).withColumn("v", F.parse_json(F.when(F.col("id") == 3, F.lit('{"p_name": {"q": ["tab\\there", "a\\"b", 17.5, true]}}'))))
+    hits = lambda needle, **how: sorted(r.id for r in monitor.grep(rows, needle, **how).collect())
+    assert hits("p_name") == [2] and hits('"x"') == [1] and hits("one\nline") == [1] and hits("deep") == [1] and hits("5") == [1, 3]
+    assert hits("tab\there") == [3] and hits('a"b') == [3] and hits("17.5") == [3] and hits("q") == []
+    assert hits("LINE", ignore_case=True) == [1] and hits("^say", regex=True) == [1] and hits("^NAME|DEEP$", regex=True, ignore_case=True) == [1] and hits("zzz") == []
+
+
+def test_citation_lists_of_records_are_kept(spark):
+    kind = "array<struct<doi:string>>"
+    rows = spark.createDataFrame([(1, [("a",)], []), (2, [("a",)], None), (3, [], [("b",)]), (4, None, None), (5, [("a",)], [("b",)])], f"id int, stored {kind}, incoming {kind}")
+    items, side = records.kept_citations(F.col("stored"), F.col("incoming"))
+    got = {r.id: (r.side, [x.doi for x in r.items_ or []]) for r in rows.select("id", items.alias("items_"), side.alias("side")).collect()}
+    assert got == {1: ("stored", ["a"]), 2: ("stored", ["a"]), 3: ("incoming", ["b"]), 4: ("incoming", []), 5: ("incoming", ["b"])}
+
+
+def test_repeated_keys_of_a_source_multiply_nothing(spark):
+    base = spark.createDataFrame([(1, None, [])], "k int, v string, l array<string>")
+    source = spark.createDataFrame([(1, "late", ["x"], 2), (1, "early", ["y"], 1)], "k int, v string, l array<string>, at int")
+    assert [(r.v, r.l) for r in records.waterfall(base, [("s", source)], "k", ["v", "l"], order="at").collect()] == [("late", ["x"])]
+    assert records.waterfall(base, [("s", source)], "k", ["v", "l"]).count() == 1
