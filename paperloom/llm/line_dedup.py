@@ -59,22 +59,24 @@ def strip_lines(
     that both are dealt out by host, as plain exchanges of which Spark splits the hot host's.
     """
     drop = boilerplate(docs, host_col=host_col, text_col=text_col, ratio=ratio, pages=pages)
-    sets = drop.groupBy("host").agg(F.collect_list("line").alias("__drop")).withColumnRenamed("host", "__host")
+    # Names of its own, which no column of the input has.
+    of, drop_of, lines_of, keys_of, gone_of, kept_of = (free_name(c, docs.columns) for c in ("host__", "drop__", "lines__", "keys__", "gone__", "kept__"))
+    sets = drop.groupBy("host").agg(F.collect_list("line").alias(drop_of)).withColumnRenamed("host", of)
     host = F.coalesce(F.concat(F.lit("="), F.col(host_col)), F.lit("null"))
     sets = stage_table(sets, "boilerplate")
-    few = (sets.agg(F.sum(F.size("__drop"))).first()[0] or 0) * 56 <= BROADCAST_BYTES
-    rows = docs.withColumn("__host", host).join(F.broadcast(sets) if few else sets, "__host", "left")
-    lines = F.col("__lines")
-    rows = rows.withColumn("__lines", _lines(F.col(text_col)))
+    few = (sets.agg(F.sum(F.size(drop_of))).first()[0] or 0) * 56 <= BROADCAST_BYTES
+    rows = docs.withColumn(of, host).join(F.broadcast(sets) if few else sets, of, "left")
+    lines = F.col(lines_of)
+    rows = rows.withColumn(lines_of, _lines(F.col(text_col)))
     # Hosts without boilerplate, most texts of a clean corpus, skip the hashing of their lines. The page's own lines
     # that go are found by one hashed intersection; each line is then held against those alone.
-    rows = rows.withColumn("__keys", F.when(F.col("__drop").isNotNull(), F.transform(lines, lambda x: _key(_trim(x)))))
-    rows = rows.withColumn("__gone", F.array_intersect("__keys", "__drop"))
-    kept = F.when(F.size("__gone") > 0, F.filter(lines, lambda x, i: ~F.array_contains("__gone", F.get("__keys", i)))).otherwise(lines)
-    rows = rows.withColumn("__kept", kept)
+    rows = rows.withColumn(keys_of, F.when(F.col(drop_of).isNotNull(), F.transform(lines, lambda x: _key(_trim(x)))))
+    rows = rows.withColumn(gone_of, F.array_intersect(keys_of, drop_of))
+    kept = F.when(F.size(gone_of) > 0, F.filter(lines, lambda x, i: ~F.array_contains(gone_of, F.get(keys_of, i)))).otherwise(lines)
+    rows = rows.withColumn(kept_of, kept)
     if spare_copies:
-        rows = rows.withColumn("__kept", F.when(F.exists("__kept", lambda x: _trim(x) != ""), F.col("__kept")).otherwise(lines))
+        rows = rows.withColumn(kept_of, F.when(F.exists(kept_of, lambda x: _trim(x) != ""), F.col(kept_of)).otherwise(lines))
     known = F.col(text_col).isNotNull()
-    n_lines, n_kept = (F.when(known, F.size(c)).otherwise(0).cast("long") for c in ("__lines", "__kept"))
-    out = [F.array_join("__kept", "\n").alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns]
+    n_lines, n_kept = (F.when(known, F.size(c)).otherwise(0).cast("long") for c in (lines_of, kept_of))
+    out = [F.array_join(kept_of, "\n").alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns]
     return rows.select(*out, n_lines.alias(free_name("n_lines", docs.columns)), (n_lines - n_kept).alias(free_name("n_dropped", docs.columns)))

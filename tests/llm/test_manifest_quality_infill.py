@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from paperloom.llm import infill, manifest, quality
+from paperloom.llm import infill, line_dedup, manifest, quality
 from paperloom.llm.common import table
 from paperloom.llm.queries import queries
 
@@ -20,6 +20,14 @@ def sha(t):
     return hashlib.sha256(t.encode()).hexdigest()
 
 
+def test_line_dedup_keeps_columns_with_names_of_its_own(spark):
+    names = ["__host", "__drop", "__lines", "__keys", "__gone", "__kept", "host__", "drop__", "lines__", "keys__", "gone__", "kept__"]
+    rows = [(i, f"own {i}\nlicence line", "s", *range(len(names))) for i in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, " + ", ".join(f"`{n}` int" for n in names))
+    got = line_dedup.strip_lines(docs).collect()
+    assert all([r[n] for n in names] == list(range(len(names))) and r.text == f"own {r.doc_id}" and r.n_dropped == 1 for r in got)
+
+
 # 11 ------------------------------------------------------------------------------------------------------------
 
 
