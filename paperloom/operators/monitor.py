@@ -69,9 +69,9 @@ def _holds(c: Column, kind: DataType, test: Callable[[Column], Column]) -> Colum
         return F.coalesce(F.exists(c, lambda x: _holds(x, kind.elementType, test)), F.lit(False))
     if isinstance(kind, VariantType):
         # Scalars as JSON writes them, one after the other, without the names before them.
-        inside = F.regexp_extract_all(F.to_json(c), F.lit(r'("(?:[^"\\]|\\.)*+"(?!\s*:)|[-+.0-9a-zA-Z]++)'), 1)
-        text = F.transform(inside, lambda x: F.when(x.startswith('"'), F.from_json(F.concat(F.lit('{"x":'), x, F.lit("}")), "x string")["x"]).otherwise(x))
-        return F.coalesce(F.exists(text, lambda x: F.coalesce(test(x), F.lit(False))), F.lit(False))
+        inside = F.regexp_extract_all(F.to_json(c), F.lit(r'"(?:[^"\\]|\\.)*+"\s*:|("(?:[^"\\]|\\.)*+"|[-+.0-9a-zA-Z]++)'), 1)
+        text = F.transform(F.filter(inside, lambda x: x != ""), lambda x: F.when(x.startswith('"'), F.from_json(F.concat(F.lit('{"x":'), x, F.lit("}")), "x string")["x"]).otherwise(x))
+        return F.coalesce(F.exists(F.filter(text, lambda x: x.isNotNull()), test), F.lit(False))
     if isinstance(kind, BinaryType):
         return F.lit(False)
     return F.coalesce(test(c.cast("string")), F.lit(False))
