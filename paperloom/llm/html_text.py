@@ -4,8 +4,10 @@ A page is parsed leniently into a tree. Every paragraph passes points for its le
 the parent all of them and each further one half as many, discounted by its link density. What roles, element names
 and class names say (menus, notices, adverts, reader comments and the like) lowers the scores of an element and of
 all in it. The best container is kept; where its siblings hold much text too, their parent is the container instead,
-else those siblings are kept that score or read like it. Of what is kept, an element that its name accuses goes unless it holds
-most of the container's points, or is a title or a sentence; then the text is cut into blocks.
+else those siblings are kept that score or read like it. Of what is kept, an element that its name accuses goes unless it
+holds most of the container's points, is a title or, where the name may mean something else, bears sentences; then the
+text is cut into blocks. A name accuses only if nothing in it is unknown here, so an ad-hoc paragraph is no advert.
+Lists of links stay in an article; elsewhere they are menus. Nothing goes or stays by its length.
 
 Every step is a walk over the tokens or the tree with a bounded number of looks at each, so the time is in proportion
 to the page, however deep, broken or hostile its markup is.
@@ -44,15 +46,23 @@ ROLES = {
 #: Parts of class and id names: what always marks what is not the article, what mostly does, what speaks for a part
 #: of the article beside the latter, and what denies either.
 STRONG = frozenset(
-    "ad ads advert advertisement adverts advertising adsense sponsor sponsored promo promotion promoted comment comments disqus "
-    "respond replies reply discussion cookie cookies consent gdpr popup modal overlay newsletter subscribe subscription signup login".split()
+    "ad ads advert advertisement adverts advertising adsense sponsor sponsored promo promoted comment comments disqus "
+    "cookie cookies consent gdpr popup modal overlay newsletter subscribe".split()
 )
+#: What marks such parts too, but may be a part of the article: it stays where it bears sentences.
+UNSURE = frozenset("discussion login promotion replies reply respond responses signup subscription".split())
 WEAK = frozenset(
     "aside alert banner breadcrumb breadcrumbs footer header masthead menu nav navbar navigation notice pager pagination recommended "
     "recommendations related share sharing sidebar skip social tagcloud tags toolbar topbar widget widgets".split()
 )
 SPEAKS = frozenset("article body column container content entry layout main page post story text wrap wrapper".split())
 DENIES = frozenset("has no not with without".split())
+#: What names are made of beside these words; with any other word in it a name says nothing.
+FRAME = frozenset(
+    "action actions area author avatar bar block bottom box btn button center close control controls count data date desktop fixed footer "
+    "form frame google group header heading hidden holder icon id info inline inner item items label large left link links list meta mobile "
+    "outer panel primary right row secondary section site slot small social sticky thread title top unit user view zone".split()
+)
 FACTOR = (1.0, 0.3, 0.1)  # of the score, by how much is held against an element
 STAYS = (0.0, 0.5, 0.9)  # share of the container's points beyond which an accused element stays
 
@@ -67,7 +77,7 @@ SHORT = 25  # characters below which a paragraph's points fall with its length
 
 
 class Node:
-    __slots__ = ("attrs", "block", "commas", "factor", "guilt", "kids", "length", "links", "open", "own", "parent", "points", "score", "tag", "titled", "total")
+    __slots__ = ("attrs", "block", "commas", "factor", "guilt", "heads", "kids", "length", "links", "open", "own", "parent", "points", "prose", "score", "tag", "tail", "titled", "total", "unsure")
 
     def __init__(self, tag: str, parent: Node | None, attrs: str = ""):
         self.tag, self.parent, self.attrs = tag, parent, attrs
@@ -174,10 +184,10 @@ def parse(page: str) -> Node:
             continue
         if tag in RAW:
             mark = f"</{tag}"
-            end = None if mark in gone else re.compile(rf"{mark}\b[^>]*>", re.I).search(page, at)
+            end = None if mark in gone else re.compile(rf"{mark}\b", re.I).search(page, at)
             if end is None:
                 gone.add(mark)
-            at = end.end() if end else n  # raw text of any kind is never kept
+            at = beyond(">", end.end()) if end else n  # raw text of any kind is never kept
             continue
         here = node
         counts = blocks if node.block is node else node.open
@@ -185,8 +195,19 @@ def parse(page: str) -> Node:
     return root
 
 
+def _accuses(word: str) -> int:
+    """What a class or id says against its element: 0 nothing, 1 what it mostly is, 2 what it always is, 3 what it may be."""
+    parts = {p.lower() for p in _PARTS.findall(word)}
+    if parts & DENIES or parts - STRONG - UNSURE - WEAK - SPEAKS - FRAME:
+        return 0
+    return 2 if parts & STRONG else 3 if parts & UNSURE else 1 if parts & WEAK and not parts & SPEAKS else 0
+
+
 def _guilt(node: Node) -> int:
-    """What speaks against an element: 0 nothing, 1 its kind or a name that mostly does, 2 one that always does."""
+    """What speaks against an element: 0 nothing, 1 its kind or a name that mostly does, 2 one that always does.
+
+    A name that may do so makes it unsure, beside 1.
+    """
     worst = ACCUSED.get(node.tag, 0)
     if not node.attrs or node.tag in ("html", "body", "article", "main"):
         return worst
@@ -198,9 +219,9 @@ def _guilt(node: Node) -> int:
             worst = max(worst, ROLES.get(value.lower(), 0))
         if name in ("class", "id"):
             for word in entities.unescape(value).split():
-                parts = {p.lower() for p in _PARTS.findall(word)}
-                if not parts & DENIES:
-                    worst = max(worst, 2 if parts & STRONG else 1 if parts & WEAK and not parts & SPEAKS else 0)
+                said = _accuses(word)
+                node.unsure = node.unsure or said == 3
+                worst = max(worst, 1 if said == 3 else said)
     return worst
 
 
@@ -223,9 +244,11 @@ def _measure(root: Node) -> list[Node]:
         stack += [k for k in x.kids if isinstance(k, Node)]
     nodes = _walk(root)
     for x in nodes:
+        x.unsure = False
         x.guilt = _guilt(x) if x.parent else 0
         x.factor = (x.parent.factor if x.parent else 1.0) * FACTOR[x.guilt] * (1.5 if x.tag == "article" else 1.25 if x.tag == "main" else 1.0)
-        x.length = x.links = x.own = x.commas = 0
+        x.length = x.links = x.own = x.commas = x.heads = x.prose = 0
+        x.tail = ""
         x.points = x.score = x.total = 0.0
         x.titled = x.tag in ("h1", "h2", "hgroup")
     linked: dict[int, int] = {}  # of a block's own text
@@ -235,8 +258,16 @@ def _measure(root: Node) -> list[Node]:
             if isinstance(k, str):
                 own += len(" ".join(k.split())) + (k[-1:].isspace() and bool(k.strip()))
                 x.commas += len(_COMMA.findall(k))
+        for k in reversed(x.kids):
+            if tail := k[-80:].rstrip()[-8:] or k.rstrip()[-8:] if isinstance(k, str) else k.tail:
+                x.tail = tail
+                break
         x.own += own
         x.length += own
+        if x.tag in HEADINGS:
+            x.heads = x.length
+        elif x.block is x and _ENDS.search(x.tail) and linked.get(id(x), 0) < 0.25 * x.own:
+            x.prose += x.own
         if x.tag == "a":
             x.links = x.length
             linked[id(x)] = x.own
@@ -254,6 +285,8 @@ def _measure(root: Node) -> list[Node]:
             linked[id(up)] = linked.get(id(up), 0) + linked.get(id(x), 0)
         if up is not None:
             up.length += x.length
+            up.heads += x.heads
+            up.prose += x.prose
             up.links += x.links
             up.total += x.total
             up.score += (x.points + x.score / 2 if x.block is x else x.score) * FACTOR[x.guilt]
@@ -269,20 +302,14 @@ def _value(node: Node) -> float:
     return node.score * (1 - _density(node)) * node.factor
 
 
-def _flat(node: Node) -> str:
-    out, stack = [], [node]
-    while stack:
-        x = stack.pop()
-        if isinstance(x, str):
-            out.append(x)
-        else:
-            stack += reversed(x.kids)
-    return "".join(out)
-
-
 def _reads(node: Node) -> bool:
     """A paragraph that is a sentence."""
-    return node.tag in ("p", "blockquote", "pre") and _density(node) < 0.25 and (node.length > 80 or bool(_ENDS.search(_flat(node).rstrip())))
+    return node.tag in ("p", "blockquote", "pre") and _density(node) < 0.25 and (node.length > 80 or bool(_ENDS.search(node.tail)))
+
+
+def _bears(node: Node) -> bool:
+    """An element whose text is mostly sentences."""
+    return node.prose >= 0.5 * node.length and _density(node) < 0.25
 
 
 def _menus(nodes: list[Node]) -> set[int]:
@@ -303,10 +330,10 @@ def _goes(node: Node, whole: Node) -> bool:
         return False
     if node.tag in ("footer", "aside"):
         return node.length < whole.length
-    if node.total > STAYS[node.guilt] * whole.total:
+    if node.total > STAYS[node.guilt] * whole.total or node.unsure and node.guilt == 1 and _bears(node):
         return False
     if node.guilt == 1 and node.tag != "form":
-        return not (node.titled and _density(node) < 0.5 and node.length < 1000 or node.tag != "header" and _reads(node))
+        return not (node.titled and _density(node) < 0.5 or node.tag != "header" and _reads(node))
     return True
 
 
@@ -367,7 +394,9 @@ def extract(page: str | None) -> str:
         return ""
     root = parse(page)
     nodes = _measure(root)
-    best, menus = _container(nodes), _menus(nodes)
+    best = _container(nodes)
+    # An article's lists of links are its own.
+    menus = set() if best.tag == "article" else _menus(nodes)
     menus.discard(id(best))
     if best.tag in ("article", "main", "body") or best.parent is None:
         return "\n".join(_blocks(best.kids, best, menus))
@@ -379,11 +408,11 @@ def extract(page: str | None) -> str:
             kept.append(k)
         elif k.length and not k.guilt:
             like = _value(k) >= 0.2 * _value(best)
-            titles = (k.tag in HEADINGS or k.titled) and k.length < 300 and _density(k) < 0.5
+            titles = 2 * k.heads >= k.length and _density(k) < 0.5
             inline = k.block is not k and _density(k) < 0.5
             if like or titles or inline or _reads(k):
                 kept.append(k)
-        elif k.guilt and k.titled and k.length < 300 and _density(k) < 0.3 and k.tag == "header":
+        elif k.guilt and k.titled and 2 * k.heads >= k.length and _density(k) < 0.3 and k.tag == "header":
             kept.append(k)
     return "\n".join(_blocks(kept, best, menus))
 
