@@ -128,3 +128,40 @@ def xml_topics(xml: Column) -> tuple[Column, Column, Column]:
     return clean(major), clean(F.xpath(xml, F.lit("//QualifierName/text()"))), clean(F.xpath(xml, F.lit("//PublicationType/text()")))
 
 
+
+
+_INSIDE = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
+_ATTRIBUTES = rf"(?:\s{_INSIDE})?"
+#: References that XML knows by itself; any other makes a text no XML.
+_UNKNOWN_REFERENCE = r"&(?!(?:lt|gt|amp|quot|apos|#[0-9]{1,7}|#x[0-9a-fA-F]{1,6});)"
+
+
+def xml_is_whole(xml: Column) -> Column:
+    """Whether a text is well-formed XML; null is not."""
+    bad = F.from_xml(xml, "_bad string", {"columnNameOfCorruptRecord": "_bad", "mode": "PERMISSIVE"})["_bad"]
+    return F.coalesce(bad.isNull() & ~xml.rlike(_UNKNOWN_REFERENCE) & (strip(xml) != ""), F.lit(False))
+
+
+def xml_elements(xml: Column, name: str) -> Column:
+    """Whole elements of a name, tags included, in order; comments and the marks of character data have to be out.
+
+    Elements of that name lie not within each other, as in article records.
+    """
+    return F.regexp_extract_all(xml, F.lit(rf"(?s)<{name}{_ATTRIBUTES}(?<!/)>.*?</{name}\s*>"), F.lit(0))
+
+
+def xml_bare(xml: Column) -> Column:
+    """A text of XML without comments, processing instructions and the marks around character data."""
+    return F.regexp_replace(F.regexp_replace(xml, r"(?s)<!--.*?-->|<\?.*?\?>", ""), r"(?s)<!\[CDATA\[(.*?)\]\]>", "$1")
+
+
+def xml_content(element: Column) -> Column:
+    """All text in an element, references decoded, white space single; null if there is none. Only for well-formed ones."""
+    text = F.regexp_replace(element, f"(?s)<{_INSIDE}>", "")
+    decoded = F.when(F.contains(text, F.lit("&")), F.xpath_string(F.concat(F.lit("<r>"), text, F.lit("</r>")), F.lit("/r"))).otherwise(text)
+    return blank_to_null(F.regexp_replace(decoded, r"(?U)\s+", " "))
+
+
+def xml_marked(element: Column, attribute: str, value: str) -> Column:
+    """Whether an element's own tag has an attribute with a value, in any case."""
+    return element.rlike(rf"""(?si)^<[\w:.-]+(?:\s+[\w:.-]+\s*=\s*(?:"[^"]*"|'[^']*'))*?\s+{attribute}\s*=\s*["']{value}["']""")

@@ -2,18 +2,14 @@
 
 from __future__ import annotations
 
-import re
-import xml.etree.ElementTree as ET
-
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from paperloom.functions import text as X
 from paperloom.functions.identifiers import bare_id, blank_to_null, year_waterfall
 from paperloom.functions.tags import ordered_union
 from paperloom.operators.staging import numbered
-from paperloom.schemas import ARTICLE, CATALOG_ENTRY, CATALOG_REFERENCE, CATALOG_WORK
+from paperloom.schemas import CATALOG_ENTRY, CATALOG_REFERENCE, CATALOG_WORK
 
 #: The most identifiers of one request, and what a failed answer is called.
 CHUNK = 500
@@ -144,52 +140,53 @@ def search_article(items: DataFrame, index: DataFrame) -> DataFrame:
     return items.withColumn("term", term).join(best, "term", "left").drop("term")
 
 
-def _text(e: ET.Element | None) -> str | None:
-    return None if e is None else " ".join("".join(e.itertext()).split()) or None
-
-
-def article(xml: str | None) -> dict | None:
-    """An article's record from its markup; null where that is no XML."""
-    try:
-        root = ET.fromstring(xml or "")
-    except ET.ParseError:
-        return None
-    texts = lambda path: [t for t in map(_text, root.iterfind(path)) if t]
-    once = lambda path: list(dict.fromkeys(texts(path)))
-    names = []
-    for a in root.iterfind(".//Author"):
-        last, given = _text(a.find("LastName")), _text(a.find("ForeName")) or _text(a.find("Initials"))
-        if last:
-            names.append(f"{last} {given}" if given else last)
-    date = _text(root.find(".//PubDate/Year")) or (_text(root.find(".//PubDate/MedlineDate")) or "")[:4]
-    ids = [_text(e) for e in root.iterfind(".//ArticleId") if (e.get("IdType") or "").lower() == "doi"]
-    major = []
-    for heading in root.iterfind(".//MeshHeading"):
-        name = _text(heading.find("DescriptorName"))
-        if name and any(e.get("MajorTopicYN") == "Y" for e in [*heading.findall("DescriptorName")[:1], *heading.findall("QualifierName")]):
-            major.append(name)
-    return {
-        "title": _text(root.find(".//ArticleTitle")), "abstract": " ".join(texts(".//AbstractText")) or None, "authors": names,
-        "year": date if re.fullmatch("[0-9]{4}", date) else None, "venue": _text(root.find(".//Journal/Title")) or _text(root.find(".//ISOAbbreviation")),
-        "doi_raw": ids[0] if ids else None, "pmid": next((t for t in map(_text, root.iterfind(".//PMID[@Version='1']")) if t), None) or _text(root.find(".//PMID")),
-        "mesh": texts(".//MeshHeading/DescriptorName"), "keywords": texts(".//KeywordList/Keyword"), "mesh_major": list(dict.fromkeys(major)),
-        "mesh_qualifiers": once(".//MeshHeading/QualifierName"), "types": once(".//PublicationType"),
-    }
-
+def article_record(xml: Column) -> Column:
+    """An article's record from its markup, by functions of Spark alone; null where that is no XML.
 
-#: The record's type, made without a session: workers import this module.
-_ARTICLE = T.StructType([T.StructField(n, T.ArrayType(T.StringType()) if "<" in k else T.StringType()) for n, k in (f.split() for f in ARTICLE.split(", "))])
+    Of a set of articles in one text the first of everything is taken, as if it were one: read_articles() tells them apart.
+    """
+    bare = X.xml_bare(xml)
+    every = lambda name, within=bare: X.xml_elements(within, name)
+    texts = lambda elements: F.filter(F.transform(elements, X.xml_content), lambda t: t.isNotNull())
+    first = lambda elements: X.xml_content(F.get(elements, F.lit(0)))
+    inside = lambda outer, name: F.flatten(F.transform(every(outer), lambda e: X.xml_elements(e, name)))
+    once = lambda elements: F.array_distinct(texts(elements))
+
+    def name(author: Column) -> Column:
+        last = first(X.xml_elements(author, "LastName"))
+        given = F.coalesce(first(X.xml_elements(author, "ForeName")), first(X.xml_elements(author, "Initials")))
+        return F.when(last.isNotNull(), F.concat_ws(" ", last, given))
+
+    def major(heading: Column) -> Column:
+        descriptor = F.slice(X.xml_elements(heading, "DescriptorName"), 1, 1)
+        marked = F.exists(F.concat(descriptor, X.xml_elements(heading, "QualifierName")), lambda e: X.xml_marked(e, "MajorTopicYN", "Y"))
+        return F.when(marked, first(descriptor))
+
+    date = F.coalesce(first(inside("PubDate", "Year")), F.substring(first(inside("PubDate", "MedlineDate")), 1, 4))
+    ids = F.filter(every("ArticleId"), lambda e: X.xml_marked(e, "IdType", "doi"))
+    one = F.filter(every("PMID"), lambda e: X.xml_marked(e, "Version", "1"))
+    own = F.coalesce(F.get(texts(one), F.lit(0)), first(every("PMID")))
+    known = lambda c: F.filter(c, lambda x: x.isNotNull())
+    fields = {
+        "title": first(every("ArticleTitle")), "abstract": F.nullif(F.array_join(texts(every("AbstractText")), " "), F.lit("")), "authors": known(F.transform(every("Author"), name)),
+        "year": F.when(date.rlike("^[0-9]{4}$"), date), "venue": F.coalesce(first(inside("Journal", "Title")), first(every("ISOAbbreviation"))), "doi_raw": first(ids), "pmid": own,
+        "mesh": texts(inside("MeshHeading", "DescriptorName")), "keywords": texts(inside("KeywordList", "Keyword")), "mesh_major": F.array_distinct(known(F.transform(every("MeshHeading"), major))),
+        "mesh_qualifiers": once(inside("MeshHeading", "QualifierName")), "types": once(every("PublicationType")),
+    }
+    return F.when(X.xml_is_whole(xml), F.struct(*[c.alias(n) for n, c in fields.items()]))
 
 
-@F.pandas_udf(_ARTICLE)
-def _articles(xml: pd.Series) -> pd.DataFrame:
-    blank = dict.fromkeys(("title", "abstract", "authors", "year", "venue", "doi_raw", "pmid", "mesh", "keywords", "mesh_major", "mesh_qualifiers", "types"))
-    return pd.DataFrame([article(x) or blank for x in xml], columns=list(blank), dtype=object)
+def read_articles(spark: SparkSession, path: str, tag: str = "PubmedArticle") -> DataFrame:
+    """file, xml of every article in files that hold sets of them; files are split between tasks, and none is held whole."""
+    found = spark.read.option("recursiveFileLookup", "true").option("lineSep", f"</{tag}>").text(path)
+    start = F.regexp_extract("value", rf"(?s)(<{tag}(?:\s[^>]*)?>.*)$", 1)
+    rows = found.select(F.col("_metadata.file_path").alias("file"), start.alias("xml")).filter("xml <> ''")
+    return rows.withColumn("xml", F.concat("xml", F.lit(f"</{tag}>")))
 
 
 def article_records(rows: DataFrame, xml: str = "xml", pmid: str | None = None) -> DataFrame:
     """rows with an article's fields from its markup; a record without an own pmid keeps the one it was asked by."""
-    out = rows.withColumn("__a", _articles(F.col(xml)))
+    out = rows.withColumn("__a", article_record(F.col(xml)))
     own = F.col("__a.pmid") if pmid is None else F.coalesce(F.col("__a.pmid"), F.col(pmid))
     fields = [c for c in out.schema["__a"].dataType.names if c not in ("doi_raw", "pmid")]
     return out.select(*[c for c in rows.columns if c not in (*fields, "pmid", "doi")], *[f"__a.{c}" for c in fields], bare_id(F.col("__a.doi_raw")).alias("doi"), own.alias("pmid"))

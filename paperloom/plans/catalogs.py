@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from paperloom.functions import tags as G
@@ -106,9 +108,7 @@ def citation_sources(spark, d):
     return table(spark, d, "orders").select("o_orderkey", c["source"].alias("source"), F.size(c["items"]).alias("n_items"), F.get(c["items"], F.lit(0))["doi"].alias("first_doi"))
 
 
-@query("""SELECT c_custkey, c_name || ' and ' || n_name AS title, 'one ' || c_mktsegment || ' two' AS abstract, 'Last ' || c_mktsegment || ',Only' AS authors, CASE WHEN c_custkey % 3 = 0 THEN '1999' WHEN c_custkey % 3 = 1 THEN '2004' END AS year,
-    '10.1/c' || c_custkey AS doi, CASE WHEN c_custkey % 2 = 0 THEN 'p' || c_custkey ELSE 'asked' || c_custkey END AS pmid, 'A,B' AS mesh, CASE WHEN c_custkey % 2 = 0 THEN 'B' ELSE 'A' END AS major, 'q' AS qualifiers, 'T' AS types FROM customer JOIN nation ON c_nationkey = n_nationkey""")
-def article_records(spark, d):
+def _article_rows(spark, d):
     i = F.col("c_custkey").cast("string")
     even, part = F.col("c_custkey") % 2 == 0, F.col("c_custkey") % 3
     date = F.when(part == 0, "<Year>1999</Year>").when(part == 1, "<MedlineDate>2004 Jan-Feb</MedlineDate>").otherwise("<Year>in press</Year>")
@@ -123,9 +123,31 @@ def article_records(spark, d):
         F.lit('<MeshHeading><DescriptorName>B</DescriptorName><QualifierName MajorTopicYN="'), flag(even), F.lit('">q</QualifierName></MeshHeading><PublicationType>T</PublicationType><PublicationType>T</PublicationType></PubmedArticle></Set>'),
     )
     rows = table(spark, d, "customer").join(table(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-    out = K.article_records(rows.select("c_custkey", xml.alias("xml"), F.concat(F.lit("asked"), i).alias("asked")), pmid="asked")
+    return rows.select("c_custkey", xml.alias("xml"), F.concat(F.lit("asked"), i).alias("asked"))
+
+
+def _article_fields():
     lists = {"authors": "authors", "mesh": "mesh", "mesh_major": "major", "mesh_qualifiers": "qualifiers", "types": "types"}
-    return out.select("c_custkey", "title", "abstract", "year", "doi", "pmid", *[F.array_join(c, ",").alias(n) for c, n in lists.items()])
+    return ["title", "abstract", "year", "doi", "pmid", *[F.array_join(c, ",").alias(n) for c, n in lists.items()]]
+
+
+_ARTICLES = """SELECT c_custkey, c_name || ' and ' || n_name AS title, 'one ' || c_mktsegment || ' two' AS abstract, 'Last ' || c_mktsegment || ',Only' AS authors, CASE WHEN c_custkey % 3 = 0 THEN '1999' WHEN c_custkey % 3 = 1 THEN '2004' END AS year,
+    '10.1/c' || c_custkey AS doi, CASE WHEN c_custkey % 2 = 0 THEN 'p' || c_custkey ELSE 'asked' || c_custkey END AS pmid, 'A,B' AS mesh, CASE WHEN c_custkey % 2 = 0 THEN 'B' ELSE 'A' END AS major, 'q' AS qualifiers, 'T' AS types FROM customer JOIN nation ON c_nationkey = n_nationkey"""
+
+
+@query(_ARTICLES)
+def article_records(spark, d):
+    """Article records from markup, by Spark's own functions: no Python worker reads a row."""
+    return K.article_records(_article_rows(spark, d), pmid="asked").select("c_custkey", *_article_fields())
+
+
+@query(f"WITH a AS ({_ARTICLES}) SELECT * EXCLUDE (c_custkey) REPLACE (CASE WHEN pmid NOT LIKE 'asked%' THEN pmid END AS pmid) FROM a")
+def article_sets(spark, d):
+    """The same from files that hold sets of many articles, which are read article by article."""
+    where = f"{S.shared_folder(spark)}/articles-{uuid.uuid4().hex}"
+    _article_rows(spark, d).select(F.regexp_replace("xml", "</?Set>", "").alias("value")).write.text(where)
+    return K.article_records(K.read_articles(spark, where)).select(*_article_fields())
+
 
 
 @query("SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 'd' || c_custkey WHEN c_custkey % 3 = 1 THEN 'p' || c_custkey WHEN c_custkey % 2 = 0 THEN 't' || c_custkey END AS pmid_found FROM customer")

@@ -42,7 +42,3 @@ CATALOG_WORK = (
     "DOI string, title array<string>, `container-title` array<string>, author array<struct<given:string,family:string>>, "
     f"published {_DATE}, `published-print` {_DATE}, `published-online` {_DATE}, subject array<string>, abstract string"
 )
-ARTICLE = (
-    "title string, abstract string, authors array<string>, year string, venue string, doi_raw string, pmid string, mesh array<string>, "
-    "keywords array<string>, mesh_major array<string>, mesh_qualifiers array<string>, types array<string>"
-)

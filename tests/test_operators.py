@@ -3,6 +3,8 @@
 import decimal
 import os
 import random
+import re
+import xml.etree.ElementTree as ET
 
 import duckdb
 import numpy as np
@@ -164,7 +166,6 @@ def test_links_by_any_key(spark):
 
 
 def test_article_of_broken_markup_and_chunks(spark):
-    assert catalog.article("<a>") is None and catalog.article(None) is None and catalog.article("<a/>")["title"] is None
     rows = spark.createDataFrame([("<x><ArticleTitle>T</ArticleTitle></x>", "5"), ("broken", "6"), (None, None)], "xml string, asked string")
     assert sorted((r.title or "", r.pmid or "") for r in catalog.article_records(rows, pmid="asked").collect()) == [("", ""), ("", "6"), ("T", "5")]
     assert [catalog.chunk_size(n) for n in (None, 0, -3, 7, 9999)] == [500, 500, 1, 7, 500]
@@ -290,3 +291,48 @@ def test_repeated_keys_of_a_source_multiply_nothing(spark):
     source = spark.createDataFrame([(1, "late", ["x"], 2), (1, "early", ["y"], 1)], "k int, v string, l array<string>, at int")
     assert [(r.v, r.l) for r in records.waterfall(base, [("s", source)], "k", ["v", "l"], order="at").collect()] == [("late", ["x"])]
     assert records.waterfall(base, [("s", source)], "k", ["v", "l"]).count() == 1
+
+
+def plain_article(xml):
+    """An article's record by a tree of its elements."""
+    try:
+        root = ET.fromstring(xml or "")
+    except ET.ParseError:
+        return None
+    text = lambda e: None if e is None else " ".join("".join(e.itertext()).split()) or None
+    every = lambda path: [t for t in map(text, root.iterfind(path)) if t]
+    first = lambda path: text(root.find(path))
+    names = [(text(a.find("LastName")), text(a.find("ForeName")) or text(a.find("Initials"))) for a in root.iterfind(".//Author")]
+    major = [text(h.find("DescriptorName")) for h in root.iterfind(".//MeshHeading") if any(e.get("MajorTopicYN") == "Y" for e in [*h.findall("DescriptorName")[:1], *h.findall("QualifierName")])]
+    date = first(".//PubDate/Year") or (first(".//PubDate/MedlineDate") or "")[:4]
+    return {
+        "title": first(".//ArticleTitle"), "abstract": " ".join(every(".//AbstractText")) or None, "authors": [f"{n} {g}" if g else n for n, g in names if n], "year": date if re.fullmatch("[0-9]{4}", date) else None,
+        "venue": first(".//Journal/Title") or first(".//ISOAbbreviation"), "doi_raw": next((text(e) for e in root.iterfind(".//ArticleId") if (e.get("IdType") or "").lower() == "doi"), None),
+        "pmid": next((t for t in map(text, root.iterfind(".//PMID[@Version='1']")) if t), None) or first(".//PMID"), "mesh": every(".//MeshHeading/DescriptorName"), "keywords": every(".//KeywordList/Keyword"),
+        "mesh_major": list(dict.fromkeys(m for m in major if m)), "mesh_qualifiers": list(dict.fromkeys(every(".//MeshHeading/QualifierName"))), "types": list(dict.fromkeys(every(".//PublicationType"))),
+    }
+
+
+def test_articles_against_a_tree(spark):
+    pick = random.Random(9)
+    words = ["one", "<i>two</i>", "&lt;3 &amp; 4", "&#233;t&#xE9;", " <b><sup>x</sup></b>\n y ", "", "<!-- <LastName>no</LastName> -->", "a > b", "\u00a0"]
+    text = lambda: " ".join(pick.choice(words) for _ in range(pick.randint(0, 3)))
+    yn = lambda: pick.choice(['', ' MajorTopicYN="Y"', " MajorTopicYN='N'", ' UI="D>1" MajorTopicYN="Y"'])
+
+    def article():
+        heading = lambda: f"<MeshHeading><DescriptorName{yn()}>{text()}</DescriptorName>" + "".join(f"<QualifierName{yn()}>{text()}</QualifierName>" for _ in range(pick.randint(0, 2))) + "</MeshHeading>"
+        author = lambda: f"<Author ValidYN='Y'><LastName>{text()}</LastName>{pick.choice(['', f'<ForeName>{text()}</ForeName>'])}<Initials>{text()}</Initials></Author>"
+        date = pick.choice(["<Year>1999</Year>", "<MedlineDate>2001 Jan</MedlineDate>", "<Year>soon</Year>", "", "<Year/>"])
+        body = [
+            f'<PMID Version="{pick.choice("12")}">{text()}</PMID>', '<PMID Version="1">77</PMID>', f"<Journal><JournalIssue><PubDate>{date}</PubDate></JournalIssue><Title>{text()}</Title></Journal>", f"<ISOAbbreviation>{text()}</ISOAbbreviation>",
+            f"<ArticleTitle>{text()}</ArticleTitle>", f'<AbstractText Label="A">{text()}</AbstractText>', f"<AbstractText>{text()}</AbstractText>", "<AbstractText/>", author(), author(), heading(), heading(),
+            f"<KeywordList><Keyword{yn()}>{text()}</Keyword><Keyword>k</Keyword></KeywordList>", f"<PublicationType>{text()}</PublicationType>", f"<ArticleId IdType='{pick.choice(['doi', 'DOI', 'pii'])}'>10.1/{text()}</ArticleId>",
+        ]
+        pick.shuffle(body)
+        broken = pick.choice(["", "", "", "", "&nbsp;", "<open>"])
+        return f"<PubmedArticle>{''.join(body[: pick.randint(1, len(body))])}{broken}</PubmedArticle>"
+
+    xmls = [article() for _ in range(150)] + [None, "", "text", "<a/>", "<a>", "<a><![CDATA[ x ]]><ArticleTitle>t</ArticleTitle></a>", "<?xml version='1.0'?><s><ArticleTitle>r</ArticleTitle></s>"]
+    got = {r.i: r.a for r in spark.createDataFrame(list(enumerate(xmls)), "i int, xml string").select("i", catalog.article_record(F.col("xml")).alias("a")).collect()}
+    for i, x in enumerate(xmls):
+        assert (None if got[i] is None else got[i].asDict()) == plain_article(x), x
