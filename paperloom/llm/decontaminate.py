@@ -16,6 +16,7 @@ stand for the result, and kept by decontaminate. An empty table gives an empty r
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from functools import reduce
 from itertools import chain
@@ -145,21 +146,52 @@ def search(docs: list[list[bytes]], index: TestIndex) -> tuple[np.ndarray, np.nd
     return doc, where - base[doc], window
 
 
-def longest(places: np.ndarray, found: np.ndarray, windows: np.ndarray) -> tuple[int, int, int]:
-    """(windows in a row, place in the text, place in the item) of the first longest match of an item's windows."""
-    mine = np.isin(found, windows)
-    run, last, best = np.zeros(len(windows) + 1, np.int64), -2, (0, 0, 0)
-    for p, w in zip(places[mine].tolist(), found[mine].tolist(), strict=True):
-        before = run[:-1] if p == last + 1 else 0
-        run[1:] = np.where(windows == w, before + 1, 0)
-        last, j = p, int(run.argmax())
-        if run[j] > best[0]:
-            best = (int(run[j]), p - int(run[j]) + 1, j - int(run[j]))
-    return best
-
-
-def _of_document(index: TestIndex, need: np.ndarray, n: int, places: np.ndarray, found: np.ndarray) -> tuple[int, list, list, list]:
-    """Words hit, spans, items and longest matches of one document of n words."""
+class Found:
+    """The windows that stand in one text, in order, as a suffix array of their own: how long an item's windows go on in
+    the text is found by binary search, whatever the number of places."""
+
+    def __init__(self, places: np.ndarray, found: np.ndarray, depth: int):
+        # Windows that don't follow each other place by place have a gap between them, which no item has.
+        new = np.flatnonzero(np.diff(places) != 1) + 1
+        order = np.insert(found.astype(np.int64) + 1, new, 0)
+        self.place = np.insert(places, new, -1)
+        self.row = order.astype(">u4").tobytes()
+        self.sa = suffix_array(order, np.arange(len(order)), depth).tolist()
+        self.here = np.unique(found)
+
+    def _run(self, pattern: bytes) -> tuple[int, int]:
+        """Suffixes that start with a pattern."""
+        key = lambda i: self.row[4 * self.sa[i] : 4 * self.sa[i] + len(pattern)]
+        lo = bisect_left(range(len(self.sa)), pattern, key=key)
+        if lo == len(self.sa) or key(lo) != pattern:
+            return lo, lo
+        return lo, bisect_right(range(len(self.sa)), pattern, lo=lo, key=key)
+
+    def longest(self, windows: np.ndarray) -> tuple[int, int, int]:
+        """(windows in a row, place in the text, place in the item) of the first longest match of an item's windows."""
+        row = (windows.astype(np.int64) + 1).astype(">u4").tobytes()
+        starts = np.flatnonzero(np.isin(windows, self.here)).tolist()
+        best = 0
+        there = lambda j, n: j + n <= len(windows) and self._has(row[4 * j : 4 * (j + n)])
+        for j in starts:
+            while there(j, best + 1):
+                best += 1
+        first = (1 << 62, 0)  # beyond any text
+        for j in starts:
+            if j + best <= len(windows):
+                lo, hi = self._run(row[4 * j : 4 * (j + best)])
+                if lo < hi:
+                    first = min(first, (int(self.place[self.sa[lo:hi]].min()), j))
+        return best, *first
+
+    def _has(self, pattern: bytes) -> bool:
+        key = lambda i: self.row[4 * self.sa[i] : 4 * self.sa[i] + len(pattern)]
+        lo = bisect_left(range(len(self.sa)), pattern, key=key)
+        return lo < len(self.sa) and key(lo) == pattern
+
+
+def _of_document(index: TestIndex, need: np.ndarray, n: int, places: np.ndarray, found: np.ndarray, matches: bool) -> tuple[int, list, list, list]:
+    """Words hit, spans, items and, if they are asked for, longest matches of one document of n words."""
     hit = np.zeros(n + 1, np.int64)
     np.add.at(hit, places, 1)
     np.add.at(hit, places + need[found], -1)
@@ -168,14 +200,17 @@ def _of_document(index: TestIndex, need: np.ndarray, n: int, places: np.ndarray,
     spans = [{"start": int(s), "end": int(e)} for s, e in zip(edge[::2], edge[1::2], strict=True)]
     held = [index.holders[index.first[w] : index.first[w + 1]] for w in np.unique(found).tolist()]
     items = np.unique(np.concatenate(held)).tolist() if held else []
-    matches = []
-    for i in items:
-        many, at, pos = longest(places, found, index.windows[i])
-        matches.append({"item_id": index.ids[i], "doc_pos": at, "item_pos": pos, "length": many - 1 + index.need[i]})
-    return int(covered.sum()), spans, sorted({index.ids[i] for i in items}), matches
+    out = []
+    if matches and items:
+        # Places where windows of several lengths start are told apart by their lengths, of which an item has one.
+        texts = {k: Found(places[need[found] == k], found[need[found] == k], index.longest) for k in {index.need[i] for i in items}}
+        for i in items:
+            many, at, pos = texts[index.need[i]].longest(index.windows[i])
+            out.append({"item_id": index.ids[i], "doc_pos": at, "item_pos": pos, "length": many - 1 + index.need[i]})
+    return int(covered.sum()), spans, sorted({index.ids[i] for i in items}), out
 
 
-def _judge(pdf: pd.DataFrame, id_col: str, text_col: str, index: TestIndex) -> Iterator[pd.DataFrame]:
+def _judge(pdf: pd.DataFrame, id_col: str, text_col: str, index: TestIndex, matches: bool = True) -> Iterator[pd.DataFrame]:
     need = np.concatenate([np.full(len(g), g.shape[1]) for _, g in index.grids]) if index.grids else np.zeros(0, np.int64)
     shard: list[list[bytes]] = []
     ids: list = []
@@ -186,7 +221,7 @@ def _judge(pdf: pd.DataFrame, id_col: str, text_col: str, index: TestIndex) -> I
         out = []
         for d, (doc_id, ws) in enumerate(zip(ids, shard, strict=True)):
             s, e = int(ends[d]), int(ends[d + 1])
-            got = _of_document(index, need, len(ws), place[s:e], window[s:e]) if s < e else (0, [], [], [])
+            got = _of_document(index, need, len(ws), place[s:e], window[s:e], matches) if s < e else (0, [], [], [])
             out.append((doc_id, len(ws), *got))
         shard.clear()
         ids.clear()
@@ -220,9 +255,10 @@ def _blocks(items: DataFrame, item_id: str, text: str, block_words: int) -> Iter
 
 def find_matches(
     docs: DataFrame, items: DataFrame, *, window: int = 13, doc_id: str = "doc_id", doc_text: str = "text",
-    item_id: str = "item_id", item_text: str = "text", block_words: int = BLOCK_WORDS,
+    item_id: str = "item_id", item_text: str = "text", block_words: int = BLOCK_WORDS, matches: bool = True,
 ) -> DataFrame:
-    """One row for each document row: its words, those inside a window's occurrence, spans, items, longest matches.
+    """One row for each document row: its words, those inside a window's occurrence, spans, items, longest matches (which
+    are left empty if nobody reads them).
 
     The documents are read once for each block of test items and never shuffled while one block holds the
     test set; with more blocks each row is first written to the shared folder with a key of its own, and what
@@ -239,7 +275,7 @@ def find_matches(
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for pdf in batches:
-                yield from _judge(pdf, doc_id, doc_text, shared.value)
+                yield from _judge(pdf, doc_id, doc_text, shared.value, matches)
             release()
 
         return docs.mapInPandas(run, schema)
@@ -297,14 +333,14 @@ def decontaminate(
     first, second = next(blocks, []), next(blocks, None)
     if second is not None:
         rows = stage_table(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
-        found = find_matches(rows, items, window=window, doc_id="__row", doc_text=doc_text, item_id=item_id, item_text=item_text, block_words=block_words)
+        found = find_matches(rows, items, window=window, doc_id="__row", doc_text=doc_text, item_id=item_id, item_text=item_text, block_words=block_words, matches=False)
         return without_ids(rows, verdicts(found, "__row", share).filter("contaminated").select("__row"), "__row").drop("__row")
     shared, at = docs.sparkSession.sparkContext.broadcast(TestIndex(first, window)), docs.columns.index(doc_text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             pdf = pd.DataFrame({"row": np.arange(batch.num_rows), "text": pd.Series(batch.column(at).to_pylist(), dtype=object)})
-            clean = [(part["n_hit"] == 0) | (share * part["n_hit"] < part["n_words"]) for part in _judge(pdf, "row", "text", shared.value)]
+            clean = [(part["n_hit"] == 0) | (share * part["n_hit"] < part["n_words"]) for part in _judge(pdf, "row", "text", shared.value, False)]
             yield batch.filter(pa.array(np.concatenate(clean) if clean else [], pa.bool_()))
         release()
 

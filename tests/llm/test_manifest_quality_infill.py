@@ -228,3 +228,38 @@ def test_bytes_that_are_no_text_stay(spark):
     made = infill.transform(raw)
     back = made.select(F.hex(F.col("text").cast("binary")).alias("a"), F.hex(infill.restored(F.col("output"), F.col("form")).cast("binary")).alias("b"), "form").collect()
     assert {r.form for r in back} > {"plain"} and all(r.a == r.b for r in back)
+
+
+def test_many_items_on_one_repeated_window():
+    """The longest matches against a loop, and in time where thousands of items share a window that a text repeats."""
+    import time
+
+    import pandas as pd
+
+    from paperloom.llm import decontaminate
+    from paperloom.llm.common import words
+
+    def plain(text, item, need):
+        best = (0, 0, 0)
+        for j in range(len(item)):
+            for p in range(len(text)):
+                n = 0
+                while p + n < len(text) and j + n < len(item) and text[p + n] == item[j + n]:
+                    n += 1
+                if n >= need and (n, -p, -j) > (best[0], -best[1], -best[2]):
+                    best = (n, p, j)
+        return best
+
+    pick = random.Random(11)
+    for _ in range(40):
+        items = [(str(i), [b"w%d" % pick.randrange(3) for _ in range(pick.choice([2, 4, 6, 12]))]) for i in range(8)]
+        texts = [" ".join(f"w{pick.randrange(3)}" for _ in range(40)) for _ in range(3)]
+        index = decontaminate.TestIndex(items, 4)
+        for row, text in zip(pd.concat(decontaminate._judge(pd.DataFrame({"d": range(3), "t": texts}), "d", "t", index)).itertuples(), texts, strict=True):
+            got = {m["item_id"]: (m["length"], m["doc_pos"], m["item_pos"]) for m in row.matches}
+            assert got == {i: b for i, ws in items if (b := plain(words(text), ws, min(4, len(ws))))[0]}
+    shared = " ".join(f"w{i}" for i in range(13))
+    index = decontaminate.TestIndex([(str(i), words(f"a{i} {shared} b{i}")) for i in range(4000)], 13)
+    start = time.monotonic()
+    (out,) = decontaminate._judge(pd.DataFrame({"d": [1], "t": [(shared + " x ") * 800]}), "d", "t", index)
+    assert len(out.matches[0]) == 4000 and time.monotonic() - start < 3
