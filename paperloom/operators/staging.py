@@ -5,6 +5,11 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+from typing import Any
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -22,17 +27,46 @@ def shared_folder(spark: SparkSession) -> str:
         named = f"file://{tempfile.mkdtemp(prefix='paperloom-')}"
         context.setCheckpointDir(named)
     folder = f"{named.rstrip('/')}/{context.applicationId}"
-    path = context._jvm.org.apache.hadoop.fs.Path(folder)
-    files = path.getFileSystem(context._jsc.hadoopConfiguration())
+    files, path = hadoop_path(spark, folder)
     if not files.exists(path):
         files.mkdirs(path)
         files.deleteOnExit(path)
     return folder
 
 
+def hadoop_path(spark: SparkSession, name: str) -> tuple[Any, Any]:
+    """A path in any store that Spark can read, and the file system that it lies in."""
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(name)
+    return path.getFileSystem(context._jsc.hadoopConfiguration()), path
+
+
+#: Paths of the tables that were staged in the innermost scope; none outside of one.
+_SCOPE: ContextVar[list[str] | None] = ContextVar("paperloom-scope", default=None)
+
+
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Tables that are staged inside are deleted at the end; what is made of them has to be written by then.
+
+    Outside of a scope they stay until the application ends.
+    """
+    made: list[str] = []
+    token = _SCOPE.set(made)
+    try:
+        yield
+    finally:
+        _SCOPE.reset(token)
+        for name in made:
+            files, path = hadoop_path(spark, name)
+            files.delete(path, True)
+
+
 def staged(df: DataFrame, name: str = "staged") -> DataFrame:
     """df, written and read back: lineage ends there, and lost executors lose nothing."""
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    if (made := _SCOPE.get()) is not None:
+        made.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -13,6 +13,7 @@ from paperloom.operators import identity as D
 from paperloom.operators import monitor as M
 from paperloom.operators import records as R
 from paperloom.operators import staging as S
+from paperloom.operators import store as W
 from paperloom.plans.registry import TITLE, query, table, title
 
 _GAP = "CASE WHEN c_custkey % 5 = 0 THEN NULL WHEN c_custkey % 5 = 1 THEN '' ELSE c_mktsegment || '!' END"
@@ -300,3 +301,21 @@ def intra_batch_dedup(spark, d):
     """Two keys, so a fold in order, which the SQL walks row by row."""
     t = F.lower(title())
     return D.in_order(table(spark, d, "documents"), "doc_id", [("text", F.md5("text")), ("title", F.when(F.length(t) >= 10, t))])
+
+
+@query("""WITH n AS (SELECT o_custkey AS k, max(o_totalprice) AS top FROM orders WHERE o_totalprice > 490000 GROUP BY o_custkey)
+    SELECT coalesce(c_custkey, n.k) AS k, c_name AS name, CASE WHEN n.k IS NOT NULL THEN top ELSE c_acctbal END AS value, true AS few FROM customer FULL JOIN n ON c_custkey = n.k""")
+def store_upsert(spark, d):
+    """A table in buckets after an upsert: only the buckets of the keys that came in were written again."""
+    root = f"{S.shared_folder(spark)}/store-{uuid.uuid4().hex}"
+    first = W.create(table(spark, d, "customer").select(F.col("c_custkey").alias("k"), F.col("c_name").alias("name"), F.col("c_acctbal").alias("value")), root, "k", 256)
+    new = table(spark, d, "orders").filter("o_totalprice > 490000").groupBy(F.col("o_custkey").alias("k")).agg(F.max("o_totalprice").alias("top"))
+
+    def merge(held):
+        both = held.join(new, "k", "full_outer")
+        return both.select("k", "name", F.coalesce("top", "value").alias("value"))
+
+    after, rewritten = W.change(spark, first, new.select("k"), merge)
+    untouched = sum(after.paths.get(b) == p for b, p in first.paths.items())
+    few = rewritten <= new.count() and untouched >= len(first.paths) - rewritten
+    return after.read(spark).withColumn("few", F.lit(few))

@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from paperloom.operators import catalog, graph, identity, monitor, records, repair, staging
+from paperloom.operators import catalog, graph, identity, monitor, records, repair, staging, store
 from paperloom.plans import scalar
 from paperloom.plans.registry import ORACLES, QUERIES
 from paperloom.sources import files
@@ -336,3 +336,42 @@ def test_articles_against_a_tree(spark):
     got = {r.i: r.a for r in spark.createDataFrame(list(enumerate(xmls)), "i int, xml string").select("i", catalog.article_record(F.col("xml")).alias("a")).collect()}
     for i, x in enumerate(xmls):
         assert (None if got[i] is None else got[i].asDict()) == plain_article(x), x
+
+
+def test_a_change_rewrites_touched_buckets_only(spark, tmp_path):
+    root = f"file://{tmp_path}/t"
+    first = store.create(spark.range(1000).select(F.col("id").alias("k"), F.lit("old").alias("v")), root, "k", 64)
+    keys = spark.createDataFrame([(5,), (5,), (2000,)], "k long")
+
+    def put(held):
+        return held.join(keys.distinct().withColumn("n", F.lit("new")), "k", "full_outer").select("k", F.coalesce("n", "v").alias("v"))
+
+    second, n = store.change(spark, first, keys, put)
+    assert n <= 2 and second.number == 1 and sum(first.paths.get(b) != p for b, p in second.paths.items()) <= 2
+    got = {r.k: r.v for r in store.latest(spark, root).read(spark).collect()}
+    assert len(got) == 1001 and got[5] == got[2000] == "new" and got[6] == "old"
+    assert first.read(spark).filter("v = 'new'").count() == 0  # who reads the old version goes on with it
+    with pytest.raises(store.Conflict):
+        store.change(spark, first, keys, put)
+    assert store.latest(spark, root).number == 1 and store.latest(spark, root).read(spark).count() == 1001
+    # Rows that go away, a change of nothing, and one that would write elsewhere.
+    third, _ = store.change(spark, second, keys, lambda held: held.filter("v <> 'new'"))
+    assert third.read(spark).count() == 999 and store.change(spark, third, keys.limit(0), put) == (third, 0)
+    with pytest.raises(ValueError, match="not touched"):
+        store.change(spark, third, keys, lambda held: spark.range(64).select(F.col("id").alias("k"), F.lit("x").alias("v")))
+    empty = store.create(spark.range(0).select(F.col("id").alias("k")), f"{root}2", "k", 4)
+    assert empty.read(spark).count() == 0
+    with pytest.raises(store.Conflict):
+        store.create(spark.range(3).select(F.col("id").alias("k")), root, "k", 4)
+    with pytest.raises(FileNotFoundError):
+        store.latest(spark, f"{root}3")
+
+
+def test_a_scope_leaves_no_staged_tables(spark, tmp_path):
+    folder = staging.shared_folder(spark).removeprefix("file://")
+    before = set(os.listdir(folder))
+    with staging.scope(spark):
+        rows = spark.createDataFrame([(0, "a", "x"), (1, "a", "y"), (2, "b", "y")], "id long, a string, b string")
+        identity.in_order(rows, "id", [("a", F.col("a")), ("b", F.col("b"))]).write.parquet(f"file://{tmp_path}/out")
+        assert set(os.listdir(folder)) > before
+    assert set(os.listdir(folder)) == before and spark.read.parquet(f"file://{tmp_path}/out").count() == 3
