@@ -20,7 +20,7 @@ from paperloom.operators import records as R
 from paperloom.operators.catalog import BATCH, chosen_citations, outbound
 from paperloom.operators.enrich import Catalogs, resolve
 from paperloom.operators.graph import KEYS, new_edges
-from paperloom.operators.identity import node_index, node_keys, placed, priority_match
+from paperloom.operators.identity import match_in_turn, node_index, node_keys, placed
 from paperloom.operators.monitor import alive
 from paperloom.operators.staging import numbered, staged
 from paperloom.schemas import CITATION_ITEM
@@ -152,7 +152,7 @@ def _stored_items(nodes: DataFrame) -> DataFrame:
 def _links(rows: DataFrame, nodes: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(idx, linked, skipped of rows (idx, node_id, items); edges that are new)."""
     cited = rows.select("idx", "node_id", F.posexplode("items").alias("pos", "i")).select(F.struct("idx", "pos", "node_id").alias("__item"), "i.*")
-    found = cited.select("__item").join(priority_match(cited, node_index(nodes), "__item", node_keys()), "__item", "left")
+    found = cited.select("__item").join(match_in_turn(cited, node_index(nodes), "__item", node_keys()), "__item", "left")
     found = staged(found.select("__item.idx", F.col("__item.node_id").alias("source_id"), F.col("match_id").alias("target_id")), "links")
     ok = F.col("target_id").isNotNull() & (F.col("target_id") != F.col("source_id"))
     counts = found.groupBy("idx").agg(F.count_if(ok).alias("linked"), F.count_if(~ok).alias("skipped"))

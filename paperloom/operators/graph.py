@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paperloom.functions.identifiers import bare_id
-from paperloom.operators.identity import node_keys, priority_match
+from paperloom.operators.identity import match_in_turn, node_keys
 from paperloom.operators.staging import staged
 
 KEYS = ["source_id", "target_id", "relationship"]
@@ -43,8 +43,9 @@ def forward_links(items: DataFrame, index: DataFrame, existing: DataFrame, *, re
     one whose edge is there already counts as linked.
     """
     rows = items.withColumn("__item", F.struct("source_id", "pos"))
-    matched = rows.select("__item").distinct().join(priority_match(rows, index, "__item", node_keys()), "__item", "left")
-    matched = matched.select("__item.source_id", F.col("match_id").cast("string").alias("target_id"))
+    found = match_in_turn(rows, index, "__item", node_keys())
+    matched = rows.select("__item").distinct().join(found, "__item", "left")
+    matched = staged(matched.select("__item.source_id", F.col("match_id").cast("string").alias("target_id")), "matched")
     ok = F.col("target_id").isNotNull() & (F.col("target_id") != F.col("source_id").cast("string"))
     counts = matched.groupBy("source_id").agg(F.count_if(ok).alias("linked"), F.count_if(~ok).alias("skipped"))
     made = matched.filter(ok).select("source_id", "target_id", F.lit(relationship).alias("relationship"))
@@ -110,13 +111,24 @@ def phantom_edges(claimed: DataFrame, genuine: list[DataFrame]) -> DataFrame:
     return claimed.select("source_id", "target_id").distinct().join(known.select("source_id", "target_id"), ["source_id", "target_id"], "left_anti")
 
 
-def _steps(edges: DataFrame, direction: str, relationship: str | None) -> DataFrame:
-    """a, b of every step, each once, written so that hops read it as it is."""
+#: Hops up to which a walk scans the edges as they are; for more, their steps are written once, each in its place.
+SCANS = 3
+#: Nodes of a frontier, counted, that go to the edges instead of being dealt out with them.
+FEW = 100_000
+
+
+def _steps(edges: DataFrame, direction: str, relationship: str | None, depth: int) -> DataFrame:
+    """a, b of every step; of a long walk each once, written so that hops read it as it is."""
     if relationship is not None:
         edges = edges.filter(F.col("relationship") == relationship)
     out = edges.select(F.col("source_id").alias("a"), F.col("target_id").alias("b"))
     back = edges.select(F.col("target_id").alias("a"), F.col("source_id").alias("b"))
-    return staged({"out": out, "in": back, "both": out.unionByName(back)}[direction].distinct(), "steps")
+    steps = {"out": out, "in": back, "both": out.unionByName(back)}[direction]
+    return steps if depth <= SCANS else staged(steps.distinct(), "steps")
+
+
+def _near(frontier: DataFrame) -> DataFrame:
+    return F.broadcast(frontier) if frontier.count() <= FEW else frontier
 
 
 #: Fixed value: the relationship that holds nodes in their parents.
@@ -132,10 +144,10 @@ def k_hop(edges: DataFrame, seed: str, depth: int, direction: str = "both", *, m
     """
     if mode not in ("edges", "hierarchy"):
         raise ValueError(f"unknown mode: {mode}")
-    steps = _steps(edges, direction, PARENT if mode == "hierarchy" else relationship)
+    steps = _steps(edges, direction, PARENT if mode == "hierarchy" else relationship, depth)
     seen = frontier = edges.sparkSession.createDataFrame([(seed, 0)], "node string, hop int")
     for hop in range(1, depth + 1):
-        reached = frontier.join(steps, F.col("node") == F.col("a")).select(F.col("b").alias("node")).distinct()
+        reached = steps.join(_near(frontier.select("node")), F.col("node") == F.col("a")).select(F.col("b").alias("node")).distinct()
         frontier = staged(reached.join(seen.select("node"), "node", "left_anti").withColumn("hop", F.lit(hop)))
         if frontier.isEmpty():
             break
@@ -148,13 +160,13 @@ def shortest_path(edges: DataFrame, start: str, goal: str, depth: int, *, direct
 
     Each reached node keeps its smallest predecessor, so the path is the same in every run.
     """
-    steps = _steps(edges, direction, relationship)
+    steps = _steps(edges, direction, relationship, depth)
     seen = frontier = edges.sparkSession.createDataFrame([(start, [start])], "node string, path array<string>")
     for hop in range(depth + 1):
         hit = seen.filter(F.col("node") == goal)
         if not hit.isEmpty() or hop == depth or frontier.isEmpty():
             return hit.select(F.lit(start).alias("start"), F.lit(goal).alias("goal"), (F.size("path") - 1).cast("long").alias("hops"), "path")
-        moved = frontier.join(steps, F.col("node") == F.col("a")).groupBy("b").agg(F.min("path").alias("path"))
+        moved = steps.join(_near(frontier), F.col("node") == F.col("a")).groupBy("b").agg(F.min("path").alias("path"))
         moved = moved.select(F.col("b").alias("node"), F.concat("path", F.array("b")).alias("path"))
         frontier = staged(moved.join(seen.select("node"), "node", "left_anti"))
         seen = seen.unionByName(frontier)

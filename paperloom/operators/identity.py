@@ -69,6 +69,17 @@ def priority_match(incoming: DataFrame, index: DataFrame, id_col: str, keys: lis
     return best.select(F.col("id").alias(id_col), F.col("b.node_id").alias("match_id"), F.col("b.kind").alias("reason"))
 
 
+def match_in_turn(incoming: DataFrame, index: DataFrame, id_col: str, keys: list[tuple[str, Column]]) -> DataFrame:
+    """What priority_match() gives where the last key is asked for last: it is made for those rows only that no other found.
+
+    For a key that costs more than a lookup, as a title that Python workers normalise.
+    """
+    cheap = priority_match(incoming, index, id_col, keys[:-1])
+    found = staged(cheap, "found")
+    left = incoming.join(found.select(id_col), id_col, "left_anti")
+    return found.unionByName(priority_match(left, index, id_col, keys[-1:]))
+
+
 def node_keys() -> list[tuple[str, Column]]:
     """Keys of resolved records; titles after normalising, long ones only."""
     title = norm_title(F.col("title"))
