@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paperloom.functions.identifiers import bare_id
+from paperloom.functions.identifiers import bare_id, blank_to_null, is_uuid, node_key, uuid_hex
 from paperloom.operators.identity import match_in_turn, node_keys
 from paperloom.operators.staging import staged
 
@@ -18,6 +18,26 @@ def new_edges(candidates: DataFrame, existing: DataFrame) -> DataFrame:
     return fresh.join(existing.select(*KEYS), KEYS, "left_anti")
 
 
+def node_names(nodes: DataFrame) -> DataFrame:
+    """name, node: every name that a node goes by (id, uuid with or without dashes, slug), and the one it is indexed by."""
+    key = node_key(F.col("id"), F.col("uuid"), F.col("slug"))
+    every = F.array(blank_to_null(F.col("id")), uuid_hex(F.col("uuid")), blank_to_null(F.col("slug")))
+    names = nodes.select(key.alias("node"), F.explode(F.array_distinct(every)).alias("name")).filter("name is not null and name <> ''")
+    return names.groupBy("name").agg(F.min("node").alias("node"))
+
+
+def by_node(edges: DataFrame, nodes: DataFrame) -> DataFrame:
+    """edges whose ends are the names that nodes are indexed by, whichever of their names they came with; names of no node
+    stay. An edge from a node to itself shows as one only then."""
+    names = node_names(nodes)
+    one = lambda c: F.when(is_uuid(F.col(c)), uuid_hex(F.col(c))).otherwise(F.col(c))
+    out = edges.withColumns({"__s": one("source_id"), "__t": one("target_id")})
+    for end, column in (("__s", "source_id"), ("__t", "target_id")):
+        known = names.select(F.col("name").alias(end), F.col("node").alias("__node"))
+        out = out.join(known, end, "left").withColumn(column, F.coalesce("__node", column)).drop("__node", end)
+    return out.select(*edges.columns)
+
+
 def existing_edges(candidates: DataFrame, existing: DataFrame) -> DataFrame:
     return candidates.select(*KEYS).distinct().join(existing.select(*KEYS), KEYS, "left_semi")
 

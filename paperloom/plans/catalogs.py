@@ -319,3 +319,17 @@ def store_upsert(spark, d):
     untouched = sum(after.paths.get(b) == p for b, p in first.paths.items())
     few = rewritten <= new.count() and untouched >= len(first.paths) - rewritten
     return after.read(spark).withColumn("few", F.lit(few))
+
+
+@query("SELECT DISTINCT 's' || l_suppkey AS source_id, 's' || l_linenumber AS target_id FROM lineitem WHERE l_suppkey <> l_linenumber")
+def self_edges(spark, d):
+    """Ends that name a node by its uuid, slug or id are one node's, so an edge to itself is found whatever it is called."""
+    key = F.col("s_suppkey").cast("string")
+    uuid_of = lambda c: F.concat(F.lit("00000000-0000-0000-0000-"), F.lpad(c, 12, "0"))
+    nodes = table(spark, d, "supplier").select(F.concat(F.lit("s"), key).alias("id"), uuid_of(key).alias("uuid"), F.col("s_name").alias("slug"))
+    source, flag = F.col("l_suppkey").cast("string"), F.col("l_returnflag")
+    name = F.when(flag == "R", F.upper(uuid_of(source))).when(flag == "A", F.concat(F.lit("Supplier#"), F.lpad(source, 9, "0"))).otherwise(F.concat(F.lit("s"), source))
+    target = F.col("l_linenumber").cast("string")
+    other = F.when(F.col("l_linestatus") == "O", F.replace(uuid_of(target), F.lit("-"), F.lit(""))).otherwise(F.concat(F.lit("s"), target))
+    edges = table(spark, d, "lineitem").select(name.alias("source_id"), other.alias("target_id"), F.lit("references").alias("relationship"))
+    return E.new_edges(E.by_node(edges, nodes), edges.limit(0)).select("source_id", "target_id")

@@ -99,11 +99,14 @@ def chunking(spark, d):
     return table(spark, d, "part").groupBy(S.chunked(F.col("p_partkey"), 500).alias("chunk")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'first' WHEN doc_id % 3 = 0 THEN 'second' WHEN doc_id % 5 = 0 THEN 'third' ELSE 'abstract' END AS origin FROM documents")
+@query("""SELECT d.doc_id, CASE WHEN quality = 1 THEN 'labelled' WHEN regexp_matches(text, 'https?://\\S') THEN 'linked' WHEN n_chars > 2000 THEN 'long' ELSE 'abstract' END AS origin
+    FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""")
 def fallback_chain(spark, d):
-    i = F.col("doc_id")
-    sources = [("first", F.when(i % 2 == 0, F.col("lang"))), ("second", F.when(i % 3 == 0, F.col("source"))), ("third", F.when(i % 5 == 0, F.col("lang")))]
-    return table(spark, d, "documents").select("doc_id", K.fallback(sources, "abstract").alias("origin"))
+    """The first source that has something for a document: a good label, an address in it, a long text."""
+    docs = table(spark, d, "documents").join(table(spark, d, "labels").select("doc_id", "quality"), "doc_id", "left")
+    address = F.regexp_extract("text", r"(https?://\S)", 1)
+    sources = [("labelled", F.when(F.col("quality") == 1, F.col("quality"))), ("linked", address), ("long", F.when(F.col("n_chars") > 2000, F.col("n_chars")))]
+    return docs.select("doc_id", K.fallback(sources, "abstract").alias("origin"))
 
 
 @query("SELECT doc_id FROM documents WHERE contains(text, 'the') AND contains(lower(source), 'src1')")

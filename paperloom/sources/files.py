@@ -75,9 +75,15 @@ def append_rows(df: DataFrame, path: str) -> None:
     df.write.mode("append").json(path)
 
 
-def workspace(spark: SparkSession, default: str) -> str:
-    """The store's folder: the session's setting, else the default."""
-    return spark.conf.get("spark.paperloom.workspace", None) or default
+def workspace(spark: SparkSession, default: str, config: str | None = None) -> str:
+    """The store's folder: the session's setting, else the line `workspace: folder` of a configuration file, else the default."""
+    if named := spark.conf.get("spark.paperloom.workspace", None):
+        return named
+    if config:
+        found = F.regexp_extract("value", r"""^\s*workspace\s*:\s*["']?([^"'#]*[^"'#\s])["']?\s*(#.*)?$""", 1)
+        if line := spark.read.text(config).select(found.alias("w")).filter("w <> ''").first():
+            return line[0]
+    return default
 
 
 def publish(df: DataFrame, root: str) -> str:

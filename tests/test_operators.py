@@ -375,3 +375,10 @@ def test_a_scope_leaves_no_staged_tables(spark, tmp_path):
         identity.in_order(rows, "id", [("a", F.col("a")), ("b", F.col("b"))]).write.parquet(f"file://{tmp_path}/out")
         assert set(os.listdir(folder)) > before
     assert set(os.listdir(folder)) == before and spark.read.parquet(f"file://{tmp_path}/out").count() == 3
+
+
+def test_workspace_of_a_configuration_file(spark, tmp_path):
+    (tmp_path / "c.yml").write_text("# workspace: no\nother: x\nworkspace: '/data/my store'  # here\n")
+    assert files.workspace(spark, "d", str(tmp_path / "c.yml")) == "/data/my store" and files.workspace(spark, "d") == "d"
+    (tmp_path / "e.yml").write_text("other: x\n")
+    assert files.workspace(spark, "d", str(tmp_path / "e.yml")) == "d"
