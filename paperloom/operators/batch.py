@@ -26,7 +26,9 @@ from paperloom.operators.staging import numbered, staged
 from paperloom.schemas import CITATION_ITEM
 from paperloom.sources.files import latest, publish
 
-REFERENCES = "references"
+#: The edges that citations become, a stored record's schema, and what notes say of a node.
+REFERENCES, SCHEMA = "references", "reference-v1"
+CREATED_NOTE, MERGED_NOTE, ORIGIN_NOTE = "Created via ingestion pipeline; source: ", "Dedup match on ", "; merged metadata; source: "
 #: Columns of a stored record that an incoming one fills where they are missing.
 RECORD = ("doi", "pmid", "s2_id", "year", "venue", "authors", "alt_dois")
 #: Rows, counted before they are broadcast, of a few hundred bytes each.
@@ -131,7 +133,7 @@ def _upserted(nodes: DataFrame, rows: DataFrame) -> DataFrame:
         first = F.col("__first")
         values = {c: T.merge_missing(r[c], F.col(f"__{c}"), array=c in ("authors", "alt_dois")) for c in RECORD}
         if fresh:
-            values |= {"schema": F.lit("reference-v1"), "uri": to_uri(first["doi"])}
+            values |= {"schema": F.lit(SCHEMA), "uri": to_uri(first["doi"])}
         reference = F.struct(*[values.get(f.name, r[f.name]).cast(f.dataType).alias(f.name) for f in kind])
         topic = T.Topics(*[F.coalesce(F.col(f"__topics.{c}"), none) for c in topics])
         last = F.col("__last")
@@ -259,7 +261,7 @@ def _notes(outcomes: DataFrame, day: str) -> DataFrame:
     """Dated notes: what was created or merged, and of failed items that have a node why."""
     at = F.lit(f"[{day}] ")
     kept = outcomes.filter("node_id is not null")
-    made = F.when(F.col("created"), F.concat(at, F.lit("Created via ingestion pipeline; source: "), "source")).otherwise(F.concat(at, F.lit("Dedup match on "), F.coalesce("reason", F.lit("")), F.lit("; merged metadata; source: "), "source"))
+    made = F.when(F.col("created"), F.concat(at, F.lit(CREATED_NOTE), "source")).otherwise(F.concat(at, F.lit(MERGED_NOTE), F.coalesce("reason", F.lit("")), F.lit(ORIGIN_NOTE), "source"))
     failed = kept.filter(F.size("errors") > 0).select("node_id", T.failure_note(F.lit(day), F.col("errors")).alias("content"))
     return kept.select("node_id", made.alias("content")).unionByName(failed)
 
