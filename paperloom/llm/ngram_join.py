@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paperloom.llm.common import ready, release, stage_table, words
+from paperloom.llm.common import free_name, ready, release, stage_table, words
 
 N = 5
 SIMILARITY = 0.8
@@ -509,13 +509,14 @@ def one_of_each(
     first = F.col("doc_").eqNullSafe(F.col("first.doc")) & (F.col("hash") == F.col("first.hash"))
     pair = stage_table(pair.select(F.col("doc_").alias("__doc"), F.col("hash").alias("__hash"), first.alias("__first"), "m"), "pairs")
     gone, again = pair.filter("not __first or m > 1"), pair.filter("__first and m > 1")
-    keyed = docs.withColumn("__text", _hash(F.col(text_col)))
-    on = lambda other: [keyed[id_col].eqNullSafe(other["__doc"]), keyed["__text"] == other["__hash"]]
+    own = free_name("__text", docs.columns)
+    keyed = docs.withColumn(own, _hash(F.col(text_col)))
+    on = lambda other: [keyed[id_col].eqNullSafe(other["__doc"]), keyed[own] == other["__hash"]]
     few = gone.count() * 64 <= BROADCAST_BYTES
     kept = keyed.join(F.broadcast(gone) if few else gone, on(gone), "left_anti").select(*[f"`{c}`" for c in docs.columns])
     if not again.limit(1).count():
         return kept
-    once = keyed.join(again, on(again), "left_semi").groupBy(id_col, "__text").agg(F.first(F.struct(*[f"`{c}`" for c in docs.columns])).alias("__r"))
+    once = keyed.join(again, on(again), "left_semi").groupBy(id_col, own).agg(F.first(F.struct(*[f"`{c}`" for c in docs.columns])).alias("__r"))
     return kept.unionByName(once.select("__r.*"))
 
 
