@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import unicodedata
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column
@@ -19,6 +20,14 @@ LEAST_TOKENS = 5
 MATCHED = 85.0
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is worked out once for each row, however often the body names it.
+
+    A parsed text whose fields are read inside of lambdas would be parsed again by each of them.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 @F.pandas_udf(T.StringType())
 def norm_title(titles: pd.Series) -> pd.Series:
     """Lower-cased ASCII parts of a title, accents folded, trailing stops gone, white space single; null is empty."""
@@ -157,9 +166,9 @@ def xml_bare(xml: Column) -> Column:
 
 def xml_content(element: Column) -> Column:
     """All text in an element, references decoded, white space single; null if there is none. Only for well-formed ones."""
-    text = F.regexp_replace(element, f"(?s)<{_INSIDE}>", "")
-    decoded = F.when(F.contains(text, F.lit("&")), F.xpath_string(F.concat(F.lit("<r>"), text, F.lit("</r>")), F.lit("/r"))).otherwise(text)
-    return blank_to_null(F.regexp_replace(decoded, r"(?U)\s+", " "))
+    decoded = lambda text: F.when(F.contains(text, F.lit("&")), F.xpath_string(F.concat(F.lit("<r>"), text, F.lit("</r>")), F.lit("/r"))).otherwise(text)
+    plain = let(F.regexp_replace(element, f"(?s)<{_INSIDE}>", ""), lambda t: F.regexp_replace(decoded(t), r"(?U)\s+", " "))
+    return let(plain, blank_to_null)
 
 
 def xml_marked(element: Column, attribute: str, value: str) -> Column:

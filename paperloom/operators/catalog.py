@@ -43,7 +43,10 @@ def _named(items: Column) -> Column:
 
 def entry_record(raw: Column) -> Column:
     """A catalog entry (JSON) as a record: fields of both lists once each, authors with a name, a year unless it is 0."""
-    e = F.from_json(raw, CATALOG_ENTRY)
+    return X.let(F.from_json(raw, CATALOG_ENTRY), _entry)
+
+
+def _entry(e: Column) -> Column:
     none = F.array().cast("array<string>")
     fields = ordered_union(none, F.concat(F.coalesce(e["fieldsOfStudy"], none), F.coalesce(F.transform(e["s2FieldsOfStudy"], lambda x: x["category"]), none)))
     authors = F.filter(F.transform(e["authors"], lambda a: a["name"]), lambda n: n.isNotNull() & (n != ""))
@@ -59,8 +62,11 @@ def entry_record(raw: Column) -> Column:
 def work_record(raw: Column) -> Column:
     """A publisher's answer about a work (JSON, in `message` or by itself) as a record: the first title and venue, names
     given and family, the first date with a year of four digits, subjects as keywords."""
-    v = F.try_parse_json(raw)
-    m = F.from_json(F.to_json(F.coalesce(F.try_variant_get(v, "$.message", "variant"), v)), CATALOG_WORK)
+    message = X.let(F.try_parse_json(raw), lambda v: F.to_json(F.coalesce(F.try_variant_get(v, "$.message", "variant"), v)))
+    return X.let(F.from_json(message, CATALOG_WORK), _work)
+
+
+def _work(m: Column) -> Column:
     name = lambda a: F.concat_ws(" ", blank_to_null(a["given"]), blank_to_null(a["family"]))
     authors = F.transform(F.filter(m["author"], lambda a: blank_to_null(a["family"]).isNotNull()), name)
     first = lambda c: F.nullif(F.get(c, F.lit(0)), F.lit(""))
@@ -145,17 +151,29 @@ def article_record(xml: Column) -> Column:
 
     Of a set of articles in one text the first of everything is taken, as if it were one: read_articles() tells them apart.
     """
-    bare = X.xml_bare(xml)
-    every = lambda name, within=bare: X.xml_elements(within, name)
+    return F.when(X.xml_is_whole(xml), X.let(X.xml_bare(xml), _article))
+
+
+#: Elements of an article that are looked up by themselves, each once.
+_ELEMENTS = (
+    "ArticleTitle", "AbstractText", "Author", "PubDate", "Journal", "ISOAbbreviation", "ArticleId", "PMID", "MeshHeading", "KeywordList", "PublicationType",
+)
+
+
+def _article(bare: Column) -> Column:
+    return X.let(F.struct(*[X.xml_elements(bare, n).alias(n) for n in _ELEMENTS]), _article_fields)
+
+
+def _article_fields(every: Column) -> Column:
     texts = lambda elements: F.filter(F.transform(elements, X.xml_content), lambda t: t.isNotNull())
     first = lambda elements: X.xml_content(F.get(elements, F.lit(0)))
-    inside = lambda outer, name: F.flatten(F.transform(every(outer), lambda e: X.xml_elements(e, name)))
+    inside = lambda outer, name: F.flatten(F.transform(every[outer], lambda e: X.xml_elements(e, name)))
     once = lambda elements: F.array_distinct(texts(elements))
 
     def name(author: Column) -> Column:
         last = first(X.xml_elements(author, "LastName"))
         given = F.coalesce(first(X.xml_elements(author, "ForeName")), first(X.xml_elements(author, "Initials")))
-        return F.when(last.isNotNull(), F.concat_ws(" ", last, given))
+        return X.let(last, lambda n: F.when(n.isNotNull(), F.concat_ws(" ", n, given)))
 
     def major(heading: Column) -> Column:
         descriptor = F.slice(X.xml_elements(heading, "DescriptorName"), 1, 1)
@@ -163,17 +181,17 @@ def article_record(xml: Column) -> Column:
         return F.when(marked, first(descriptor))
 
     date = F.coalesce(first(inside("PubDate", "Year")), F.substring(first(inside("PubDate", "MedlineDate")), 1, 4))
-    ids = F.filter(every("ArticleId"), lambda e: X.xml_marked(e, "IdType", "doi"))
-    one = F.filter(every("PMID"), lambda e: X.xml_marked(e, "Version", "1"))
-    own = F.coalesce(F.get(texts(one), F.lit(0)), first(every("PMID")))
+    ids = F.filter(every["ArticleId"], lambda e: X.xml_marked(e, "IdType", "doi"))
+    one = F.filter(every["PMID"], lambda e: X.xml_marked(e, "Version", "1"))
+    own = F.coalesce(F.get(texts(one), F.lit(0)), first(every["PMID"]))
     known = lambda c: F.filter(c, lambda x: x.isNotNull())
     fields = {
-        "title": first(every("ArticleTitle")), "abstract": F.nullif(F.array_join(texts(every("AbstractText")), " "), F.lit("")), "authors": known(F.transform(every("Author"), name)),
-        "year": F.when(date.rlike("^[0-9]{4}$"), date), "venue": F.coalesce(first(inside("Journal", "Title")), first(every("ISOAbbreviation"))), "doi_raw": first(ids), "pmid": own,
-        "mesh": texts(inside("MeshHeading", "DescriptorName")), "keywords": texts(inside("KeywordList", "Keyword")), "mesh_major": F.array_distinct(known(F.transform(every("MeshHeading"), major))),
-        "mesh_qualifiers": once(inside("MeshHeading", "QualifierName")), "types": once(every("PublicationType")),
+        "title": first(every["ArticleTitle"]), "abstract": F.nullif(F.array_join(texts(every["AbstractText"]), " "), F.lit("")), "authors": known(F.transform(every["Author"], name)),
+        "year": X.let(date, lambda d: F.when(d.rlike("^[0-9]{4}$"), d)), "venue": F.coalesce(first(inside("Journal", "Title")), first(every["ISOAbbreviation"])), "doi_raw": first(ids), "pmid": own,
+        "mesh": texts(inside("MeshHeading", "DescriptorName")), "keywords": texts(inside("KeywordList", "Keyword")), "mesh_major": F.array_distinct(known(F.transform(every["MeshHeading"], major))),
+        "mesh_qualifiers": once(inside("MeshHeading", "QualifierName")), "types": once(every["PublicationType"]),
     }
-    return F.when(X.xml_is_whole(xml), F.struct(*[c.alias(n) for n, c in fields.items()]))
+    return F.struct(*[c.alias(n) for n, c in fields.items()])
 
 
 def read_articles(spark: SparkSession, path: str, tag: str = "PubmedArticle") -> DataFrame:

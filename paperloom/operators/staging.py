@@ -71,6 +71,16 @@ def staged(df: DataFrame, name: str = "staged") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Tasks for each core of the cluster that dealt() makes.
+TASKS = 4
+
+
+def dealt(df: DataFrame) -> DataFrame:
+    """df with its rows dealt evenly to tasks on all cores: for a file of few bytes, which one task would read, with much to
+    do for each of its rows."""
+    return df.repartition(TASKS * df.sparkSession.sparkContext.defaultParallelism)
+
+
 def numbered(df: DataFrame, *order: str | Column) -> DataFrame:
     """df with idx, the row's place from 0 in the order of columns; rows are dealt out by ranges, never to one task."""
     ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)

@@ -123,7 +123,7 @@ def _article_rows(spark, d):
         F.lit('</ArticleId><MeshHeading><DescriptorName MajorTopicYN="'), flag(~even), F.lit('">A</DescriptorName><QualifierName MajorTopicYN="N">q</QualifierName></MeshHeading>'),
         F.lit('<MeshHeading><DescriptorName>B</DescriptorName><QualifierName MajorTopicYN="'), flag(even), F.lit('">q</QualifierName></MeshHeading><PublicationType>T</PublicationType><PublicationType>T</PublicationType></PubmedArticle></Set>'),
     )
-    rows = table(spark, d, "customer").join(table(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    rows = S.dealt(table(spark, d, "customer")).join(table(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     return rows.select("c_custkey", xml.alias("xml"), F.concat(F.lit("asked"), i).alias("asked"))
 
 

@@ -245,3 +245,11 @@ def test_placed_against_a_loop(spark, monkeypatch, last):
     df = spark.createDataFrame(rows, "id long, s string, d string, alt array<string>")
     got = {r.id: (r.node_id if r.node_id is not None else r.rep_id, r.created, r.reason) for r in D.placed(df, "id", [("s", F.col("s")), ("d", F.col("d"))], index, also=[("d", F.col("alt"))]).collect()}
     assert got == want
+
+
+@pytest.mark.parametrize(
+    ("make", "once"), [(lambda df: K.article_records(df), "<!--"), (lambda df: df.select(K.entry_record(F.col("xml")).alias("r")), "from_json("), (lambda df: df.select(K.work_record(F.col("xml")).alias("r")), "from_json(")]
+)
+def test_an_answer_is_parsed_once_a_row(spark, make, once):
+    plan = make(spark.createDataFrame([("x",)], "xml string").repartition(2))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(once) == 1
