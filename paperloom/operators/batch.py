@@ -22,7 +22,7 @@ from paperloom.operators.enrich import Catalogs, resolve
 from paperloom.operators.graph import KEYS, new_edges
 from paperloom.operators.identity import match_in_turn, node_index, node_keys, placed
 from paperloom.operators.monitor import alive
-from paperloom.operators.staging import numbered, staged
+from paperloom.operators.staging import dealt, numbered, staged
 from paperloom.schemas import CITATION_ITEM
 from paperloom.sources.files import latest, publish
 
@@ -180,7 +180,8 @@ def ingest(
     """
     spark, faults, none = items.sparkSession, faults or {}, F.array().cast(_LIST)
     run = Run(spark, root)
-    parsed = _items(items).select("idx", "doi", "pmid", "title", "abstract", "year", "venue", "authors", "keywords", "errors").withColumn("asked_doi", F.col("doi"))
+    # Asking the first catalog reads the items twice; they are parsed once, on all cores.
+    parsed = staged(_items(dealt(items.select("idx", "item"))).select("idx", "doi", "pmid", "title", "abstract", "year", "venue", "authors", "keywords", "errors").withColumn("asked_doi", F.col("doi")), "parsed")
     resolved = run.phase("resolved", lambda: isolated(parsed, lambda df: resolve(df, catalogs).withColumnRenamed("resolve_error", "error"), faults.get("resolve")))
 
     living = store.nodes.filter(alive(F.col("status")))

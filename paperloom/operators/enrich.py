@@ -101,11 +101,13 @@ def resolve(items: DataFrame, catalogs: Catalogs) -> DataFrame:
     out = items.withColumns({c: F.lit(None).cast("string") for c in SCALARS if c not in items.columns} | {c: F.lit(None).cast(_LIST) for c in LISTS if c not in items.columns})
     out = out.withColumns({f"__{c}": F.col(c) for c in ("doi", "pmid", "title", "keywords")})
     none = F.array().cast(_LIST)
-    out = out.withColumns({c: none if c == "keywords" else F.coalesce(F.col(c), none) for c in LISTS} | {"source": F.lit(INPUT), "asked": none})
+    out = out.withColumns({c: none if c == "keywords" else F.coalesce(F.col(c), none) for c in LISTS} | {"source": F.lit(INPUT), "asked": none, "__row": F.monotonically_increasing_id()})
 
     out = ask(out, "bulk", catalogs.bulk.select("doi", "at", "record"), bare_id(F.col("__doi")))
     has, use = _has(catalogs.bulk), F.col("answer").isNotNull()
-    out = out.withColumns({"__bulk": use, "cited": F.col("answer.citations") if "citations" in has else F.lit(None)})
+    out = out.withColumn("__bulk", use)
+    # Lists of citations are long: they wait where they were written, and no later answer's table holds them again.
+    cited = out.filter("answer.citations is not null").select("__row", F.col("answer.citations").alias("cited")) if "citations" in has else None
     out = _fill(out, has, (*SCALARS, "authors"), use)
     out = _extend(_promote(out, has, use), has, ("fields", "types"), use)
     told = F.coalesce(*[blank_to_null(F.col(f"answer.{c}")) for c in ("title", "doi", "pmid", "s2_id", "abstract") if c in has], F.lit(None).cast("string"))
@@ -152,6 +154,7 @@ def resolve(items: DataFrame, catalogs: Catalogs) -> DataFrame:
     clean = {c: blank_to_null(F.col(c)) for c in ("title", "pmid", "s2_id", "abstract", "venue")} | {"doi": bare_id(F.col("doi"))}
     out = out.withColumns(clean | {"keywords": keyword_floor(F.col("keywords"), F.col("__keywords"))})
     out = out.withColumn("resolve_error", F.when(F.col("title").isNull(), F.lit(NO_TITLE)))
+    out = out.withColumn("cited", F.lit(None)) if cited is None else out.join(cited, "__row", "left")
     return out.select(*[c for c in out.columns if not c.startswith("__")])
 
 

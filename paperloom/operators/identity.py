@@ -72,8 +72,10 @@ def priority_match(incoming: DataFrame, index: DataFrame, id_col: str, keys: lis
 def match_in_turn(incoming: DataFrame, index: DataFrame, id_col: str, keys: list[tuple[str, Column]]) -> DataFrame:
     """What priority_match() gives where the last key is asked for last: it is made for those rows only that no other found.
 
-    For a key that costs more than a lookup, as a title that Python workers normalise.
+    For a key that costs more than a lookup, as a title that Python workers normalise. The index is asked twice, so it is
+    written once.
     """
+    index = staged(index.select("kind", "key", "node_id"), "index")
     cheap = priority_match(incoming, index, id_col, keys[:-1])
     found = staged(cheap, "found")
     left = incoming.join(found.select(id_col), id_col, "left_anti")

@@ -76,9 +76,9 @@ TASKS = 4
 
 
 def dealt(df: DataFrame) -> DataFrame:
-    """df with its rows dealt evenly to tasks on all cores: for a file of few bytes, which one task would read, with much to
-    do for each of its rows."""
-    return df.repartition(TASKS * df.sparkSession.sparkContext.defaultParallelism)
+    """df with its rows dealt evenly to files that all cores read: for a file of few bytes, which one task would read, with
+    much to do for each of its rows. It is written, since Spark moves filters, and all that they need, to before a shuffle."""
+    return staged(df.repartition(TASKS * df.sparkSession.sparkContext.defaultParallelism), "dealt")
 
 
 def numbered(df: DataFrame, *order: str | Column) -> DataFrame:

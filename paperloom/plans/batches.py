@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from paperloom.operators import batch as B
 from paperloom.operators import catalog as K
 from paperloom.operators import enrich as N
+from paperloom.operators.staging import dealt
 from paperloom.plans.library import works
 from paperloom.plans.registry import query, table
 from paperloom.schemas import EDGE
@@ -30,7 +31,7 @@ _SLOW = """i AS (SELECT p_partkey AS k, p_name, p_brand, p_type, p_size, p_retai
 
 def _parsed(spark, d) -> DataFrame:
     k = F.col("p_partkey").cast("string")
-    return table(spark, d, "part").select(
+    return dealt(table(spark, d, "part")).select(
         F.col("p_partkey").alias("k"), F.when(F.col("p_size") > 10, F.concat(F.lit("doi:10.1/P"), k)).alias("doi"), F.when(F.col("p_type") == "SMALL", F.concat(F.lit("m"), k)).alias("pmid"),
         F.when(F.col("p_size") > 5, F.concat("p_name", F.lit(" by "), "p_brand", F.lit(" "), k)).alias("title"), F.array("p_brand").alias("keywords"),
     )
@@ -38,7 +39,7 @@ def _parsed(spark, d) -> DataFrame:
 
 def catalogs(spark, d) -> N.Catalogs:
     """Answers about parts: the bulk's from line items, several for a part; publishers' as JSON."""
-    part, k = table(spark, d, "part"), F.col("p_partkey").cast("string")
+    part, k = dealt(table(spark, d, "part")), F.col("p_partkey").cast("string")
     line = table(spark, d, "lineitem").filter("l_returnflag = 'R' and l_quantity > 45").select(F.col("l_partkey").alias("p_partkey"), F.year("l_shipdate").alias("at"))
     doi = F.concat(F.lit("10.1/p"), k)
     entry = F.to_json(F.struct(
@@ -105,7 +106,7 @@ def _batch(spark, d):
         F.when(F.col("p_brand") < "Brand#12", F.concat(F.lit('"https://doi.org/'), doi, F.lit('"'))).when(F.col("p_type") == "ECONOMY", k).when(F.col("p_type") == "LARGE", '{"title": "short"}')
         .when(F.col("p_type") == "PROMO", F.to_json(F.struct(title.alias("title")))).otherwise(F.to_json(F.struct(doi.alias("doi"), title.alias("title"))))
     )
-    part = table(spark, d, "part")
+    part = dealt(table(spark, d, "part"))
     items = part.select(F.col("p_partkey").alias("idx"), item.alias("item"))
     items = items.unionByName(part.filter("p_type = 'MEDIUM'").select((F.col("p_partkey") + 10000000).alias("idx"), item.alias("item")))
     cited = table(spark, d, "lineitem").filter("l_returnflag = 'R'").groupBy(F.col("l_partkey").alias("p_partkey")).agg(F.collect_set("l_suppkey").alias("s"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from paperloom.operators import evidence as V
 from paperloom.operators import identity as D
 from paperloom.operators import monitor as M
+from paperloom.operators.staging import dealt
 from paperloom.plans.registry import query, table
 from paperloom.schemas import EDGE, NODE
 
@@ -18,7 +19,7 @@ _WORKS = """g AS (SELECT *, p_partkey AS k, min(p_partkey) OVER (PARTITION BY p_
 
 def works(spark, d) -> DataFrame:
     """Parts as stored nodes, with a column `scan` for their order."""
-    p = table(spark, d, "part")
+    p = dealt(table(spark, d, "part"))
     lead = p.groupBy("p_name", "p_brand").agg(F.min("p_partkey").alias("lead"))
     k = F.col("p_partkey").cast("string")
     p = p.join(lead, ["p_name", "p_brand"])

@@ -253,3 +253,30 @@ def test_placed_against_a_loop(spark, monkeypatch, last):
 def test_an_answer_is_parsed_once_a_row(spark, make, once):
     plan = make(spark.createDataFrame([("x",)], "xml string").repartition(2))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count(once) == 1
+
+
+def test_lists_of_citations_are_written_with_one_answer_only(spark, monkeypatch):
+    wrote, plain = [], N.staged
+    monkeypatch.setattr(N, "staged", lambda df, name: wrote.append(df.columns) or plain(df, name))
+    raw = spark.createDataFrame([(1, "10.1/a"), (2, "10.1/b")], "idx long, doi string")
+    got = {r.idx: r.cited for r in N.resolve(raw, catalogs(spark, bulk=[("10.1/a", {"title": "T", "citations": [cite(doi="10.1/z")]})])).collect()}
+    assert [c.doi for c in got[1]] == ["10.1/z"] and got[2] is None
+    assert len(wrote) == 6 and not any("cited" in c for c in wrote)
+
+
+def test_an_index_that_is_asked_twice_is_written_once(spark, monkeypatch):
+    wrote, plain = [], D.staged
+    monkeypatch.setattr(D, "staged", lambda df, name="x": wrote.append(name) or plain(df, name))
+    index = spark.createDataFrame([("doi", "10.1/a", "n")], "kind string, key string, node_id string")
+    rows = spark.createDataFrame([(1, None, "10.1/A", None, "t")], "i long, s2_id string, doi string, pmid string, title string")
+    assert [tuple(r) for r in D.match_in_turn(rows, index, "i", D.node_keys()).collect()] == [(1, "n", "doi")]
+    assert wrote.count("index") == 1
+
+
+def test_a_small_table_is_read_by_all_cores(spark, tmp_path):
+    from paperloom.operators import staging as S
+
+    spark.range(1000).coalesce(1).write.parquet(f"file://{tmp_path}/one")
+    out = S.dealt(spark.read.parquet(f"file://{tmp_path}/one"))
+    sizes = [len(p) for p in out.filter("id >= 0").rdd.glom().collect()]
+    assert sum(sizes) == 1000 and len(sizes) >= 4 and max(sizes) < 500
