@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from paperloom.operators import evidence as V
 from paperloom.operators import identity as D
 from paperloom.operators import monitor as M
-from paperloom.operators.staging import dealt
+from paperloom.operators.staging import dealt, staged
 from paperloom.plans.registry import query, table
 from paperloom.schemas import EDGE, NODE
 
@@ -62,7 +62,8 @@ def citing(spark, d) -> DataFrame:
 
 
 def library(spark, d) -> tuple[DataFrame, DataFrame]:
-    """(nodes, edges): works and orders, and the edges that their lists and the works' identity tags led to."""
+    """(nodes, edges): works and orders, and the edges that their lists and the works' identity tags led to; written, as a
+    store is, so that a plan reads of it what it needs, and gathers no lists again for each look."""
     schema = spark.createDataFrame([], NODE).schema
     held = works(spark, d).drop("scan")
     orders = citing(spark, d)
@@ -75,7 +76,7 @@ def library(spark, d) -> tuple[DataFrame, DataFrame]:
     misled = line.filter("l_returnflag = 'R'").join(siblings, "l_partkey").select("source_id", F.col("p_partkey").alias("l_partkey"))
     edges = line.select("source_id", "l_partkey").unionByName(misled).distinct()
     edges = edges.select(F.concat_ws("-", "source_id", "l_partkey").alias("id"), "source_id", F.concat(F.lit("p"), F.col("l_partkey").cast("string")).alias("target_id"), F.lit("references").alias("relationship"))
-    return held.unionByName(orders), edges.to(spark.createDataFrame([], EDGE).schema)
+    return staged(held.unionByName(orders), "library"), staged(edges.to(spark.createDataFrame([], EDGE).schema), "edges")
 
 
 @query(f"""WITH {_WORKS}, k AS (SELECT 's2_id' AS kind, 's' || k AS key, k, scan FROM w UNION ALL SELECT 's2_id', 's' || lead, k, scan FROM w UNION ALL SELECT 'doi', '10.1/p' || k, k, scan FROM w WHERE p_type <> 'ECONOMY'

@@ -280,3 +280,11 @@ def test_a_small_table_is_read_by_all_cores(spark, tmp_path):
     out = S.dealt(spark.read.parquet(f"file://{tmp_path}/one"))
     sizes = [len(p) for p in out.filter("id >= 0").rdd.glom().collect()]
     assert sum(sizes) == 1000 and len(sizes) >= 4 and max(sizes) < 500
+
+
+def test_looks_at_a_library_gather_no_lists_again(spark):
+    from paperloom.plans.library import library
+
+    nodes, edges = library(spark, "/root/testdata/sf0.001")
+    for df in (nodes, edges):
+        assert "Aggregate" not in df._jdf.queryExecution().optimizedPlan().toString()
