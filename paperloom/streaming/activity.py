@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
@@ -56,6 +57,22 @@ def sessions(log: DataFrame, gap: str, late: str) -> DataFrame:
     return counted.select("user_id", F.unix_micros("w.start").alias("start_us"), F.unix_micros("w.end").alias("end_us"), "n")
 
 
+#: Partitions of state for each core. Each opens and commits a store in every batch, which costs more than few rows do.
+STORES = 2
+
+
+@contextmanager
+def stores(spark: SparkSession) -> Iterator[None]:
+    """Streams that are first started inside deal their state to STORES partitions a core, or to the session's, if fewer."""
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(int(before), STORES * spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def append_runs(slices: list[DataFrame], build: Callable[[DataFrame], DataFrame], folder: str, *, die_in: int | None = None) -> str:
     """Let a stream over a folder see slices one after the other, each in a run of its own that starts from the checkpoint
     of the one before; returns where its rows are. die_in: a run that dies after it wrote its rows, and is started again.
@@ -72,7 +89,8 @@ def append_runs(slices: list[DataFrame], build: Callable[[DataFrame], DataFrame]
 
         for dies in ([True, False] if k == die_in else [False]):
             stream = spark.readStream.schema(part.schema).parquet(f"{folder}/in")
-            query = build(stream).writeStream.outputMode("append").foreachBatch(step).option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start()
+            with stores(spark):
+                query = build(stream).writeStream.outputMode("append").foreachBatch(step).option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start()
             try:
                 query.awaitTermination()
             except StreamingQueryException:

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from functools import partial
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.query import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from paperloom.session import workers
 
@@ -20,8 +21,14 @@ DIGESTING, FAILED, STALE = "digesting", "failed", "stale"
 CYCLE = 50
 
 TRANSITION = "item long, at long, before string, after string, cause string"
-#: Keyed state with timers is kept by this store only.
-PROVIDER = ("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+HELD = "items array<string>, statuses array<string>, sinces array<long>, item array<string>, at array<long>, id array<long>, event array<string>"
+#: Lots that items are dealt to by their hash, each with one state: a call for each item costs more than its few events.
+LOTS = 1024
+#: This store keeps state on disk, the default one all of it in memory; a commit writes what changed, not a snapshot.
+STORE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
 
 def follow(status: str | None, since: int, events: list[tuple[int, int, str]], limit: int) -> Iterator[tuple[int, str | None, str, str]]:
@@ -40,55 +47,50 @@ def follow(status: str | None, since: int, events: list[tuple[int, int, str]], l
             status, since = after, at
 
 
-class _Items(StatefulProcessor):
-    """An item's status, and its events until the watermark has passed them: they count in the order of their times,
-    however they arrive."""
-
-    def __init__(self, limit: int) -> None:
-        self.limit = limit
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.state = handle.getValueState("state", "status string, since long")
-        self.waiting = handle.getListState("waiting", "at long, id long, event string")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        new = [(int(a), int(i), str(e)) for pdf in rows for a, i, e in zip(pdf["at"], pdf["id"], pdf["event"], strict=True)]
-        if new:
-            self.waiting.appendList(new)
-            self.handle.registerTimer(_ms(min(new)[0]))
-        yield _frame(key[0], [])
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        now = timerValues.getCurrentWatermarkInMs()
-        every = sorted((int(a), int(i), e) for a, i, e in self.waiting.get()) if self.waiting.exists() else []
-        due = [x for x in every if _ms(x[0]) <= now]
-        rest = every[len(due) :]
-        status, since = self.state.get() if self.state.exists() else (None, 0)
-        made = list(follow(status, since, due, self.limit))
-        if made:
-            since, _, status, _ = made[-1]
-        if status == DIGESTING and _ms(since + self.limit) <= now:
-            made.append((since + self.limit, status, FAILED, STALE))
-            since, status = since + self.limit, FAILED
-        if status is not None:
-            self.state.update((status, since))
-        self.waiting.clear()
-        if rest:
-            self.waiting.put(rest)
-        # One timer: what comes next, an event or the end of the item's time.
-        times = [_ms(rest[0][0])] if rest else []
-        times += [_ms(since + self.limit)] if status == DIGESTING else []
-        if times:
-            self.handle.registerTimer(max(now + 1, min(times)))
-        yield _frame(key[0], made)
-
-    def close(self) -> None:
-        pass
-
-
-def _frame(item: int, made: list[tuple]) -> pd.DataFrame:
-    return pd.DataFrame([(item, *m) for m in made], columns=[c.split()[0] for c in TRANSITION.split(", ")], dtype=object)
+def _settle(key: tuple, batches: Iterator[pd.DataFrame], held: GroupState, limit: int) -> Iterator[pd.DataFrame]:
+    """The items of a lot: their statuses, and their events until the watermark has passed them. An item's events count in
+    the order of their times, however they arrive. What is held comes and goes with the rows, a lot at a time."""
+    now = held.getCurrentWatermarkMs()
+    items, statuses, sinces, *waiting = held.get if held.exists else [[] for _ in range(7)]
+    states = dict(zip(items, zip(statuses, sinces, strict=True), strict=True))
+    every = list(zip(*waiting, strict=True))
+    if not held.hasTimedOut:
+        for pdf in batches:
+            every += zip(pdf["item"].tolist(), pdf["at"].astype("int64").tolist(), pdf["id"].astype("int64").tolist(), pdf["event"].tolist(), strict=True)
+    due: dict[str | None, list[tuple[int, int, str]]] = {}
+    rest = []
+    for e in every:
+        # A watermark of 0 is none yet.
+        if 0 < now >= _ms(e[1]):
+            due.setdefault(e[0], []).append(e[1:])
+        else:
+            rest.append(e)
+    made = []
+    for item, events in due.items():
+        status, since = states.get(item, (None, 0))
+        moved = list(follow(status, since, sorted(events), limit))
+        if moved:
+            states[item] = moved[-1][2], moved[-1][0]
+            made += [(item, *m) for m in moved]
+    for item, (status, since) in states.items():
+        if status == DIGESTING and _ms(since + limit) <= now:
+            made.append((item, since + limit, status, FAILED, STALE))
+            states[item] = FAILED, since + limit
+    if states or rest:
+        held.update((list(states), *_lists(states.values(), 2), *_lists(rest, 4)))
+    elif held.exists:
+        held.remove()
+    # One timeout: what comes next, an event or the end of an item's time. It fires once the watermark is past it.
+    times = [_ms(e[1]) for e in rest] + [_ms(since + limit) for status, since in states.values() if status == DIGESTING]
+    if times:
+        held.setTimeoutTimestamp(max(1, now, min(times) - 1))
+    if made:
+        yield pd.DataFrame([(None if i is None else int(i), *m) for i, *m in made], columns=[c.split()[0] for c in TRANSITION.split(", ")], dtype=object)
+
+
+def _lists(rows: Iterable[tuple], n: int) -> list[list]:
+    """The n columns of rows."""
+    return [list(c) for c in zip(*rows, strict=True)] or [[] for _ in range(n)]
 
 
 def _ms(micros: int) -> int:
@@ -100,14 +102,17 @@ def transitions(events: DataFrame, *, limit: str, late: str) -> DataFrame:
     """item, at (microseconds), before, after, cause of a stream of events (item, ts, id, event).
 
     An event counts once the watermark, `late` behind the latest one, has passed it; what comes later than that is dropped.
-    State is one status and the events of the last while for each item, in the checkpoint.
+    State is the statuses of a lot of items and their events of the last while, in the checkpoint; an event without a time
+    never counts. A checkpoint holds for the number of lots, LOTS, that it was begun with.
     """
     workers(events.sparkSession)
-    events.sparkSession.conf.set(*PROVIDER)
+    for key, value in STORE.items():
+        events.sparkSession.conf.set(key, value)
     span = events.sparkSession.sql(f"SELECT unix_micros(timestamp_seconds(0) + INTERVAL {limit}) AS n").first()[0]
-    timed = events.withColumn("time", F.col("ts").cast("timestamp")).withWatermark("time", late)
-    rows = timed.select("item", "time", F.unix_micros("time").alias("at"), "id", "event")
-    return rows.groupBy("item").transformWithStateInPandas(_Items(span), TRANSITION, "Append", "EventTime")
+    timed = events.withColumn("time", F.col("ts").cast("timestamp")).withWatermark("time", late).filter("time is not null")
+    lot = F.pmod(F.xxhash64("item"), F.lit(LOTS))
+    rows = timed.select(lot.alias("lot"), "time", F.col("item").cast("string").alias("item"), F.unix_micros("time").alias("at"), "id", F.coalesce("event", F.lit("")).alias("event"))
+    return rows.groupBy("lot").applyInPandasWithState(partial(_settle, limit=span), TRANSITION, HELD, "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def run(changes: DataFrame, step: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:

@@ -49,3 +49,20 @@ def test_rows_of_closed_windows_are_dropped(spark, tmp_path):
     slices = [row(10, 20), row(5 * 3600 + 1), row(30, 4 * 3600 + 5), row(30 * 3600)]
     out = A.append_runs(slices, lambda s: A.closed_windows(s, "1 hour", "1 hour"), f"file://{tmp_path}")
     assert sorted((r.start_us // 3_600_000_000, r.n) for r in spark.read.parquet(out).collect()) == [(0, 2), (4, 1), (5, 1)]
+
+
+def test_state_is_dealt_by_cores_and_lots(spark, tmp_path):
+    """Before, each item was a call and each shuffle partition a store, and an event without a time broke the run."""
+    rows = [(None if i == 7 else i, None if n == 3 and i == 2 else 1_000_000 * (1000 + 60 * n + i), 10 * i + n, ["add", "claim", "done", None][n]) for i in range(40) for n in range(4)]
+    df = spark.createDataFrame([*rows, (99, 1_000_000 * 90_000, 999, "x")], "item long, us long, id long, event string").withColumn("ts", F.timestamp_micros("us")).drop("us")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        out = A.append_runs([df], lambda s: L.transitions(s, limit="300 SECONDS", late="10 seconds"), f"file://{tmp_path}")
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "40"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    got = sorted(((-1 if r.item is None else r.item), r.after) for r in spark.read.parquet(out).collect())
+    assert got == sorted((-1 if i == 7 else i, s) for i in range(40) for s in ("queued", "digesting", "digested"))
+    stores = [p for p in (tmp_path / "state" / "state" / "0").iterdir() if p.name.isdigit()]
+    assert len(stores) == A.STORES * spark.sparkContext.defaultParallelism
