@@ -71,14 +71,15 @@ def staged(df: DataFrame, name: str = "staged") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-#: Tasks for each core of the cluster that dealt() makes.
+#: Files for each core of the cluster that dealt() makes at least, and the most rows of one.
 TASKS = 4
+ROWS = 50_000
 
 
 def dealt(df: DataFrame) -> DataFrame:
     """df with its rows dealt evenly to files that all cores read: for a file of few bytes, which one task would read, with
     much to do for each of its rows. It is written, since Spark moves filters, and all that they need, to before a shuffle."""
-    return staged(df.repartition(TASKS * df.sparkSession.sparkContext.defaultParallelism), "dealt")
+    return staged(df.repartition(max(TASKS * df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // ROWS))), "dealt")
 
 
 def numbered(df: DataFrame, *order: str | Column) -> DataFrame:

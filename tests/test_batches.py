@@ -288,3 +288,10 @@ def test_looks_at_a_library_gather_no_lists_again(spark):
     nodes, edges = library(spark, "/root/testdata/sf0.001")
     for df in (nodes, edges):
         assert "Aggregate" not in df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_files_dealt_grow_with_rows(spark, monkeypatch):
+    """Their number was fixed by cores, so that a task's rows grew with the table."""
+    monkeypatch.setattr(S, "ROWS", 10)
+    out = S.dealt(spark.range(1000))
+    assert len(out.inputFiles()) == 100 and out.count() == 1000
