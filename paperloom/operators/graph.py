@@ -107,9 +107,8 @@ def by_key(edges: DataFrame) -> DataFrame:
 
 def incident(edges: DataFrame) -> DataFrame:
     """node, source_id, target_id: every edge at its source and at its target, an edge to itself once."""
-    out = edges.select(F.col("source_id").alias("node"), "source_id", "target_id")
-    back = edges.filter("source_id <> target_id").select(F.col("target_id").alias("node"), "source_id", "target_id")
-    return out.unionByName(back)
+    ends = F.when(F.col("source_id") != F.col("target_id"), F.array("source_id", "target_id")).otherwise(F.array("source_id"))
+    return edges.select(F.explode(ends).alias("node"), "source_id", "target_id")
 
 
 def degrees(edges: DataFrame) -> DataFrame:
