@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperloom.session import workers
+from paperloom.session import tasks, workers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -19,6 +19,7 @@ def query(sql: str | None = None):
     def add(f):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             workers(spark)
+            tasks(spark)
             return f(spark, sf_dir)
 
         QUERIES[f.__name__] = run

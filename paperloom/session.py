@@ -17,6 +17,22 @@ def session(master: str | None = None, **settings: str) -> SparkSession:
     return (builder.master(master) if master else builder).getOrCreate()
 
 
+#: Of what a task reads of files or of a shuffle: hash maps and sorts of keys take ten to twenty times that of its memory.
+TASK_BYTES = 16 << 20
+TASK = ("spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes")
+
+
+def tasks(spark: SparkSession) -> None:
+    """Cut the session's tasks at TASK_BYTES, unless they are already cut at less; more tasks then, none larger."""
+    for name in TASK:
+        if not 0 < _bytes(spark, spark.conf.get(name)) <= TASK_BYTES:
+            spark.conf.set(name, f"{TASK_BYTES}b")
+
+
+def _bytes(spark: SparkSession, size: str) -> int:
+    return spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(size)
+
+
 #: Of Python workers: Arrow and numpy take memory from one allocator, which can give it back.
 WORKERS = {"ARROW_DEFAULT_MEMORY_POOL": "system", "MALLOC_ARENA_MAX": "2", "MALLOC_TRIM_THRESHOLD_": "1048576", "MALLOC_MMAP_THRESHOLD_": "1048576"}
 #: Of an Arrow batch, which may exceed it by one row: the JVM and the worker hold several for each task.
@@ -34,5 +50,5 @@ def workers(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join(filter(None, [root, env.get("PYTHONPATH", "")]))
     for key, value in WORKERS.items():
         env.setdefault(key, value)
-    if not 0 < spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(BATCH)) <= BATCH_BYTES:
+    if not 0 < _bytes(spark, spark.conf.get(BATCH)) <= BATCH_BYTES:
         spark.conf.set(BATCH, f"{BATCH_BYTES}b")

@@ -390,3 +390,19 @@ def test_incident_edges_take_one_pass(spark):
     out = graph.incident(e)
     assert sorted(out.collect(), key=str) == sorted([(1, 1, 2), (2, 1, 2), (3, 3, 3), (None, None, 4), (5, 5, None)], key=str)
     assert "Union" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_tasks_are_cut(spark):
+    """A task read up to 128 MB of a file and 64 MB of a shuffle; a smaller setting is left alone."""
+    from paperloom import session
+
+    files, shuffle = session.TASK
+    before = {name: spark.conf.get(name) for name in session.TASK}
+    try:
+        spark.conf.set(files, "128m")
+        spark.conf.set(shuffle, "1m")
+        session.tasks(spark)
+        assert spark.conf.get(files) == f"{session.TASK_BYTES}b" and spark.conf.get(shuffle) == "1m"
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
