@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paperloom.functions.identifiers import bare_id, blank_to_null, is_uuid, node_key, uuid_hex
-from paperloom.operators.identity import match_in_turn, node_keys
+from paperloom.operators.identity import matches_in_turn, node_keys
 from paperloom.operators.staging import staged
 
 KEYS = ["source_id", "target_id", "relationship"]
@@ -63,9 +63,8 @@ def forward_links(items: DataFrame, index: DataFrame, existing: DataFrame, *, re
     one whose edge is there already counts as linked.
     """
     rows = items.withColumn("__item", F.struct("source_id", "pos"))
-    found = match_in_turn(rows, index, "__item", node_keys())
-    matched = rows.select("__item").distinct().join(found, "__item", "left")
-    matched = staged(matched.select("__item.source_id", F.col("match_id").cast("string").alias("target_id")), "matched")
+    found = matches_in_turn(rows, index, "__item", node_keys())
+    matched = staged(found.select("__item.source_id", F.col("match_id").cast("string").alias("target_id")), "matched")
     ok = F.col("target_id").isNotNull() & (F.col("target_id") != F.col("source_id").cast("string"))
     counts = matched.groupBy("source_id").agg(F.count_if(ok).alias("linked"), F.count_if(~ok).alias("skipped"))
     made = matched.filter(ok).select("source_id", "target_id", F.lit(relationship).alias("relationship"))

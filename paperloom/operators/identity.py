@@ -64,22 +64,42 @@ def priority_match(incoming: DataFrame, index: DataFrame, id_col: str, keys: lis
 
     One equi-join on (kind, key) and one grouping by row, however many keys there are.
     """
-    hits = exploded(incoming, id_col, keys).join(index.select("kind", "key", "node_id"), ["kind", "key"])
-    best = hits.groupBy("id").agg(F.min(F.struct("prio", "node_id", "kind")).alias("b"))
+    return _reasons(_hits(incoming, index, id_col, keys).groupBy("id").agg(F.min("b").alias("b")), id_col)
+
+
+def _hits(incoming: DataFrame, index: DataFrame, id_col: str, keys: list[tuple[str, Column]]) -> DataFrame:
+    """id, b of every node that a key of a row finds."""
+    found = exploded(incoming, id_col, keys).join(index.select("kind", "key", "node_id"), ["kind", "key"])
+    return found.select("id", F.struct("prio", "node_id", "kind").alias("b"))
+
+
+def _reasons(best: DataFrame, id_col: str) -> DataFrame:
     return best.select(F.col("id").alias(id_col), F.col("b.node_id").alias("match_id"), F.col("b.kind").alias("reason"))
 
 
-def match_in_turn(incoming: DataFrame, index: DataFrame, id_col: str, keys: list[tuple[str, Column]]) -> DataFrame:
-    """What priority_match() gives where the last key is asked for last: it is made for those rows only that no other found.
+def matches_in_turn(incoming: DataFrame, index: DataFrame, id_col: str, keys: list[tuple[str, Column]], *, needs: tuple[str, ...] = ("title",)) -> DataFrame:
+    """What priority_match() gives, and a row of nulls for each id that no key finds, where the last key is asked for last:
+    it is made for those rows only that no other found.
 
-    For a key that costs more than a lookup, as a title that Python workers normalise. The index is asked twice, so it is
-    written once.
+    For a key that costs more than a lookup, as a title that Python workers normalise; `needs` are the columns it is made
+    of. They go along to the grouping by row, so that rows are never joined with what was found. The index is asked twice,
+    so it is written once.
     """
     index = staged(index.select("kind", "key", "node_id"), "index")
-    cheap = priority_match(incoming, index, id_col, keys[:-1])
-    found = staged(cheap, "found")
-    left = incoming.join(found.select(id_col), id_col, "left_anti")
-    return found.unionByName(priority_match(left, index, id_col, keys[-1:]))
+    hits = _hits(incoming, index, id_col, keys[:-1])
+    none = F.lit(None).cast(hits.schema["b"].dataType).alias("b")
+    every = incoming.select(F.col(id_col).alias("id"), none, F.struct(*needs).alias("r"))
+    every = every.unionByName(hits.withColumn("r", F.lit(None).cast(every.schema["r"].dataType)))
+    found = every.groupBy("id").agg(F.min("b").alias("b"), F.collect_set("r").alias("r"))
+    found = staged(found.select("id", "b", F.when(F.col("b").isNull(), F.col("r")).alias("r")), "found")
+    left = found.filter("b is null").select("id", F.explode("r").alias("r")).select("id", "r.*")
+    late = left.select("id", none).unionByName(_hits(left, index, "id", keys[-1:])).groupBy("id").agg(F.min("b").alias("b"))
+    return _reasons(found.filter("b is not null").select("id", "b").unionByName(late), id_col)
+
+
+def match_in_turn(incoming: DataFrame, index: DataFrame, id_col: str, keys: list[tuple[str, Column]]) -> DataFrame:
+    """The rows of matches_in_turn() that some key found."""
+    return matches_in_turn(incoming, index, id_col, keys).filter("reason is not null")
 
 
 def node_keys() -> list[tuple[str, Column]]:

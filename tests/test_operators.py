@@ -406,3 +406,12 @@ def test_tasks_are_cut(spark):
     finally:
         for name, value in before.items():
             spark.conf.set(name, value)
+
+
+def test_every_asked_row_comes_back_in_turn(spark):
+    """Rows that no key finds came back by a join with all rows; a title is asked only where no identifier was found."""
+    index = spark.createDataFrame([("doi", "10.1/a", "n"), ("title", "a title that is long", "m")], "kind string, key string, node_id string")
+    row = [(1, None, "10.1/A", None, "A title that is long"), (2, None, "10.1/x", None, "A Title that is long."), (3, None, None, None, None), (4, None, None, None, "x"), (4, None, None, None, "a title that is long"), (4, None, None, None, None)]
+    rows = spark.createDataFrame(row, "i long, s2_id string, doi string, pmid string, title string")
+    got = identity.matches_in_turn(rows, index, "i", identity.node_keys()).collect()
+    assert sorted(tuple(r) for r in got) == [(1, "n", "doi"), (2, "m", "title"), (3, None, None), (4, "m", "title")]
