@@ -20,7 +20,7 @@ IDENTITY_TAGS = {"s2_id": "s2id:", "pmid": "pmid:"}
 REFERENCES = "references"
 #: A bit for each kind of key that an item can name a node by.
 BITS = {"s2_id": 1, "doi": 2, "pmid": 4, "title": 8}
-#: Of the keys of contaminated nodes, 64 bytes each: up to here they go to the edges.
+#: Of the ids of contaminated nodes, or of edges to them, 64 bytes each: up to here they go to the edges, or the lists.
 BROADCAST_BYTES = 32 << 20
 
 _NONE = "array<string>"
@@ -48,10 +48,21 @@ def own_keys(nodes: DataFrame) -> DataFrame:
 
 def cited_keys(nodes: DataFrame) -> DataFrame:
     """id, kind, key of all that a node's citation list names, each once."""
-    items = nodes.select("id", F.explode("metadata.reference.outbound_citations.items").alias("i"))
+    return _cited(nodes.select("id", "metadata.reference.outbound_citations.items")).distinct()
+
+
+def _cited(lists: DataFrame) -> DataFrame:
+    """id, kind, key of all that lists (id, items) name, as often as they do."""
     i = F.col("i")
     keys = [("s2_id", F.nullif(i["s2_id"], F.lit(""))), ("doi", bare_id(i["doi"])), ("pmid", F.nullif(i["pmid"], F.lit(""))), ("title", _long_title(i["title"]))]
-    return exploded(items, "id", keys).select("id", "kind", "key").distinct()
+    return exploded(lists.select("id", F.explode("items").alias("i")), "id", keys).select("id", "kind", "key")
+
+
+def _bit(kind: Column) -> Column:
+    bit = F.lit(0)
+    for k, b in BITS.items():
+        bit = F.when(kind == k, b).otherwise(bit)
+    return bit
 
 
 def identity_tags(nodes: DataFrame) -> DataFrame:
@@ -82,23 +93,39 @@ def edge_evidence(nodes: DataFrame, edges: DataFrame, targets: DataFrame) -> Dat
     """source_id, target_id, kinds of the citation edges into targets (id): the kinds of keys by which the source's list
     names the target, none for a phantom.
 
-    The four tests are alternatives, so they are one equi-join on (source, kind, key) of the target's own keys, carried by
-    each edge, with what the source lists. Titles are normalised only for the nodes at these edges.
+    The four tests are alternatives. What a list names by a key of one target only is found by that key, and is an edge's
+    evidence if there is such an edge. Keys of several targets, which an edge can't be told by, go along with the edges and
+    meet the lists on (source, kind, key). So an edge carries few keys or none, and no key multiplies rows.
     """
-    ids = targets.select(F.col("id").alias("target_id")).distinct()
-    cites = edges.filter(F.col("relationship") == REFERENCES).select("source_id", "target_id").distinct()
-    inbound = staged(cites.join(ids, "target_id", "left_semi"), "inbound")
-    own = staged(own_keys(nodes.join(ids, nodes["id"] == ids["target_id"], "left_semi")), "own").withColumnRenamed("id", "target_id")
-    sources = inbound.select(F.col("source_id").alias("id")).distinct()
-    cited = cited_keys(nodes.join(sources, "id", "left_semi")).withColumnRenamed("id", "source_id")
-    few = own.count() * 64 <= BROADCAST_BYTES
-    asked = inbound.join(F.broadcast(own) if few else own, "target_id")
-    bit = F.lit(0)
-    for kind, b in BITS.items():
-        bit = F.when(F.col("kind") == kind, b).otherwise(bit)
-    found = asked.join(cited, ["source_id", "kind", "key"]).groupBy("source_id", "target_id").agg(F.bit_or(bit).alias("bits"))
-    named = F.filter(F.array(*[F.when(F.col("bits").bitwiseAND(F.lit(b)) > 0, F.lit(kind)) for kind, b in BITS.items()]), lambda k: k.isNotNull())
-    return inbound.join(found, ["source_id", "target_id"], "left").select("source_id", "target_id", F.coalesce(named, F.array().cast(_NONE)).alias("kinds"))
+    ids = staged(targets.select(F.col("id").alias("target_id")).distinct(), "targets")
+    least = F.broadcast if ids.count() * 64 <= BROADCAST_BYTES else (lambda df: df)
+    r = F.col("metadata.reference")
+    fields = F.struct(F.struct(*[r[c].alias(c) for c in ("doi", "uri", "alt_dois", "s2_id", "pmid")]).alias("reference"))
+    held = nodes.select("id", "uri", "title", fields.alias("metadata")).join(least(ids), F.col("id") == F.col("target_id"), "left_semi")
+    own = staged(own_keys(held).select(F.col("id").alias("target_id"), _bit(F.col("kind")).alias("bit"), "key"), "own")
+    owners = staged(own.groupBy("bit", "key").agg(F.count(F.lit(1)).alias("n"), F.min("target_id").alias("target_id")), "owners")
+    several = owners.filter("n > 1").select("bit", "key")
+    also = own.join(several, ["bit", "key"]).groupBy("target_id").agg(F.collect_list(F.struct("bit", "key")).alias("also"))
+    cites = edges.filter(F.col("relationship") == REFERENCES).select("source_id", "target_id")
+    asks = ids.join(also, "target_id", "left")
+    asks = F.broadcast(asks) if own.count() * 64 <= BROADCAST_BYTES else asks
+    inbound = staged(cites.join(asks, "target_id").select("source_id", "target_id", "also"), "inbound")
+
+    sources = inbound.select(F.col("source_id").alias("id"))
+    few = inbound.count() * 64 <= BROADCAST_BYTES
+    citing = nodes.select("id", "metadata.reference.outbound_citations.items")
+    cited = _cited(citing.join(F.broadcast(sources.distinct()), "id", "left_semi") if few else citing)
+    cited = cited.select(F.col("id").alias("source_id"), _bit(F.col("kind")).alias("bit"), "key")
+    one = F.col("n") == 1
+    named = cited.join(owners, ["bit", "key"]).select("source_id", "bit", F.when(one, F.col("target_id")).alias("target_id"), F.when(~one, F.col("key")).alias("key"))
+    named = staged(named, "named")
+    asked = inbound.select("source_id", "target_id", F.explode("also").alias("k")).select("source_id", "target_id", "k.bit", "k.key")
+    shared = staged(asked.join(named.filter("key is not null").drop("target_id"), ["source_id", "bit", "key"], "left_semi").select("source_id", "target_id", "bit"), "shared")
+    edge = inbound.select("source_id", "target_id", F.lit(0).alias("bit"), F.lit(True).alias("edge"))
+    hits = named.filter("target_id is not null").select("source_id", "target_id", "bit").unionByName(shared).withColumn("edge", F.lit(False))
+    found = edge.unionByName(hits).groupBy("source_id", "target_id").agg(F.bit_or("bit").alias("bits"), F.max("edge").alias("edge")).filter("edge")
+    kinds = F.filter(F.array(*[F.when(F.col("bits").bitwiseAND(F.lit(b)) > 0, F.lit(kind)) for kind, b in BITS.items()]), lambda k: k.isNotNull())
+    return found.select("source_id", "target_id", kinds.alias("kinds"))
 
 
 @dataclass(frozen=True)

@@ -62,12 +62,23 @@ def scope(spark: SparkSession) -> Iterator[None]:
             files.delete(path, True)
 
 
+#: Of a session: whether the files of a job's shuffles go when it ends, else they stay until the driver drops its plan.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def staged(df: DataFrame, name: str = "staged") -> DataFrame:
-    """df, written and read back: lineage ends there, and lost executors lose nothing."""
+    """df, written and read back: lineage ends there, and lost executors lose nothing. Nothing reads the job's shuffles
+    again, so their files go with it."""
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     if (made := _SCOPE.get()) is not None:
         made.append(path)
-    df.write.parquet(path)
+    conf = df.sparkSession.conf
+    before = conf.get(CLEANUP)
+    conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.set(CLEANUP, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paperloom.operators import evidence as V
@@ -47,36 +47,55 @@ def _with_scan(spark):
     return spark.createDataFrame([], f"{NODE}, scan double").schema
 
 
+def _cited(spark, d) -> DataFrame:
+    """l_orderkey, lines (part, flags, and the part's name and brand where a line cites by them): what an order's list is
+    made of. Only lines that cite by name go to the parts."""
+    part = table(spark, d, "part").select(F.col("p_partkey").alias("l_partkey"), "p_name", "p_brand")
+    line = table(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_returnflag", "l_linestatus")
+    flag, shipped = F.col("l_returnflag"), F.coalesce(F.col("l_linestatus") == "O", F.lit(False))
+    by_name = F.coalesce((flag == "A") & ~shipped | (flag == "N") & shipped, F.lit(False))
+    none = F.lit(None).cast("string")
+    lines = line.filter(by_name).join(part, "l_partkey").unionByName(line.filter(~by_name).withColumns({"p_name": none, "p_brand": none}))
+    return lines.groupBy("l_orderkey").agg(F.collect_list(F.struct("l_partkey", "l_returnflag", "l_linestatus", "p_name", "p_brand")).alias("lines"))
+
+
+def _orders(cited: DataFrame) -> DataFrame:
+    """Orders as stored nodes, of what their lists are made of."""
+
+    def item(x: Column) -> Column:
+        part, k, flag, status, name = x["l_partkey"], x["l_partkey"].cast("string"), x["l_returnflag"], x["l_linestatus"], x["p_name"]
+        return F.struct(
+            F.when((flag == "A") & (status == "O"), F.concat(F.lit("https://doi.org/10.1/p"), k)).when(flag == "A", F.concat(F.lit("10.1/LINE-"), F.replace(name, F.lit(" "), F.lit("-")))).alias("doi"),
+            F.when((flag == "N") & (status == "F"), (part + 100000).cast("string")).alias("pmid"), F.when(flag == "R", F.concat(F.lit("s"), k)).alias("s2_id"),
+            F.when((flag == "N") & (status == "O"), F.upper(F.concat(name, F.lit(" of  "), x["p_brand"], F.lit(", no. "), k))).alias("title"), F.lit(None).cast("int").alias("year"),
+        )
+
+    outbound = F.struct(F.lit("s2-batch").alias("source"), F.lit("2024-01-01").alias("retrieved_at"), F.transform("lines", item).alias("items"))
+    return cited.select(F.concat(F.lit("o"), F.col("l_orderkey").cast("string")).alias("id"), F.lit("open").alias("status"), F.lit("an order").alias("title"), F.struct(F.struct(outbound.alias("outbound_citations")).alias("reference")).alias("metadata"))
+
+
 def citing(spark, d) -> DataFrame:
     """Orders as stored nodes; each line item cites its part by one kind of key, as its flags say."""
-    line, part = table(spark, d, "lineitem"), table(spark, d, "part").select(F.col("p_partkey").alias("l_partkey"), "p_name", "p_brand")
-    k, flag, status = F.col("l_partkey").cast("string"), F.col("l_returnflag"), F.col("l_linestatus")
-    item = F.struct(
-        F.when((flag == "A") & (status == "O"), F.concat(F.lit("https://doi.org/10.1/p"), k)).when(flag == "A", F.concat(F.lit("10.1/LINE-"), F.replace("p_name", F.lit(" "), F.lit("-")))).alias("doi"),
-        F.when((flag == "N") & (status == "F"), (F.col("l_partkey") + 100000).cast("string")).alias("pmid"), F.when(flag == "R", F.concat(F.lit("s"), k)).alias("s2_id"),
-        F.when((flag == "N") & (status == "O"), F.upper(F.concat("p_name", F.lit(" of  "), "p_brand", F.lit(", no. "), k))).alias("title"), F.lit(None).cast("int").alias("year"),
-    )
-    lists = line.join(part, "l_partkey").groupBy("l_orderkey").agg(F.collect_list(item).alias("items"))
-    outbound = F.struct(F.lit("s2-batch").alias("source"), F.lit("2024-01-01").alias("retrieved_at"), F.col("items"))
-    return lists.select(F.concat(F.lit("o"), F.col("l_orderkey").cast("string")).alias("id"), F.lit("open").alias("status"), F.lit("an order").alias("title"), F.struct(F.struct(outbound.alias("outbound_citations")).alias("reference")).alias("metadata"))
+    return _orders(_cited(spark, d))
 
 
 def library(spark, d) -> tuple[DataFrame, DataFrame]:
-    """(nodes, edges): works and orders, and the edges that their lists and the works' identity tags led to; written, as a
-    store is, so that a plan reads of it what it needs, and gathers no lists again for each look."""
+    """(nodes, edges): works and orders, and the edges that their lists and the works' identity tags led to. What lists
+    and edges are made of is written, as numbers, so that no plan gathers it again; their texts are made where they are read."""
     schema = spark.createDataFrame([], NODE).schema
-    held = works(spark, d).drop("scan")
-    orders = citing(spark, d)
+    held = staged(works(spark, d).drop("scan"), "works")
+    orders = _orders(staged(_cited(spark, d), "lists"))
     blank = F.lit(None).cast(schema["metadata"].dataType)["reference"]
     filled = F.struct(F.struct(*[F.col("metadata.reference.outbound_citations").alias(f.name) if f.name == "outbound_citations" else blank[f.name].alias(f.name) for f in schema["metadata"].dataType["reference"].dataType]).alias("reference")).alias("metadata")
     orders = orders.select(*[filled if c == "metadata" else F.col(c) if c in ("id", "status", "title") else F.lit(None).cast(schema[c].dataType).alias(c) for c in schema.names])
-    line = table(spark, d, "lineitem").select(F.concat(F.lit("o"), F.col("l_orderkey").cast("string")).alias("source_id"), F.col("l_partkey"), "l_returnflag")
+    line = table(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_returnflag")
     lead = table(spark, d, "part").groupBy("p_name", "p_brand").agg(F.min("p_partkey").alias("lead"))
     siblings = table(spark, d, "part").join(lead, ["p_name", "p_brand"]).filter("lead <> p_partkey").select(F.col("lead").alias("l_partkey"), "p_partkey")
-    misled = line.filter("l_returnflag = 'R'").join(siblings, "l_partkey").select("source_id", F.col("p_partkey").alias("l_partkey"))
-    edges = line.select("source_id", "l_partkey").unionByName(misled).distinct()
+    misled = line.filter("l_returnflag = 'R'").join(siblings, "l_partkey").select("l_orderkey", F.col("p_partkey").alias("l_partkey"))
+    edges = staged(line.select("l_orderkey", "l_partkey").unionByName(misled).distinct(), "edges")
+    edges = edges.withColumn("source_id", F.concat(F.lit("o"), F.col("l_orderkey").cast("string")))
     edges = edges.select(F.concat_ws("-", "source_id", "l_partkey").alias("id"), "source_id", F.concat(F.lit("p"), F.col("l_partkey").cast("string")).alias("target_id"), F.lit("references").alias("relationship"))
-    return staged(held.unionByName(orders), "library"), staged(edges.to(spark.createDataFrame([], EDGE).schema), "edges")
+    return held.unionByName(orders), edges.to(spark.createDataFrame([], EDGE).schema)
 
 
 @query(f"""WITH {_WORKS}, k AS (SELECT 's2_id' AS kind, 's' || k AS key, k, scan FROM w UNION ALL SELECT 's2_id', 's' || lead, k, scan FROM w UNION ALL SELECT 'doi', '10.1/p' || k, k, scan FROM w WHERE p_type <> 'ECONOMY'

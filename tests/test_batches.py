@@ -1,6 +1,8 @@
 """Batches, enrichment, evidence and many-valued keys on cases that the tables don't have."""
 
 import json
+import time
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,6 +12,7 @@ from paperloom.operators import catalog as K
 from paperloom.operators import enrich as N
 from paperloom.operators import evidence as V
 from paperloom.operators import identity as D
+from paperloom.operators.staging import staged
 from paperloom.schemas import EDGE, NODE
 
 RECORD = "struct<title:string,doi:string,pmid:string,s2_id:string,abstract:string,year:string,venue:string,authors:array<string>,fields:array<string>,types:array<string>,citations:array<struct<doi:string,pmid:string,s2_id:string,title:string,year:int>>>"
@@ -211,6 +214,33 @@ def test_each_kind_of_evidence_saves_an_edge(spark, item, kind):
     assert V.plan(nodes, edges).counts().first().asDict() == {"contaminated": 0, "ambiguous": 0, "phantom": 0, "genuine": 0}
 
 
+def test_edges_carry_only_keys_of_several_targets(spark, monkeypatch):
+    kept = {}
+    monkeypatch.setattr(V, "staged", lambda df, name="staged": kept.setdefault(name, staged(df, name)))
+    a = node("a", "The own title of a", doi="10.1/a", s2="sa", alt=["10.1/BOTH"], tags=["s2id:x"])
+    b = node("b", "The own title of b", pmid="7", s2="sb", alt=["10.1/both"], tags=["s2id:x"])
+    c = node("c", "short", s2="sc", tags=["s2id:x"])
+    lists = {"o": [{"doi": "10.1/both"}, {"s2_id": "sc"}, {"s2_id": "sc"}], "p": [{"s2_id": "sa"}, {"title": "the own title of A"}], "q": [{"pmid": "7"}, {"doi": "10.1/Both"}], "r": []}
+    edges = [(s, t) for s in lists for t in "abc"] + [("o", "a")]
+    s = store(spark, [a, b, c] + [node(k, "citer", cites=v) for k, v in lists.items()], edges)
+    found = V.edge_evidence(s.nodes, s.edges, s.nodes.filter("id in ('a', 'b', 'c')")).collect()
+    want = {("o", "a"): ["doi"], ("o", "b"): ["doi"], ("o", "c"): ["s2_id"], ("p", "a"): ["s2_id", "title"], ("q", "a"): ["doi"], ("q", "b"): ["doi", "pmid"]}
+    assert len(found) == 12 and {(r.source_id, r.target_id): r.kinds for r in found if r.kinds} == want
+    assert {(r.target_id, *[k.key for k in r.also or []]) for r in kept["inbound"].collect()} == {("a", "10.1/both"), ("b", "10.1/both"), ("c",)}
+
+
+def test_shuffles_of_what_is_written_go_with_the_job(spark):
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    held = lambda: {f.name for d in manager.localDirs() for f in Path(d.getPath()).rglob("shuffle_*.data")}
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, was = held(), spark.conf.get(name)
+    rows = staged(spark.range(20_000).repartition(3, "id").groupBy((F.col("id") % 7_001).alias("k")).count())
+    end = time.monotonic() + 20
+    while held() - before and time.monotonic() < end:  # files go a moment after the job
+        time.sleep(0.1)
+    assert not held() - before and rows.count() == 7_001 and spark.conf.get(name) == was
+
+
 def test_ambiguous_tags_stay(spark):
     s = store(spark, [node("t", "x", pmid="7", tags=["s2id:a", "s2id:b", "pmid:7", "s2id:a"]), node("d", "x", s2="q", tags=["s2id:z"], status="deleted")])
     made = V.plan(s.nodes, s.edges)
