@@ -132,7 +132,7 @@ def decontaminated(spark, d):
     made = V.plan(nodes, edges)
     mended, kept = V.apply(nodes, edges, made)
     again = V.plan(mended, kept).counts().select(F.col("contaminated").alias("contaminated_after"), F.col("phantom").alias("phantom_after"))
-    n = kept.agg(F.count(F.lit(1)).alias("edges")).join(made.contaminated.agg(F.count(F.lit(1)).alias("mended")), F.lit(True))
+    n = staged(kept.agg(F.count(F.lit(1)).alias("edges")).join(made.contaminated.agg(F.count(F.lit(1)).alias("mended")), F.lit(True)), "counts")
     return n.join(again, F.lit(True))
 
 
