@@ -20,7 +20,7 @@ from paperloom.operators import records as R
 from paperloom.operators.catalog import BATCH, chosen_citations, outbound
 from paperloom.operators.enrich import Catalogs, resolve
 from paperloom.operators.graph import KEYS, new_edges
-from paperloom.operators.identity import match_in_turn, node_index, node_keys, placed
+from paperloom.operators.identity import first_of, match_in_turn, node_key_rows, node_keys, placed
 from paperloom.operators.monitor import alive
 from paperloom.operators.staging import dealt, numbered, staged
 from paperloom.schemas import CITATION_ITEM
@@ -103,8 +103,18 @@ def _by_id(df: DataFrame, few: bool) -> DataFrame:
     return F.broadcast(df) if few else df
 
 
+def _key() -> Column:
+    return node_key(F.col("id"), F.col("uuid"), F.col("slug"))
+
+
+def _others(nodes: DataFrame, touched: DataFrame, few: bool) -> DataFrame:
+    """The nodes that touched (node_id) doesn't name."""
+    return nodes.join(_by_id(touched, few), _key() == F.col("node_id"), "left_anti")
+
+
 def _upserted(nodes: DataFrame, rows: DataFrame) -> DataFrame:
-    """nodes after the resolved rows (idx, node_id, created and the record) were merged in, in order of idx.
+    """The nodes that the resolved rows (idx, node_id, created and the record) name, after these were merged in, in order of
+    idx; all others stay as they are.
 
     Of a record's columns the first value stands, the stored one before all; the citation line is the last row's; tags are
     derived from the last row's identity and the topics of the last row that brought any.
@@ -123,7 +133,7 @@ def _upserted(nodes: DataFrame, rows: DataFrame) -> DataFrame:
     )
     new = staged(new, "merged")
     few = new.count() <= FEW
-    both = nodes.withColumn("__key", node_key(F.col("id"), F.col("uuid"), F.col("slug"))).join(_by_id(new, few), F.col("__key") == F.col("node_id"), "left")
+    both = nodes.withColumn("__key", _key()).join(_by_id(new, few), F.col("__key") == F.col("node_id"))
     kind = nodes.schema["metadata"].dataType["reference"].dataType
     blank = nodes.sparkSession.range(1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in nodes.schema])
     made = new.join(rows.filter("created").select("node_id"), "node_id", "left_semi").join(F.broadcast(blank), F.lit(True))
@@ -138,8 +148,7 @@ def _upserted(nodes: DataFrame, rows: DataFrame) -> DataFrame:
         topic = T.Topics(*[F.coalesce(F.col(f"__topics.{c}"), none) for c in topics])
         last = F.col("__last")
         fresh_tags = T.derive_tags(F.col("tags"), last["s2_id"], last["pmid"], last["year"], topic, own_s2_id=values["s2_id"], own_pmid=values["pmid"])
-        touched = F.col("node_id").isNotNull()
-        columns = {"metadata": F.when(touched, F.struct(reference.alias("reference"))).otherwise(F.col("metadata")), "tags": F.when(touched, fresh_tags).otherwise(F.col("tags")), "citation": F.when(touched, F.col("__citation")).otherwise(F.col("citation"))}
+        columns = {"metadata": F.struct(reference.alias("reference")), "tags": fresh_tags, "citation": F.col("__citation")}
         if fresh:
             columns |= {"id": F.col("node_id"), "title": first["title"], "abstract": first["abstract"], "uri": to_uri(first["doi"]), "type": F.lit("reference")}
         return df.select(*[columns[c].alias(c) if c in columns else F.col(c) for c in nodes.columns])
@@ -148,13 +157,13 @@ def _upserted(nodes: DataFrame, rows: DataFrame) -> DataFrame:
 
 
 def _stored_items(nodes: DataFrame) -> DataFrame:
-    return nodes.select(node_key(F.col("id"), F.col("uuid"), F.col("slug")).alias("node_id"), F.col("metadata.reference.outbound_citations.items").alias("held"))
+    return nodes.select(_key().alias("node_id"), F.col("metadata.reference.outbound_citations.items").alias("held"))
 
 
-def _links(rows: DataFrame, nodes: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _links(rows: DataFrame, index: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(idx, linked, skipped of rows (idx, node_id, items); edges that are new)."""
     cited = rows.select("idx", "node_id", F.posexplode("items").alias("pos", "i")).select(F.struct("idx", "pos", "node_id").alias("__item"), "i.*")
-    found = cited.select("__item").join(match_in_turn(cited, node_index(nodes), "__item", node_keys()), "__item", "left")
+    found = cited.select("__item").join(match_in_turn(cited, index, "__item", node_keys()), "__item", "left")
     found = staged(found.select("__item.idx", F.col("__item.node_id").alias("source_id"), F.col("match_id").alias("target_id")), "links")
     ok = F.col("target_id").isNotNull() & (F.col("target_id") != F.col("source_id"))
     counts = found.groupBy("idx").agg(F.count_if(ok).alias("linked"), F.count_if(~ok).alias("skipped"))
@@ -165,7 +174,7 @@ def _reverse(rows: DataFrame, nodes: DataFrame, edges: DataFrame) -> tuple[DataF
     """(idx, reverse of rows (idx, node_id, doi); edges that are new) from nodes whose stored lists wait for the identifier."""
     waits = _stored_items(nodes).select(F.col("node_id").alias("source_id"), F.explode("held").alias("i")).select("source_id", bare_id(F.col("i.doi")).alias("key"))
     made = rows.select("idx", F.col("node_id").alias("target_id"), bare_id(F.col("doi")).alias("key"))
-    hits = staged(waits.filter("key is not null").join(made, "key").filter("source_id <> target_id"), "reverse")
+    hits = staged(waits.filter("key is not null").join(_by_id(made, made.count() <= FEW), "key").filter("source_id <> target_id"), "reverse")
     return hits.groupBy("idx").agg(F.count(F.lit(1)).alias("reverse")), new_edges(hits.withColumn("relationship", F.lit(REFERENCES)), edges)
 
 
@@ -178,26 +187,48 @@ def ingest(
     from it), day is written to notes and lists. faults: for the phases resolve, upsert, store and link a column that tells
     what went wrong with an item there.
     """
-    spark, faults, none = items.sparkSession, faults or {}, F.array().cast(_LIST)
-    run = Run(spark, root)
+    faults = faults or {}
+    run = Run(items.sparkSession, root)
+    return _taken(_resolved(items, catalogs, run, faults), references, store, _keys(store.nodes), batch=batch, day=day, run=run, faults=faults)[0]
+
+
+def _alive(nodes: DataFrame) -> DataFrame:
+    return nodes.filter(alive(F.col("status")))
+
+
+def _keys(nodes: DataFrame) -> DataFrame:
+    return staged(node_key_rows(_alive(nodes)), "keys")
+
+
+def _resolved(items: DataFrame, catalogs: Catalogs, run: Run, faults: dict[str, Column]) -> DataFrame:
+    """Raw items parsed and resolved; nothing here looks at the store."""
     # Asking the first catalog reads the items twice; they are parsed once, on all cores.
     parsed = staged(_items(dealt(items.select("idx", "item"))).select("idx", "doi", "pmid", "title", "abstract", "year", "venue", "authors", "keywords", "errors").withColumn("asked_doi", F.col("doi")), "parsed")
-    resolved = run.phase("resolved", lambda: isolated(parsed, lambda df: resolve(df, catalogs).withColumnRenamed("resolve_error", "error"), faults.get("resolve")))
+    return run.phase("resolved", lambda: isolated(parsed, lambda df: resolve(df, catalogs).withColumnRenamed("resolve_error", "error"), faults.get("resolve")))
 
-    living = store.nodes.filter(alive(F.col("status")))
+
+def _taken(resolved: DataFrame, references: DataFrame, store: Store, keys: DataFrame, *, batch: str, day: str, run: Run, faults: dict[str, Column]) -> tuple[Result, DataFrame]:
+    """(ingest() of resolved items, the keys of the nodes after), by keys of the store's alive nodes as node_key_rows() makes
+    them; those of nodes that the batch doesn't touch are not made again."""
+    none = F.array().cast(_LIST)
 
     def match() -> DataFrame:
         clean = resolved.filter(F.size("errors") == 0)
         alternatives = [("doi", F.transform(F.coalesce("alt_dois", none), bare_id))]
-        return placed(clean, "idx", node_keys(), node_index(living), also=alternatives)
+        return placed(clean, "idx", node_keys(), first_of(keys), also=alternatives)
 
     matched = run.phase("matched", match)
     named = matched.select("idx", F.coalesce("node_id", made_id(batch, F.col("rep_id"))).alias("node_id"), "created", "reason")
     placed_rows = isolated(resolved, lambda df: df.join(named, "idx"), faults.get("upsert"))
     rows = run.phase("placed", lambda: placed_rows)
     upserted = rows.filter((F.size("errors") == 0) & F.col("node_id").isNotNull())
-    nodes = run.phase("nodes", lambda: _upserted(store.nodes, upserted))
-    there = nodes.filter(alive(F.col("status")))
+    touched = staged(upserted.select("node_id").distinct(), "touched")
+    few = touched.count() <= FEW
+    changed = run.phase("changed", lambda: _upserted(store.nodes, upserted))
+    others = _others(store.nodes, touched, few)
+    there = _alive(others.unionByName(changed))
+    kept_keys = keys.join(_by_id(touched, few), keys["id"] == F.col("node_id"), "left_anti")
+    keys = staged(kept_keys.unionByName(node_key_rows(_alive(changed))), "keys")
 
     def fetch(df: DataFrame) -> DataFrame:
         doi = F.coalesce(F.col("doi"), F.col("asked_doi"))
@@ -211,13 +242,13 @@ def ingest(
 
     kept = run.phase("fetched", lambda: isolated(rows.filter(F.col("node_id").isNotNull() & (F.size("errors") == 0)), fetch, faults.get("store")))
     stored = kept.filter(F.size("errors") == 0)
-    counts, forward = _links(stored.select("idx", "node_id", "items"), there, store.edges)
+    counts, forward = _links(stored.select("idx", "node_id", "items"), first_of(keys), store.edges)
     waited, backward = _reverse(upserted.select("idx", "node_id", F.coalesce("doi", "asked_doi").alias("doi")), there, store.edges)
     fresh = forward.unionByName(backward).distinct()
     edge_id = uuid_dashed(F.md5(F.concat_ws("\u0001", *KEYS)))
     new = run.phase("edges", lambda: fresh.select(edge_id.alias("id"), *KEYS))
 
-    before = _stored_items(store.nodes).join(stored.select("node_id").distinct(), "node_id", "left_semi")
+    before = _stored_items(store.nodes).join(_by_id(stored.select("node_id").distinct(), few), "node_id", "left_semi")
     linked = isolated(kept.join(counts, "idx", "left").join(before, "node_id", "left"), lambda df: df, faults.get("link"))
     ended = run.phase("linked", lambda: linked.join(waited, "idx", "left"))
     # An item whose later phases failed is in the store all the same, and says so there.
@@ -225,7 +256,7 @@ def ingest(
     lists = stored.groupBy("node_id").agg(
         F.max_by(F.struct("from", "items"), F.when(F.size("items") > 0, F.col("idx"))).alias("__full"), F.max_by(F.struct("from", "items"), "idx").alias("__any")
     )
-    final = run.phase("final", lambda: _finished(nodes, status.join(lists, "node_id", "left"), day))
+    final = run.phase("final", lambda: others.unionByName(_finished(changed, status.join(lists, "node_id", "left"), day)))
     n = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c)
     count = F.when(F.size("items") > 0, F.size("items")).otherwise(F.size(F.coalesce("held", F.array().cast(f"array<{CITATION_ITEM}>")))).cast("long")
     part = ended.select("idx", n("linked"), n("skipped"), n("reverse"), F.coalesce(count, F.lit(0).cast("long")).alias("stored"), F.col("items").isNotNull().alias("has_citations"), F.col("errors").alias("__later"))
@@ -237,14 +268,14 @@ def ingest(
         "idx", placed_node.alias("node_id"), F.when(F.size("__early") == 0, F.col("created")).alias("created"), "reason", "source", *zero,
         F.coalesce("has_citations", F.lit(False)).alias("has_citations"), T.final_status(errors).alias("status"), errors.alias("errors"),
     ))
-    return Result(Store(final, store.edges.select("id", *KEYS).unionByName(new)), outcomes, _notes(outcomes, day), new)
+    return Result(Store(final, store.edges.select("id", *KEYS).unionByName(new)), outcomes, _notes(outcomes, day), new), keys
 
 
 def _finished(nodes: DataFrame, ends: DataFrame, day: str) -> DataFrame:
     """nodes with their final status and citation lists; an empty list never replaces one with items."""
     ends = staged(ends.withColumnRenamed("node_id", "__id"), "ends")
     few = ends.count() <= FEW
-    both = nodes.withColumn("__key", node_key(F.col("id"), F.col("uuid"), F.col("slug"))).join(_by_id(ends, few), F.col("__key") == F.col("__id"), "left")
+    both = nodes.withColumn("__key", _key()).join(_by_id(ends, few), F.col("__key") == F.col("__id"), "left")
     kind = nodes.schema["metadata"].dataType["reference"].dataType
     r = F.col("metadata.reference")
     held = r["outbound_citations"]
@@ -274,8 +305,8 @@ def backfill(
     """(ten counters, the store after): stored nodes with one of the statuses, through ingest() again.
 
     A node is fed as its identifier, or as a record where it has none; one without identifier and long title is skipped, and
-    with only_missing one that has topical tags. Chunks follow each other, so a later one sees what an earlier one made; a
-    chunk is one run of ingest(), so let it be large.
+    with only_missing one that has topical tags. All are resolved at once, since no catalog looks at the store. Chunks then
+    follow each other, so a later one sees what an earlier one made; each writes the store anew, so let it be large.
     """
     living = store.nodes.filter(alive(F.col("status")))
     found = R.candidates([living.filter(T.has_status(F.col("tags"), s)) for s in statuses], ["id", "uuid", "slug"])
@@ -295,11 +326,14 @@ def backfill(
     left = n.candidates - n.tagged - n.unusable
     if left and chunk_size <= 0:
         raise ValueError("chunk size must be positive")
+    if not left:
+        return _counters(todo.sparkSession, None, n, left), store
     rows = staged(numbered(queue, "place", "id").select("idx", "item"), "queue")
+    resolved, keys = _resolved(rows, catalogs, Run(todo.sparkSession, root), {}), _keys(store.nodes)
     outcomes: DataFrame | None = None
-    for k in range(-(-left // chunk_size) if left else 0):
-        chunk = rows.filter((F.col("idx") >= k * chunk_size) & (F.col("idx") < (k + 1) * chunk_size))
-        done = ingest(chunk, catalogs, references, store, batch=f"{batch}-{k}", day=day, root=f"{root}/{k}" if root else None)
+    for k in range(-(-left // chunk_size)):
+        chunk = resolved.filter((F.col("idx") >= k * chunk_size) & (F.col("idx") < (k + 1) * chunk_size))
+        done, keys = _taken(chunk, references, store, keys, batch=f"{batch}-{k}", day=day, run=Run(todo.sparkSession, f"{root}/{k}" if root else None), faults={})
         store = replace(store, nodes=done.store.nodes, edges=done.store.edges)
         outcomes = done.outcomes if outcomes is None else outcomes.unionByName(done.outcomes)
     return _counters(todo.sparkSession, outcomes, n, left), store

@@ -59,6 +59,16 @@ def node_index(nodes: DataFrame, order: str | None = None) -> DataFrame:
     return key_index(named, "__id", stored_keys(), order=order)
 
 
+def node_key_rows(nodes: DataFrame) -> DataFrame:
+    """id, kind, prio, key of every key of stored nodes: what first_of() makes node_index() of, to be kept node by node."""
+    return exploded(nodes.withColumn("__id", node_key(F.col("id"), F.col("uuid"), F.col("slug"))).filter("__id is not null"), "__id", stored_keys())
+
+
+def first_of(keys: DataFrame) -> DataFrame:
+    """node_index(), in the order of ids, of the nodes' keys."""
+    return keys.groupBy("kind", "prio", "key").agg(F.min("id").alias("node_id"))
+
+
 def priority_match(incoming: DataFrame, index: DataFrame, id_col: str, keys: list[tuple[str, Column]]) -> DataFrame:
     """id, match_id, reason of every incoming row that some key finds; the key asked first wins.
 

@@ -168,6 +168,20 @@ def test_backfill_in_chunks(spark):
     assert nothing.first().candidates == 0
 
 
+def test_chunks_share_catalogs_and_keys(spark, monkeypatch):
+    calls, keyed = [], []
+    monkeypatch.setattr(B, "resolve", lambda df, cat: calls.append(df.count()) or N.resolve(df, cat))
+    monkeypatch.setattr(B, "node_key_rows", lambda nodes: keyed.append(sorted(r.id for r in nodes.collect())) or D.node_key_rows(nodes), raising=False)
+    held = [node("a", "another long title here", tags=["pipeline:queued"]), node("b", "a title that is long enough", doi="10.1/b", tags=["pipeline:failed"]), node("c", "nobody asks for this one", doi="10.1/c"), node("d", "deleted", doi="10.1/new", status="deleted")]
+    cat = catalogs(spark, bulk=[("10.1/b", {"title": "T", "citations": [cite(doi="10.1/new"), cite(doi="10.1/c"), cite(doi="10.1/none")]})], hits=[("another long title here", 1, "p9")], articles=[("p9", {"title": "Another long title here", "doi": "10.1/new"})])
+    counts, after = B.backfill(store(spark, held), cat, spark.createDataFrame([], "doi string, at int, payload string"), batch="f", day="2024-05-01", chunk_size=1)
+    # The identifier that the first chunk gave to a is what the second one's list names it by.
+    assert {(r.source_id, r.target_id) for r in after.edges.collect()} == {("b", "a"), ("b", "c")} and counts.first().processed == 2
+    status = {r.id: [t for t in r.tags if t.startswith("pipeline:")] for r in after.nodes.collect()}
+    assert status == {"a": ["pipeline:digested"], "b": ["pipeline:digested"], "c": [], "d": []}
+    assert calls == [2] and keyed == [["a", "b", "c"], ["a"], ["b"]]
+
+
 # ---------------------------------------------------------------------------------------------------------------
 
 
